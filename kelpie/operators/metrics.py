@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kelpie.functions.features import round_np
 from kelpie.operators.models import EPS
 from kelpie.operators.sequence import running_sum
 
@@ -91,7 +92,7 @@ def confusion_pivot(cm: DataFrame) -> DataFrame:
 def confusion_rates(cm: DataFrame, decimals: int = 4) -> DataFrame:
     """Row-normalised matrix; null when the truth row is empty."""
     tot = F.sum("n").over(Window.partitionBy("y"))
-    return cm.withColumn("rate", F.when(tot > 0, F.round(F.col("n") / tot, decimals)))
+    return cm.withColumn("rate", F.when(tot > 0, round_np(F.col("n") / tot, decimals)))
 
 
 # ------------------------------------------------------------------ A07 ----

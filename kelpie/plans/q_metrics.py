@@ -78,7 +78,7 @@ def a05(spark, sf):
 
 @register("a06_confusion_rates", _CM_SQL + """
 SELECT y, yhat, n, CASE WHEN sum(n) OVER (PARTITION BY y) > 0
-       THEN round(n / sum(n) OVER (PARTITION BY y), 4) END AS rate FROM cm""")
+       THEN round_even(n / sum(n) OVER (PARTITION BY y) * 10000, 0) / 10000 END AS rate FROM cm""")
 def a06(spark, sf):
     return M.confusion_rates(M.confusion_matrix(t(spark, sf, "labels"), "quality", "toxic"))
 
