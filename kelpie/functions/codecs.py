@@ -267,11 +267,19 @@ def infer_format(df: DataFrame, data_col: str, label_col: str | None = None) ->
 
 def decode_json(df: DataFrame, schema: T.DataType | str, value: str = "value",
                 out: str = "decoded") -> DataFrame:
-    """JSON payload -> typed column; rows that do not parse keep null + error."""
+    """JSON payload -> typed column (PERMISSIVE); malformed rows keep a null
+    value and get ``decode_error`` (for struct schemas via the corrupt-record column)."""
     txt = F.col(value).cast("string")
+    if isinstance(schema, T.StructType):
+        full = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
+        p = F.from_json(txt, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+        d = df.withColumn("_p", p)
+        bad = txt.isNotNull() & F.col("_p._corrupt_record").isNotNull()
+        return d.withColumn(out, F.when(~bad, F.struct(*[F.col("_p")[f.name].alias(f.name) for f in schema.fields]))) \
+                .withColumn("decode_error", F.when(bad, F.lit("malformed json"))).drop("_p")
     parsed = F.from_json(txt, schema, {"mode": "PERMISSIVE"})
     return df.withColumn(out, parsed).withColumn(
-        "decode_error", F.when(txt.isNotNull() & F.try_parse_json(txt).isNull(), F.lit("malformed json")))
+        "decode_error", F.when(txt.isNotNull() & parsed.isNull(), F.lit("malformed json")))
 
 
 def decode_telegraf(df: DataFrame, schema: T.DataType | str, value: str = "value",

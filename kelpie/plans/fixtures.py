@@ -25,8 +25,10 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
-def sample_id_header(col: str) -> F.Column:
-    return F.array(F.struct(F.lit("sample_id").alias("key"), F.encode(F.col(col).cast("string"), "UTF-8").alias("value")))
+def sample_id_header(col: str, **more: str) -> F.Column:
+    items = [("sample_id", col), *more.items()]
+    return F.array(*[F.struct(F.lit(k).alias("key"), F.encode(F.col(c).cast("string"), "UTF-8").alias("value"))
+                     for k, c in items])
 
 
 def header_value(name: str) -> F.Column:
@@ -41,10 +43,11 @@ def events_log(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFram
     if dense:
         return append_topic(ev, "events", key=F.encode("event_type", "UTF-8"), value=F.encode("props", "UTF-8"),
                             partition=part, order="event_id", timestamp="ts",
-                            headers=sample_id_header("event_id"))
+                            headers=sample_id_header("event_id", user_id="user_id"))
     return ev.select(F.lit("events").alias("topic"), part.alias("partition"), F.col("event_id").alias("offset"),
                      F.col("ts").alias("timestamp"), F.encode("event_type", "UTF-8").alias("key"),
-                     F.encode("props", "UTF-8").alias("value"), sample_id_header("event_id").alias("headers"))
+                     F.encode("props", "UTF-8").alias("value"),
+                     sample_id_header("event_id", user_id="user_id").alias("headers"))
 
 
 def embeddings_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -202,7 +202,7 @@ def control_to_log(control: DataFrame, key_width: int = 1) -> DataFrame:
 CONTROL_JSON_SCHEMA = (
     "topic string, unsupervised_topic string, input_format string, description string, "
     "dataset_restrictions string, input_config string, validation_rate double, test_rate double, "
-    "total_msg long, incremental boolean, federated_string_id string, label_weights map<int,double>, "
+    "total_msg long, incremental boolean, federated_string_id string, label_weights map<string,double>, "
     "streaming_data_chunks int")
 
 
@@ -245,7 +245,8 @@ def datasources_from_log(control_log: DataFrame) -> DataFrame:
         key_to_int("key").alias("deployment_id"),
         body.alias("b"),
         F.date_format(F.col("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("time"),
-    ).select("deployment_id", "b.*", "time")
+    ).select("deployment_id", "b.*", "time").withColumn(
+        "label_weights", F.transform_keys("label_weights", lambda k, v: k.cast("int")))
 
 
 def replay(datasources: DataFrame, src_deployment: Column, deployment_id: Column) -> DataFrame:
