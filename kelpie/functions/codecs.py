@@ -133,11 +133,11 @@ def encode_raw_col(col: Column | str, dtype: str) -> Column:
     return _udf_encode(dtype)(c)
 
 
-def decode_raw_col(col: Column | str, dtype: str, reshape: str | None = None) -> Column:
-    """P01 column form: RAW bytes -> flat array, optionally reshaped ("28 28")."""
+def decode_raw_col(col: Column | str, dtype: str) -> Column:
+    """P01 column form: RAW bytes -> flat array (reshape with :func:`reshape_col`
+    on a separate projection: a Python UDF cannot sit inside a lambda)."""
     c = F.col(col) if isinstance(col, str) else col
-    flat = _udf_decode(dtype)(c)
-    return reshape_col(flat, reshape)
+    return _udf_decode(dtype)(c)
 
 
 def reshape_col(flat: Column, reshape: str | None) -> Column:
@@ -145,11 +145,14 @@ def reshape_col(flat: Column, reshape: str | None) -> Column:
     dims = [int(x) for x in (reshape or "").split() if x.strip()]
     if len(dims) <= 1:
         return flat
+    def group(arr: Column, d: int) -> Column:
+        # consecutive runs of d elements
+        return F.transform(F.sequence(F.lit(0), F.floor(F.size(arr) / d).cast("int") - 1),
+                           lambda i: F.slice(arr, i * d + 1, d))
+
     out = flat
     for d in reversed(dims[1:]):
-        # group consecutive runs of d elements
-        out = F.transform(F.sequence(F.lit(0), F.floor(F.size(out) / d).cast("int") - 1),
-                          lambda i, o=out, d=d: F.slice(o, i * d + 1, d))
+        out = group(out, d)
     return out
 
 
@@ -172,10 +175,15 @@ def decode_raw(df: DataFrame, data_type: str, data_reshape: str | None = None,
     Separate UDFs for key and value keep column pruning intact; a label of
     one element collapses to a scalar (P02).
     """
-    out = df.withColumn("features", decode_raw_col(value, data_type, data_reshape))
+    out = df.withColumn("features", decode_raw_col(value, data_type))
+    if len((data_reshape or "").split()) > 1:
+        out = out.withColumn("features", reshape_col(F.col("features"), data_reshape))
     if label_type:
-        lab = decode_raw_col(key, label_type, label_reshape)
-        out = out.withColumn("label", collapse_label(lab))
+        out = out.withColumn("label", decode_raw_col(key, label_type))
+        if len((label_reshape or "").split()) > 1:
+            out = out.withColumn("label", reshape_col(F.col("label"), label_reshape))
+        else:
+            out = out.withColumn("label", collapse_label("label"))
     return out
 
 
