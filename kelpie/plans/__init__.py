@@ -1,4 +1,4 @@
 """Fixture mappings and the registered query catalogue."""
 
-from kelpie.plans import q_codecs, q_federated, q_ledger, q_metrics, q_relational, q_sequences, q_serving  # noqa: F401  (registers queries)
+from kelpie.plans import q_codecs, q_federated, q_learning, q_ledger, q_metrics, q_relational, q_sequences, q_serving  # noqa: F401  (registers queries)
 from kelpie.plans.registry import ORACLE, QUERIES  # noqa: F401
