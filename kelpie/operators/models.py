@@ -43,22 +43,36 @@ class LinearModel:
     def n_out(self) -> int:
         return int(self.W.shape[0])
 
-    def logits(self, x: Column) -> list[Column]:
-        return [(dot(x, self.W[k]) + F.lit(float(self.b[k]))) * F.lit(float(self.temperature))
-                for k in range(self.n_out)]
+    def logits(self, x: Column) -> Column:
+        """All outputs in ONE compact expression: a constant weight matrix and a
+        lambda over its rows (no per-output expression copies)."""
+        W = F.array(*[_lit_array(row) for row in np.asarray(self.W, dtype=np.float64)])
+        b = _lit_array(self.b)
+        t = F.lit(float(self.temperature))
+        return F.transform(W, lambda w, k: (F.aggregate(F.zip_with(x, w, lambda a, c: a.cast("double") * c),
+                                                         F.lit(0.0), lambda acc, y: acc + y) + b[k]) * t)
+
+    def apply(self, df: DataFrame, x: str, out: str = "values") -> DataFrame:
+        """Score a frame: logits, then the activation on that array column
+        (separate projections keep the logits from being recomputed)."""
+        d = df.withColumn("_z", self.logits(F.col(x)))
+        if self.activation == "linear":
+            return d.withColumnRenamed("_z", out)
+        if self.activation == "sigmoid":
+            return d.withColumn(out, F.transform("_z", lambda z: 1.0 / (1.0 + F.exp(-z)))).drop("_z")
+        d = d.withColumn("_e", F.transform("_z", lambda z: F.exp(z - F.array_max(F.col("_z")))))
+        return d.withColumn(out, F.transform("_e", lambda e: e / F.aggregate(F.col("_e"), F.lit(0.0),
+                                                                             lambda acc, y: acc + y))).drop("_z", "_e")
 
     def values(self, x: Column) -> Column:
+        """Single-expression form (for use inside select lists)."""
         z = self.logits(x)
         if self.activation == "linear":
-            return F.array(*z)
+            return z
         if self.activation == "sigmoid":
-            return F.array(*[1.0 / (1.0 + F.exp(-zk)) for zk in z])
-        m = F.greatest(*z) if len(z) > 1 else z[0]
-        e = [F.exp(zk - m) for zk in z]
-        tot = e[0]
-        for ek in e[1:]:
-            tot = tot + ek
-        return F.array(*[ek / tot for ek in e])
+            return F.transform(z, lambda v: 1.0 / (1.0 + F.exp(-v)))
+        e = F.transform(z, lambda v: F.exp(v - F.array_max(z)))
+        return F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda acc, y: acc + y))
 
     # NumPy twin (used inside Arrow UDFs and by the driver-side optimiser)
     def predict_np(self, X: np.ndarray) -> np.ndarray:

@@ -11,6 +11,8 @@ from kelpie.functions.features import argmax
 
 def score(df: DataFrame, model, features: str = "features", out: str = "values") -> DataFrame:
     """Decode → predict → values array; same code for batch and ``readStream`` frames."""
+    if hasattr(model, "apply"):
+        return model.apply(df, features, out)
     return df.withColumn(out, model.values(F.col(features)))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from kelpie.functions.codecs import decode_raw
@@ -10,7 +12,11 @@ from kelpie.operators.models import fit_centroids
 from kelpie.operators.serve import score, with_tier
 from kelpie.plans.fixtures import embeddings_log, header_value
 from kelpie.plans.registry import register
-from kelpie.sources.topics import control_record, control_records, topic_ranges
+from kelpie.session import scratch_path
+from kelpie.sources.topics import (control_record, control_records, read_topic, string_to_ranges, topic_ranges,
+                                   write_topic)
+
+INPUT_CONFIG = {"data_type": "float32", "label_type": "int32", "data_reshape": "64", "label_reshape": ""}
 
 LIMIT = 0.5
 TEMPERATURE = 10.0
@@ -29,18 +35,25 @@ scored AS (SELECT vec_id, any_value(label) AS label, min(k) FILTER (WHERE p = mp
 """
 
 
+def published_topic(spark, sf_dir):
+    """Publish ``embeddings`` once as a RAW topic table in the shared folder and
+    read it back (publishing IS writing; it also cuts the lineage)."""
+    path = scratch_path(spark, f"topics/embeddings-{uuid.uuid4().hex}")
+    write_topic(embeddings_log(spark, sf_dir), path)
+    return read_topic(spark, path)
+
+
 def published_scores(spark, sf_dir):
     """embeddings → RAW topic → control row → range read → decode → centroid scores."""
-    log = embeddings_log(spark, sf_dir)
+    log = published_topic(spark, sf_dir)
     ranges = topic_ranges(log)
-    control = control_record(ranges, deployment_id=1, input_format="RAW",
-                             input_config={"data_type": "float32", "label_type": "int32",
-                                           "data_reshape": "64", "label_reshape": ""})
-    # the trainer/scorer reads exactly the records its control row announces
-    slice_ = control_records(ranges.select("topic", "partition", "start", "end"), log)
-    cfg = control.select(F.get_json_object("input_config", "$.data_type").alias("dt")).first()
-    dec = decode_raw(slice_, cfg["dt"], "64", "int32", "")
-    dec = dec.select(header_value("sample_id").cast("long").alias("vec_id"), "features", "label")
+    control = control_record(ranges, deployment_id=1, input_format="RAW", input_config=INPUT_CONFIG)
+    # the trainer reads exactly the records its control row announces
+    announced = string_to_ranges(control.select("topic"), "topic").select("topic", "partition", "start", "end")
+    slice_ = control_records(announced, log)
+    dec = decode_raw(slice_, INPUT_CONFIG["data_type"], INPUT_CONFIG["data_reshape"],
+                     INPUT_CONFIG["label_type"], INPUT_CONFIG["label_reshape"])
+    dec = dec.select(header_value("sample_id").cast("long").alias("vec_id"), "features", "label").persist()
     model = fit_centroids(dec, temperature=TEMPERATURE)
     return score(dec, model)
 
