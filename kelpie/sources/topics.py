@@ -278,3 +278,37 @@ def inspect(log: DataFrame, n: int, from_beginning: bool = True) -> DataFrame:
         F.when(F.is_valid_utf8(vtxt), vtxt).alias("value_text"),
         F.length("value").alias("value_bytes"),
     )
+
+
+# ------------------------------------------------------------------ S15 ----
+
+FED_DATASOURCE_SCHEMA = (
+    "topic string, unsupervised_topic string, input_format string, input_config string, incremental boolean, "
+    "federated_string_id string, total_msg long, validation_rate double, test_rate double, description string, "
+    "dataset_restrictions string, label_weights string, streaming_data_chunks int, timestamp timestamp")
+
+MODEL_SOURCE_SCHEMA = (
+    "model_format struct<input_shape: string, output_shape: string>, "
+    "federated_params struct<federated_string_id: string, data_restriction: string, min_data: long>, "
+    "framework string, distributed boolean, incremental boolean, blockchain string")
+
+
+def fed_datasources(log: DataFrame) -> DataFrame:
+    """Federated data log -> datasource rows; a missing timestamp becomes now."""
+    b = F.from_json(F.col("value").cast("string"), FED_DATASOURCE_SCHEMA)
+    return log.select(b.alias("b")).select("b.*").withColumn(
+        "timestamp", F.coalesce(F.col("timestamp"), F.current_timestamp()))
+
+
+def model_sources(log: DataFrame) -> DataFrame:
+    """Model log -> model-source rows (nested JSON flattened; blockchain defaults to {})."""
+    b = F.from_json(F.col("value").cast("string"), MODEL_SOURCE_SCHEMA)
+    return log.select(b.alias("b")).select(
+        F.col("b.model_format.input_shape").alias("input_shape"),
+        F.col("b.model_format.output_shape").alias("output_shape"),
+        F.col("b.federated_params.federated_string_id").alias("federated_string_id"),
+        F.col("b.federated_params.data_restriction").alias("data_restriction"),
+        F.col("b.federated_params.min_data").alias("min_data"),
+        F.col("b.framework").alias("framework"), F.col("b.distributed").alias("distributed"),
+        F.col("b.incremental").alias("incremental"),
+        F.coalesce(F.col("b.blockchain"), F.lit("{}")).alias("blockchain"))
