@@ -152,8 +152,8 @@ def evaluate(df: DataFrame, y: str, p: str, weight: str | None = None, threshold
     base = df.agg(
         F.avg((hat == yy).cast("double")).alias("binary_accuracy"),
         (F.sum((hat == yy).cast("double") * w) / F.sum(w)).alias("weighted_binary_accuracy"),
-        (F.sum(hat * yy) / F.sum(hat)).alias("precision"),
-        (F.sum(hat * yy) / F.sum(yy)).alias("recall"),
+        F.try_divide(F.sum(hat * yy), F.sum(hat)).alias("precision"),
+        F.try_divide(F.sum(hat * yy), F.sum(yy)).alias("recall"),
         F.avg(F.abs(yy - pp)).alias("mae"),
         F.avg((yy - pp) * (yy - pp)).alias("mse"),
         F.avg(-(yy * F.log(pc) + (1 - yy) * F.log(1 - pc))).alias("binary_crossentropy"))
@@ -182,9 +182,9 @@ def auc(df: DataFrame, y: str, p: str, buckets: int = 1 << 20) -> DataFrame:
                      F.floor((F.col("s") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets)).otherwise(0)
         .cast("long"))
     b = running_sum(b, None, "bk", "neg", "neg_le", block=max(1, buckets // 1024), tiebreak=["s"])
-    return b.agg(((F.sum(F.col("pos") * (F.col("neg_le") - F.col("neg")))
-                   + 0.5 * F.sum(F.col("pos") * F.col("neg")))
-                  / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    return b.agg(F.try_divide(F.sum(F.col("pos") * (F.col("neg_le") - F.col("neg")))
+                              + 0.5 * F.sum(F.col("pos") * F.col("neg")),
+                              F.sum("pos") * F.sum("neg")).alias("auc"))
 
 
 # ------------------------------------------------------------------ A09 ----

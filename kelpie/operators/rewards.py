@@ -91,8 +91,10 @@ def reward_factor(ratio) -> F.Column:
 
 def rewards(updates: DataFrame, size: str = "num_data", contributions: str = "contributions") -> DataFrame:
     """Band of current/previous loss x 100 x own size / known contributions."""
-    ratio = F.col("current_loss") / F.col("previous_loss")
-    return updates.withColumn("reward", reward_factor(ratio) * F.lit(BASE_REWARD) * F.col(size) / F.col(contributions))
+    ratio = F.try_divide(F.col("current_loss"), F.col("previous_loss"))
+    # no known contribution yet -> no reward (the reference would divide by zero)
+    return updates.withColumn("reward", F.try_divide(reward_factor(ratio) * F.lit(BASE_REWARD) * F.col(size),
+                                                     F.col(contributions)))
 
 
 # ------------------------------------------------------------------ G13 ----

@@ -54,7 +54,7 @@ w8 AS (SELECT * EXCLUDE (delta), sum(delta) OVER (PARTITION BY federation ORDER
 g12 AS (SELECT *, CASE WHEN current_loss / previous_loss >= 0 AND current_loss / previous_loss <= 0.5 THEN 1.0::DOUBLE
                        WHEN current_loss / previous_loss > 0.75 AND current_loss / previous_loss <= 1.0 THEN 0.5::DOUBLE
                        WHEN current_loss / previous_loss > 1.0 AND current_loss / previous_loss <= 1.5 THEN 1.0::DOUBLE / 3.0::DOUBLE
-                       ELSE 0.0::DOUBLE END * 100 * num_data / contributions AS reward FROM w8),
+                       ELSE 0.0::DOUBLE END * 100 * num_data / NULLIF(contributions, 0) AS reward FROM w8),
 g13 AS (SELECT update_id, account, CAST(floor(reward) AS BIGINT) AS tokens FROM g12)"""
 
 

@@ -114,13 +114,13 @@ def a07r(spark, sf):
 b AS (SELECT p AS s, sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS pos,
              sum(CASE WHEN quality = 0 THEN 1 ELSE 0 END) AS neg FROM j GROUP BY p),
 c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM b),
-a AS (SELECT (sum(pos * below) + 0.5 * sum(pos * neg)) / (sum(pos) * sum(neg)) AS auc FROM c),
+a AS (SELECT (sum(pos * below) + 0.5 * sum(pos * neg)) / NULLIF(sum(pos) * sum(neg), 0) AS auc FROM c),
 m AS (SELECT
   avg(CASE WHEN (CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END) = quality THEN 1.0 ELSE 0.0 END) AS binary_accuracy,
   sum(CASE WHEN (CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END) = quality THEN 1.0 ELSE 0.0 END * (1 + toxic)) / sum(1 + toxic)
     AS weighted_binary_accuracy,
-  sum(CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END * quality) / sum(CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END) AS precision,
-  sum(CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END * quality) / sum(quality) AS recall,
+  sum(CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END * quality) / NULLIF(sum(CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END), 0) AS precision,
+  sum(CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END * quality) / NULLIF(sum(quality), 0) AS recall,
   avg(abs(quality - p)) AS mae, avg((quality - p) * (quality - p)) AS mse,
   avg(-(quality * ln(least(greatest(p, 1e-7), 1 - 1e-7)) + (1 - quality) * ln(1 - least(greatest(p, 1e-7), 1 - 1e-7))))
     AS binary_crossentropy FROM j)
