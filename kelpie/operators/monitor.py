@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from kelpie.functions.features import round_js
 from kelpie.operators.sequence import DEFAULT_BLOCK, blocked_lag, dense_position
+from kelpie.session import cut_lineage
 
 
 def _keys(by) -> list[str]:
@@ -58,7 +59,8 @@ def leader_changes(df: DataFrame, label: str, order: str, classes: Sequence, by=
     """
     keys = _keys(by)
     d = dense_position(df, keys, order, name="pos", block=block)
-    d = d.withColumn("_blk", F.floor(F.col("pos") / F.lit(block)).cast("long"))
+    # read by the block table, the join back and the lag pass: materialize once
+    d = cut_lineage(d.withColumn("_blk", F.floor(F.col("pos") / F.lit(block)).cast("long")))
     ind = {c: (F.col(label) == F.lit(c)).cast("long") for c in classes}
     bc = d.groupBy(*keys, "_blk").agg(*[F.sum(v).alias(f"_b{i}") for i, v in enumerate(ind.values())])
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_blk") \

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kelpie.operators.sequence import DEFAULT_BLOCK, blocked_lag, dense_position, running_sum
+from kelpie.session import cut_lineage
 
 # Reward bands over current_loss / previous_loss, base reward.
 BASE_REWARD = 100
@@ -27,8 +28,10 @@ REWARD_BANDS = [  # (low exclusive, high inclusive, factor); the first band incl
 
 def fifo_position(updates: DataFrame, federation: str, order: str, tiebreak: list[str] | None = None,
                   block: int = DEFAULT_BLOCK, name: str = "fifo") -> DataFrame:
-    """n-th update of a federation is consumed n-th (1-based)."""
-    d = dense_position(updates, federation, order, block=block, name=name, tiebreak=tiebreak or [])
+    """n-th update of a federation is consumed n-th (1-based); ``<name>_total``
+    carries the federation's update count (from the same block table)."""
+    d = dense_position(updates, federation, order, block=block, name=name, tiebreak=tiebreak or [],
+                       with_total=True)
     return d.withColumn(name, F.col(name) + 1)
 
 
@@ -39,8 +42,11 @@ def assign_round(updates: DataFrame, federation: str, registered: int, fifo: str
     ``registered = -1`` aggregates each model alone (round = fifo - 1)."""
     if registered == -1:
         return updates.withColumn("round", (F.col(fifo) - 1).cast("long"))
-    n = updates.groupBy(federation).agg(F.count(F.lit(1)).alias("_n"))
-    d = updates.join(n, federation)  # one row per federation: AQE broadcasts it after measuring
+    if f"{fifo}_total" in updates.columns:
+        d = updates.withColumn("_n", F.col(f"{fifo}_total"))
+    else:
+        n = updates.groupBy(federation).agg(F.count(F.lit(1)).alias("_n"))
+        d = updates.join(n, federation)  # one row per federation: AQE broadcasts it after measuring
     complete = F.floor(F.col("_n") / F.lit(registered)) * F.lit(registered)
     return d.where(F.col(fifo) <= complete).withColumn("round", F.floor((F.col(fifo) - 1) / F.lit(registered)).cast("long")) \
             .drop("_n")
@@ -53,6 +59,9 @@ def with_prev_loss(rounds: DataFrame, federation: str = "federation", round_col:
     """Attach (current_loss, previous_loss): each update of round r is compared
     with the LAST update used in round r-1 (validation loss when both have one,
     else training loss on both sides); round 0 compares with +inf."""
+    # (federation, round) groups hold at most the registered devices: no hot key;
+    # one exchange serves both the per-round table and the join back
+    rounds = rounds.repartition(federation, round_col)
     last = rounds.groupBy(federation, round_col).agg(
         F.max_by(F.struct(F.col(train).alias("pt"), F.col(val).alias("pv")), F.col(fifo)).alias("_p"))
     prev = last.select(federation, (F.col(round_col) + 1).alias(round_col), "_p")
@@ -67,10 +76,17 @@ def with_prev_loss(rounds: DataFrame, federation: str = "federation", round_col:
 # ------------------------------------------------------------------ W08 ----
 
 def contribution_total(updates: DataFrame, federation: str, account: str, order: str, size: str,
-                       block: int = DEFAULT_BLOCK) -> DataFrame:
+                       block: int = DEFAULT_BLOCK, materialize: bool = True) -> DataFrame:
     """Known contributions so far: Σ over accounts of their latest data size up
     to and including this update = running sum of (size - previous size of the
-    same account) in federation order."""
+    same account) in federation order.
+
+    Three blocked passes read the input; with ``materialize`` it is written
+    once to the shared checkpoint folder so the passes do not recompute the
+    upstream ledger steps (column pruning defeats exchange reuse there).
+    """
+    if materialize:
+        updates = cut_lineage(updates)
     d = dense_position(updates, [federation, account], order, block=block, name="_apos")
     d = blocked_lag(d, [federation, account], "_apos", {"_prev": (size, 1)}, block=block)
     d = d.withColumn("_delta", F.col(size) - F.coalesce(F.col("_prev"), F.lit(0)))

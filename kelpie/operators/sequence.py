@@ -5,6 +5,10 @@ per-block bookkeeping on an aggregated table (one row per block), and runs
 the row-level window over ``(group, block)`` only.  A key holding a third of
 all rows is therefore spread over many tasks; the per-block table grows with
 ``rows / block`` and goes through a normal (AQE-chosen) join.
+
+The input is hash-partitioned by ``(group, block)`` once; the block counts,
+the join back and the window all read that one exchange (Spark reuses it),
+so chaining helpers does not recompute their inputs.
 """
 
 from __future__ import annotations
@@ -23,20 +27,28 @@ def _cols(by: str | Sequence[str] | None) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
+def _prefix_window(by: list[str], blk: str) -> Window:
+    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    return w.orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def dense_position(df: DataFrame, by, order: str, block: int = DEFAULT_BLOCK,
-                   name: str = "pos", tiebreak: Sequence[str] = ()) -> DataFrame:
+                   name: str = "pos", tiebreak: Sequence[str] = (), with_total: bool = False) -> DataFrame:
     """0-based position of each row inside its group ordered by ``order``.
 
     ``order`` must be integral (offsets, ids, epoch micros).  Exact: position =
     rows of earlier blocks (prefix count table) + rank inside the block.
+    ``with_total`` adds ``<name>_total`` = rows in the group (from the same table).
     """
     by = _cols(by)
     blk = "_kp_blk"
-    d = df.withColumn(blk, F.floor(F.col(order) / F.lit(block)).cast("long"))
+    d = df.withColumn(blk, F.floor(F.col(order) / F.lit(block)).cast("long")).repartition(*by, blk)
     counts = d.groupBy(*by, blk).agg(F.count(F.lit(1)).alias("_kp_n"))
-    w = Window.partitionBy(*by).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1) if by \
-        else Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = counts.select(*by, blk, F.coalesce(F.sum("_kp_n").over(w), F.lit(0)).alias("_kp_base"))
+    cols = [*by, blk, F.coalesce(F.sum("_kp_n").over(_prefix_window(by, blk)), F.lit(0)).alias("_kp_base")]
+    if with_total:
+        tw = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+        cols.append(F.sum("_kp_n").over(tw).alias(f"{name}_total"))
+    prefix = counts.select(*cols)
     d = d.join(prefix, on=[*by, blk])
     w2 = Window.partitionBy(*by, blk).orderBy(order, *tiebreak)
     return d.withColumn(name, (F.col("_kp_base") + F.row_number().over(w2) - 1).cast("long")) \
@@ -49,11 +61,10 @@ def running_sum(df: DataFrame, by, order: str, value: Column | str, name: str,
     by = _cols(by)
     v = F.col(value) if isinstance(value, str) else value
     blk = "_kr_blk"
-    d = df.withColumn(blk, F.floor(F.col(order) / F.lit(block)).cast("long")).withColumn("_kr_v", v)
+    d = df.withColumn(blk, F.floor(F.col(order) / F.lit(block)).cast("long")).withColumn("_kr_v", v) \
+        .repartition(*by, blk)
     sums = d.groupBy(*by, blk).agg(F.sum("_kr_v").alias("_kr_s"))
-    w = Window.partitionBy(*by).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1) if by \
-        else Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = sums.select(*by, blk, F.sum("_kr_s").over(w).alias("_kr_base"))
+    prefix = sums.select(*by, blk, F.sum("_kr_s").over(_prefix_window(by, blk)).alias("_kr_base"))
     d = d.join(prefix, on=[*by, blk])
     w2 = Window.partitionBy(*by, blk).orderBy(order, *tiebreak) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -66,19 +77,22 @@ def blocked_lag(df: DataFrame, by, pos: str, cols: dict[str, tuple[str, int]],
     """``lag`` over a DENSE position column without a per-group window.
 
     ``cols`` maps output name -> (source column, k).  Blocks hold ``block``
-    consecutive positions; the last ``max k`` rows of every block are copied
-    into the next block as ghosts, so each lag is found inside its own block.
+    consecutive positions; the last ``max k`` rows of every block are also
+    emitted into the next block as ghosts (one ``explode``, no self-union), so
+    each lag is found inside its own block.
     """
     by = _cols(by)
     kmax = max(k for _, k in cols.values())
     if kmax >= block:
         raise ValueError("lag distance must be smaller than the block")
-    blk, ghost = "_kl_blk", "_kl_ghost"
-    base = df.withColumn(blk, F.floor(F.col(pos) / F.lit(block)).cast("long")).withColumn(ghost, F.lit(False))
-    ghosts = base.where(F.pmod(F.col(pos), F.lit(block)) >= block - kmax) \
-        .withColumn(blk, F.col(blk) + 1).withColumn(ghost, F.lit(True))
-    both = base.unionByName(ghosts)
-    w = Window.partitionBy(*by, blk).orderBy(pos)
+    blk = F.floor(F.col(pos) / F.lit(block)).cast("long")
+    tail = F.pmod(F.col(pos), F.lit(block)) >= block - kmax
+    copies = F.when(tail, F.array(F.struct(blk.alias("b"), F.lit(False).alias("g")),
+                                  F.struct((blk + 1).alias("b"), F.lit(True).alias("g")))) \
+        .otherwise(F.array(F.struct(blk.alias("b"), F.lit(False).alias("g"))))
+    both = df.withColumn("_kl", F.explode(copies)) \
+        .withColumn("_kl_blk", F.col("_kl.b")).withColumn("_kl_ghost", F.col("_kl.g")).drop("_kl")
+    w = Window.partitionBy(*by, "_kl_blk").orderBy(pos)
     for out, (src, k) in cols.items():
         both = both.withColumn(out, F.lag(src, k).over(w))
-    return both.where(~F.col(ghost)).drop(blk, ghost)
+    return both.where(~F.col("_kl_ghost")).drop("_kl_blk", "_kl_ghost")

@@ -117,21 +117,24 @@ def shuffle_key(id_col: str, seed: int | str, epoch: int | None = None) -> Colum
     return F.md5(F.concat_ws(":", *parts))
 
 
-def permutation_rank(df: DataFrame, id_col: str, seed: int | str, name: str = "rank") -> DataFrame:
+def permutation_rank(df: DataFrame, id_col: str, seed: int | str, name: str = "rank",
+                     with_total: bool = False) -> DataFrame:
     """0-based rank of each row in the seeded permutation ``order by md5(seed:id), id``.
 
     md5 spreads rows evenly over 2^32 ordered buckets; the rank is the row
     count of earlier buckets (small aggregated table) plus the rank inside the
-    bucket block, so no task sees more than its block.
+    bucket block, so no task sees more than its block.  ``with_total`` adds
+    ``<name>_total`` (row count) from the same bucket table.
     """
     key = shuffle_key(id_col, seed)
     d = df.withColumn("_h", key).withColumn("_hb", F.conv(F.substring("_h", 1, HASH_BUCKET_HEX), 16, 10).cast("long"))
-    return dense_position(d, None, "_hb", block=HASH_BLOCK, name=name, tiebreak=["_h", id_col]).drop("_h", "_hb")
+    return dense_position(d, None, "_hb", block=HASH_BLOCK, name=name, tiebreak=["_h", id_col],
+                          with_total=with_total).drop("_h", "_hb")
 
 
 def split_random(df: DataFrame, id_col: str, validation_rate: float, test_rate: float, seed: int) -> DataFrame:
     """Exact random split; the rounding rest goes to train."""
-    d = _with_total(permutation_rank(df, id_col, seed), None)
+    d = permutation_rank(df, id_col, seed, with_total=True).withColumnRenamed("rank_total", "_n")
     n = F.col("_n")
     tr, va, te = split_sizes(n, validation_rate, test_rate)
     tr = tr + (n - (tr + va + te))
@@ -142,7 +145,7 @@ def split_random(df: DataFrame, id_col: str, validation_rate: float, test_rate:
 def share_out(df: DataFrame, id_col: str, holdout: int, fractions: Sequence[float], seed: int) -> DataFrame:
     """Seeded shuffle, the first ``holdout`` rows for inference, the rest cut
     into devices by cumulative fractions (truncated, last device takes the rest)."""
-    d = _with_total(permutation_rank(df, id_col, seed), None)
+    d = permutation_rank(df, id_col, seed, with_total=True).withColumnRenamed("rank_total", "_n")
     rest = F.col("_n") - F.lit(holdout)
     idx = F.col("rank") - F.lit(holdout)
     share = F.lit(f"device{len(fractions)}")

@@ -392,24 +392,24 @@ def self_train(labelled: DataFrame, pool: DataFrame, rounds: int = 5, confidence
     checkpoint folder, so lineage stays short and a lost executor only
     recomputes one round.
     """
-    from kelpie.operators.quality import confident
-    from kelpie.operators.serve import score
     from kelpie.functions.features import argmax
+    from kelpie.operators.serve import score
 
     train = labelled.select(key, features, F.col(label).cast("int").alias(label), F.lit(0).alias("round"))
     rest = pool.select(key, features)
     model = None
     for r in range(1, rounds + 1):
         model = fit_centroids(train, features, label, n_classes=n_classes, temperature=temperature)
-        scored = score(rest, model, features)
-        pseudo = confident(scored, confidence).select(key, features, argmax("values").alias(label),
-                                                      F.lit(r).alias("round"))
-        pseudo = cut_lineage(pseudo)
-        if pseudo.isEmpty():
+        # one scored, checkpointed pool per round: the confident part joins the
+        # training set, the rest is the next pool (no anti-join needed)
+        scored = score(rest, model, features).withColumn("_ok", F.array_max("values") >= F.lit(confidence))
+        scored = cut_lineage(scored.select(key, features, argmax("values").alias(label), "_ok"))
+        n_ok = scored.where("_ok").count()
+        if n_ok == 0:
             break
-        train = cut_lineage(train.unionByName(pseudo))
-        rest = cut_lineage(rest.join(pseudo.select(key), key, "left_anti"))
-        if rest.isEmpty():
+        train = train.unionByName(scored.where("_ok").select(key, features, label, F.lit(r).alias("round")))
+        rest = scored.where(~F.col("_ok")).select(key, features)
+        if n_ok == scored.count():
             model = fit_centroids(train, features, label, n_classes=n_classes, temperature=temperature)
             break
     return train, model
