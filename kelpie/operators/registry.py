@@ -26,9 +26,13 @@ def effective_shape(shape: Column | str, distributed: Column | str) -> Column:
     return F.when(d & (F.size(parts) > 2), F.array_join(F.slice(parts, 1, F.size(parts) - 1), " ")).otherwise(s)
 
 
-def training_case(ds_incremental: Column, distributed: Column, blockchain: Column) -> Column:
-    """Device case 1-5 from the flags (blockchain = non-empty JSON object)."""
-    has_chain = F.coalesce(canonical_json(blockchain) != F.lit("{}"), F.lit(False))
+def has_blockchain(blockchain: Column | str) -> Column:
+    """A model uses the ledger when its blockchain settings are a non-empty JSON object."""
+    return F.coalesce(canonical_json(blockchain) != F.lit("{}"), F.lit(False))
+
+
+def training_case(ds_incremental: Column, distributed: Column, has_chain: Column) -> Column:
+    """Device case 1-5 from the flags (``has_chain`` from :func:`has_blockchain`)."""
     return (F.when(~distributed & ~ds_incremental & ~has_chain, 1)
              .when(~distributed & ~ds_incremental, 5)
              .when(~distributed, 2)
@@ -50,7 +54,7 @@ def match(datasources: DataFrame, models: DataFrame) -> DataFrame:
         F.col("federated_string_id").alias("ds_fed"),
         canonical_json("restrictions").alias("_restr"))
     ms = models.select(
-        "model_id", "min_data", "distributed", "blockchain",
+        "model_id", "min_data", "distributed", has_blockchain("blockchain").alias("_chain"),
         F.col("federated_string_id").alias("m_fed"),
         effective_shape("input_shape", "distributed").alias("_shape"),
         canonical_json("data_restriction").alias("_restr"))
@@ -61,9 +65,9 @@ def match(datasources: DataFrame, models: DataFrame) -> DataFrame:
     ds2 = ds.where(~has_fed).withColumnRenamed("data_reshape", "_shape")
     by_shape = ds2.join(ms, ["_shape", "_restr"]).withColumnRenamed("_shape", "data_reshape").drop("_restr")
     cols = ["ds_id", "model_id", "case", "by_federated_id"]
-    a = by_id.withColumn("case", training_case(F.col("incremental"), F.col("distributed"), F.col("blockchain"))) \
+    a = by_id.withColumn("case", training_case(F.col("incremental"), F.col("distributed"), F.col("_chain"))) \
         .withColumn("by_federated_id", F.lit(True)).select(*cols, "total_msg", "min_data")
-    b = by_shape.withColumn("case", training_case(F.col("incremental"), F.col("distributed"), F.col("blockchain"))) \
+    b = by_shape.withColumn("case", training_case(F.col("incremental"), F.col("distributed"), F.col("_chain"))) \
         .withColumn("by_federated_id", F.lit(False)).select(*cols, "total_msg", "min_data") \
         .where(F.col("case").isin(2, 4) | (F.col("total_msg") >= F.col("min_data")))
     return a.unionByName(b).drop("total_msg", "min_data")

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -319,22 +320,44 @@ def fit(df: DataFrame, spec: ModelSpec, epochs: int = 10, lr: float = 0.5, featu
         init: dict | None = None, seed: int = 0) -> FitResult:
     """Full-batch gradient descent, one distributed pass per epoch.
 
-    ``history`` gets training loss/accuracy per epoch (measured in the same
-    pass that computes the gradient, i.e. before the update) and, with a
-    validation frame, ``val_`` metrics after the update.
+    ``history`` gets training loss/accuracy per epoch (measured in the pass
+    that computes the gradient, i.e. before the update) and, with a
+    validation frame, ``val_`` metrics of the updated parameters.  Training
+    and validation rows share one pass (partial sums keyed by split), so an
+    epoch costs one job; the last validation needs one extra pass.
     """
     t0 = time.time()
     P = init if init is not None else spec.init(feature_dim(df, features), seed)
     hist = []
+    cols = [F.col(features).alias("_f"), F.col(label).alias("_l")] + \
+        ([F.col(weight).alias("_w")] if weight else [])
+    data = df.select(*cols, F.lit("t").alias("_split"))
+    if validation is not None:
+        vcols = [F.col(features).alias("_f"), F.col(label).alias("_l")] + ([F.lit(1.0).alias("_w")] if weight else [])
+        data = data.unionByName(validation.select(*vcols, F.lit("v").alias("_split")))
+    kw = {"features": "_f", "label": "_l", "weight": "_w" if weight else None}
+    # read once per epoch: keep the (small, projected) training rows on the executors
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def val_rows(ep, sums):
+        if validation is not None and "v" in sums:
+            _, vl, vc, vn, vw = sums["v"]
+            return [(ep, "validation", "loss", vl / max(vw, 1e-12)), (ep, "validation", "accuracy", vc / max(vn, 1))]
+        return []
+
     for ep in range(epochs):
-        G, loss, correct, n, wsum = gradient(df, spec, P, features=features, label=label, weight=weight)
-        if n == 0:
+        sums = gradient_by_key(data, spec, P, "_split", **kw)
+        if ep > 0:
+            hist += val_rows(ep - 1, sums)
+        if "t" not in sums:
             break
+        G, loss, correct, n, wsum = sums["t"]
         P = {k: P[k] - lr * G[k] / wsum for k in P}
         hist += [(ep, "training", "loss", loss / wsum), (ep, "training", "accuracy", correct / n)]
-        if validation is not None:
-            m = evaluate_params(validation, spec, P, features=features, label=label)
-            hist += [(ep, "validation", "loss", m["loss"]), (ep, "validation", "accuracy", m["accuracy"])]
+    if validation is not None and epochs > 0:
+        hist += val_rows(epochs - 1, gradient_by_key(data.where(F.col("_split") == "v"), spec, P, "_split", **kw))
+    data.unpersist()
+    hist.sort(key=lambda r: (r[0], r[1] != "training"))
     return FitResult(P, hist, time.time() - t0)
 
 
