@@ -220,13 +220,29 @@ def exit_test_index(exit_idx: int, k: int, n_exits: int) -> int:
 # ------------------------------------------------------------------ A11 ----
 
 def append_history(a: Column | str, b: Column | str) -> Column:
-    """Later fits extend earlier per-epoch metric lists."""
+    """Later fits extend earlier per-epoch metric lists (column form, for lists
+    that are already bounded rows, e.g. one result's epochs)."""
     ca = F.col(a) if isinstance(a, str) else a
     cb = F.col(b) if isinstance(b, str) else b
     empty = F.array().cast("array<double>")
     return F.concat(F.coalesce(ca, empty), F.coalesce(cb, empty))
 
 
+def append_history_long(earlier: DataFrame, later: DataFrame, key: str, order: str,
+                        value: str = "value") -> DataFrame:
+    """A11 in long form: the later fit's epochs continue after the earlier fit's.
+
+    epoch = position inside the fit (blocked) + number of earlier epochs of the
+    key, so no history is gathered into one row however long it is.
+    """
+    from kelpie.operators.sequence import dense_position
+    a = dense_position(earlier.select(key, order, value), key, order, name="epoch", with_total=True)
+    n_a = a.select(key, F.col("epoch_total").alias("_na")).distinct()
+    b = dense_position(later.select(key, order, value), key, order, name="epoch")
+    b = b.join(n_a, key, "left").withColumn("epoch", F.col("epoch") + F.coalesce(F.col("_na"), F.lit(0))).drop("_na")
+    return a.drop("epoch_total").unionByName(b)
+
+
 def merge_partial(row: DataFrame, patch: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Partial update: given patch fields replace the stored ones, the rest stay."""
     p = patch.select(key, *[F.col(c).alias(f"_p_{c}") for c in cols])
@@ -263,11 +279,12 @@ def inference_summary(df: DataFrame, y: str, pred: str, score: str) -> DataFrame
 
 # ------------------------------------------------------------------ A14 ----
 
-def rounds_map(round_metrics: DataFrame, round_col: str = "round", sort_key: str = "account",
-               fields: Sequence[str] = ()) -> DataFrame:
-    """Per round the list of device rows sorted by ``sort_key`` (one row per round)."""
-    item = F.struct(F.col(sort_key), *[F.col(f) for f in fields])
-    return round_metrics.groupBy(round_col).agg(F.sort_array(F.collect_list(item)).alias("devices"))
+def rounds_map(round_metrics: DataFrame, round_col: str = "round", sort_key: str = "account") -> DataFrame:
+    """Per round its device rows in ``sort_key`` order, as (round, index, row) —
+    long form with the device count, so a busy round is not one giant row."""
+    from kelpie.operators.sequence import dense_position
+    return dense_position(round_metrics, round_col, sort_key, name="idx", with_total=True) \
+        .withColumnRenamed("idx_total", "n_devices")
 
 
 # ------------------------------------------------------------------ A15 ----

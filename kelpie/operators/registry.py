@@ -104,16 +104,16 @@ def model_chain(spark: SparkSession, models: DataFrame, roots: DataFrame, key: s
         SELECT root, id AS model_id, depth FROM chain""")
 
 
-def nested_view(parent: DataFrame, child: DataFrame, key: str, child_fields: list[str],
-                sort_key: str, name: str) -> DataFrame:
-    """Parent rows with their children as a sorted list of structs.
-
-    Children are pre-aggregated per key (partial collect per task) and then
-    joined, so the parent side is not shuffled with the child rows.
-    """
-    kids = child.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(sort_key), *[F.col(c) for c in child_fields
-                                                                                            if c != sort_key]))).alias(name))
-    return parent.join(kids, key, "left").withColumn(name, F.coalesce(F.col(name), F.array()))
+def nested_view(parent: DataFrame, child: DataFrame, key: str, sort_key: str) -> DataFrame:
+    """Parent rows with their children in ``sort_key`` order, long form:
+    one row per child with its index and the child count (a parent without
+    children keeps one row with null child columns).  Rendering the nested
+    list is left to the presentation layer, so a parent with millions of
+    children never becomes one row."""
+    from kelpie.operators.sequence import dense_position
+    kids = dense_position(child, key, sort_key, name="child_idx", with_total=True) \
+        .withColumnRenamed("child_idx_total", "n_children")
+    return parent.join(kids, key, "left").withColumn("n_children", F.coalesce(F.col("n_children"), F.lit(0)))
 
 
 def suggest_input(results: DataFrame, inferences: DataFrame, datasources: DataFrame, key: str) -> DataFrame:

@@ -170,19 +170,18 @@ def a11(spark, sf):
 
 
 @register("a11_append_history", """
-SELECT user_id, count(*) FILTER (WHERE event_type IN ('view', 'click')) AS n_epochs,
-       round(sum(value) FILTER (WHERE event_type IN ('view', 'click')), 6) AS total
-FROM events GROUP BY user_id HAVING count(*) FILTER (WHERE event_type IN ('view', 'click')) > 0""")
+WITH v AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS e
+           FROM events WHERE event_type = 'view'),
+c AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS e
+      FROM events WHERE event_type = 'click'),
+n AS (SELECT user_id, count(*) AS na FROM v GROUP BY user_id)
+SELECT user_id, event_id, value, e AS epoch FROM v
+UNION ALL SELECT c.user_id, c.event_id, c.value, c.e + coalesce(n.na, 0) FROM c LEFT JOIN n USING (user_id)""")
 def a11h(spark, sf):
     ev = t(spark, sf, "events")
-    # per-user metric lists of two fits; bounded by epochs per result in real use
-    fits = ev.where(F.col("event_type").isin("view", "click")).groupBy("user_id").agg(
-        F.sort_array(F.collect_list(F.when(F.col("event_type") == "view", F.struct("event_id", "value")))).alias("a"),
-        F.sort_array(F.collect_list(F.when(F.col("event_type") == "click", F.struct("event_id", "value")))).alias("b"))
-    h = fits.select("user_id", M.append_history(F.transform("a", lambda s: s["value"]),
-                                                F.transform("b", lambda s: s["value"])).alias("h"))
-    return h.select("user_id", F.size("h").cast("long").alias("n_epochs"),
-                    F.round(F.aggregate("h", F.lit(0.0), lambda acc, x: acc + x), R).alias("total"))
+    # two fits of each result: the 'view' epochs, then the 'click' epochs continue the lists
+    return M.append_history_long(ev.where(F.col("event_type") == "view"), ev.where(F.col("event_type") == "click"),
+                                 "user_id", "event_id").select("user_id", "event_id", "value", "epoch")
 
 
 _HIST = "CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) < 50 THEN 'val_' || event_type ELSE event_type END"
@@ -218,13 +217,11 @@ def a13(spark, sf):
 
 @register("a14_rounds_map", """
 WITH r AS (SELECT DISTINCT year(o_orderdate) AS round, o_custkey AS account FROM orders)
-SELECT round, count(*) AS n_devices, string_agg(CAST(account AS VARCHAR), ',' ORDER BY account) AS accounts
-FROM r GROUP BY round""")
+SELECT round, account, row_number() OVER (PARTITION BY round ORDER BY account) - 1 AS idx,
+       count(*) OVER (PARTITION BY round) AS n_devices FROM r""")
 def a14(spark, sf):
     o = t(spark, sf, "orders").select(F.year("o_orderdate").alias("round"), F.col("o_custkey").alias("account")).distinct()
-    m = M.rounds_map(o, "round", "account")
-    return m.select("round", F.size("devices").cast("long").alias("n_devices"),
-                    F.array_join(F.transform("devices", lambda d: d["account"].cast("string")), ",").alias("accounts"))
+    return M.rounds_map(o, "round", "account").select("round", "account", "idx", "n_devices")
 
 
 @register("a15_device_totals", """

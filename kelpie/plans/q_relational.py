@@ -129,15 +129,17 @@ def j07(spark, sf):
 
 
 @register("j08_nested_view", """
-SELECT c.c_custkey, c.c_name, count(o.o_orderkey) AS n_deployments,
-       coalesce(string_agg(CAST(o.o_orderkey AS VARCHAR), ',' ORDER BY o.o_orderkey), '') AS deployments
-FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY c.c_custkey, c.c_name""")
+SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_orderstatus,
+       row_number() OVER (PARTITION BY c.c_custkey ORDER BY o.o_orderkey) - 1 AS child_idx,
+       count(o.o_orderkey) OVER (PARTITION BY c.c_custkey) AS n_children
+FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey
+UNION ALL SELECT c_custkey, c_name, NULL, NULL, NULL, 0 FROM customer
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
 def j08(spark, sf):
     cust = t(spark, sf, "customer").select("c_custkey", "c_name")
     o = t(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus")
-    v = J.nested_view(cust, o, "c_custkey", ["o_orderkey", "o_orderstatus"], "o_orderkey", "deployments")
-    return v.select("c_custkey", "c_name", F.size("deployments").cast("long").alias("n_deployments"),
-                    F.array_join(F.transform("deployments", lambda d: d["o_orderkey"].cast("string")), ",").alias("deployments"))
+    v = J.nested_view(cust, o, "c_custkey", "o_orderkey")
+    return v.select("c_custkey", "c_name", "o_orderkey", "o_orderstatus", "child_idx", "n_children")
 
 
 @register("j09_suggest_input", """
