@@ -304,14 +304,16 @@ def _pool_log(spark, sf):
 
 
 @register("s09_online_control", """
-WITH p AS (SELECT count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))
-SELECT 'events:0:0:' || CAST((SELECT count(*) FROM events WHERE user_id % 4 = 0) AS VARCHAR) AS topic,
-       'pool:0:0:' || CAST(n AS VARCHAR) AS unsupervised_topic,
-       (SELECT count(*) FROM events WHERE user_id % 4 = 0) AS total_msg, true AS incremental FROM p""")
+WITH p AS (SELECT count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
+e AS (SELECT CAST(user_id % 4 AS INTEGER) AS partition, count(*) AS n FROM events GROUP BY 1)
+SELECT (SELECT string_agg('events:' || CAST(partition AS VARCHAR) || ':0:' || CAST(n AS VARCHAR), ',' ORDER BY partition)
+        FROM e) AS topic,
+       'pool:0:0:' || CAST(p.n AS VARCHAR) AS unsupervised_topic,
+       (SELECT CAST(sum(n) AS BIGINT) FROM e) AS total_msg, true AS incremental FROM p""")
 def s09(spark, sf):
     log = events_log(spark, sf)
-    r = TP.topic_ranges(log).where(F.col("partition") == 0)
-    c = TP.control_record(r, deployment_id=2, incremental=True, unsupervised=TP.topic_ranges(_pool_log(spark, sf)))
+    c = TP.control_record(TP.topic_ranges(log), deployment_id=2, incremental=True,
+                          unsupervised=TP.topic_ranges(_pool_log(spark, sf)))
     return c.select("topic", "unsupervised_topic", "total_msg", "incremental")
 
 
