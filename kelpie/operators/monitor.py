@@ -101,21 +101,165 @@ _RATCHET_OUT = T.StructType([T.StructField("key", T.StringType()), T.StructField
                              T.StructField("value", T.DoubleType()), T.StructField("reference", T.DoubleType())])
 
 
+def _ratchet_frame(ks, os_, vs, rs) -> pd.DataFrame:
+    return pd.DataFrame({"key": pd.Series(ks, dtype=object), "order": pd.Series(os_, dtype="int64"),
+                         "value": pd.Series(vs, dtype="float64"), "reference": pd.Series(rs, dtype="float64")})
+
+
+def _next_pointers(v: list, d: float) -> list:
+    """nxt[p] = first j > p with v[j] - v[p] >= d (or -1).  Right-to-left scan
+    keeping the prefix-maximum records of the suffix on a stack (values
+    strictly decreasing from bottom to top, positions increasing downwards);
+    the answer is the topmost record meeting the threshold (binary search:
+    ``x - v[p] >= d`` is monotone in x)."""
+    m = len(v)
+    nxt = [-1] * m
+    stack: list[int] = []
+    for p in range(m - 1, -1, -1):
+        lo, hi, vp = 0, len(stack), v[p]
+        while lo < hi:
+            mid = (lo + hi) // 2
+            if v[stack[mid]] - vp >= d:
+                lo = mid + 1
+            else:
+                hi = mid
+        nxt[p] = stack[lo - 1] if lo > 0 else -1
+        while stack and v[stack[-1]] <= vp:
+            stack.pop()
+        stack.append(p)
+    return nxt
+
+
+def _chain_ends(nxt: list) -> list:
+    last = list(range(len(nxt)))
+    for p in range(len(nxt) - 1, -1, -1):
+        if nxt[p] != -1:
+            last[p] = last[nxt[p]]
+    return last
+
+
+def _records(v: list) -> list[int]:
+    """Positions of strict prefix maxima: the only possible first emissions."""
+    out, best = [], None
+    for i, x in enumerate(v):
+        if best is None or x > best:
+            out.append(i)
+            best = x
+    return out
+
+
 def improvements(df: DataFrame, key: str, order: str, value: str, change: str = "up",
-                 d: float = 0.05, partitions: int | None = None) -> DataFrame:
+                 d: float = 0.05, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Improvement ratchet: the first value is the reference; a later value is
     emitted (and becomes the reference) when it differs and moved by at least
     ``d`` in the ``change`` direction.
 
-    An order-dependent fold: rows are hash-partitioned by key and sorted inside
-    the partition; each task streams its Arrow batches carrying only the
-    current (key, reference) — no group is materialised in memory.
+    Exact and parallel even for a key holding a third of the rows:
+    after an emission at p the next one is nxt(p) = first j > p with
+    v_j - v_p >= d, independent of anything before p.  So
+
+    1. per (key, block) — bounded groups — the next pointers and chain ends
+       are computed, and the block is summarised by its prefix-maximum records
+       (the only positions a chain can enter the block at) with the reference
+       each record leaves the block with;
+    2. a streaming pass over those small summaries, sorted by (key, block),
+       carries the reference from block to block (no group is materialised);
+    3. per (key, block) again, the emissions are the chain from the entry
+       record.
+    ``down`` runs the same on negated values.  ``d <= 0`` (where the
+    "differs" test matters) uses the plain sorted fold.
     """
+    if d <= 0:
+        return _improvements_fold(df, key, order, value, change, d)
+    sign = 1.0 if change == "up" else -1.0
+    src = df.select(F.col(key).cast("string").alias("key"), F.col(order).cast("long").alias("order"),
+                    (F.col(value).cast("double") * F.lit(sign)).alias("v"))
+    src = dense_position(src, "key", "order", block=block, name="pos") \
+        .withColumn("blk", F.floor(F.col("pos") / F.lit(block)).cast("long"))
+    src = cut_lineage(src)   # read by phase 1 and phase 3
+
+    summary_schema = "key string, blk long, rec long, rv double, out double"
+
+    def summarise(pdf):
+        pdf = pdf.sort_values("pos")
+        v = pdf["v"].tolist()
+        nxt = _next_pointers(v, d)
+        last = _chain_ends(nxt)
+        recs = _records(v)
+        k, b = pdf["key"].iloc[0], int(pdf["blk"].iloc[0])
+        return pd.DataFrame({"key": [k] * len(recs), "blk": [b] * len(recs), "rec": recs,
+                             "rv": [v[c] for c in recs], "out": [v[last[c]] for c in recs]})
+
+    summ = src.groupBy("key", "blk").applyInPandas(summarise, summary_schema)
+
+    entry_schema = "key string, blk long, r_in double, start long, first_is_ref boolean"
+
+    def carry(batches):
+        cur_key, ref, pend = None, None, None   # pend: records of the current (key, blk)
+
+        def resolve(k, b, recs):
+            nonlocal ref
+            if b == 0:   # the key's first value is the reference, not an emission
+                r_in, start, first = None, 0, True
+                ref = recs[0][2]
+            else:
+                r_in, start, first = ref, -1, False
+                for c, rv, out in recs:          # records ordered by position, values rising
+                    if rv - r_in >= d:
+                        start, ref = c, out
+                        break
+            return (k, b, r_in, start, first)
+
+        for pdf in batches:
+            rows = []
+            for k, b, c, rv, out in zip(pdf["key"].tolist(), pdf["blk"].tolist(), pdf["rec"].tolist(),
+                                        pdf["rv"].tolist(), pdf["out"].tolist()):
+                if pend is not None and (k, b) != pend[0]:
+                    rows.append(resolve(pend[0][0], pend[0][1], pend[1]))
+                    pend = None
+                if k != cur_key:
+                    cur_key, ref = k, None
+                if pend is None:
+                    pend = ((k, b), [])
+                pend[1].append((c, rv, out))
+            if rows:
+                yield pd.DataFrame(rows, columns=["key", "blk", "r_in", "start", "first_is_ref"])
+        if pend is not None:
+            yield pd.DataFrame([resolve(pend[0][0], pend[0][1], pend[1])],
+                               columns=["key", "blk", "r_in", "start", "first_is_ref"])
+
+    entries = summ.repartition("key").sortWithinPartitions("key", "blk", "rec").mapInPandas(carry, entry_schema)
+
+    def emit(pdf):
+        pdf = pdf.sort_values("pos")
+        start = int(pdf["start"].iloc[0])
+        if start < 0:
+            return _ratchet_frame([], [], [], [])
+        v, o = pdf["v"].tolist(), pdf["order"].tolist()
+        nxt = _next_pointers(v, d)
+        ks, os_, vs, rs = [], [], [], []
+        p, ref = start, pdf["r_in"].iloc[0]
+        if bool(pdf["first_is_ref"].iloc[0]):
+            ref, p = v[p], nxt[p]
+        while p != -1:
+            ks.append(pdf["key"].iloc[0])
+            os_.append(o[p])
+            vs.append(v[p] * sign)
+            rs.append(ref * sign)
+            ref, p = v[p], nxt[p]
+        return _ratchet_frame(ks, os_, vs, rs)
+
+    joined = src.join(entries, ["key", "blk"])
+    return joined.groupBy("key", "blk").applyInPandas(emit, _RATCHET_OUT)
+
+
+def _improvements_fold(df: DataFrame, key: str, order: str, value: str, change: str, d: float) -> DataFrame:
+    """Sequential form (used for d <= 0): rows hash-partitioned by key and
+    sorted; each task streams its Arrow batches carrying (key, reference)."""
     up = change == "up"
     src = df.select(F.col(key).cast("string").alias("key"), F.col(order).cast("long").alias("order"),
                     F.col(value).cast("double").alias("value"))
-    src = (src.repartition(partitions, "key") if partitions else src.repartition("key")) \
-        .sortWithinPartitions("key", "order")
+    src = src.repartition("key").sortWithinPartitions("key", "order")
 
     def fold(batches):
         cur_key, ref = None, None
@@ -131,7 +275,7 @@ def improvements(df: DataFrame, key: str, order: str, value: str, change: str =
                     out_v.append(v)
                     out_r.append(ref)
                     ref = v
-            yield pd.DataFrame({"key": out_k, "order": out_o, "value": out_v, "reference": out_r})
+            yield _ratchet_frame(out_k, out_o, out_v, out_r)
 
     return src.mapInPandas(fold, _RATCHET_OUT)
 

@@ -54,3 +54,33 @@ def test_no_single_partition_window_over_rows(spark):
     plan = dense_position(df, "g", "o", block=7)._jdf.queryExecution().executedPlan().toString()
     # the row-level window is partitioned by (group, block)
     assert "_kp_blk" in plan
+
+
+def _ratchet_brute(pdf, change, d):
+    out = []
+    for k, g in pdf.sort_values(["g", "o"]).groupby("g"):
+        ref = None
+        for o, v in zip(g["o"], g["v"]):
+            if ref is None:
+                ref = v
+                continue
+            if v != ref and ((change == "up" and v - ref >= d) or (change == "down" and ref - v >= d)):
+                out.append((str(k), int(o), float(v), float(ref)))
+                ref = v
+    return sorted(out)
+
+
+def test_ratchet_parallel_matches_brute_force(spark):
+    import pandas as pd
+    from kelpie.operators.monitor import improvements
+    rng = np.random.default_rng(5)
+    n = 400
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, n), "o": rng.permutation(n) * 2,
+                        "v": np.round(np.cumsum(rng.normal(0.2, 1.0, n)), 2)})
+    pdf.loc[: n // 2, "g"] = 0
+    df = spark.createDataFrame(pdf)
+    for change in ("up", "down"):
+        for d in (0.5, 2.0, 0.0):
+            got = sorted(tuple(r) for r in improvements(df, "g", "o", "v", change, d, block=16)
+                         .select("key", "order", "value", "reference").collect())
+            assert got == _ratchet_brute(pdf, change, d), (change, d)
