@@ -89,12 +89,18 @@ def s21(spark, sf):
     return parsed.select("vec_id", F.size("v").alias("n_values"), argmax("v").alias("pred"))
 
 
-@register("s22_export_run")
+def _a12_sql():
+    from kelpie.plans.q_metrics import ORACLE_A12
+    return ORACLE_A12
+
+
+@register("s22_export_run", _a12_sql())
 def s22(spark, sf):
     from kelpie.plans.q_metrics import a12
     path = scratch_path(spark, f"exports/run-{uuid.uuid4().hex}")
     FS.export_run(a12(spark, sf), path)
-    return spark.read.json(path)
+    back = spark.read.schema("result long, metric string, series string, epoch int, value double").json(path)
+    return back
 
 
 @register("s15_model_sources", """

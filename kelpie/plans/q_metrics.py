@@ -187,13 +187,16 @@ def a11h(spark, sf):
 _HIST = "CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) < 50 THEN 'val_' || event_type ELSE event_type END"
 
 
-@register("a12_chart_series", f"""
+ORACLE_A12 = f"""
 WITH h AS (SELECT user_id AS result, {_HIST} AS metric, event_id, value FROM events),
 e AS (SELECT result, metric, row_number() OVER (PARTITION BY result, metric ORDER BY event_id) - 1 AS epoch, value FROM h),
 s AS (SELECT result, CASE WHEN metric LIKE 'val\\_%' ESCAPE '\\' THEN substr(metric, 5) ELSE metric END AS metric,
              CASE WHEN metric LIKE 'val\\_%' ESCAPE '\\' THEN 'val' ELSE 'train' END AS series,
              CAST(epoch + 1 AS INTEGER) AS epoch, value FROM e)
-SELECT * FROM s WHERE (result, metric) IN (SELECT result, metric FROM s WHERE series = 'train')""")
+SELECT * FROM s WHERE (result, metric) IN (SELECT result, metric FROM s WHERE series = 'train')"""
+
+
+@register("a12_chart_series", ORACLE_A12)
 def a12(spark, sf):
     ev = t(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("int")
