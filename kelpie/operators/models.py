@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 # cross-entropy, as the training framework does.
 EPS = 1e-7
 
+# Heads with more weights than this score through an Arrow UDF.
+LITERAL_LIMIT = 4096
+
 
 def _lit_array(v) -> Column:
     return F.array(*[F.lit(float(x)) for x in np.asarray(v, dtype=np.float64).ravel()])
@@ -54,7 +57,11 @@ class LinearModel:
 
     def apply(self, df: DataFrame, x: str, out: str = "values") -> DataFrame:
         """Score a frame: logits, then the activation on that array column
-        (separate projections keep the logits from being recomputed)."""
+        (separate projections keep the logits from being recomputed).  Heads
+        larger than ``LITERAL_LIMIT`` weights score through an Arrow UDF with
+        broadcast parameters instead of a giant constant expression."""
+        if self.W.size > LITERAL_LIMIT:
+            return self._apply_arrow(df, x, out)
         d = df.withColumn("_z", self.logits(F.col(x)))
         if self.activation == "linear":
             return d.withColumnRenamed("_z", out)
@@ -74,6 +81,23 @@ class LinearModel:
         e = F.transform(z, lambda v: F.exp(v - F.array_max(z)))
         return F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda acc, y: acc + y))
 
+    def _apply_arrow(self, df: DataFrame, x: str, out: str) -> DataFrame:
+        import pyarrow as pa
+        from pyspark.sql import types as T
+        bc = df.sparkSession.sparkContext.broadcast(self)
+
+        @F.arrow_udf(T.ArrayType(T.DoubleType()))
+        def pred(col: pa.Array) -> pa.Array:
+            n = len(col)
+            offs = np.asarray(col.offsets)
+            dim = int(offs[1] - offs[0]) if n else 0
+            X = col.values.slice(int(offs[0]), int(offs[-1] - offs[0])).to_numpy(zero_copy_only=False)
+            V = bc.value.predict_np(X.astype(np.float64).reshape(n, dim)) if n else np.zeros((0, 1))
+            k = V.shape[1]
+            return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), pa.array(V.ravel()))
+
+        return df.withColumn(out, pred(F.col(x)))
+
     # NumPy twin (used inside Arrow UDFs and by the driver-side optimiser)
     def predict_np(self, X: np.ndarray) -> np.ndarray:
         z = (X @ self.W.T + self.b) * self.temperature
@@ -89,23 +113,51 @@ class LinearModel:
 def fit_centroids(df: DataFrame, features: str = "features", label: str = "label",
                   n_classes: int | None = None, temperature: float = 10.0,
                   weight: str | None = None) -> LinearModel:
-    """Nearest-centroid learner: W[k] = mean feature vector of class k.
+    """Nearest-centroid learner: W[k] = (weighted) mean feature vector of class k.
 
-    One distributed aggregation (partial sums per task, then k × d rows); the
-    driver receives only the k × d parameter table.
+    Each task folds its Arrow batches into per-class (sum vector, weight)
+    partials; ``reduceByKey`` combines them map-side, and the driver receives
+    only the k x d parameter table.
     """
+    import pyarrow as pa
+
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    ex = df.where(F.col(label).isNotNull()).select(
-        F.col(label).cast("int").alias("k"), w.alias("w"), F.posexplode(features).alias("i", "x"))
-    cent = ex.groupBy("k", "i").agg((F.sum(F.col("x").cast("double") * F.col("w")) / F.sum("w")).alias("c"))
-    rows = cent.collect()  # k × d parameters
-    if not rows:
+    src = df.where(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("k"), w.alias("w"),
+                                                    F.col(features).alias("x"))
+
+    def fold(batches):
+        acc: dict[int, list] = {}
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            x = b.column(2)
+            offs = np.asarray(x.offsets)
+            dim = int(offs[1] - offs[0])
+            X = x.values.slice(int(offs[0]), int(offs[-1] - offs[0])).to_numpy(zero_copy_only=False)
+            X = X.astype(np.float64).reshape(b.num_rows, dim)
+            k = b.column(0).to_numpy(zero_copy_only=False)
+            wt = b.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
+            for c in np.unique(k):
+                sel = k == c
+                a = acc.setdefault(int(c), [np.zeros(dim), 0.0])
+                a[0] += (X[sel] * wt[sel][:, None]).sum(axis=0)
+                a[1] += float(wt[sel].sum())
+        if acc:
+            ks = sorted(acc)
+            yield pa.RecordBatch.from_pydict(
+                {"k": ks, "s": [acc[c][0].tolist() for c in ks], "w": [acc[c][1] for c in ks]},
+                schema=pa.schema([("k", pa.int32()), ("s", pa.list_(pa.float64())), ("w", pa.float64())]))
+
+    parts = src.mapInArrow(fold, "k int, s array<double>, w double").rdd \
+        .map(lambda r: (r["k"], (np.asarray(r["s"]), r["w"])))
+    sums = parts.reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1])).collect()   # k rows
+    if not sums:
         raise ValueError("no labelled rows to fit")
-    ks = sorted({r["k"] for r in rows})
-    d = max(r["i"] for r in rows) + 1
+    ks = sorted(c for c, _ in sums)
+    d = len(sums[0][1][0])
     K = (max(ks) + 1) if n_classes is None else n_classes
     W = np.zeros((K, d))
-    for r in rows:
-        W[r["k"], r["i"]] = r["c"]
+    for c, (vec, wt) in sums:
+        W[c] = vec / wt
     return LinearModel(W=W, b=np.zeros(K), activation="softmax", temperature=temperature,
                        meta={"kind": "centroid", "classes": ks})

@@ -48,3 +48,19 @@ def test_gradient_matches_local_numpy(spark):
     G, loss, _, n, _ = TR.gradient(df, spec, P)
     loss2, G2, _ = spec.loss_grad(P, X, y.astype(float), np.ones(40))
     assert n == 40 and np.allclose(G["W"], G2["W"]) and abs(loss - loss2) < 1e-9
+
+
+def test_large_head_scores_like_small(spark):
+    from kelpie.operators import models as MD
+    rng = np.random.default_rng(2)
+    W = rng.normal(size=(3, 5))
+    m = MD.LinearModel(W=W, b=np.zeros(3), temperature=2.0)
+    df = spark.createDataFrame([(i, rng.normal(size=5).tolist()) for i in range(20)], "id int, x array<double>")
+    a = {r["id"]: r["values"] for r in m.apply(df, "x").collect()}
+    old = MD.LITERAL_LIMIT
+    MD.LITERAL_LIMIT = 1
+    try:
+        b = {r["id"]: r["values"] for r in m.apply(df, "x").collect()}
+    finally:
+        MD.LITERAL_LIMIT = old
+    assert all(np.allclose(a[i], b[i]) for i in a)
