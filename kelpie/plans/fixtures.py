@@ -50,6 +50,18 @@ def events_log(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFram
                      sample_id_header("event_id", user_id="user_id").alias("headers"))
 
 
+def published_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events topic written once to the shared folder (``topic/partition``
+    folders) and read back: later reads prune partitions and push offsets."""
+    import uuid
+
+    from kelpie.session import scratch_path
+    from kelpie.sources.topics import read_topic, write_topic
+    path = scratch_path(spark, f"topics/events-{uuid.uuid4().hex}")
+    write_topic(events_log(spark, sf_dir), path)
+    return read_topic(spark, path)
+
+
 def embeddings_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``embeddings`` published as RAW records (S03 + S01): value = float32 bytes of
     the 64-vector, key = int32 bytes of the label, header sample_id = vec_id."""

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from kelpie.functions import codecs as C
 from kelpie.functions import features as X
-from kelpie.plans.fixtures import embeddings_log, events_log, header_value, t
+from kelpie.plans.fixtures import embeddings_log, events_log, header_value, published_events, t
 from kelpie.plans.registry import register
 from kelpie.sources import topics as TP
 
@@ -263,7 +263,7 @@ e AS (SELECT partition, count(*) AS "end", count(*) FILTER (WHERE us < (SELECT C
 SELECT 'events' AS topic, partition, prev AS start, "end", "end" - prev AS n FROM e""")
 def s06(spark, sf):
     from kelpie.plans.q_relational import _midpoint_snapshot
-    log = events_log(spark, sf)
+    log = published_events(spark, sf)
     return TP.topic_ranges(log, since=_midpoint_snapshot(spark, sf, log))
 
 
@@ -272,7 +272,7 @@ SELECT string_agg('events:' || CAST(partition AS VARCHAR) || ':' || CAST(prev AS
                   ORDER BY partition) AS ranges FROM e""")
 def s07(spark, sf):
     from kelpie.plans.q_relational import _midpoint_snapshot
-    log = events_log(spark, sf)
+    log = published_events(spark, sf)
     return TP.ranges_to_string(TP.topic_ranges(log, since=_midpoint_snapshot(spark, sf, log)))
 
 
@@ -355,7 +355,7 @@ def s10(spark, sf):
 @register("s12_read_range", f"""
 SELECT event_id FROM (SELECT event_id, user_id, {_DENSE} AS o FROM events) WHERE user_id % 4 = 2 AND o >= 100 AND o < 300""")
 def s12(spark, sf):
-    r = TP.read_range(events_log(spark, sf), "events", 2, 100, 300)
+    r = TP.read_range(published_events(spark, sf), "events", 2, 100, 300)
     return r.select(header_value("sample_id").cast("long").alias("event_id"))
 
 

@@ -9,7 +9,7 @@ from kelpie.functions.codecs import key_to_int
 from kelpie.operators import monitor as W
 from kelpie.operators import quality as Q
 from kelpie.operators import registry as J
-from kelpie.plans.fixtures import events_log, header_value, t
+from kelpie.plans.fixtures import events_log, header_value, published_events, t
 from kelpie.plans.registry import register
 from kelpie.sources.topics import (control_record, control_records, control_to_log, datasources_from_log,
                                    topic_ranges)
@@ -211,7 +211,7 @@ WITH m AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) / 2 AS mid FROM events
 SELECT CAST(user_id % 4 AS INTEGER) AS partition, count(*) AS n, min(event_id) AS first_event, max(event_id) AS last_event
 FROM events, m WHERE epoch_us(ts) >= CAST(m.mid AS BIGINT) GROUP BY 1""")
 def j14(spark, sf):
-    log = events_log(spark, sf)
+    log = published_events(spark, sf)
     ranges = topic_ranges(log, since=_midpoint_snapshot(spark, sf, log))
     rec = control_records(ranges.select("topic", "partition", "start", "end"), log)
     eid = header_value("sample_id").cast("long")

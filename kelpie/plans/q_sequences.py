@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from kelpie.operators import monitor as W
 from kelpie.operators import splits as L
-from kelpie.plans.fixtures import events_log, header_value, t
+from kelpie.plans.fixtures import header_value, published_events, t
 from kelpie.plans.registry import register
 
 
 def _positions(spark, sf):
     """events read as one topic slice: position = partition prefix + offset."""
-    log = events_log(spark, sf)
+    log = published_events(spark, sf)
     return L.log_position(log).select(header_value("sample_id").cast("long").alias("event_id"), "pos")
 
 
