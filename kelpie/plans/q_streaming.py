@@ -156,3 +156,64 @@ def t07(spark, sf):
         return spark.read.parquet(out).select("id", "label", "batch_id")
     except Exception:  # noqa: BLE001  (no confident row in any batch)
         return spark.createDataFrame([], "id long, label int, batch_id long")
+
+
+# ----------------------------------------------------- stateful streams ----
+
+def _ordered_event_files(spark, sf, chunks=4):
+    """events as ``chunks`` files appended one after the other in event order
+    (one file = one micro-batch), so the stream sees the rows in order."""
+    from kelpie.operators.splits import permutation_rank  # noqa: F401  (keeps import graph flat)
+    ev = t(spark, sf, "events")
+    path = _scratch(spark, "events-ordered")
+    bounds = ev.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    lo, hi = int(bounds["lo"]), int(bounds["hi"])
+    step = (hi - lo) // chunks + 1
+    for c in range(chunks):
+        ev.where((F.col("event_id") >= lo + c * step) & (F.col("event_id") < lo + (c + 1) * step)) \
+            .coalesce(1).write.mode("append").parquet(path)
+    return path, ev.schema
+
+
+def _events_stream(spark, sf):
+    path, schema = _ordered_event_files(spark, sf)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@register("w05_improvements_stream", """
+WITH RECURSIVE s AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+r AS (SELECT user_id, rn, value AS ref, false AS emit, value, event_id, CAST(NULL AS DOUBLE) AS prevref FROM s WHERE rn = 1
+      UNION ALL
+      SELECT s.user_id, s.rn,
+             CASE WHEN s.value <> r.ref AND s.value - r.ref >= 5.0 THEN s.value ELSE r.ref END,
+             (s.value <> r.ref AND s.value - r.ref >= 5.0), s.value, s.event_id, r.ref
+      FROM r JOIN s ON s.user_id = r.user_id AND s.rn = r.rn + 1)
+SELECT CAST(user_id AS VARCHAR) AS key, event_id AS "order", value, prevref AS reference FROM r WHERE emit""")
+def w05s(spark, sf):
+    from kelpie.streaming.stateful import ratchet_stream
+    out, ck = _scratch(spark, "w05s-out"), _scratch(spark, "w05s-ck")
+    ratchet_stream(_events_stream(spark, sf), "user_id", "event_id", "value", out, ck, change="up", d=5.0)
+    return spark.read.parquet(out).select("key", "order", "value", "reference")
+
+
+@register("w03_leader_changes_stream", "SELECT CAST(user_id AS VARCHAR) AS user, event_id AS \"order\", leader, emit FROM ("
+          + __import__("kelpie.plans.q_sequences", fromlist=["_leader_sql"])._leader_sql() + ")")
+def w03s(spark, sf):
+    from kelpie.plans.q_sequences import _CLASSES
+    from kelpie.streaming.stateful import leader_stream
+    out, ck = _scratch(spark, "w03s-out"), _scratch(spark, "w03s-ck")
+    leader_stream(_events_stream(spark, sf), "user_id", "event_type", "event_id", _CLASSES, out, ck, window=10)
+    return spark.read.parquet(out).select("user", "order", "leader", "emit")
+
+
+@register("g07_assign_round_stream", """
+WITH f AS (SELECT event_id, user_id % 5 AS federation, row_number() OVER (PARTITION BY user_id % 5 ORDER BY event_id) AS fifo,
+                  count(*) OVER (PARTITION BY user_id % 5) AS n FROM events)
+SELECT CAST(federation AS VARCHAR) AS federation, event_id AS update_id, CAST(floor((fifo - 1) / 3) AS BIGINT) AS round
+FROM f WHERE fifo <= floor(n / 3) * 3""")
+def g07s(spark, sf):
+    from kelpie.streaming.stateful import round_gate_stream
+    out, ck = _scratch(spark, "g07s-out"), _scratch(spark, "g07s-ck")
+    s = _events_stream(spark, sf).withColumn("federation", F.col("user_id") % 5)
+    round_gate_stream(s, "federation", "event_id", 3, out, ck)
+    return spark.read.parquet(out).select("federation", "update_id", "round")
