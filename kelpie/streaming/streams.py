@@ -125,23 +125,30 @@ def on_control(control_stream: DataFrame, log: DataFrame, path: str, checkpoint:
 # ------------------------------------------------------------------ R06 ----
 
 def latest_control(control_stream: DataFrame, key: str, order: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Skip to the newest control record per key: each micro-batch keeps only its
-    newest row per key, and a row is handled only when it is newer than the
-    last handled version (kept in the sink table, so restarts keep it)."""
-    spark = control_stream.sparkSession
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.col(order)).alias("r")).select("r.*")
-        try:
-            done = spark.read.parquet(path).where(F.col("batch_id") < batch_id) \
-                .groupBy(key).agg(F.max(order).alias("_done"))
-            newest = newest.join(done, key, "left").where(F.col("_done").isNull() | (F.col(order) > F.col("_done"))) \
-                .drop("_done")
-        except Exception:  # noqa: BLE001  (first batch: no table yet)
-            pass
-        idempotent_append(newest, batch_id, path)
-
-    q = foreach_microbatch(control_stream, handle, checkpoint)
+    """Skip to the newest control record per key: per micro-batch only the
+    newest row of a key is handled, and only when it is newer than the last
+    handled version, which lives in the state store (restarts keep it)."""
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    cols = control_stream.columns
+    schema = control_stream.schema
+
+    def fn(k, pdfs, state):
+        pdf = pd.concat(list(pdfs))
+        top = pdf.loc[[pdf[order].idxmax()]]
+        done = state.get[0] if state.exists else None
+        newest = top[order].iloc[0]
+        if done is None or newest > done:
+            state.update((int(newest),))
+            yield top[cols]
+        else:
+            yield top[cols].iloc[0:0]
+
+    out = control_stream.groupBy(key).applyInPandasWithState(
+        fn, schema, f"done {schema[order].dataType.simpleString()}", "append", GroupStateTimeout.NoTimeout)
+    q = (out.writeStream.outputMode("append").foreachBatch(lambda b, i: idempotent_append(b, i, path))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
