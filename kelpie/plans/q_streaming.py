@@ -127,9 +127,14 @@ def r06(spark, sf):
 
 
 def _embedding_files(spark, sf, parts=2):
+    """embeddings as ``parts`` files appended in id order (one file = one micro-batch)."""
     em = t(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"), "label")
     path = _scratch(spark, "emb-src")
-    em.repartitionByRange(parts, "id").write.parquet(path)
+    b = em.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+    lo, step = int(b["lo"]), (int(b["hi"]) - int(b["lo"])) // parts + 1
+    for c in range(parts):
+        em.where((F.col("id") >= lo + c * step) & (F.col("id") < lo + (c + 1) * step)) \
+            .coalesce(1).write.mode("append").parquet(path)
     return path, em.schema
 
 
