@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelpie.operators.models import EPS, LinearModel, fit_centroids
+from kelpie.operators.models import EPS, fit_centroids
 from kelpie.session import cut_lineage
 
 # ------------------------------------------------------------- model specs ----

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kelpie.functions.codecs import key_to_int
 from kelpie.operators import monitor as W
 from kelpie.operators import quality as Q
 from kelpie.operators import registry as J

@@ -13,7 +13,6 @@ from kelpie.functions.codecs import decode_json
 from kelpie.plans.fixtures import events_log, header_value, t
 from kelpie.plans.registry import register
 from kelpie.session import scratch_path
-from kelpie.sources.topics import TOPIC_SCHEMA, read_topic
 from kelpie.streaming import streams as ST
 
 
@@ -168,7 +167,6 @@ def t07(spark, sf):
 def _ordered_event_files(spark, sf, chunks=4):
     """events as ``chunks`` files appended one after the other in event order
     (one file = one micro-batch), so the stream sees the rows in order."""
-    from kelpie.operators.splits import permutation_rank  # noqa: F401  (keeps import graph flat)
     ev = t(spark, sf, "events")
     path = _scratch(spark, "events-ordered")
     bounds = ev.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
