@@ -75,3 +75,12 @@ def test_json_dead_letter(spark):
     out = C.decode_json(df, T.StructType([T.StructField("k", T.IntegerType())])).collect()
     assert out[0]["decoded"]["k"] == 1 and out[0]["decode_error"] is None
     assert out[1]["decode_error"] == "malformed json"
+
+
+def test_connectors_fall_back_without_packages(spark):
+    from kelpie.sources import connectors as K
+    sch = "{'type': 'record', 'name': 'r', 'fields': [{'name': 'a', 'type': 'double'}]}"
+    df = spark.createDataFrame([(2.5,)], "a double")
+    enc = df.withColumn("value", K.encode_avro_col(spark, ["a"], sch))
+    assert enc.select(K.decode_avro_col(spark, "value", sch).alias("f")).first()["f"] == [2.5]
+    assert K.offsets_json("t", {0: 5, 1: 7}) == '{"t": {"0": 5, "1": 7}}'
