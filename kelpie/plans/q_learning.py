@@ -100,8 +100,7 @@ _LABELLED = "md5('self:' || CAST(vec_id AS STRING)) < '3'"
 
 
 def _self_sql():
-    parts = [f"""WITH RECURSIVE_NOT_USED AS (SELECT 1),
-e0 AS (SELECT vec_id, label, embedding FROM embeddings),
+    parts = [f"""WITH e0 AS (SELECT vec_id, label, embedding FROM embeddings),
 t0 AS (SELECT vec_id, label, 0 AS round FROM e0 WHERE {_LABELLED}),
 p0 AS (SELECT vec_id FROM e0 WHERE NOT ({_LABELLED})),
 x AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM e0)"""]
@@ -118,7 +117,7 @@ p{r} AS (SELECT vec_id FROM p{r-1} WHERE vec_id NOT IN (SELECT vec_id FROM n{r})
     return ",\n".join(parts) + f"\nSELECT vec_id, CAST(label AS INTEGER) AS label, CAST(round AS INTEGER) AS round FROM t{SELF_ROUNDS}"
 
 
-@register("t06_self_train", _self_sql().replace("WITH RECURSIVE_NOT_USED AS (SELECT 1),\n", "WITH "))
+@register("t06_self_train", _self_sql())
 def t06(spark, sf):
     s = _samples(spark, sf)
     lab = s.where(F.expr(_LABELLED))

@@ -23,13 +23,24 @@ DEFAULT_CONF = {
 }
 
 
+def _default_driver_memory() -> str:
+    """Local mode runs everything in the driver JVM: give it about half the RAM
+    (at most 16 GB, at least 2 GB)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    gb = max(2, min(16, int(total / 2 ** 30 * 0.5)))
+    return f"{gb}g"
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "kelpie", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench; a cluster passes its own conf."""
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("KELPIE_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("KELPIE_DRIVER_MEMORY", _default_driver_memory())
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
