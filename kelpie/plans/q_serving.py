@@ -18,7 +18,7 @@ from kelpie.sources.topics import (control_record, control_records, read_topic,
 
 INPUT_CONFIG = {"data_type": "float32", "label_type": "int32", "data_reshape": "64", "label_reshape": ""}
 
-LIMIT = 0.5
+LIMIT = 0.14   # near the median confidence of this data: both tiers get rows
 TEMPERATURE = 10.0
 
 # DuckDB: nearest-centroid softmax scores over the raw embeddings.
@@ -58,9 +58,9 @@ def published_scores(spark, sf_dir):
     return score(dec, model)
 
 
-@register("t10_score", _CENTROID_SCORES + """
+@register("t10_score", _CENTROID_SCORES + f"""
 SELECT vec_id, label, pred, round(conf, 6) AS conf,
-       CASE WHEN conf >= 0.5 THEN 'final' ELSE 'upper' END AS tier
+       CASE WHEN conf >= {LIMIT} THEN 'final' ELSE 'upper' END AS tier
 FROM scored""")
 def t10_score(spark, sf_dir):
     s = with_tier(published_scores(spark, sf_dir), LIMIT)
@@ -68,8 +68,8 @@ def t10_score(spark, sf_dir):
                     F.round(F.array_max("values"), 6).alias("conf"), "tier")
 
 
-@register("t11_route", _CENTROID_SCORES + """
-SELECT CASE WHEN conf >= 0.5 THEN 'final' ELSE 'upper' END AS tier, count(*) AS n,
+@register("t11_route", _CENTROID_SCORES + f"""
+SELECT CASE WHEN conf >= {LIMIT} THEN 'final' ELSE 'upper' END AS tier, count(*) AS n,
        CAST(sum(CASE WHEN pred = label THEN 1 ELSE 0 END) AS BIGINT) AS correct
 FROM scored GROUP BY 1""")
 def t11_route(spark, sf_dir):

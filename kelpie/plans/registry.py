@@ -18,10 +18,11 @@ def prepare(spark: SparkSession) -> None:
     """Session facts every query relies on: UTC session time (the tables hold
     zone-less timestamps) and a checkpoint folder (the cluster's shared one,
     or a private one when unset, as in tests)."""
-    from kelpie.session import ensure_checkpoint_dir
+    from kelpie.session import ensure_checkpoint_dir, ship_package
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
 
 
 def register(name: str, sql: str | None = None):
