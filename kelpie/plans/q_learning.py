@@ -35,6 +35,61 @@ def _params_frame(spark, P: dict, extra: dict | None = None):
     return spark.createDataFrame(rows, cols + "param string, k int, j int, value double")
 
 
+def _gd_sql(epochs: int, lr: float, train_where: str, val_where: str | None, result: str) -> str:
+    """Full-batch gradient descent of softmax regression from zero weights,
+    unrolled epoch by epoch in SQL (the oracle of the distributed trainer)."""
+    ctes = [f"""ranked AS (SELECT vec_id, label, embedding,
+        row_number() OVER (ORDER BY md5('1:' || CAST(vec_id AS VARCHAR)), vec_id) - 1 AS rank,
+        count(*) OVER () AS n FROM embeddings)""",
+            f"tr AS (SELECT vec_id, label, embedding FROM ranked WHERE {train_where})",
+            "x AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j, "
+            "CAST(unnest(embedding) AS DOUBLE) AS x FROM tr)",
+            "ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(10))",
+            "w0 AS (SELECT ks.k, x.j, 0.0::DOUBLE AS w FROM ks, (SELECT DISTINCT j FROM x) x)",
+            "b0 AS (SELECT k, 0.0::DOUBLE AS b FROM ks)",
+            "ntr AS (SELECT count(*) AS n FROM tr)"]
+    if val_where:
+        ctes += [f"va AS (SELECT vec_id, label, embedding FROM ranked WHERE {val_where})",
+                 "xv AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j, "
+                 "CAST(unnest(embedding) AS DOUBLE) AS x FROM va)"]
+
+    def scored(t: str, xs: str, rows: str, w: str, b: str) -> list[str]:
+        return [f"z{t} AS (SELECT x.vec_id, w.k, sum(x.x * w.w) + any_value(b.b) AS z FROM {xs} x "
+                f"JOIN {w} w ON w.j = x.j JOIN {b} b ON b.k = w.k GROUP BY x.vec_id, w.k)",
+                f"e{t} AS (SELECT vec_id, k, exp(z - max(z) OVER (PARTITION BY vec_id)) AS ez FROM z{t})",
+                f"p{t} AS (SELECT vec_id, k, ez / sum(ez) OVER (PARTITION BY vec_id) AS p FROM e{t})",
+                f"m{t} AS (SELECT p.vec_id, avg(-ln(greatest(p.p, 1e-7))) FILTER (WHERE p.k = r.label) AS loss, "
+                f"max(CASE WHEN p.k = r.label THEN 1 ELSE 0 END) FILTER (WHERE p.p = mx.mp) AS hit0, "
+                f"min(p.k) FILTER (WHERE p.p = mx.mp) AS top FROM p{t} p JOIN {rows} r ON r.vec_id = p.vec_id "
+                f"JOIN (SELECT vec_id, max(p) AS mp FROM p{t} GROUP BY vec_id) mx ON mx.vec_id = p.vec_id "
+                f"GROUP BY p.vec_id)",
+                f"s{t} AS (SELECT avg(m.loss) AS loss, avg(CASE WHEN m.top = r.label THEN 1.0 ELSE 0.0 END) AS acc "
+                f"FROM m{t} m JOIN {rows} r ON r.vec_id = m.vec_id)"]
+
+    hist = []
+    for t in range(epochs):
+        ctes += scored(f"t{t}", "x", "tr", f"w{t}", f"b{t}")
+        ctes += [f"""gw{t} AS (SELECT w.k, x.j, sum((p.p - CASE WHEN r.label = p.k THEN 1 ELSE 0 END) * x.x) AS g
+                 FROM pt{t} p JOIN tr r ON r.vec_id = p.vec_id JOIN x ON x.vec_id = p.vec_id
+                 JOIN w{t} w ON w.k = p.k AND w.j = x.j GROUP BY w.k, x.j)""",
+                 f"""gb{t} AS (SELECT p.k, sum(p.p - CASE WHEN r.label = p.k THEN 1 ELSE 0 END) AS g
+                 FROM pt{t} p JOIN tr r ON r.vec_id = p.vec_id GROUP BY p.k)""",
+                 f"w{t + 1} AS (SELECT w.k, w.j, w.w - {lr} * g.g / ntr.n AS w FROM w{t} w JOIN gw{t} g USING (k, j), ntr)",
+                 f"b{t + 1} AS (SELECT b.k, b.b - {lr} * g.g / ntr.n AS b FROM b{t} b JOIN gb{t} g USING (k), ntr)"]
+        hist += [f"SELECT {t} AS epoch, 'training' AS split, 'loss' AS metric, loss AS value FROM st{t}",
+                 f"SELECT {t}, 'training', 'accuracy', acc FROM st{t}"]
+        if val_where:
+            ctes += scored(f"v{t}", "xv", "va", f"w{t + 1}", f"b{t + 1}")
+            hist += [f"SELECT {t}, 'validation', 'loss', loss FROM sv{t}",
+                     f"SELECT {t}, 'validation', 'accuracy', acc FROM sv{t}"]
+    return ("WITH " + ",\n".join(ctes) + f",\nh AS ({' UNION ALL '.join(hist)})\n"
+            f"SELECT '{result}' AS result, CAST(epoch AS INTEGER) AS epoch, split, metric, round(value, 6) AS value FROM h")
+
+
+_TRAIN_SPLIT = "rank < floor((1 - (0.2::DOUBLE + 0.0::DOUBLE)) * n) + (n - (floor((1 - (0.2::DOUBLE + 0.0::DOUBLE)) * n) + floor(0.2::DOUBLE * n)))"
+_VAL_SPLIT = "NOT (" + _TRAIN_SPLIT + ")"
+
+
 _STEP_SQL = """WITH e AS (SELECT vec_id, label, {w} AS w, unnest(embedding) AS x, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j
            FROM embeddings),
 ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(10)),
@@ -61,12 +116,17 @@ def t09(spark, sf):
     return _params_frame(spark, P)
 
 
-@register("t01_fit")
+def _rounded_history(spark, res, name):
+    h = TR.history_frame(spark, res, name)
+    return h.withColumn("value", F.round("value", 6))
+
+
+@register("t01_fit", _gd_sql(10, LR, _TRAIN_SPLIT, _VAL_SPLIT, "softmax"))
 def t01f(spark, sf):
     s = L.split_random(_samples(spark, sf), "vec_id", 0.2, 0.0, seed=1)
     res = TR.fit(s.where("split = 'train'"), TR.SoftmaxRegression(k=K), epochs=10, lr=LR,
                  validation=s.where("split = 'validation'"))
-    return TR.history_frame(spark, res, "softmax")
+    return _rounded_history(spark, res, "softmax")
 
 
 @register("t02_fit_many")
@@ -89,10 +149,10 @@ def t03(spark, sf):
     return confusion_matrix(s, "label", "pred")
 
 
-@register("t04_history")
+@register("t04_history", _gd_sql(3, LR, "true", None, "t04"))
 def t04(spark, sf):
     res = TR.fit(_samples(spark, sf), TR.SoftmaxRegression(k=K), epochs=3, lr=LR)
-    return TR.history_frame(spark, res, "t04")
+    return _rounded_history(spark, res, "t04")
 
 
 SELF_T, SELF_CONF, SELF_ROUNDS = 30.0, 0.6, 5
