@@ -90,6 +90,50 @@ _TRAIN_SPLIT = "rank < floor((1 - (0.2::DOUBLE + 0.0::DOUBLE)) * n) + (n - (floo
 _VAL_SPLIT = "NOT (" + _TRAIN_SPLIT + ")"
 
 
+def _fed_sql(rounds: int, chunks: int, lr: float) -> str:
+    """Chunked federated rounds unrolled in SQL: round r, every device takes one
+    full-batch step on its rows of chunk r from the global weights, then the
+    global becomes the mean of itself and the device results (FedAvg)."""
+    ctes = ["""ranked AS (SELECT vec_id, label, embedding, vec_id % 3 AS device,
+        row_number() OVER (ORDER BY md5('11:' || CAST(vec_id AS VARCHAR)), vec_id) - 1 AS rank,
+        count(*) OVER () AS n FROM embeddings)""",
+            f"ch AS (SELECT *, CAST(least(floor(rank / floor(n / {chunks})), {chunks - 1}) AS INTEGER) AS rnd FROM ranked)",
+            "x AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j, "
+            "CAST(unnest(embedding) AS DOUBLE) AS x FROM ch)",
+            "ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(10))",
+            "w0 AS (SELECT ks.k, x.j, 0.0::DOUBLE AS w FROM ks, (SELECT DISTINCT j FROM x) x)",
+            "b0 AS (SELECT k, 0.0::DOUBLE AS b FROM ks)"]
+    recs = []
+    for r in range(rounds):
+        c = min(r, chunks - 1)
+        ctes += [f"d{r} AS (SELECT vec_id, label, device FROM ch WHERE rnd = {c})",
+                 f"z{r} AS (SELECT d.vec_id, w.k, sum(x.x * w.w) + any_value(b.b) AS z FROM d{r} d JOIN x USING (vec_id) "
+                 f"JOIN w{r} w ON w.j = x.j JOIN b{r} b ON b.k = w.k GROUP BY d.vec_id, w.k)",
+                 f"e{r} AS (SELECT vec_id, k, exp(z - max(z) OVER (PARTITION BY vec_id)) AS ez FROM z{r})",
+                 f"p{r} AS (SELECT vec_id, k, ez / sum(ez) OVER (PARTITION BY vec_id) AS p FROM e{r})",
+                 f"""m{r} AS (SELECT p.vec_id, any_value(d.device) AS device, any_value(d.label) AS label,
+                     max(-ln(greatest(p.p, 1e-7))) FILTER (WHERE p.k = d.label) AS loss,
+                     min(p.k) FILTER (WHERE p.p = mx.mp) AS top
+                     FROM p{r} p JOIN d{r} d USING (vec_id)
+                     JOIN (SELECT vec_id, max(p) AS mp FROM p{r} GROUP BY vec_id) mx USING (vec_id) GROUP BY p.vec_id)""",
+                 f"""rec{r} AS (SELECT {r} AS round, CAST(device AS VARCHAR) AS device, count(*) AS num_data,
+                     avg(loss) AS loss, avg(CASE WHEN top = label THEN 1.0 ELSE 0.0 END) AS accuracy FROM m{r} GROUP BY device)""",
+                 f"""gw{r} AS (SELECT d.device, p.k, x.j, sum((p.p - CASE WHEN d.label = p.k THEN 1 ELSE 0 END) * x.x) AS g
+                     FROM p{r} p JOIN d{r} d USING (vec_id) JOIN x USING (vec_id) GROUP BY d.device, p.k, x.j)""",
+                 f"""gb{r} AS (SELECT d.device, p.k, sum(p.p - CASE WHEN d.label = p.k THEN 1 ELSE 0 END) AS g
+                     FROM p{r} p JOIN d{r} d USING (vec_id) GROUP BY d.device, p.k)""",
+                 f"nd{r} AS (SELECT device, count(*) AS n FROM d{r} GROUP BY device)",
+                 f"""w{r + 1} AS (SELECT w.k, w.j, (w.w + sum(w.w - {lr} * g.g / nd.n)) / (count(*) + 1) AS w
+                     FROM w{r} w JOIN gw{r} g ON g.k = w.k AND g.j = w.j JOIN nd{r} nd ON nd.device = g.device
+                     GROUP BY w.k, w.j, w.w)""",
+                 f"""b{r + 1} AS (SELECT b.k, (b.b + sum(b.b - {lr} * g.g / nd.n)) / (count(*) + 1) AS b
+                     FROM b{r} b JOIN gb{r} g ON g.k = b.k JOIN nd{r} nd ON nd.device = g.device GROUP BY b.k, b.b)"""]
+        recs.append(f"SELECT * FROM rec{r}")
+    return ("WITH " + ",\n".join(ctes) + f",\nallrec AS ({' UNION ALL '.join(recs)})\n"
+            "SELECT CAST(round AS INTEGER) AS round, device, num_data, round(loss, 6) AS loss, "
+            "round(accuracy, 6) AS accuracy FROM allrec")
+
+
 _STEP_SQL = """WITH e AS (SELECT vec_id, label, {w} AS w, unnest(embedding) AS x, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j
            FROM embeddings),
 ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(10)),
@@ -238,11 +282,12 @@ def g10(spark, sf):
     return _params_frame(spark, P)
 
 
-@register("g11_chunked_rounds")
+@register("g11_chunked_rounds", _fed_sql(3, 3, LR))
 def g11(spark, sf):
     spec = TR.SoftmaxRegression(k=K)
     d = L._with_total(L.permutation_rank(_samples(spark, sf), "vec_id", 11), None).withColumn(
         "device", F.col("vec_id") % 3)
     n = d.select("_n").first()["_n"]
     _, rec = TR.run_federated(d, spec, "device", rounds=3, epochs=1, lr=LR, chunks=3, pos="rank", total=int(n))
-    return spark.createDataFrame(rec, "round int, device string, num_data long, loss double, accuracy double")
+    out = spark.createDataFrame(rec, "round int, device string, num_data long, loss double, accuracy double")
+    return out.select("round", "device", "num_data", F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"))
