@@ -42,12 +42,16 @@ def run_until_idle(query: StreamingQuery, idle_ms: int = 60000, poll_s: float =
     timeout); ``-1`` keeps the query running."""
     if idle_ms == -1:
         return query
-    last_data = time.time()
+    last_data = None          # the idle clock starts with the first progress report
+    seen = None
     while query.isActive:
         p = query.lastProgress
-        if p and p.get("numInputRows", 0) > 0:
-            last_data = time.time()
-        if (time.time() - last_data) * 1000 >= idle_ms:
+        fresh = p is not None and (p.get("batchId"), p.get("timestamp")) != seen
+        if fresh:
+            seen = (p.get("batchId"), p.get("timestamp"))
+            if last_data is None or p.get("numInputRows", 0) > 0:
+                last_data = time.time()
+        if last_data is not None and (time.time() - last_data) * 1000 >= idle_ms:
             query.stop()
             break
         time.sleep(poll_s)
