@@ -64,7 +64,7 @@ def _copd(spark, sf):
 @register("p03_decode_avro", """
 SELECT event_id, CAST(CAST(user_id % 2 AS FLOAT) AS DOUBLE) AS gender, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 6) AS age,
        round(CAST(CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100 AS FLOAT) AS DOUBLE), 6) AS smoking,
-       CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END AS label FROM events""")
+       CASE WHEN event_type = 'error' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM events""")
 def p03(spark, sf):
     enc = C.encode_avro(_copd(spark, sf), ["gender", "age", "smoking"], COPD_SCHEMA, ["diagnosis"], COPD_LABEL)
     d = C.decode_avro(enc.select("event_id", "key", "value"), COPD_SCHEMA, COPD_LABEL)
@@ -97,7 +97,7 @@ def p05(spark, sf):
 
 @register("p06_scale_one_hot", f"""
 SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(CAST({_Q8} / 255.0 AS FLOAT) AS DOUBLE))), 4) AS scaled_sum,
-       label AS hot_index, 1.0 AS hot_sum FROM embeddings""")
+       label AS hot_index, 1.0::DOUBLE AS hot_sum FROM embeddings""")
 def p06(spark, sf):
     q = _quantized(spark, sf)
     s = X.flatten_scale("q", 255.0)
@@ -228,7 +228,7 @@ _DENSE = "row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1"
 
 @register("s01_append_topic", f"""
 SELECT event_id, CAST(user_id % 4 AS INTEGER) AS partition, {_DENSE} AS "offset", event_type AS key_text,
-       octet_length(encode(props)) AS value_bytes FROM events""")
+       CAST(octet_length(encode(props)) AS INTEGER) AS value_bytes FROM events""")
 def s01(spark, sf):
     log = events_log(spark, sf)
     return log.select(header_value("sample_id").cast("long").alias("event_id"), "partition", "offset",
@@ -287,9 +287,9 @@ _EMB_CTRL = """WITH p AS (SELECT CAST(vec_id % 4 AS INTEGER) AS partition, count
 
 
 @register("s08_batch_control", _EMB_CTRL + """
-SELECT 1 AS deployment_id, string_agg('embeddings:' || CAST(partition AS VARCHAR) || ':0:' || CAST(n AS VARCHAR), ',' ORDER BY partition) AS topic,
-       CAST(sum(n) AS BIGINT) AS total_msg, false AS incremental, 'RAW' AS input_format, 0.1 AS validation_rate,
-       0.2 AS test_rate FROM p""")
+SELECT CAST(1 AS BIGINT) AS deployment_id, string_agg('embeddings:' || CAST(partition AS VARCHAR) || ':0:' || CAST(n AS VARCHAR), ',' ORDER BY partition) AS topic,
+       CAST(sum(n) AS BIGINT) AS total_msg, false AS incremental, 'RAW' AS input_format, 0.1::DOUBLE AS validation_rate,
+       0.2::DOUBLE AS test_rate FROM p""")
 def s08(spark, sf):
     c = TP.control_record(TP.topic_ranges(embeddings_log(spark, sf)), deployment_id=1, input_format="RAW",
                           input_config={"data_type": "float32", "label_type": "int32", "data_reshape": "64",
@@ -360,7 +360,7 @@ def s12(spark, sf):
 
 
 @register("s16_replay", """
-SELECT 1007 AS deployment_id, 'events:' || CAST(7 % 4 AS VARCHAR) || ':' || CAST(min(event_id) AS VARCHAR) || ':'
+SELECT CAST(1007 AS BIGINT) AS deployment_id, 'events:' || CAST(7 % 4 AS VARCHAR) || ':' || CAST(min(event_id) AS VARCHAR) || ':'
        || CAST(max(event_id) + 1 AS VARCHAR) AS topic, max(event_id) + 1 - min(event_id) AS total_msg
 FROM events WHERE user_id = 7""")
 def s16(spark, sf):
@@ -372,7 +372,7 @@ def s16(spark, sf):
 
 @register("s17_inspect", f"""
 SELECT CAST(user_id % 4 AS INTEGER) AS partition, o AS "offset", event_type AS key_text, upper(hex(event_type)) AS key_hex,
-       'json' AS value_kind, props AS value_text, octet_length(encode(props)) AS value_bytes
+       'json' AS value_kind, props AS value_text, CAST(octet_length(encode(props)) AS INTEGER) AS value_bytes
 FROM (SELECT *, {_DENSE} AS o FROM events) ORDER BY o, partition LIMIT 20""")
 def s17(spark, sf):
     i = TP.inspect(events_log(spark, sf), 20)

@@ -39,7 +39,7 @@ ch AS (SELECT model_id FROM sc ORDER BY score, model_id <> '0', model_id LIMIT 1
 
 @register("s23_write_weights", """
 SELECT CAST(vec_id % 4 AS VARCHAR) AS model_id, CASE WHEN vec_id % 4 = 0 THEN -1 ELSE 4 END AS version,
-       CAST(vec_id // 4 AS INTEGER) AS layer, len(embedding) AS n_values,
+       CAST(vec_id // 4 AS INTEGER) AS layer, CAST(len(embedding) AS INTEGER) AS n_values,
        round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total FROM embeddings""")
 def s23(spark, sf):
     w = weights(spark, sf)
@@ -48,7 +48,7 @@ def s23(spark, sf):
 
 
 @register("s24_read_weights", """
-SELECT CAST(vec_id // 4 AS INTEGER) AS layer, len(embedding) AS n_values, round(CAST(embedding[1] AS DOUBLE), 6) AS first
+SELECT CAST(vec_id // 4 AS INTEGER) AS layer, CAST(len(embedding) AS INTEGER) AS n_values, round(CAST(embedding[1] AS DOUBLE), 6) AS first
 FROM embeddings WHERE vec_id % 4 = 2""")
 def s24(spark, sf):
     r = FD.read_weights(weights(spark, sf), "2", 4)

@@ -78,7 +78,7 @@ def w07(spark, sf):
                     F.round("previous_loss", 6).alias("previous_loss"))
 
 
-@register("w08_contribution_total", _R + " SELECT update_id, contributions FROM w8")
+@register("w08_contribution_total", _R + " SELECT update_id, CAST(contributions AS BIGINT) AS contributions FROM w8")
 def w08(spark, sf):
     u = RW.fifo_position(updates(spark, sf), "federation", "update_id")
     r = RW.assign_round(u, "federation", REGISTERED)

@@ -219,7 +219,7 @@ def a13(spark, sf):
 
 
 @register("a14_rounds_map", """
-WITH r AS (SELECT DISTINCT year(o_orderdate) AS round, o_custkey AS account FROM orders)
+WITH r AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS round, o_custkey AS account FROM orders)
 SELECT round, account, row_number() OVER (PARTITION BY round ORDER BY account) - 1 AS idx,
        count(*) OVER (PARTITION BY round) AS n_devices FROM r""")
 def a14(spark, sf):

@@ -328,7 +328,7 @@ def f07(spark, sf):
 
 
 @register("j15_ledger", """
-WITH u AS (SELECT year(o_orderdate) AS round, o_orderkey, o_custkey, o_totalprice FROM orders),
+WITH u AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS round, o_orderkey, o_custkey, o_totalprice FROM orders),
 g AS (SELECT round, max(o_orderkey) AS update_id FROM u GROUP BY round)
 SELECT g.round, g.update_id, u.o_custkey AS account, c.c_name, u.o_totalprice AS metric
 FROM g JOIN u ON u.o_orderkey = g.update_id JOIN customer c ON c.c_custkey = u.o_custkey""")
