@@ -36,12 +36,14 @@ def test_query(spark, con, name):
     import sys
     import os
     sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
-    from oracle_check import digest
-    got = QUERIES[name](spark, SF).toPandas()
+    from oracle_check import digest, type_mismatches
+    frame = QUERIES[name](spark, SF)
+    got = frame.toPandas()
     if name not in ORACLE:
         assert len(got.columns) > 0
         return
     exp = con.execute(ORACLE[name]).fetchdf()
     assert sorted(got.columns) == sorted(exp.columns)
+    assert type_mismatches(frame.schema, con, ORACLE[name]) == {}
     assert len(got) == len(exp)
     assert digest(got) == digest(exp)
