@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from kelpie.functions.features import round_np
 from kelpie.operators.models import EPS
 from kelpie.operators.sequence import running_sum
+from kelpie.session import cut_lineage
 
 
 def _by(by) -> list[str]:
@@ -139,45 +140,53 @@ def class_report(cm: DataFrame, decimals: int = 6) -> DataFrame:
 
 def evaluate(df: DataFrame, y: str, p: str, weight: str | None = None, threshold: float = 0.5,
              auc_buckets: int = 1 << 20) -> DataFrame:
-    """Binary metrics in one pass + AUC by rank sums over distinct scores.
+    """Binary metrics (0/1 truth, score p): accuracy/binary accuracy (also
+    sample-weighted), precision, recall, MAE, MSE, binary cross-entropy with p
+    clipped to [1e-7, 1-1e-7], and ROC AUC with ties counted half.
 
-    accuracy/binary_accuracy (also sample-weighted), precision, recall, MAE,
-    MSE, binary cross-entropy with p clipped to [1e-7, 1-1e-7], AUC with
-    ties counted half.
+    One pass over the rows: everything decomposes over distinct scores, so the
+    rows are grouped by score once (positives, negatives and their weights,
+    partial aggregation per task) and every metric is computed from that table.
     """
-    yy, pp = F.col(y).cast("double"), F.col(p).cast("double")
+    yy = F.col(y).cast("int")
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    hat = (pp > threshold).cast("double")
-    pc = F.least(F.greatest(pp, F.lit(EPS)), F.lit(1 - EPS))
-    base = df.agg(
-        F.avg((hat == yy).cast("double")).alias("binary_accuracy"),
-        (F.sum((hat == yy).cast("double") * w) / F.sum(w)).alias("weighted_binary_accuracy"),
-        F.try_divide(F.sum(hat * yy), F.sum(hat)).alias("precision"),
-        F.try_divide(F.sum(hat * yy), F.sum(yy)).alias("recall"),
-        F.avg(F.abs(yy - pp)).alias("mae"),
-        F.avg((yy - pp) * (yy - pp)).alias("mse"),
-        F.avg(-(yy * F.log(pc) + (1 - yy) * F.log(1 - pc))).alias("binary_crossentropy"))
-    return _with_auc(base, df, y, p, auc_buckets)
-
-
-def _with_auc(base: DataFrame, df: DataFrame, y: str, p: str, buckets: int) -> DataFrame:
+    by_score = df.groupBy(F.col(p).cast("double").alias("s")).agg(
+        F.sum((yy == 1).cast("long")).alias("pos"), F.sum((yy == 0).cast("long")).alias("neg"),
+        F.sum(F.when(yy == 1, w).otherwise(0.0)).alias("wpos"), F.sum(F.when(yy == 0, w).otherwise(0.0)).alias("wneg"))
+    by_score = cut_lineage(by_score)   # read by the metric sums and the AUC prefix sums
+    s = F.col("s")
+    hat = s > F.lit(threshold)
+    pc = F.least(F.greatest(s, F.lit(EPS)), F.lit(1 - EPS))
+    n = F.sum(F.col("pos") + F.col("neg"))
+    base = by_score.agg(
+        (F.sum(F.when(hat, F.col("pos")).otherwise(F.col("neg"))) / n).alias("binary_accuracy"),
+        (F.sum(F.when(hat, F.col("wpos")).otherwise(F.col("wneg"))) / F.sum(F.col("wpos") + F.col("wneg")))
+        .alias("weighted_binary_accuracy"),
+        F.try_divide(F.sum(F.when(hat, F.col("pos")).otherwise(0)).cast("double"),
+                     F.sum(F.when(hat, F.col("pos") + F.col("neg")).otherwise(0))).alias("precision"),
+        F.try_divide(F.sum(F.when(hat, F.col("pos")).otherwise(0)).cast("double"), F.sum("pos")).alias("recall"),
+        (F.sum(F.col("pos") * F.abs(1 - s) + F.col("neg") * F.abs(s)) / n).alias("mae"),
+        (F.sum(F.col("pos") * (1 - s) * (1 - s) + F.col("neg") * s * s) / n).alias("mse"),
+        (F.sum(-(F.col("pos") * F.log(pc)) - F.col("neg") * F.log(1 - pc)) / n).alias("binary_crossentropy"))
+    a = _auc_from_scores(by_score, auc_buckets).withColumn("_g", F.lit(0))
     # both sides are global aggregates (exactly one row): a proven-size broadcast
-    a = auc(df, y, p, buckets).withColumn("_g", F.lit(0))
     return base.withColumn("_g", F.lit(0)).join(F.broadcast(a), "_g").drop("_g")
 
 
 def auc(df: DataFrame, y: str, p: str, buckets: int = 1 << 20) -> DataFrame:
-    """Exact ROC AUC without a global sort.
-
-    1. distinct scores with (pos, neg) counts (partial aggregation),
-    2. min/max of the score (one row, broadcast) maps scores to ordered buckets,
-    3. negatives at or below each score by blocked prefix sums; ties count half.
-    """
+    """Exact ROC AUC without a global sort (see :func:`_auc_from_scores`)."""
     yy = F.col(y).cast("int")
     by_score = df.groupBy(F.col(p).cast("double").alias("s")).agg(
         F.sum((yy == 1).cast("long")).alias("pos"), F.sum((yy == 0).cast("long")).alias("neg"))
+    return _auc_from_scores(by_score, buckets)
+
+
+def _auc_from_scores(by_score: DataFrame, buckets: int) -> DataFrame:
+    """AUC from (score, pos, neg): min/max of the score (one row, broadcast) maps
+    scores to ordered buckets; negatives below each score come from blocked
+    prefix sums; ties count half."""
     rng = by_score.agg(F.min("s").alias("lo"), F.max("s").alias("hi")).withColumn("_g", F.lit(0))
-    b = by_score.withColumn("_g", F.lit(0)).join(F.broadcast(rng), "_g").withColumn(
+    b = by_score.select("s", "pos", "neg").withColumn("_g", F.lit(0)).join(F.broadcast(rng), "_g").withColumn(
         "bk", F.when(F.col("hi") > F.col("lo"),
                      F.floor((F.col("s") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets)).otherwise(0)
         .cast("long"))
