@@ -140,11 +140,15 @@ def _embedding_files(spark, sf, parts=2):
 @register("t05_fit_stream")
 def t05(spark, sf):
     from kelpie.operators.train import SoftmaxRegression
-    path, schema = _embedding_files(spark, sf)
+    path, schema = _embedding_files(spark, sf, parts=4)
     out, ck = _scratch(spark, "t05-params"), _scratch(spark, "t05-ck")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
     ST.fit_stream(stream, SoftmaxRegression(k=10), out, ck, d=64, lr=0.5, validation_rate=0.2)
-    return spark.read.parquet(out).select("batch_id", F.size("params").alias("n_params"))
+    versions = spark.read.parquet(out).select("batch_id", F.size("params").alias("n_params"), "val_accuracy")
+    results = ST.incremental_results(spark, out, "val_accuracy", "up", 0.0001).select(
+        "batch_id", F.lit(True).alias("result_row"))
+    return versions.join(results, "batch_id", "left").withColumn(
+        "result_row", F.coalesce(F.col("result_row"), F.lit(False)))
 
 
 @register("t07_self_train_stream")

@@ -188,12 +188,17 @@ def fit_stream(stream: DataFrame, spec, params_path: str, checkpoint: str, d: in
         return _unflatten(flat, like)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        from kelpie.operators.train import _flatten
+        from kelpie.operators.train import _flatten, evaluate_params
         P = load(batch_id)
-        b = batch.withColumn("_pos", F.monotonically_increasing_id())
-        tr = split_batch(b, validation_rate, pos="_pos").where(F.col("split") == "train")
-        P = gradient_step(tr, spec, P, lr, features=features, label=label)
-        spark.createDataFrame([(batch_id, _flatten(P).tolist())], "batch_id long, params array<double>") \
+        b = split_batch(batch.withColumn("_pos", F.monotonically_increasing_id()), validation_rate, pos="_pos") \
+            .persist()
+        P = gradient_step(b.where(F.col("split") == "train"), spec, P, lr, features=features, label=label)
+        val = b.where(F.col("split") == "validation")
+        m = evaluate_params(val, spec, P, features=features, label=label) if validation_rate > 0 else \
+            {"loss": None, "accuracy": None, "n": 0}
+        b.unpersist()
+        row = (batch_id, _flatten(P).tolist(), m["loss"] if m["n"] else None, m["accuracy"] if m["n"] else None)
+        spark.createDataFrame([row], "batch_id long, params array<double>, val_loss double, val_accuracy double") \
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(params_path)
 
     q = foreach_microbatch(stream, handle, checkpoint)
@@ -201,6 +206,23 @@ def fit_stream(stream: DataFrame, spec, params_path: str, checkpoint: str, d: in
     return q
 
 
+def incremental_results(spark: SparkSession, params_path: str, metric: str = "val_accuracy",
+                        change: str = "up", improvement: float = 0.05, indefinite: bool = True) -> DataFrame:
+    """T05 result rows: in indefinite mode a new result row is written whenever
+    the monitored validation metric improved by ``improvement`` (W05 ratchet
+    over the per-batch metrics); in timed mode the single result row is the
+    last version."""
+    from kelpie.operators.monitor import improvements
+    versions = spark.read.parquet(params_path).where(F.col(metric).isNotNull()) \
+        .withColumn("deployment", F.lit("stream"))
+    if not indefinite:
+        return versions.groupBy("deployment").agg(F.max_by(F.struct("batch_id", metric), "batch_id").alias("r")) \
+            .select("deployment", "r.*")
+    ups = improvements(versions, "deployment", "batch_id", metric, change=change, d=improvement)
+    return ups.select(F.col("key").alias("deployment"), F.col("order").alias("batch_id"),
+                      F.col("value").alias(metric), F.col("reference").alias("previous"))
+
+
 # ------------------------------------------------------------------ T07 ----
 
 def self_train_stream(stream: DataFrame, labelled: DataFrame, out_path: str, checkpoint: str,
