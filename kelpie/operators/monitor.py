@@ -106,6 +106,14 @@ def _ratchet_frame(ks, os_, vs, rs) -> pd.DataFrame:
                          "value": pd.Series(vs, dtype="float64"), "reference": pd.Series(rs, dtype="float64")})
 
 
+def _moved(d: float):
+    """Emission test against the reference: ``x - r >= d`` (d > 0 already
+    implies x != r); for d == 0 it is ``x > r``.  Both are monotone in x."""
+    if d > 0:
+        return lambda x, r: x - r >= d
+    return lambda x, r: x > r
+
+
 def _next_pointers(v: list, d: float) -> list:
     """nxt[p] = first j > p with v[j] - v[p] >= d (or -1).  Right-to-left scan
     keeping the prefix-maximum records of the suffix on a stack (values
@@ -115,11 +123,12 @@ def _next_pointers(v: list, d: float) -> list:
     m = len(v)
     nxt = [-1] * m
     stack: list[int] = []
+    ok = _moved(d)
     for p in range(m - 1, -1, -1):
         lo, hi, vp = 0, len(stack), v[p]
         while lo < hi:
             mid = (lo + hi) // 2
-            if v[stack[mid]] - vp >= d:
+            if ok(v[stack[mid]], vp):
                 lo = mid + 1
             else:
                 hi = mid
@@ -166,11 +175,12 @@ def improvements(df: DataFrame, key: str, order: str, value: str, change: str =
        carries the reference from block to block (no group is materialised);
     3. per (key, block) again, the emissions are the chain from the entry
        record.
-    ``down`` runs the same on negated values.  ``d <= 0`` (where the
-    "differs" test matters) uses the plain sorted fold.
+    ``down`` runs the same on negated values.  ``d < 0`` (where the accepted
+    moves are not monotone) uses the plain sorted fold.
     """
-    if d <= 0:
+    if d < 0:
         return _improvements_fold(df, key, order, value, change, d)
+    moved = _moved(d)
     sign = 1.0 if change == "up" else -1.0
     src = df.select(F.col(key).cast("string").alias("key"), F.col(order).cast("long").alias("order"),
                     (F.col(value).cast("double") * F.lit(sign)).alias("v"))
@@ -205,7 +215,7 @@ def improvements(df: DataFrame, key: str, order: str, value: str, change: str =
             else:
                 r_in, start, first = ref, -1, False
                 for c, rv, out in recs:          # records ordered by position, values rising
-                    if rv - r_in >= d:
+                    if moved(rv, r_in):
                         start, ref = c, out
                         break
             return (k, b, r_in, start, first)
@@ -254,7 +264,7 @@ def improvements(df: DataFrame, key: str, order: str, value: str, change: str =
 
 
 def _improvements_fold(df: DataFrame, key: str, order: str, value: str, change: str, d: float) -> DataFrame:
-    """Sequential form (used for d <= 0): rows hash-partitioned by key and
+    """Sequential form (used for d < 0): rows hash-partitioned by key and
     sorted; each task streams its Arrow batches carrying (key, reference)."""
     up = change == "up"
     src = df.select(F.col(key).cast("string").alias("key"), F.col(order).cast("long").alias("order"),

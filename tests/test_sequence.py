@@ -80,7 +80,7 @@ def test_ratchet_parallel_matches_brute_force(spark):
     pdf.loc[: n // 2, "g"] = 0
     df = spark.createDataFrame(pdf)
     for change in ("up", "down"):
-        for d in (0.5, 2.0, 0.0):
+        for d in (0.5, 2.0, 0.0, -0.5):
             got = sorted(tuple(r) for r in improvements(df, "g", "o", "v", change, d, block=16)
                          .select("key", "order", "value", "reference").collect())
             assert got == _ratchet_brute(pdf, change, d), (change, d)
