@@ -224,3 +224,42 @@ def g07s(spark, sf):
     s = _events_stream(spark, sf).withColumn("federation", F.col("user_id") % 5)
     round_gate_stream(s, "federation", "event_id", 3, out, ck)
     return spark.read.parquet(out).select("federation", "update_id", "round")
+
+
+def _ordered_files(spark, df, order: str, path_name: str, chunks: int = 4) -> str:
+    """``df`` as ``chunks`` files appended one after the other in ``order``."""
+    path = _scratch(spark, path_name)
+    b = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
+    lo, step = int(b["lo"]), (int(b["hi"]) - int(b["lo"])) // chunks + 1
+    for c in range(chunks):
+        df.where((F.col(order) >= lo + c * step) & (F.col(order) < lo + (c + 1) * step)) \
+            .coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@register("w02_last_statuses_stream", """
+SELECT CAST(conv_id AS VARCHAR) AS key, turn AS "order", role AS status, lag(role, 1) OVER w AS prev_1,
+       lag(role, 2) OVER w AS prev_2, lag(role, 3) OVER w AS prev_3, lag(role, 4) OVER w AS prev_4
+FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
+def w02s(spark, sf):
+    from kelpie.streaming.stateful import status_register_stream
+    conv = t(spark, sf, "conversations").select("conv_id", "turn", "role")
+    path = _ordered_files(spark, conv, "turn", "conv-ordered")
+    out, ck = _scratch(spark, "w02s-out"), _scratch(spark, "w02s-ck")
+    stream = spark.readStream.schema(conv.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    status_register_stream(stream, "conv_id", "turn", "role", out, ck)
+    return spark.read.parquet(out).select("key", "order", "status", "prev_1", "prev_2", "prev_3", "prev_4")
+
+
+@register("w04_regression_series_stream", """
+SELECT 'embeddings' AS key, vec_id AS "order", row_number() OVER (ORDER BY vec_id) - 1 AS point,
+       CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS i, CAST(unnest(embedding) AS DOUBLE) AS value
+FROM embeddings""")
+def w04s(spark, sf):
+    from kelpie.streaming.stateful import regression_series_stream
+    em = t(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("values"), F.lit("embeddings").alias("topic"))
+    path = _ordered_files(spark, em, "vec_id", "emb-ordered")
+    out, ck = _scratch(spark, "w04s-out"), _scratch(spark, "w04s-ck")
+    stream = spark.readStream.schema(em.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    regression_series_stream(stream, "topic", "vec_id", "values", out, ck)
+    return spark.read.parquet(out).select("key", "order", "point", "i", "value")

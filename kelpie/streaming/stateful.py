@@ -118,3 +118,51 @@ def round_gate_stream(stream: DataFrame, federation: str, order: str, registered
     out = s.groupBy("k").applyInPandasWithState(fn, out_schema, "done long, pending array<long>", "append",
                                                 GroupStateTimeout.NoTimeout)
     _run(out, path, checkpoint)
+
+
+def status_register_stream(stream: DataFrame, key: str, order: str, status: str, path: str, checkpoint: str,
+                           k: int = 4) -> None:
+    """W02 on a stream (R04 classification view): state = the last k statuses
+    of each monitored key; every row is emitted with the k before it."""
+    out_schema = f"key string, order long, status string, " + ", ".join(f"prev_{i} string" for i in range(1, k + 1))
+
+    def fn(kk, pdfs, state):
+        pdf = pd.concat(list(pdfs)).sort_values("o")
+        last = list(state.get[0]) if state.exists else []
+        rows = []
+        for o, s in zip(pdf["o"].tolist(), pdf["s"].tolist()):
+            prev = list(reversed(last[-k:]))
+            rows.append([kk[0], o, s] + prev + [None] * (k - len(prev)))
+            last = (last + [s])[-k:]
+        state.update((last,))
+        yield pd.DataFrame(rows, columns=["key", "order", "status"] + [f"prev_{i}" for i in range(1, k + 1)]) \
+            .astype({"order": "int64"})
+
+    s = stream.select(F.col(key).cast("string").alias("k"), F.col(order).cast("long").alias("o"),
+                      F.col(status).cast("string").alias("s"))
+    out = s.groupBy("k").applyInPandasWithState(fn, out_schema, "last array<string>", "append",
+                                                GroupStateTimeout.NoTimeout)
+    _run(out, path, checkpoint)
+
+
+def regression_series_stream(stream: DataFrame, key: str, order: str, values: str, path: str,
+                             checkpoint: str) -> None:
+    """W04 on a stream (R04 regression view): each output dimension gets points
+    numbered 0, 1, 2 ... in arrival order; state = points so far per key."""
+    out_schema = "key string, order long, point long, i int, value double"
+
+    def fn(kk, pdfs, state):
+        pdf = pd.concat(list(pdfs)).sort_values("o")
+        start = state.get[0] if state.exists else 0
+        rows = []
+        for n, (o, vals) in enumerate(zip(pdf["o"].tolist(), pdf["v"].tolist())):
+            for i, x in enumerate(vals):
+                rows.append((kk[0], o, start + n, i, float(x)))
+        state.update((start + len(pdf),))
+        yield pd.DataFrame(rows, columns=["key", "order", "point", "i", "value"]) \
+            .astype({"order": "int64", "point": "int64", "i": "int32", "value": "float64"})
+
+    s = stream.select(F.col(key).cast("string").alias("k"), F.col(order).cast("long").alias("o"),
+                      F.col(values).alias("v"))
+    out = s.groupBy("k").applyInPandasWithState(fn, out_schema, "n long", "append", GroupStateTimeout.NoTimeout)
+    _run(out, path, checkpoint)
