@@ -16,6 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -23,6 +24,24 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, executors: int | None = None,
+               cores_per_executor: int = 4) -> dict[str, str]:
+    """Partition sizing for a cluster run: enough initial shuffle partitions that
+    each holds about ``target_partition_bytes`` (AQE coalesces small ones and
+    splits skewed ones), scan splits of the same size, and at least two waves
+    of tasks per core.  For 100 TB this gives ~400k initial shuffle partitions."""
+    parts = max(1, input_bytes // target_partition_bytes)
+    if executors:
+        parts = max(parts, 2 * executors * cores_per_executor)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def _default_driver_memory() -> str:
     """Local mode runs everything in the driver JVM: give it about half the RAM
     (at most 16 GB, at least 2 GB)."""
