@@ -44,3 +44,18 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("shard").cast("int").alias("shard"),
         F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    from kelpie.llm.secret_scan import BASE, digest, scan
+
+    out = scan(read_table(spark, sf_dir, "documents"))
+
+    def n_of(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select("doc_id", *[n_of(k) for k in BASE],
+                      F.sha2(digest(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                      digest(F.col("spans")).alias("spans"))
