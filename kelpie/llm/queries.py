@@ -59,3 +59,23 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[n_of(k) for k in BASE],
                       F.sha2(digest(F.col("base")).cast("binary"), 256).alias("base_sha256"),
                       digest(F.col("spans")).alias("spans"))
+
+
+@_query("op8_warc", """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, unhex(sha1(coalesce(html, ''))) AS d,
+                  min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+b AS (SELECT *, list_transform(range(0, 20), i -> ('0x' || substr(hex(d), 2 * i::INT + 1, 2))::UTINYINT::INT) AS o FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), j -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((((o[(j * 5) // 8 + 1] * 256 + coalesce(o[(j * 5) // 8 + 2], 0)) >> (11 - (j * 5) % 8)::INT) & 31) + 1)::BIGINT, 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM b
+""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record per page, written to ZIP-packaged archives and read back by ranges."""
+    from kelpie.llm.warc import read_archives, write_archives
+
+    out = read_archives(write_archives(read_table(spark, sf_dir, "pages")), with_payload=False)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
