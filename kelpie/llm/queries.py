@@ -64,9 +64,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_warc", """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, unhex(sha1(coalesce(html, ''))) AS d,
                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
-b AS (SELECT *, list_transform(range(0, 20), i -> ('0x' || substr(hex(d), 2 * i::INT + 1, 2))::UTINYINT::INT) AS o FROM p)
+b AS (SELECT *, list_transform(range(0, 20), lambda i: ('0x' || substr(hex(d), 2 * i::INT + 1, 2))::UTINYINT::INT) AS o FROM p)
 SELECT page_id, n::BIGINT AS payload_bytes,
-       array_to_string(list_transform(range(0, 32), j -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            ((((o[(j * 5) // 8 + 1] * 256 + coalesce(o[(j * 5) // 8 + 2], 0)) >> (11 - (j * 5) % 8)::INT) & 31) + 1)::BIGINT, 1)), '')
            AS payload_digest,
        CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
