@@ -79,3 +79,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = read_archives(write_archives(read_table(spark, sf_dir, "pages")), with_payload=False)
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query("op3_quality_rules")
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, fixed limits and the trained verdict for every document."""
+    from kelpie.llm.quality import judge, train
+
+    docs = read_table(spark, sf_dir, "documents")
+    return judge(docs, train(docs, read_table(spark, sf_dir, "labels")))
