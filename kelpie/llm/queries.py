@@ -88,3 +88,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = read_table(spark, sf_dir, "documents")
     return judge(docs, train(docs, read_table(spark, sf_dir, "labels")))
+
+
+@_query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by rank-order profiles learned from the rows not held out."""
+    from kelpie.llm.langid import Profiles, held_out, learn, predict
+
+    docs = read_table(spark, sf_dir, "documents")
+    found = predict(docs, Profiles.of(learn(docs.where(F.col("doc_id").isNotNull() & ~held_out()))))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
