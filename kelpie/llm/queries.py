@@ -98,3 +98,24 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = predict(docs, Profiles.of(learn(docs.where(F.col("doc_id").isNotNull() & ~held_out()))))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@_query("op5_token_files")
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to token files in doc_id order and read back."""
+    from kelpie.llm.token_files import read_tokens, write_tokens
+    from kelpie.llm.tokenizing import public_path
+
+    written = write_tokens(read_table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"))
+    return read_tokens(written, with_ids=False)
+
+
+@_query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 2048 ids."""
+    from kelpie.llm.packing import pack
+    from kelpie.llm.tokenizing import public_path
+
+    out = pack(read_table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32"), "doc_tokens",
+                      "sequence_id", "offset")
