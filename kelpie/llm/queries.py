@@ -119,3 +119,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack(read_table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"))
     return out.select("doc_id", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32"), "doc_tokens",
                       "sequence_id", "offset")
+
+
+@_query("op4_simhash")
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and the components of those within four bits."""
+    from kelpie.llm.simhash import cluster
+
+    out = cluster(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
