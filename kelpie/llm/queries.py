@@ -128,3 +128,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = cluster(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query("op7_embedding_dedup")
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.9."""
+    from kelpie.llm.embeddings import link
+
+    return link(read_table(spark, sf_dir, "embeddings"))
