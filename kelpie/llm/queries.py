@@ -136,3 +136,23 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kelpie.llm.embeddings import link
 
     return link(read_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op2_mixing")
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all sources takes of every document."""
+    from kelpie.llm.mixing import Mix
+
+    mix = Mix(read_table(spark, sf_dir, "documents"))
+    taken = mix.pieces(untaken=True).groupBy("s", "lane", "ord") \
+        .agg(F.first("doc_id").alias("doc_id"), F.first("size").alias("size"), F.sum("words").alias("taken"))
+    return taken.join(mix.targets.withColumn("s", F.col("s").cast("long")), "s") \
+        .select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
