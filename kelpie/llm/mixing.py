@@ -39,7 +39,7 @@ DRAW = 4096             # shards that one draw covers at most
 WEIGHTS = (5, 2, 1)     # of the sources in code point order, null last, repeating
 SHARE, MOST = 1.5, 2    # of all words that the mix takes; of a source's (and document's) words at most
 SEED = 11
-OUT = ("text", "lane", "ord", "size", "words", "shard", "slot", "block", "epoch", "at")
+OUT = ("text", "s", "lane", "ord", "size", "words", "shard", "slot", "block", "epoch", "at")
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -271,7 +271,7 @@ class Mix:
             .select(*names, "text", "size", "s", "lane", F.xxhash64("text").alias("_mx_h"))
         schema = T.StructType([*(f for f in self.docs.schema if f.name != "text"),
                                T.StructField("text", T.StringType()),
-                               *(T.StructField(n, T.LongType()) for n in ("s", *OUT[1:]))])
+                               *(T.StructField(n, T.LongType()) for n in OUT[1:])])
         at, id_at = len(names), names.index("doc_id")
         block = self.block
         arrow = pa.schema([pa.field(n, pa.null()) for n in [*names, "text", "size", "s", "lane"]])
