@@ -107,11 +107,13 @@ def _ratchet_frame(ks, os_, vs, rs) -> pd.DataFrame:
 
 
 def _moved(d: float):
-    """Emission test against the reference: ``x - r >= d`` (d > 0 already
-    implies x != r); for d == 0 it is ``x > r``.  Both are monotone in x."""
+    """Emission test against the reference for a rise of at least ``d``; an equal
+    value never counts.  For d >= 0 it is monotone in x."""
     if d > 0:
         return lambda x, r: x - r >= d
-    return lambda x, r: x > r
+    if d == 0:
+        return lambda x, r: x > r
+    return lambda x, r: x != r and x - r >= d
 
 
 def _next_pointers(v: list, d: float) -> list:
@@ -161,7 +163,8 @@ def improvements(df: DataFrame, key: str, order: str, value: str, change: str =
                  d: float = 0.05, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Improvement ratchet: the first value is the reference; a later value is
     emitted (and becomes the reference) when it differs and moved by at least
-    ``d`` in the ``change`` direction.
+    ``d`` in the ``change`` direction.  Null and NaN values are no measurements:
+    they are passed over.
 
     Exact and parallel even for a key holding a third of the rows:
     after an emission at p the next one is nxt(p) = first j > p with
@@ -183,7 +186,7 @@ def improvements(df: DataFrame, key: str, order: str, value: str, change: str =
     moved = _moved(d)
     sign = 1.0 if change == "up" else -1.0
     src = df.select(F.col(key).cast("string").alias("key"), F.col(order).cast("long").alias("order"),
-                    (F.col(value).cast("double") * F.lit(sign)).alias("v"))
+                    (F.col(value).cast("double") * F.lit(sign)).alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
     src = dense_position(src, "key", "order", block=block, name="pos") \
         .withColumn("blk", F.floor(F.col("pos") / F.lit(block)).cast("long"))
     src = cut_lineage(src)   # read by phase 1 and phase 3
@@ -266,24 +269,24 @@ def improvements(df: DataFrame, key: str, order: str, value: str, change: str =
 def _improvements_fold(df: DataFrame, key: str, order: str, value: str, change: str, d: float) -> DataFrame:
     """Sequential form (used for d < 0): rows hash-partitioned by key and
     sorted; each task streams its Arrow batches carrying (key, reference)."""
-    up = change == "up"
+    moved, sign = _moved(d), 1.0 if change == "up" else -1.0
     src = df.select(F.col(key).cast("string").alias("key"), F.col(order).cast("long").alias("order"),
-                    F.col(value).cast("double").alias("value"))
+                    (F.col(value).cast("double") * F.lit(sign)).alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
     src = src.repartition("key").sortWithinPartitions("key", "order")
 
     def fold(batches):
         cur_key, ref = None, None
         for pdf in batches:
             out_k, out_o, out_v, out_r = [], [], [], []
-            for k, o, v in zip(pdf["key"].tolist(), pdf["order"].tolist(), pdf["value"].tolist()):
+            for k, o, v in zip(pdf["key"].tolist(), pdf["order"].tolist(), pdf["v"].tolist()):
                 if k != cur_key:
                     cur_key, ref = k, v
                     continue
-                if v != ref and ((up and v - ref >= d) or (not up and ref - v >= d)):
+                if moved(v, ref):
                     out_k.append(k)
                     out_o.append(o)
-                    out_v.append(v)
-                    out_r.append(ref)
+                    out_v.append(v * sign)
+                    out_r.append(ref * sign)
                     ref = v
             yield _ratchet_frame(out_k, out_o, out_v, out_r)
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from kelpie.operators.monitor import _moved
 from kelpie.streaming.streams import idempotent_append
 
 
@@ -26,7 +27,7 @@ def _run(out: DataFrame, path: str, checkpoint: str) -> None:
 def ratchet_stream(stream: DataFrame, key: str, order: str, value: str, path: str, checkpoint: str,
                    change: str = "up", d: float = 0.05) -> None:
     """W05 on a stream: state = current reference per key."""
-    up = change == "up"
+    moved, sign = _moved(d), 1.0 if change == "up" else -1.0
     out_schema = "key string, order long, value double, reference double"
 
     def fn(k, pdfs, state):
@@ -37,15 +38,15 @@ def ratchet_stream(stream: DataFrame, key: str, order: str, value: str, path: st
             if ref is None:
                 ref = v
                 continue
-            if v != ref and ((up and v - ref >= d) or (not up and ref - v >= d)):
-                ks.append(k[0]), os_.append(o), vs.append(v), rs.append(ref)
+            if moved(v, ref):
+                ks.append(k[0]), os_.append(o), vs.append(v * sign), rs.append(ref * sign)
                 ref = v
         state.update((ref,))
         yield pd.DataFrame({"key": pd.Series(ks, dtype=object), "order": pd.Series(os_, dtype="int64"),
                             "value": pd.Series(vs, dtype="float64"), "reference": pd.Series(rs, dtype="float64")})
 
     s = stream.select(F.col(key).cast("string").alias("k"), F.col(order).cast("long").alias("o"),
-                      F.col(value).cast("double").alias("v"))
+                      (F.col(value).cast("double") * F.lit(sign)).alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
     out = s.groupBy("k").applyInPandasWithState(fn, out_schema, "ref double", "append", GroupStateTimeout.NoTimeout)
     _run(out, path, checkpoint)
 
