@@ -115,8 +115,8 @@ def p07(spark, sf):
 @register("p08_key_to_int", "SELECT event_id, event_id AS key_int, user_id AS user_key FROM events")
 def p08(spark, sf):
     ev = t(spark, sf, "events")
-    k = ev.select("event_id", "user_id", C.key_bytes("event_id", "int", width=4).alias("k"),
-                  C.key_bytes("user_id", "int", width=1).alias("u"))
+    k = ev.select("event_id", "user_id", C.key_bytes("event_id", "int", width=8).alias("k"),
+                  C.key_bytes("user_id", "int", width=8).alias("u"))
     return k.select("event_id", C.key_to_int("k").alias("key_int"), C.key_to_int("u").alias("user_key"))
 
 

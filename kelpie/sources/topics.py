@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kelpie.functions.codecs import key_to_int
+from kelpie.functions.codecs import key_bytes, key_bytes_error, key_to_int
 from kelpie.operators.sequence import DEFAULT_BLOCK, dense_position
 
 TOPIC_SCHEMA = T.StructType([
@@ -188,15 +188,30 @@ def control_record(ranges: DataFrame, by: list[str] | None = None, *, deployment
     return out
 
 
-def control_to_log(control: DataFrame, key_width: int = 1) -> DataFrame:
-    """Control rows -> (key, value, timestamp) records: key = deployment id bytes, value = JSON."""
+KEY_WIDTH = 8   # bytes of a deployment id: every long that is not negative fits
+
+
+def control_key_error(deployment_id: Column | str = "deployment_id", key_width: int = KEY_WIDTH) -> Column:
+    """Why a control row can't be keyed (null if it can)."""
+    dep = _c(deployment_id)
+    return F.when(dep.isNull(), F.lit("no deployment id")) \
+        .when(dep < 0, F.lit("negative deployment id")).otherwise(key_bytes_error(dep, "int", width=key_width))
+
+
+def control_dead_letters(control: DataFrame, key_width: int = KEY_WIDTH) -> DataFrame:
+    """The control rows that :func:`control_to_log` can't key, with ``key_error``."""
+    return control.withColumn("key_error", control_key_error(key_width=key_width)).where("key_error IS NOT NULL")
+
+
+def control_to_log(control: DataFrame, key_width: int = KEY_WIDTH) -> DataFrame:
+    """Control rows -> (key, value, timestamp) records: key = deployment id bytes
+    (big-endian), value = JSON.  Rows whose id has no key of that width are no
+    records; :func:`control_dead_letters` has them."""
     body = [c for c in control.columns if c not in ("deployment_id", "timestamp")]
-    dep = F.col("deployment_id")
-    fits = ((dep >= 0) & (dep < F.lit(1 << (8 * key_width)))) if key_width < 8 else dep.isNotNull()
-    key = F.when(fits, F.unhex(F.lpad(F.hex(dep), 2 * key_width, "0")))
     ts = F.col("timestamp") if "timestamp" in control.columns else F.current_timestamp()
-    return control.select(key.alias("key"), F.encode(F.to_json(F.struct(*body)), "UTF-8").alias("value"),
-                          ts.alias("timestamp"))
+    return control.where(control_key_error(key_width=key_width).isNull()).select(
+        key_bytes("deployment_id", "int", width=key_width).alias("key"),
+        F.encode(F.to_json(F.struct(*body)), "UTF-8").alias("value"), ts.alias("timestamp"))
 
 
 CONTROL_JSON_SCHEMA = (
