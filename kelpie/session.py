@@ -72,12 +72,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/S3/...) folder there; only when it is unset
-    (local tests) a private scratch folder is created.
+    A cluster must name a shared (HDFS/S3/...) folder there; in local mode (one
+    machine) a private scratch folder is created when it is unset.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="kelpie-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -91,6 +93,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its own file system."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

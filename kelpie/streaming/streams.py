@@ -13,11 +13,13 @@ import time
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kelpie.session import scratch_path
+from kelpie.operators.sequence import dense_position
+from kelpie.session import cut_lineage, path_exists, scratch_path
 from kelpie.sources.topics import TOPIC_SCHEMA, control_records, string_to_ranges
 
 
@@ -175,11 +177,10 @@ def fit_stream(stream: DataFrame, spec, params_path: str, checkpoint: str, d: in
     spark = stream.sparkSession
 
     def load(before: int):
-        try:
+        r = []
+        if path_exists(spark, params_path):     # any other failure to read is an error
             rows = spark.read.parquet(params_path).where(F.col("batch_id") < before)
             r = rows.orderBy(F.col("batch_id").desc()).limit(1).collect()   # one parameter row
-        except Exception:  # noqa: BLE001
-            r = []
         if not r:
             return spec.init(d)
         flat = np.asarray(r[0]["params"])
@@ -190,8 +191,10 @@ def fit_stream(stream: DataFrame, spec, params_path: str, checkpoint: str, d: in
     def handle(batch: DataFrame, batch_id: int) -> None:
         from kelpie.operators.train import _flatten, evaluate_params
         P = load(batch_id)
-        b = split_batch(batch.withColumn("_pos", F.monotonically_increasing_id()), validation_rate, pos="_pos") \
-            .persist()
+        # the split counts positions, so they must be dense over all partitions of the batch
+        rows = dense_position(cut_lineage(batch.withColumn("_seq", F.monotonically_increasing_id())), None, "_seq",
+                              name="_pos").drop("_seq")
+        b = split_batch(rows, validation_rate, pos="_pos").persist()
         P = gradient_step(b.where(F.col("split") == "train"), spec, P, lr, features=features, label=label)
         val = b.where(F.col("split") == "validation")
         m = evaluate_params(val, spec, P, features=features, label=label) if validation_rate > 0 else \
@@ -230,30 +233,33 @@ def self_train_stream(stream: DataFrame, labelled: DataFrame, out_path: str, che
                       features: str = "features", n_classes: int | None = None) -> StreamingQuery:
     """Streaming self-training: every unlabelled micro-batch is scored once by
     the model fitted on labelled ∪ pseudo-labelled rows so far; confident rows
-    are appended; the query stops after a batch without a confident row."""
+    are appended; the query stops at a batch without a confident row.  That
+    batch is not committed: a restart from the same checkpoint begins with it,
+    and no later batch has been consumed."""
     from kelpie.functions.features import argmax
     from kelpie.operators.models import fit_centroids
     from kelpie.operators.quality import confident
     from kelpie.operators.serve import score
     spark = stream.sparkSession
-    state = {"stop": False}
+    stopped_at: list[int] = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if state["stop"]:
-            return
-        try:
+        train = labelled.select(key, features, "label")
+        if path_exists(spark, out_path):
             pseudo = spark.read.parquet(out_path).where(F.col("batch_id") < batch_id).drop("batch_id")
-            train = labelled.select(key, features, "label").unionByName(pseudo.select(key, features, "label"))
-        except Exception:  # noqa: BLE001
-            train = labelled.select(key, features, "label")
+            train = train.unionByName(pseudo.select(key, features, "label"))
         model = fit_centroids(train, features, "label", n_classes=n_classes, temperature=temperature)
         sel = confident(score(batch, model, features), confidence) \
             .select(key, features, argmax("values").alias("label"))
         if sel.isEmpty():
-            state["stop"] = True
-            return
+            stopped_at.append(batch_id)
+            raise RuntimeError(f"batch {batch_id} has no confident row")
         idempotent_append(sel, batch_id, out_path)
 
     q = foreach_microbatch(stream, handle, checkpoint)
-    q.awaitTermination()
+    try:
+        q.awaitTermination()
+    except StreamingQueryException:
+        if not stopped_at:
+            raise
     return q
