@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kelpie.functions.features import shape_text
 
@@ -46,13 +47,13 @@ def read_weights(weights: DataFrame, model_id: str, version: int) -> DataFrame:
     return weights.where((F.col("model_id") == model_id) & (F.col("version") == version)).orderBy("layer")
 
 
-def _chunks(weights: DataFrame) -> DataFrame:
-    """(model_id, layer, chunk, vals) with ``vals`` a slice of at most CHUNK elements."""
+def _chunks(weights: DataFrame, arrival: Column | None = None) -> DataFrame:
+    """(model_id, layer, chunk, vals, arrival) with ``vals`` a slice of at most CHUNK elements."""
     n = F.size("values")
     return weights.select(
-        "model_id", "layer",
+        "model_id", "layer", (F.lit(0) if arrival is None else arrival).alias("arrival"),
         F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(n / CHUNK).cast("int") - 1, F.lit(0)))).alias("chunk"),
-        "values").select("model_id", "layer", "chunk",
+        "values").select("model_id", "layer", "chunk", "arrival",
                          F.slice("values", F.col("chunk") * CHUNK + 1, CHUNK).alias("vals"))
 
 
@@ -87,13 +88,23 @@ def fed_avg(weights: DataFrame, global_id: str) -> DataFrame:
     return _assemble(avg)
 
 
+def _arrival(weights: DataFrame, order: str) -> Column:
+    """Sort value of a model's arrival: the column ``order`` itself, or for text ids
+    their natural order ("2" before "10", "d2" before "d10")."""
+    if isinstance(weights.schema[order].dataType, T.StringType):
+        return F.struct(F.length(F.col(order)).alias("n"), F.col(order).alias("id"))
+    return F.struct(F.col(order).alias("n"), F.lit("").alias("id"))
+
+
 def fed_avg_sequential(weights: DataFrame, global_id: str, order: str = "model_id") -> DataFrame:
     """Each arriving model is averaged with the running global:
-    result = Σ_i w_i · 2^-(n-i+1) + global · 2^-n (i = 1..n in arrival order)."""
-    c = _chunks(weights)
+    result = Σ_i w_i · 2^-(n-i+1) + global · 2^-n (i = 1..n in arrival order).
+    ``order`` names the arrival column (number or time); without one, models
+    arrive in the natural order of their ids."""
+    c = _chunks(weights, _arrival(weights, order))
     agg = c.groupBy("layer", "chunk").agg(
         F.sort_array(F.collect_list(F.struct((F.col("model_id") != global_id).alias("dev"),
-                                             F.col(order).alias("o"), "vals"))).alias("m"))
+                                             F.col("arrival").alias("o"), "model_id", "vals"))).alias("m"))
     # m[0] is the global model (dev=false sorts first); devices follow in arrival order
     seq = F.aggregate(F.slice("m", 2, 1 << 30), F.col("m")[0]["vals"],
                       lambda acc, s: F.zip_with(acc, s["vals"], lambda x, y: (x + y) / 2))
@@ -121,14 +132,15 @@ def model_distances(weights: DataFrame) -> DataFrame:
     return per_layer.groupBy("a", "b").agg(F.sum("d").alias("distance"))
 
 
-def krum_choice(weights: DataFrame, global_id: str) -> DataFrame:
+def krum_choice(weights: DataFrame, global_id: str, order: str = "model_id") -> DataFrame:
     """G04 choice: the model with the least summed distance to all others
-    (global first, then devices in arrival order; first on ties)."""
+    (global first, then devices in arrival order, see :func:`fed_avg_sequential`; first on ties)."""
     d = model_distances(weights)
     both = d.select(F.col("a").alias("model_id"), "distance").unionByName(d.select(F.col("b").alias("model_id"), "distance"))
-    score = both.groupBy("model_id").agg(F.sum("distance").alias("score"))
-    order = F.struct("score", (F.col("model_id") != global_id).alias("dev"), "model_id")
-    return score.agg(F.min_by("model_id", order).alias("model_id"))
+    arrived = weights.groupBy("model_id").agg(F.min(_arrival(weights, order)).alias("arrival"))
+    score = both.groupBy("model_id").agg(F.sum("distance").alias("score")).join(arrived, "model_id")
+    first = F.struct("score", (F.col("model_id") != global_id).alias("dev"), "arrival", "model_id")
+    return score.agg(F.min_by("model_id", first).alias("model_id"))
 
 
 def krum(weights: DataFrame, global_id: str) -> DataFrame:

@@ -9,7 +9,7 @@ is still spread over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kelpie.operators.sequence import DEFAULT_BLOCK, blocked_lag, dense_position, running_sum
@@ -129,9 +129,9 @@ def book_tokens(rewards_df: DataFrame, update: str = "update_id", seq: str = "fi
 def payout(bookings: DataFrame, wallet: float, account: str = "account") -> DataFrame:
     """Sum per participant; a short wallet scales every payout by wallet / total."""
     per = bookings.groupBy(account).agg(F.sum("tokens").alias("tokens"))
-    # the total runs over the per-account table (one row per participant), so
-    # the bookings are aggregated once instead of once per branch
-    j = per.withColumn("_tot", F.sum("tokens").over(Window.partitionBy()))
+    per = cut_lineage(per)      # read twice: once for its total
+    total = per.agg(F.sum("tokens")).first()[0]     # one number
+    j = per.withColumn("_tot", F.lit(total).cast("long"))
     factor = F.when(F.col("_tot") > F.lit(wallet), F.lit(float(wallet)) / F.col("_tot")).otherwise(F.lit(1.0))
     return j.select(account, "tokens", (F.col("tokens") * factor).alias("payout"))
 

@@ -420,9 +420,8 @@ def self_train(labelled: DataFrame, pool: DataFrame, rounds: int = 5, confidence
 
     train = labelled.select(key, features, F.col(label).cast("int").alias(label), F.lit(0).alias("round"))
     rest = pool.select(key, features)
-    model = None
+    model = fit_centroids(train, features, label, n_classes=n_classes, temperature=temperature)
     for r in range(1, rounds + 1):
-        model = fit_centroids(train, features, label, n_classes=n_classes, temperature=temperature)
         # one scored, checkpointed pool per round: the confident part joins the
         # training set, the rest is the next pool (no anti-join needed)
         scored = score(rest, model, features).withColumn("_ok", F.array_max("values") >= F.lit(confidence))
@@ -432,8 +431,10 @@ def self_train(labelled: DataFrame, pool: DataFrame, rounds: int = 5, confidence
             break
         train = train.unionByName(scored.where("_ok").select(key, features, label, F.lit(r).alias("round")))
         rest = scored.where(~F.col("_ok")).select(key, features)
+        train = cut_lineage(train)
+        # the model returned has seen the pseudo-labels of the last round too
+        model = fit_centroids(train, features, label, n_classes=n_classes, temperature=temperature)
         if n_ok == scored.count():
-            model = fit_centroids(train, features, label, n_classes=n_classes, temperature=temperature)
             break
     return train, model
 
