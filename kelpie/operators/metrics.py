@@ -173,6 +173,20 @@ def evaluate(df: DataFrame, y: str, p: str, weight: str | None = None, threshold
     return base.withColumn("_g", F.lit(0)).join(F.broadcast(a), "_g").drop("_g")
 
 
+def evaluate_multiclass(df: DataFrame, label: str, values: str, weight: str | None = None) -> DataFrame:
+    """Metrics of class probabilities (``values``, one per class) against an integer
+    label: rows, sparse categorical accuracy (the first of equal maxima is the
+    prediction) and cross-entropy with probabilities clipped to [1e-7, 1 - 1e-7].
+    One aggregation; rows without a label, or whose label is no class, are left out."""
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    y = F.col(label).cast("int")
+    src = df.where(y.isNotNull() & (y >= 0) & (y < F.size(values)))
+    hit = (F.array_position(values, F.array_max(values)) - 1 == y).cast("double")
+    p = F.least(F.greatest(F.element_at(values, y + 1).cast("double"), F.lit(EPS)), F.lit(1 - EPS))
+    return src.agg(F.count(F.lit(1)).alias("n"), (F.sum(hit * w) / F.sum(w)).alias("sparse_categorical_accuracy"),
+                   (F.sum(-F.log(p) * w) / F.sum(w)).alias("sparse_categorical_crossentropy"))
+
+
 def auc(df: DataFrame, y: str, p: str, buckets: int = 1 << 20) -> DataFrame:
     """Exact ROC AUC without a global sort (see :func:`_auc_from_scores`)."""
     yy = F.col(y).cast("int")

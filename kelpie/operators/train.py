@@ -12,6 +12,7 @@ task closure; no user code text is executed.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -239,6 +240,12 @@ _PARTIAL_SCHEMA = "key string, grad array<double>, loss double, correct long, n
 def partial_sums(df: DataFrame, spec: ModelSpec, P: dict, features: str = "features", label: str = "label",
                  weight: str | None = None, key: str | None = None) -> DataFrame:
     """One row per (task, key): summed loss and gradient of that task's rows."""
+    return _partials(df, spec, P, features, label, weight, key)[0]
+
+
+def _partials(df: DataFrame, spec: ModelSpec, P: dict, features: str = "features", label: str = "label",
+              weight: str | None = None, key: str | None = None):
+    """The partial sums and the broadcast they read (to be destroyed after use)."""
     sc = df.sparkSession.sparkContext
     bP = sc.broadcast(P)
     cols = [F.col(features).alias("_x"), F.col(label).cast("double").alias("_y")]
@@ -273,7 +280,7 @@ def partial_sums(df: DataFrame, spec: ModelSpec, P: dict, features: str = "featu
                 schema=pa.schema([("key", pa.string()), ("grad", pa.list_(pa.float64())), ("loss", pa.float64()),
                                   ("correct", pa.int64()), ("n", pa.int64()), ("wsum", pa.float64())]))
 
-    return src.mapInArrow(fold, _PARTIAL_SCHEMA)
+    return src.mapInArrow(fold, _PARTIAL_SCHEMA), bP
 
 
 def _combine(a, b):
@@ -282,18 +289,24 @@ def _combine(a, b):
 
 def gradient(df: DataFrame, spec: ModelSpec, P: dict, **kw):
     """Summed (grad dict, loss, correct, n, wsum) over the whole frame (treeAggregate)."""
-    parts = partial_sums(df, spec, P, **kw).rdd.map(
-        lambda r: (np.asarray(r["grad"]), r["loss"], r["correct"], r["n"], r["wsum"]))
+    rows, sent = _partials(df, spec, P, **kw)
+    parts = rows.rdd.map(lambda r: (np.asarray(r["grad"]), r["loss"], r["correct"], r["n"], r["wsum"]))
     zero = (np.zeros(sum(v.size for v in P.values())), 0.0, 0, 0, 0.0)
-    g, loss, correct, n, wsum = parts.treeAggregate(zero, _combine, _combine, depth=2)
+    try:
+        g, loss, correct, n, wsum = parts.treeAggregate(zero, _combine, _combine, depth=2)
+    finally:
+        sent.destroy()      # parameters of one step only
     return _unflatten(g, P), loss, correct, n, wsum
 
 
 def gradient_by_key(df: DataFrame, spec: ModelSpec, P: dict, key: str, **kw) -> dict:
     """Per-key sums (federated devices) with map-side combine (reduceByKey)."""
-    parts = partial_sums(df, spec, P, key=key, **kw).rdd.map(
-        lambda r: (r["key"], (np.asarray(r["grad"]), r["loss"], r["correct"], r["n"], r["wsum"])))
-    return {k: (_unflatten(v[0], P), v[1], v[2], v[3], v[4]) for k, v in parts.reduceByKey(_combine).collect()}
+    rows, sent = _partials(df, spec, P, key=key, **kw)
+    parts = rows.rdd.map(lambda r: (r["key"], (np.asarray(r["grad"]), r["loss"], r["correct"], r["n"], r["wsum"])))
+    try:
+        return {k: (_unflatten(v[0], P), v[1], v[2], v[3], v[4]) for k, v in parts.reduceByKey(_combine).collect()}
+    finally:
+        sent.destroy()
 
 
 # ------------------------------------------------------------------- fits ----
@@ -367,6 +380,71 @@ def gradient_step(df: DataFrame, spec: ModelSpec, P: dict, lr: float, **kw) -> d
     return {k: P[k] - lr * G[k] / wsum for k in P} if n else P
 
 
+class Sgd:
+    """Plain gradient descent, with momentum if asked for."""
+
+    def __init__(self, lr: float = 0.5, momentum: float = 0.0):
+        self.lr, self.momentum, self._v = lr, momentum, {}
+
+    def update(self, P: dict, G: dict) -> dict:
+        self._v = {k: self.momentum * self._v.get(k, 0.0) + G[k] for k in P}
+        return {k: P[k] - self.lr * self._v[k] for k in P}
+
+
+class Adam:
+    """Gradient descent with bias-corrected first and second moments."""
+
+    def __init__(self, lr: float = 0.001, beta1: float = 0.9, beta2: float = 0.999, eps: float = 1e-7):
+        self.lr, self.b1, self.b2, self.eps, self._m, self._s, self._t = lr, beta1, beta2, eps, {}, {}, 0
+
+    def update(self, P: dict, G: dict) -> dict:
+        self._t += 1
+        self._m = {k: self.b1 * self._m.get(k, 0.0) + (1 - self.b1) * G[k] for k in P}
+        self._s = {k: self.b2 * self._s.get(k, 0.0) + (1 - self.b2) * G[k] ** 2 for k in P}
+        rate = self.lr * np.sqrt(1 - self.b2 ** self._t) / (1 - self.b1 ** self._t)
+        return {k: P[k] - rate * self._m[k] / (np.sqrt(self._s[k]) + self.eps) for k in P}
+
+
+OPTIMIZERS = {"sgd": Sgd, "adam": Adam}
+
+
+def fit_minibatch(df: DataFrame, spec: ModelSpec, batch: int, order: str, epochs: int = 1, optimizer="sgd",
+                  features: str = "features", label: str = "label", weight: str | None = None,
+                  init: dict | None = None, seed: int = 0, steps: int | None = None) -> FitResult:
+    """T01 with ``batch`` rows a step: consecutive rows by ``order`` (unique, integral)
+    form the batches, every epoch takes them in the same order, and each step is one
+    distributed pass over its batch.  ``steps`` stops an epoch early (steps per epoch).
+    ``optimizer`` is a name of :data:`OPTIMIZERS` or an object with ``update``.
+
+    The rows are written once, partitioned by batch, so a step reads its own
+    files only and a lost executor repeats one step."""
+    from kelpie.operators.sequence import dense_position
+    from kelpie.session import scratch_path
+    t0 = time.time()
+    spark = df.sparkSession
+    opt = OPTIMIZERS[optimizer]() if isinstance(optimizer, str) else optimizer
+    P = init if init is not None else spec.init(feature_dim(df, features), seed)
+    cols = [F.col(features).alias("features"), F.col(label).alias("label"), F.col(order).cast("long").alias("_o")]
+    cols += [F.col(weight).cast("double").alias("weight")] if weight else []
+    rows = dense_position(df.where(F.col(label).isNotNull()).select(*cols), None, "_o", name="_pos") \
+        .withColumn("_batch", F.floor(F.col("_pos") / batch).cast("long")).drop("_pos", "_o")
+    path = scratch_path(spark, f"minibatches-{uuid.uuid4().hex}")
+    rows.repartition("_batch").write.partitionBy("_batch").parquet(path)
+    stored = spark.read.parquet(path)
+    n_batches = (stored.agg(F.max("_batch")).first()[0] or 0) + 1 if not stored.isEmpty() else 0
+    hist = []
+    for ep in range(epochs):
+        loss = correct = n = wsum = 0
+        for b in range(min(n_batches, steps) if steps else n_batches):
+            G, bl, bc, bn, bw = gradient(stored.where(F.col("_batch") == b), spec, P, features="features", label="label",
+                                         weight="weight" if weight else None)
+            P = opt.update(P, {k: G[k] / bw for k in G})
+            loss, correct, n, wsum = loss + bl, correct + bc, n + bn, wsum + bw
+        if n:
+            hist += [(ep, "training", "loss", loss / wsum), (ep, "training", "accuracy", correct / n)]
+    return FitResult(P, hist, time.time() - t0)
+
+
 def history_frame(spark, result: FitResult, result_id: str = "r0") -> DataFrame:
     """Epoch history as a long table (result, epoch, split, metric, value)."""
     rows = [(result_id, int(e), s, m, float(v)) for e, s, m, v in result.history]

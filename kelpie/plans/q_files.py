@@ -18,7 +18,7 @@ from kelpie.plans.q_serving import _CENTROID_SCORES
 from kelpie.plans.registry import register
 from kelpie.session import scratch_path
 from kelpie.sources import files as FS
-from kelpie.sources.topics import model_sources
+from kelpie.sources.topics import fed_datasources, model_sources
 
 SENSOR_COLS = {
     "index": "l_orderkey * 10 + l_linenumber",
@@ -118,6 +118,28 @@ def s15(spark, sf):
                                      "framework", "distributed", "blockchain")
 
 
+@register("s15_fed_datasources", """
+SELECT 'orders-' || o_orderstatus AS topic, 'fed' || CAST(o_custkey % 13 AS VARCHAR) AS federated_string_id,
+       o_orderkey AS total_msg, CASE WHEN o_orderkey % 2 = 0 THEN 'RAW' ELSE 'AVRO' END AS input_format,
+       o_orderkey % 5 = 0 AS incremental, 0.1::DOUBLE AS validation_rate,
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '{"0": 1.0}' END AS label_weights,
+       o_orderkey % 7 = 0 AS announced_now FROM orders""")
+def s15_fed_datasources(spark, sf):
+    """Federated data log -> datasource rows; a record without a time gets the read time."""
+    o = t(spark, sf, "orders")
+    rec = o.select(
+        F.concat(F.lit("orders-"), "o_orderstatus").alias("topic"),
+        F.concat(F.lit("fed"), (F.col("o_custkey") % 13).cast("string")).alias("federated_string_id"),
+        F.col("o_orderkey").alias("total_msg"), F.when(F.col("o_orderkey") % 2 == 0, "RAW").otherwise("AVRO").alias("input_format"),
+        (F.col("o_orderkey") % 5 == 0).alias("incremental"), F.lit(0.1).alias("validation_rate"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.lit('{"0": 1.0}')).alias("label_weights"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.lit("2020-01-01T00:00:00.000Z")).alias("timestamp"))
+    log = rec.select(F.encode(F.to_json(F.struct(*rec.columns)), "UTF-8").alias("value"))
+    return fed_datasources(log).withColumn("announced_now", F.col("timestamp") > F.lit("2021-01-01").cast("timestamp")) \
+        .select("topic", "federated_string_id", "total_msg", "input_format", "incremental", "validation_rate", "label_weights",
+                "announced_now")
+
+
 @register("x01_model_registry")
 def x01(spark, sf):
     """Every registered model spec fits two epochs on the embeddings data set."""

@@ -291,3 +291,49 @@ def g11(spark, sf):
     _, rec = TR.run_federated(d, spec, "device", rounds=3, epochs=1, lr=LR, chunks=3, pos="rank", total=int(n))
     out = spark.createDataFrame(rec, "round int, device string, num_data long, loss double, accuracy double")
     return out.select("round", "device", "num_data", F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"))
+
+
+_ONE_MINIBATCH_EPOCH = f"""
+WITH r AS (SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id) - 1 AS pos, count(*) OVER () AS n
+           FROM embeddings WHERE label IS NOT NULL),
+s AS (SELECT *, pos // ((n + 1) // 2) AS bt FROM r),
+x AS (SELECT vec_id, bt, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j,
+             CAST(unnest(embedding) AS DOUBLE) AS x FROM s),
+ks AS (SELECT CAST(range AS INTEGER) AS k FROM range({K})),
+n0 AS (SELECT bt, count(*) AS m FROM s GROUP BY bt),
+w1 AS (SELECT k, j, -{LR} * sum((1.0 / {K} - CASE WHEN label = k THEN 1 ELSE 0 END) * x) / any_value(m) AS w
+       FROM x JOIN n0 USING (bt), ks WHERE bt = 0 GROUP BY k, j),
+b1 AS (SELECT k, -{LR} * sum(1.0 / {K} - CASE WHEN label = k THEN 1 ELSE 0 END) / any_value(m) AS b
+       FROM s JOIN n0 USING (bt), ks WHERE bt = 0 GROUP BY k),
+z AS (SELECT vec_id, w1.k, any_value(label) AS label, sum(x * w) + any_value(b) AS z
+      FROM x JOIN w1 USING (j) JOIN b1 ON b1.k = w1.k WHERE bt = 1 GROUP BY vec_id, w1.k),
+e AS (SELECT *, exp(z - max(z) OVER (PARTITION BY vec_id)) AS ez FROM z),
+d AS (SELECT vec_id, k, ez / sum(ez) OVER (PARTITION BY vec_id) - CASE WHEN label = k THEN 1 ELSE 0 END AS d FROM e),
+w2 AS (SELECT d.k, x.j, sum(d.d * x.x) / any_value(m) AS g FROM d JOIN x USING (vec_id) JOIN n0 USING (bt) GROUP BY d.k, x.j),
+b2 AS (SELECT k, sum(d) / (SELECT m FROM n0 WHERE bt = 1) AS g FROM d GROUP BY k)
+SELECT 'W' AS param, k, j, round(w - {LR} * g, 6) AS value FROM w1 JOIN w2 USING (k, j)
+UNION ALL SELECT 'b', k, 0, round(b - {LR} * g, 6) FROM b1 JOIN b2 USING (k)"""
+
+
+@register("t01_minibatch_epoch", _ONE_MINIBATCH_EPOCH)
+def t01_minibatch_epoch(spark, sf):
+    """One epoch of two batches (each half of the rows, by id) with plain SGD."""
+    from kelpie.operators.train import Sgd, SoftmaxRegression, fit_minibatch
+    df = _samples(spark, sf)
+    half = (df.where("label IS NOT NULL").count() + 1) // 2
+    res = fit_minibatch(df, SoftmaxRegression(k=K), batch=half, order="vec_id", optimizer=Sgd(LR))
+    return _params_frame(spark, res.params)
+
+
+@register("a08_multiclass", _CENTROID_SCORES + """
+SELECT count(*) AS n, round(avg(CASE WHEN s.pred = s.label THEN 1.0 ELSE 0.0 END), 6) AS sparse_categorical_accuracy,
+       round(avg(-ln(least(greatest(q.p, 1e-7), 1 - 1e-7))), 6) AS sparse_categorical_crossentropy
+FROM q JOIN scored s ON s.vec_id = q.vec_id WHERE q.k = s.label""")
+def a08_multiclass(spark, sf):
+    from kelpie.operators.metrics import evaluate_multiclass
+    from kelpie.operators.models import fit_centroids
+    from kelpie.operators.serve import score
+    from kelpie.plans.q_serving import TEMPERATURE
+    em = _samples(spark, sf)
+    m = evaluate_multiclass(score(em, fit_centroids(em, temperature=TEMPERATURE)), "label", "values")
+    return m.select("n", *[F.round(c, 6).alias(c) for c in m.columns[1:]])

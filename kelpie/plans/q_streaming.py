@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 
 from kelpie.functions.codecs import decode_json
 from kelpie.plans.fixtures import events_log, header_value, t
+from kelpie.plans.q_serving import _CENTROID_SCORES, LIMIT, TEMPERATURE
 from kelpie.plans.registry import register
 from kelpie.session import scratch_path
+from kelpie.sources.topics import write_topic
 from kelpie.streaming import streams as ST
 
 
@@ -263,3 +265,36 @@ def w04s(spark, sf):
     stream = spark.readStream.schema(em.schema).option("maxFilesPerTrigger", 1).parquet(path)
     regression_series_stream(stream, "topic", "vec_id", "values", out, ck)
     return spark.read.parquet(out).select("key", "order", "point", "i", "value")
+
+
+@register("t11_serve_stream", _CENTROID_SCORES + f"""
+SELECT vec_id, CASE WHEN conf >= {LIMIT} THEN 'final' ELSE 'upper' END AS tier,
+       CASE WHEN conf >= {LIMIT} THEN pred END AS pred, CASE WHEN conf >= {LIMIT} THEN round(conf, 6) END AS conf,
+       CASE WHEN conf < {LIMIT} THEN round(sum_x, 4) END AS sum_x
+FROM scored JOIN (SELECT vec_id, sum(CAST(x AS DOUBLE)) AS sum_x FROM e GROUP BY vec_id) USING (vec_id)""")
+def t11_serve_stream(spark, sf):
+    """Topic stream -> decode -> score -> two sinks, read back from both."""
+    from kelpie.functions.codecs import decode_raw
+    from kelpie.functions.features import argmax
+    from kelpie.operators.models import fit_centroids
+    from kelpie.plans.fixtures import embeddings_log
+    path, final, upper = _scratch(spark, "t11-src"), _scratch(spark, "t11-final"), _scratch(spark, "t11-upper")
+    write_topic(embeddings_log(spark, sf), path)
+    em = t(spark, sf, "embeddings").select(F.col("embedding").alias("features"), "label")
+    model = fit_centroids(em, temperature=TEMPERATURE)
+
+    def decode(batch):
+        return decode_raw(batch, "float32", "64", "int32", "")
+
+    ST.serve_stream(ST.stream_topic(spark, path, 2), decode, model, LIMIT, final, upper, _scratch(spark, "t11-ck"))
+    head = F.filter("headers", lambda h: h["key"] == "sample_id")[0]["value"].cast("string").cast("long").alias("vec_id")
+    schema = "key binary, headers array<struct<key:string,value:binary>>, value binary, batch_id long"
+    done = spark.read.schema(schema).parquet(final)
+    values = F.from_json(F.col("value").cast("string"), "values array<double>")["values"]
+    done = done.select(head, F.lit("final").alias("tier"), argmax(values).alias("pred"),
+                       F.round(F.array_max(values), 6).alias("conf"), F.lit(None).cast("double").alias("sum_x"))
+    rest = decode_raw(spark.read.schema(schema).parquet(upper), "float32", "64", "int32", "")
+    total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    rest = rest.select(head, F.lit("upper").alias("tier"), F.lit(None).cast("int").alias("pred"),
+                       F.lit(None).cast("double").alias("conf"), F.round(total, 4).alias("sum_x"))
+    return done.unionByName(rest)

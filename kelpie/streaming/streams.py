@@ -92,6 +92,31 @@ def checkpointed_copy(stream: DataFrame, path: str, checkpoint: str) -> Streamin
     return q
 
 
+# ------------------------------------------------------------- T10 / T11 ----
+
+def serve_stream(stream: DataFrame, decode: Callable[[DataFrame], DataFrame], model, limit: float, final_path: str,
+                 upper_path: str, checkpoint: str, features: str = "features") -> StreamingQuery:
+    """Score a topic stream and route it by confidence: rows at or above ``limit``
+    go to the final sink as prediction records, the rest to the next tier's sink
+    with the input vector as RAW bytes.  Key and headers pass through to both.
+
+    ``decode`` turns topic rows into rows with ``features`` (keeping key and
+    headers).  Both sinks write under the batch id, so a replayed micro-batch
+    leaves each of them as it was."""
+    from kelpie.operators.serve import prediction_records, route, score
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        scored = score(decode(batch), model, features).persist()
+        final, upper = route(scored, limit, hidden=features)
+        idempotent_append(prediction_records(final), batch_id, final_path)
+        idempotent_append(upper.select("key", "headers", "value"), batch_id, upper_path)
+        scored.unpersist()
+
+    q = foreach_microbatch(stream, handle, checkpoint)
+    q.awaitTermination()
+    return q
+
+
 # ------------------------------------------------------------------ R04 ----
 
 def monitor(stream: DataFrame, label: str, path: str, checkpoint: str) -> StreamingQuery:
