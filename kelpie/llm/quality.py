@@ -22,12 +22,13 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelpie.llm.common import columns
+from kelpie.llm.common import columns, write_and_read
 from kelpie.llm.textstats import Chunk, Grams, chunks
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 THRESHOLD = 0.5
 MAX_TRAIN = 6000
+TRAIN_PARTITIONS = 6
 BITS = 16
 WORD_N, CHAR_N = (1, 2), (1, 2, 3)
 SCALE = 30.0            # features are relative frequencies times this
@@ -87,25 +88,24 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, seed:
     sample = text.join(F.broadcast(marked), "doc_id").select("label", "calibrate", "text")
     vector = F.udf(lambda i, v: Vectors.sparse(1 << BITS, i, v), VectorUDT())
     rows = sample.mapInArrow(_features, "label double, calibrate boolean, idx array<int>, val array<double>") \
-        .select("label", "calibrate", vector("idx", "val").alias("features")).persist()
-    try:
-        counts = {(r["calibrate"], r["label"]): r["count"] for r in rows.groupBy("calibrate", "label").count().collect()}
-        if not all(counts.get((False, y)) for y in (0.0, 1.0)):
-            return None
-        n = counts[False, 0.0] + counts[False, 1.0]
-        balance = F.when(F.col("label") == 1, n / counts[False, 1.0]).otherwise(n / counts[False, 0.0])
-        fitted = LogisticRegression(maxIter=40, regParam=1e-3, standardization=False, weightCol="w") \
-            .fit(rows.where("NOT calibrate").withColumn("w", balance))
-        weights, intercept = fitted.coefficients.toArray().astype(np.float32), float(fitted.intercept)
-        if not all(counts.get((True, y)) for y in (0.0, 1.0)):
-            return Model(weights, intercept, 1.0, 0.0)
-        margin = F.udf(lambda raw: Vectors.dense([float(raw[1])]), VectorUDT())
-        platt = LogisticRegression(maxIter=50, regParam=1e-4, featuresCol="m", predictionCol="pp",
-                                   rawPredictionCol="pr", probabilityCol="pq") \
-            .fit(fitted.transform(rows.where("calibrate")).select("label", margin("rawPrediction").alias("m")))
-        return Model(weights, intercept, float(platt.coefficients[0]), float(platt.intercept))
-    finally:
-        rows.unpersist()
+        .select("label", "calibrate", vector("idx", "val").alias("features"))
+    # few partitions whatever the corpus: a gradient is as wide as the model, and one is sent for each
+    rows = write_and_read(rows.repartition(TRAIN_PARTITIONS), "quality-sample")
+    counts = {(r["calibrate"], r["label"]): r["count"] for r in rows.groupBy("calibrate", "label").count().collect()}
+    if not all(counts.get((False, y)) for y in (0.0, 1.0)):
+        return None
+    n = counts[False, 0.0] + counts[False, 1.0]
+    balance = F.when(F.col("label") == 1, n / counts[False, 1.0]).otherwise(n / counts[False, 0.0])
+    fitted = LogisticRegression(maxIter=40, regParam=1e-3, standardization=False, weightCol="w") \
+        .fit(rows.where("NOT calibrate").withColumn("w", balance))
+    weights, intercept = fitted.coefficients.toArray().astype(np.float32), float(fitted.intercept)
+    if not all(counts.get((True, y)) for y in (0.0, 1.0)):
+        return Model(weights, intercept, 1.0, 0.0)
+    margin = F.udf(lambda raw: Vectors.dense([float(raw[1])]), VectorUDT())
+    platt = LogisticRegression(maxIter=50, regParam=1e-4, featuresCol="m", predictionCol="pp",
+                               rawPredictionCol="pr", probabilityCol="pq") \
+        .fit(fitted.transform(rows.where("calibrate")).select("label", margin("rawPrediction").alias("m")))
+    return Model(weights, intercept, float(platt.coefficients[0]), float(platt.intercept))
 
 
 def _score(model):
