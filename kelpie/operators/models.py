@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 # cross-entropy, as the training framework does.
 EPS = 1e-7
 
-# Heads with more weights than this score through an Arrow UDF.
-LITERAL_LIMIT = 4096
-
 
 def _lit_array(v) -> Column:
     return F.array(*[F.lit(float(x)) for x in np.asarray(v, dtype=np.float64).ravel()])
@@ -42,6 +39,7 @@ class LinearModel:
     activation: str = "softmax"     # softmax | sigmoid | linear
     temperature: float = 1.0
     meta: dict = field(default_factory=dict)
+    arrow: bool = False             # score by an Arrow UDF with broadcast parameters, for heads too large for a literal
 
     @property
     def n_out(self) -> int:
@@ -58,10 +56,10 @@ class LinearModel:
 
     def apply(self, df: DataFrame, x: str, out: str = "values") -> DataFrame:
         """Score a frame: logits, then the activation on that array column
-        (separate projections keep the logits from being recomputed).  Heads
-        larger than ``LITERAL_LIMIT`` weights score through an Arrow UDF with
-        broadcast parameters instead of a giant constant expression."""
-        if self.W.size > LITERAL_LIMIT:
+        (separate projections keep the logits from being recomputed).  A model made
+        with ``arrow=True`` scores through an Arrow UDF with broadcast parameters
+        instead of a constant expression; its size alone changes nothing."""
+        if self.arrow:
             return self._apply_arrow(df, x, out)
         d = df.withColumn("_z", self.logits(F.col(x)))
         if self.activation == "linear":

@@ -8,8 +8,13 @@ lookup sides are left to AQE, which broadcasts them after measuring.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kelpie.session import scratch_path
 
 
 def canonical_json(col: Column | str) -> Column:
@@ -93,15 +98,29 @@ def expand_results(deployments: DataFrame, config_models: DataFrame, config: str
 
 def model_chain(spark: SparkSession, models: DataFrame, roots: DataFrame, key: str = "model_id",
                 parent: str = "father_id") -> DataFrame:
-    """Roots plus all their descendants (recursive CTE, evaluated by Spark)."""
-    models.select(F.col(key).alias("id"), F.col(parent).alias("parent")).createOrReplaceTempView("_kelpie_models")
-    roots.select(F.col(key).alias("id")).createOrReplaceTempView("_kelpie_roots")
-    return spark.sql("""
-        WITH RECURSIVE chain(root, id, depth) AS (
-            SELECT id, id, 0 FROM _kelpie_roots
-            UNION ALL
-            SELECT c.root, m.id, c.depth + 1 FROM chain c JOIN _kelpie_models m ON m.parent = c.id)
-        SELECT root, id AS model_id, depth FROM chain""")
+    """Roots plus all their descendants, with the depth at which they are first met.
+
+    Level by level: the frontier is joined to its children, and what a root has
+    met before is left out, so a cycle ends and no depth or row limit applies.
+    Each level is one step of the chain, written to the shared folder."""
+    links = models.select(F.col(key).alias("id"), F.col(parent).alias("parent")) \
+        .where("id IS NOT NULL AND parent IS NOT NULL")
+    path = scratch_path(spark, f"chain-{uuid.uuid4().hex}")
+    level = roots.select(F.col(key).alias("root"), F.col(key).alias("id"))
+    schema, depth = level.schema, 0
+    level = level.where("root IS NOT NULL").distinct()
+    while True:
+        # stored levels have known sizes, so small ones are broadcast
+        level.write.parquet(f"{path}/depth={depth}")
+        frontier = spark.read.schema(schema).parquet(f"{path}/depth={depth}")
+        if frontier.isEmpty():
+            break
+        met = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+        level = frontier.withColumnRenamed("id", "parent").join(links, "parent").select("root", "id").distinct() \
+            .join(met.select("root", "id"), ["root", "id"], "left_anti")
+        depth += 1
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("depth", T.IntegerType())])) \
+        .option("basePath", path).parquet(path).select("root", F.col("id").alias("model_id"), "depth")
 
 
 def nested_view(parent: DataFrame, child: DataFrame, key: str, sort_key: str) -> DataFrame:

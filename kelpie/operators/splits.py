@@ -118,17 +118,20 @@ def shuffle_key(id_col: str, seed: int | str, epoch: int | None = None) -> Colum
 
 
 def permutation_rank(df: DataFrame, id_col: str, seed: int | str, name: str = "rank",
-                     with_total: bool = False) -> DataFrame:
+                     with_total: bool = False, rows: int | None = None) -> DataFrame:
     """0-based rank of each row in the seeded permutation ``order by md5(seed:id), id``.
 
     md5 spreads rows evenly over 2^32 ordered buckets; the rank is the row
     count of earlier buckets (small aggregated table) plus the rank inside the
-    bucket block, so no task sees more than its block.  ``with_total`` adds
-    ``<name>_total`` (row count) from the same bucket table.
+    bucket block, so no task sees more than its block.  ``rows``, where it is
+    known, makes the blocks so narrow that each holds about a million rows at
+    most; without it there are 65,536 blocks, which is that for 6.9e10 rows.
+    ``with_total`` adds ``<name>_total`` (row count) from the same bucket table.
     """
     key = shuffle_key(id_col, seed)
     d = df.withColumn("_h", key).withColumn("_hb", F.conv(F.substring("_h", 1, HASH_BUCKET_HEX), 16, 10).cast("long"))
-    return dense_position(d, None, "_hb", block=HASH_BLOCK, name=name, tiebreak=["_h", id_col],
+    block = min(HASH_BLOCK, max(1, (1 << 52) // rows)) if rows else HASH_BLOCK
+    return dense_position(d, None, "_hb", block=block, name=name, tiebreak=["_h", id_col],
                           with_total=with_total).drop("_h", "_hb")
 
 

@@ -145,3 +145,12 @@ def test_payout_scales_to_the_wallet(spark):
                                        ("784", "784"), ("", ""), ("(None,)", "(None,)"), (None, None)])
 def test_shape_text(spark, text, want):
     assert spark.createDataFrame([(text,)], "s string").select(shape_text("s")).first()[0] == want
+
+
+def test_model_chain_is_long_and_may_hold_a_cycle(spark):
+    from kelpie.operators.registry import model_chain
+    links = [(i, i - 1 if i else None) for i in range(12)] + [(100, 102), (101, 100), (102, 101)]
+    models = spark.createDataFrame(links, "model_id long, father_id long")
+    roots = spark.createDataFrame([(0,), (100,)], "model_id long")
+    got = {(r["root"], r["model_id"], r["depth"]) for r in model_chain(spark, models, roots).collect()}
+    assert got == {(0, i, i) for i in range(12)} | {(100, 100, 0), (100, 101, 1), (100, 102, 2)}

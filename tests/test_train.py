@@ -57,10 +57,6 @@ def test_large_head_scores_like_small(spark):
     m = MD.LinearModel(W=W, b=np.zeros(3), temperature=2.0)
     df = spark.createDataFrame([(i, rng.normal(size=5).tolist()) for i in range(20)], "id int, x array<double>")
     a = {r["id"]: r["values"] for r in m.apply(df, "x").collect()}
-    old = MD.LITERAL_LIMIT
-    MD.LITERAL_LIMIT = 1
-    try:
-        b = {r["id"]: r["values"] for r in m.apply(df, "x").collect()}
-    finally:
-        MD.LITERAL_LIMIT = old
+    big = MD.LinearModel(W=W, b=np.zeros(3), temperature=2.0, arrow=True)
+    b = {r["id"]: r["values"] for r in big.apply(df, "x").collect()}
     assert all(np.allclose(a[i], b[i]) for i in a)
