@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kelpie.llm.common import not_null_text, unique_names, write_and_read
+from kelpie.llm.common import not_null_text, parallelism, unique_names, write_and_read
 
 BLOCK = 64              # words in a block
 LANE = 1 << 18          # words in a lane, about
@@ -251,7 +251,7 @@ class Mix:
         while width > 1:        # one draw for up to DRAW shards, two for up to DRAW squared, ...
             drawn = drawn.mapInArrow(_draw(seed), _DRAWN)
             width = -(-width // DRAW)
-        drawn = write_and_read(drawn, "mix-draws")
+        drawn = write_and_read(drawn, "mix-draws").repartition(parallelism(docs.sparkSession), "s", "a")
         slots = drawn.select("s", "blocks", F.col("a").alias("shard"),
                              F.explode(F.expr("sequence(first, first + slots - 1)")).alias("j")) \
             .mapInArrow(_map_slots(seed), "s long, shard long, slot long, epoch long, block long")
