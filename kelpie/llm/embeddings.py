@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kelpie.llm.common import parallelism, write_and_read
+from kelpie.llm.common import columns, parallelism, write_and_read
 from kelpie.llm.components import components
 
 COSINE = 0.9
@@ -214,9 +214,9 @@ def link(vectors: DataFrame, cosine: float = COSINE, seed: int = 7, codes: int =
     zeros.  A null vec_id takes part but is never a component's id nor kept; an
     empty table gives no rows; other columns are not looked at."""
     spark = vectors.sparkSession
-    kind = vectors.schema["embedding"].dataType.elementType
+    kind = next(f.dataType for f in vectors.schema.fields if f.name == "embedding").elementType
     item = "float" if isinstance(kind, T.FloatType) else "double"
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{item}>").alias("v"))
+    rows = columns(vectors, vec_id="long", embedding=f"array<{item}>").withColumnRenamed("embedding", "v")
     usable = F.expr("v IS NOT NULL AND exists(v, x -> x <> 0) AND "
                     "forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))")
     rows = rows.withColumn("ok", F.coalesce(usable, F.lit(False)))

@@ -215,7 +215,7 @@ class Mix:
 
     def __init__(self, docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK,
                  lane: int = LANE, shard: int = SHARD, seed: int = SEED):
-        self.docs = unique_names(docs.withColumnRenamed("text", "_mx_text"), OUT).withColumnRenamed("_mx_text", "text")
+        self.docs = unique_names(docs, OUT[1:], ("doc_id", "text", "source"))
         self.block, self.seed = block, seed
         content = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
         counted = write_and_read(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kelpie.llm.common import columns, write_and_read
+from kelpie.llm.common import aside, columns, write_and_read
 
 REACH = 400
 KINDS = ("assign", "access", "hex", "login", "opaque", "endpoint")   # also the order at equal starts
@@ -179,7 +179,8 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]", reach: int = REACH) -> Dat
     found = scan(docs, reach).where(F.size("spans") > 0) \
         .groupBy("k1", "k2").agg(F.first("spans").alias("_ss_spans"))
     k1, k2 = row_key()
-    joined = docs.withColumns({"_ss_k1": k1, "_ss_k2": k2}).join(
+    rows = aside(docs, "doc_id", "text")
+    joined = rows.withColumns({"_ss_k1": k1, "_ss_k2": k2}).join(
         found.select(F.col("k1").alias("_ss_k1"), F.col("k2").alias("_ss_k2"), "_ss_spans"),
         ["_ss_k1", "_ss_k2"], "left")
     clean = F.expr(f"""
@@ -190,4 +191,4 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]", reach: int = REACH) -> Dat
             'pos', greatest(a.pos, s.end)),
           a -> concat(a.out, substring(text, a.pos + 1)))""")
     return joined.withColumn("text", F.when(F.col("_ss_spans").isNull(), F.col("text")).otherwise(clean)) \
-        .drop("_ss_k1", "_ss_k2", "_ss_spans").select(*docs.columns)
+        .drop("_ss_k1", "_ss_k2", "_ss_spans").select(*rows.columns).toDF(*docs.columns)

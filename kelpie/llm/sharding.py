@@ -28,11 +28,11 @@ BUCKET_BYTES = 64 << 20
 OUT = ("shard", "slot")
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def _stored(df: DataFrame, key: str, text: str) -> DataFrame:
     """The rows with the columns ``_ks_file`` and ``_ks_row`` that tell equal rows apart.
     A frame that is not read from files is written to the shared folder first."""
     where = ("_metadata.file_name", "_metadata.row_index")
-    kept = unique_names(df, OUT)
+    kept = unique_names(df, OUT, (key, text))
     try:
         if "_metadata" in {c.lower() for c in df.columns}:
             raise AnalysisException("a column of that name hides the files' metadata")
@@ -56,7 +56,7 @@ def write_shards(df: DataFrame, shards: int = 8, seed: int = 20, key: str = "doc
     all buckets; an empty table gives no rows.
     """
     spark = df.sparkSession
-    rows = _stored(df)
+    rows = _stored(df, key, text)
     digest = F.xxhash64(F.lit(seed), F.col(key), F.col("_ks_file"), F.col("_ks_row"))
     total = rows.agg(F.count(F.lit(1)).alias("n"),
                      F.coalesce(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 1), F.lit(0)).alias("b")).first()

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelpie.llm.common import columns, write_and_read
+from kelpie.llm.common import aside, columns, write_and_read
 from kelpie.llm.components import components
 
 SHINGLE, DISTANCE = 4, 4
@@ -243,11 +243,12 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     found = cluster(docs, shingle, distance)
     ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c"))
     kept = write_and_read(ids.where("doc_id = c").select(F.col("doc_id").alias("_sh_id"), "n"), "kept-documents")
-    same = docs["doc_id"] == F.col("_sh_id")
-    single = docs.join(kept.where("n = 1"), same, "left_semi")
+    rows = aside(docs, "doc_id", "text")
+    same = rows["doc_id"] == F.col("_sh_id")
+    single = rows.join(kept.where("n = 1"), same, "left_semi")
     if kept.where("n > 1").isEmpty():
-        return single
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    several = docs.join(kept.where("n > 1"), same, "left_semi") \
+        return single.toDF(*docs.columns)
+    row = F.struct(*[F.col(c) for c in rows.columns])
+    several = rows.join(kept.where("n > 1"), same, "left_semi") \
         .groupBy("doc_id").agg(F.min_by(row, F.xxhash64("text")).alias("r")).select("r.*")
-    return single.unionByName(several)
+    return single.unionByName(several).toDF(*docs.columns)

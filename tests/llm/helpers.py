@@ -44,6 +44,6 @@ def documents(spark, rows=None):
 def clashing(df):
     """The same rows with extra columns whose names operators use themselves."""
     from pyspark.sql import functions as F
-    return df.select(F.lit("x").alias("TEXT_"), "*", *[F.lit(i).alias(n) for i, n in enumerate(
+    return df.select(F.lit("x").alias("TEXT"), F.lit(0).alias("Doc_Id"), "*", *[F.lit(i).alias(n) for i, n in enumerate(
         ("shard", "slot", "Slot_", "size", "lane", "ord", "words", "block", "s", "n", "h", "fp", "k1", "component_id", "label",
          "sequence_id", "offset", "bucket", "kept", "epoch", "at", "spans", "rep", "root", "c1"))])

@@ -88,7 +88,7 @@ def test_recall_at_the_threshold():
 def test_double_vectors_other_columns_and_empty_table(spark):
     rows = vectors(20)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select(
-        "*", *[F.lit(1).alias(n) for n in ("id", "n", "k1", "root", "label", "filter", "v", "ok")])
+        "*", *[F.lit(1).alias(n) for n in ("id", "n", "k1", "root", "label", "filter", "v", "ok", "VEC_ID")])
     assert sorted((tuple(r) for r in embeddings.link(df).collect()), key=str) == plain(rows)
     assert run(spark, []) == []
 
