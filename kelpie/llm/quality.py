@@ -18,11 +18,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelpie.llm.common import columns, write_and_read
+from kelpie.llm.common import aside, columns, write_and_read
 from kelpie.llm.textstats import Chunk, Grams, chunks
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
@@ -86,11 +87,12 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, seed:
     text = columns(docs, doc_id="long", text="string")
     # the sample's ids: max_train rows at most
     sample = text.join(F.broadcast(marked), "doc_id").select("label", "calibrate", "text")
-    vector = F.udf(lambda i, v: Vectors.sparse(1 << BITS, i, v), VectorUDT())
-    rows = sample.mapInArrow(_features, "label double, calibrate boolean, idx array<int>, val array<double>") \
-        .select("label", "calibrate", vector("idx", "val").alias("features"))
+    rows = sample.mapInArrow(_features, "label double, calibrate boolean, idx array<int>, val array<double>")
     # few partitions whatever the corpus: a gradient is as wide as the model, and one is sent for each
     rows = write_and_read(rows.repartition(TRAIN_PARTITIONS), "quality-sample")
+    # not in the pass above: two Python steps in one stage keep twice the workers, for as long as the executor lives
+    vector = F.udf(lambda i, v: Vectors.sparse(1 << BITS, i, v), VectorUDT())
+    rows = rows.select("label", "calibrate", vector("idx", "val").alias("features"))
     counts = {(r["calibrate"], r["label"]): r["count"] for r in rows.groupBy("calibrate", "label").count().collect()}
     if not all(counts.get((False, y)) for y in (0.0, 1.0)):
         return None
@@ -101,10 +103,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, seed:
     weights, intercept = fitted.coefficients.toArray().astype(np.float32), float(fitted.intercept)
     if not all(counts.get((True, y)) for y in (0.0, 1.0)):
         return Model(weights, intercept, 1.0, 0.0)
-    margin = F.udf(lambda raw: Vectors.dense([float(raw[1])]), VectorUDT())
+    margin = array_to_vector(F.array(vector_to_array("rawPrediction")[1]))     # in the JVM, for the same reason
     platt = LogisticRegression(maxIter=50, regParam=1e-4, featuresCol="m", predictionCol="pp",
                                rawPredictionCol="pr", probabilityCol="pq") \
-        .fit(fitted.transform(rows.where("calibrate")).select("label", margin("rawPrediction").alias("m")))
+        .fit(fitted.transform(rows.where("calibrate")).select("label", margin.alias("m")))
     return Model(weights, intercept, float(platt.coefficients[0]), float(platt.intercept))
 
 
@@ -153,4 +155,5 @@ def filter_documents(docs: DataFrame, model: Model | None) -> DataFrame:
             keep = pa.chunked_array([x.column(8) for x in judge_batch([probe])], pa.bool_()).combine_chunks()
             yield b.filter(keep)
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = aside(docs, "text")
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

@@ -60,6 +60,7 @@ def documents_of(batch_text: pa.Array, path: str) -> Iterator[np.ndarray]:
             out[:-1] = ids[a:b]
             out[-1] = END_ID
             yield out
+        pa.default_memory_pool().release_unused()   # Arrow's pool would keep the largest chunk's memory
 
 
 def train_dictionary(docs: DataFrame, path: str, seed: int = 5) -> bytes:

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 1
-GENERATION = 300_000    # words in one of the two generations of the cache
+GENERATION = 200_000    # words in one of the two generations of the cache
 # Texts whose blanks can't be split at one by one (RE2; the class is Unicode's White_Space).
 _W = r"[\t-\r\x{85}\p{Z}]"
 _ODD = {"dropped": r"\x00", "leading": rf"{_W}{_W}|^{_W}|{_W}$|\x00|^$"}
@@ -147,7 +147,7 @@ class Encoder:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
 
 
-def runs(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
+def runs(texts: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, pa.Array]]:
     """(first row, texts): consecutive texts, about ``most`` bytes at a time; null becomes empty; no text is cut."""
     texts = pc.fill_null(texts, "")
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
