@@ -18,8 +18,9 @@ points away:
 
 Co-occurrence is an interval join in Spark: each part is entered in all
 ``reach``-wide cells of its scope that it can reach, each weak candidate looks
-up its own cells, and the distance test follows.  It is a semi join, so a
-document full of parts never gives more rows than it has candidates.
+up all cells from its start to its end, and the distance test follows.  It is a
+semi join, so a candidate gives at most one row for each of its own cells, which
+are made one again, however full of parts a document is.
 """
 
 from __future__ import annotations
@@ -123,16 +124,15 @@ def _linked(scan: DataFrame, reach: int) -> DataFrame:
     near = parts.where("role <> 'endpoint'").select(
         "k1", "k2", "scope", F.col("role").alias("other"), F.col("start").alias("s"), F.col("end").alias("e"),
         F.explode(F.expr(f"sequence((start - {reach}) div {reach} - 1, (end + {reach}) div {reach} + 1)")).alias("cell"))
-    weak = parts.where(F.col("kind").isin("login", "opaque", "endpoint")) \
-        .withColumn("cell", F.expr(f"start div {reach}"))
+    weak = parts.where(F.col("kind").isin("login", "opaque", "endpoint")).select("k1", "k2", "scope", "kind", "start", "end")
 
     def having(cands: DataFrame, role: str) -> DataFrame:
         n = near.where(F.col("other") == role).alias("n")
-        c = cands.alias("c")
+        c = cands.withColumn("cell", F.explode(F.expr(f"sequence(start div {reach}, end div {reach})"))).alias("c")
         return c.join(n, (F.col("c.k1") == F.col("n.k1")) & (F.col("c.k2") == F.col("n.k2"))
                       & (F.col("c.scope") == F.col("n.scope")) & (F.col("c.cell") == F.col("n.cell"))
                       & (F.col("n.s") - F.col("c.end") <= reach) & (F.col("c.start") - F.col("n.e") <= reach),
-                      "left_semi")
+                      "left_semi").drop("cell").distinct()
 
     found = having(weak.where("kind = 'opaque'"), "id") \
         .unionByName(having(weak.where("kind = 'login'"), "secret")) \

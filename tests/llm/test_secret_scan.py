@@ -62,6 +62,21 @@ def test_against_the_plain_version(spark, reach):
     assert sorted(map(str, got)) == sorted(str((d, plain_base(t), plain_spans(t, reach))) for d, t, _, _ in rows)
 
 
+@pytest.mark.parametrize("length", [900, 1300, 5000])
+def test_long_candidates_with_the_complement_at_either_end(spark, length):
+    blob, url = (OPAQUE * length)[:length], "https://db.example.com/" + "a.b/" * (length // 4)
+    texts = []
+    for shift in range(0, 400, 57):         # the cells' edges lie elsewhere in the candidate
+        pad = "." * shift + " "
+        texts += [pad + t for t in (f"{blob} id {KEY}", f"id {KEY} {blob}", f"{blob}{' ' * 395}{KEY}", f"{blob}{' ' * 405}{KEY}",
+                                    f"{url} id {KEY} password=abcdefghijklmn", f"{KEY} {url} password=abcdefghijklmn",
+                                    f"password=abcdefghijklmn {url} {KEY}", f"{url} {KEY}", f"{blob}\n\n{KEY}",
+                                    f"user={'u1' * (length // 2)} {' ' * 300} password=abcdefghijklmn")]
+    got = rows_of(ss.scan(documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])))
+    assert sorted(got) == [(i, plain_base(t), plain_spans(t, ss.REACH)) for i, t in enumerate(texts)]
+    assert sum(k in ("opaque", "endpoint") for _, _, spans in got for k, _, _ in spans) >= 6 * 8
+
+
 def test_weak_parts_need_their_complement():
     kinds = [[k for k, _, _ in plain_spans(t, ss.REACH)] for t in TEXTS[:8]]
     assert kinds == [["access", "opaque"], [], ["access"], ["access"], ["login", "assign", "endpoint"], [], ["access"],
