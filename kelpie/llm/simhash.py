@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from kelpie.llm.common import aside, columns, write_and_read
 from kelpie.llm.components import components
+from kelpie.llm.secret_scan import row_key
 
 SHINGLE, DISTANCE = 4, 4
 SEED = 42
@@ -61,15 +62,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int.from_bytes(np.packbits(2 * ones > len(rows)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row, the fingerprint as a signed long; written to the shared folder."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp) of every row, the fingerprint as a signed long; written to the
+    shared folder.  ``keyed``: also h, the text's hash, and k1, k2 (:func:`row_key`)."""
+    src = columns(docs, doc_id="long", text="string")
+    more = [F.xxhash64("text").alias("h"), *row_key()] if keyed else []
+    names = ["doc_id", "fp", *(["h", "k1", "k2"] if keyed else [])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(b.column(1)[i].as_py(), shingle) for i in range(b.num_rows)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]], names)
 
-    src = columns(docs, doc_id="long", text="string")
-    return write_and_read(src.mapInArrow(run, "doc_id long, fp long"), "fingerprints")
+    out = src.select("doc_id", "text", *more).mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return write_and_read(out, "fingerprints")
 
 
 # --- the grid ------------------------------------------------------------------------------------
@@ -219,6 +225,14 @@ def links(fps: DataFrame, distance: int = DISTANCE, cell: int = CELL) -> DataFra
     return found.unionByName(spokes.join(hubs, "v").where("a <> b").select("a", "b").distinct())
 
 
+def _rooted(rows: DataFrame, distance: int, cell: int) -> DataFrame:
+    """(fp, rep, root) of every distinct fingerprint: its smallest doc_id, and the smallest fingerprint reachable."""
+    nodes = write_and_read(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-nodes")
+    roots = components(links(nodes, distance, cell))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left") \
+        .select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+
+
 def cluster(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, cell: int = CELL) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, fp (signed long) and
     component_id, the smallest doc_id reachable by links, its own included.
@@ -228,27 +242,34 @@ def cluster(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, c
     doc_id takes part; it is never a component's id, which is null where no id is known.
     An empty table gives no rows."""
     rows = fingerprints(docs, shingle)
-    nodes = write_and_read(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-nodes")
-    roots = components(links(nodes, distance, cell))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left") \
-        .select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(rows, distance, cell)
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     by_fp = rooted.join(smallest, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``docs`` with one row left of every component: that of the smallest doc_id, or
-    where that repeats, the one whose text hashes lowest; all columns stay."""
-    found = cluster(docs, shingle, distance)
-    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c"))
-    kept = write_and_read(ids.where("doc_id = c").select(F.col("doc_id").alias("_sh_id"), "n"), "kept-documents")
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, cell: int = CELL) -> DataFrame:
+    """``docs`` with one row left of every component: that of the smallest doc_id
+    (a null one comes last), or where that repeats, the one whose text hashes
+    lowest; all columns stay.  A component is known by its root fingerprint, so
+    ids that are null or occur in several components lose none."""
+    found = fingerprints(docs, shingle, keyed=True)
+    keys = found.groupBy("fp", "doc_id", "h", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "k1", "k2", "n"))
+    best = keys.groupBy("fp").agg(first.alias("r")).join(_rooted(found, distance, cell), "fp") \
+        .groupBy("root").agg(F.min("r").alias("r"))
+    kept = write_and_read(best.select(F.col("r.k1").alias("_sh_k1"), F.col("r.k2").alias("_sh_k2"), "r.n"),
+                          "kept-documents")
     rows = aside(docs, "doc_id", "text")
-    same = rows["doc_id"] == F.col("_sh_id")
-    single = rows.join(kept.where("n = 1"), same, "left_semi")
+    typed = rows.withColumns({"_sh_id": F.col("doc_id").cast("long"), "_sh_text": F.col("text").cast("string")})
+    k1, k2 = row_key("_sh_text", "_sh_id")
+    keyed = typed.withColumns({"_sh_k1": k1, "_sh_k2": k2})
+    on = ["_sh_k1", "_sh_k2"]
+    single = keyed.join(kept.where("n = 1"), on, "left_semi").select(*rows.columns)
     if kept.where("n > 1").isEmpty():
         return single.toDF(*docs.columns)
+    # rows that agree in id and text
     row = F.struct(*[F.col(c) for c in rows.columns])
-    several = rows.join(kept.where("n > 1"), same, "left_semi") \
-        .groupBy("doc_id").agg(F.min_by(row, F.xxhash64("text")).alias("r")).select("r.*")
+    several = keyed.join(kept.where("n > 1"), on, "left_semi") \
+        .groupBy(*on).agg(F.first(row).alias("r")).select("r.*")
     return single.unionByName(several).toDF(*docs.columns)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kelpie.llm import simhash
 from kelpie.llm.components import components
-from tests.llm.helpers import WORD, awkward, clashing, documents
+from tests.llm.helpers import WORD, awkward, clashing, documents, prose
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -112,3 +112,25 @@ def test_keep_one(spark):
     assert sorted(r["doc_id"] for r in kept) == sorted({c for (d, *_), c in zip(rows, comp) if d is not None and d == c})
     assert {(r["doc_id"], r["text"], r["source"]) for r in kept} <= {(d, t, s) for d, t, _, s in rows}
     assert simhash.keep_one(documents(spark).withColumn("fp", F.lit(1))).columns[-1] == "fp"
+
+
+def test_keep_one_leaves_a_row_of_every_component(spark):
+    rows = awkward() + [(None, prose(500 + i, 60), "en", "s1") for i in range(6)]       # unique, without an id
+    rows += [(None, prose(500, 60), "de", "s2")] * 3                                    # equal rows without an id
+    rows += [(3, prose(600, 70), "en", "s1"), (5, prose(601, 70), "en", "s1"), (5, prose(3, 120) + " end0", "en", "s1")]
+    fps = [plain_fingerprint(t) for _, t, _, _ in rows]
+    comp = plain_components(list(range(len(rows))), fps)                                # by place, not by id
+    groups = {}
+    for (d, t, _, _), c in zip(rows, comp):
+        groups.setdefault(c, []).append((d is None, d or 0, t))
+    group_of = {(d, t): c for (d, t, _, _), c in zip(rows, comp)}
+    docs = clashing(documents(spark, rows))
+    for cell in (simhash.CELL, 3):
+        kept = simhash.keep_one(docs, cell=cell)
+        assert kept.columns == docs.columns
+        kept = kept.collect()
+        assert sorted(group_of[r["doc_id"], r["text"]] for r in kept) == sorted(groups)
+        for r in kept:
+            group = groups[group_of[r["doc_id"], r["text"]]]
+            assert (r["doc_id"] is None, r["doc_id"] or 0) == min(g[:2] for g in group)
+            assert (r["doc_id"], r["text"], r["source"]) in {(d, t, s) for d, t, _, s in rows}
