@@ -2,7 +2,7 @@
 
 Filter directions are pairs of random unit codewords, one for each half of a
 randomly rotated space; with B codewords a half there are B*B directions, and
-``CODES`` such codes, each with a rotation of its own.  A vector is list-decoded
+``CODES`` such codes or more, each with a rotation of its own.  A vector is list-decoded
 to *all* directions whose inner product with it exceeds a threshold: its halves
 are scored against the codewords, and only those pairs are formed whose sum can
 still exceed.  Vectors that share a filter are candidates, and their cosine is
@@ -10,8 +10,11 @@ computed in double precision.
 
 The threshold comes from the share of the sphere that a cap covers, so that a
 cap holds about ``CAP`` vectors at any table size and a vector enters about
-``FILTERS`` caps of each code.  Two vectors at cosine 0.9 then share a filter
-with a probability of about 0.99 (README, "Recall").
+``FILTERS`` caps of each code.  The caps of a larger table are narrower, and one
+code finds fewer of its links.  So codes are added until two vectors at exactly
+the cosine asked for share a filter with a probability of ``RECALL``: rotations
+are independent, so the shares that each code misses multiply, and each is
+measured on random pairs when the code is drawn (README, "Recall").
 
 A pair that shares several filters counts only in the first of them, so a
 vector's links are added up without ever listing the pairs.  A filter with more
@@ -33,7 +36,9 @@ from kelpie.llm.common import columns, parallelism, write_and_read
 from kelpie.llm.components import components
 
 COSINE = 0.9
-CODES, FILTERS = 8, 4                   # codes; filters of each that a vector enters on average
+CODES, FILTERS = 8, 4                   # least codes; filters of each that a vector enters on average
+RECALL, AIM = 0.99, 0.993               # least share of pairs at the threshold that meet; the estimate aimed at for it
+PAIRS = 2000                            # random pairs tried with each code
 CAP, WIDEST = 64, 4e-3                  # vectors a filter; largest share of the sphere
 CELL = 1024
 LEAST_DIM = 16
@@ -55,38 +60,66 @@ def threshold_for(share: float, dim: int) -> float:
 
 
 class Code:
-    """Random product codes for ``rows`` vectors of ``dim`` dimensions."""
+    """Random product codes for ``rows`` vectors of ``dim`` dimensions: at least
+    ``codes``, and as many more as links at ``cosine`` need for ``RECALL`` (estimate: ``recall``)."""
 
     def __init__(self, dim: int, rows: int, seed: int = 7, codes: int = CODES, filters: float = FILTERS,
-                 cap: int = CAP):
+                 cap: int = CAP, cosine: float = COSINE):
         self.dim = max(dim, LEAST_DIM)
         rng = np.random.Generator(np.random.PCG64(seed))
+        pairs = np.random.Generator(np.random.PCG64([seed, 1]))
         share = min(WIDEST, cap / max(1, rows))
         self.words = int(np.ceil(np.sqrt(filters / share)))
         self.threshold = threshold_for(share, self.dim) * np.sqrt(2)    # of the sum of both halves
         half = self.dim // 2
         self.codes = []
-        for _ in range(codes):
+        missed = 1.0
+        while len(self.codes) < codes or missed > 1 - AIM:
             turn = np.linalg.qr(rng.standard_normal((self.dim, self.dim)))[0][:dim]
             book = [rng.standard_normal((self.words, n)) for n in (half, self.dim - half)]
             # rotation and codewords in one: a vector's scores are one product with each matrix
             self.codes.append([turn[:, part] @ (b / np.linalg.norm(b, axis=1, keepdims=True)).T
                                for part, b in zip((slice(0, half), slice(half, None)), book)])
+            missed *= 1 - self._met(len(self.codes) - 1, *_pairs(pairs, dim, cosine))
+        self.recall = 1 - missed
+
+    def _met(self, i: int, x: np.ndarray, y: np.ndarray) -> float:
+        """Share of the pairs (x, y) that share a filter of code ``i``."""
+        met = 0
+        for at in range(0, len(x), 100):
+            a, b = (np.stack(self._decode(i, v[at:at + 100]), 1) for v in (x, y))
+            both = np.concatenate([a, b])
+            found, times = np.unique(both, axis=0, return_counts=True)
+            met += len(np.unique(found[times > 1, 0]))
+        return met / len(x)
+
+    def _decode(self, i: int, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        rows, filters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        first, second = (unit @ m for m in self.codes[i])
+        row, word = np.nonzero(first >= (self.threshold - second.max(1))[:, None])
+        for at in range(0, len(row), 4096):
+            r, w = row[at:at + 4096], word[at:at + 4096]
+            k, v = np.nonzero(second[r] >= (self.threshold - first[r, w])[:, None])
+            rows.append(r[k])
+            filters.append((i * self.words + w[k]) * self.words + v)
+        return np.concatenate(rows), np.concatenate(filters)
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All (vector, filter) whose inner product exceeds the threshold."""
-        rows, filters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i, (one, two) in enumerate(self.codes):
-            first, second = unit @ one, unit @ two
-            row, word = np.nonzero(first >= (self.threshold - second.max(1))[:, None])
-            for at in range(0, len(row), 4096):
-                r, w = row[at:at + 4096], word[at:at + 4096]
-                k, v = np.nonzero(second[r] >= (self.threshold - first[r, w])[:, None])
-                rows.append(r[k])
-                filters.append((i * self.words + w[k]) * self.words + v)
+        rows, filters = zip(*(self._decode(i, unit) for i in range(len(self.codes))))
         return np.concatenate(rows), np.concatenate(filters)
 
 
+def _pairs(rng: np.random.Generator, dim: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """``PAIRS`` random pairs of unit vectors at exactly ``cosine`` (one dimension has equal ones only)."""
+    x, z = rng.standard_normal((2, PAIRS, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if dim < 2:
+        return x, x
+    z -= (z * x).sum(1, keepdims=True) * x
+    return x, cosine * x + np.sqrt(1 - cosine ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+
+
 def _unit(v: np.ndarray) -> np.ndarray:
     v = v.astype(np.float64)
     v = v / np.abs(v).max(1, keepdims=True)     # no overflow or underflow in the norm
@@ -230,7 +263,7 @@ def link(vectors: DataFrame, cosine: float = COSINE, seed: int = 7, codes: int =
                                                   F.first("v").alias("v"))
         .withColumn("id", F.monotonically_increasing_id()), "vector-classes")
 
-    code = spark.sparkContext.broadcast(Code(dim, classes.count(), seed, codes, filters))
+    code = spark.sparkContext.broadcast(Code(dim, classes.count(), seed, codes, filters, cosine=cosine))
     entries = classes.select("id", "n", "v").mapInArrow(
         _decoder(code, dim, item), f"filter long, id long, n long, v array<{item}>, filters array<long>")
     full = write_and_read(entries.groupBy("filter").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > cell)

@@ -97,3 +97,19 @@ def test_dimensions_below_and_above_the_codes(spark):
     for dim in (1, 2, 17, 300):
         rows = vectors(12, dim, seed=dim)
         assert run(spark, rows) == plain(rows)
+
+
+def test_recall_holds_as_the_table_grows():
+    """Codes are added for larger tables; checked with pairs other than those they were chosen by."""
+    rng = np.random.default_rng(8)
+    x, z = rng.standard_normal((2, 400, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.81) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    codes = []
+    for rows in (10_000, 1_000_000, 10_000_000):
+        code = embeddings.Code(64, rows)
+        a, b = (set(zip(*(c.tolist() for c in code.decode(v)))) for v in (x, y))
+        assert code.recall >= embeddings.RECALL and len({r for r, _ in a & b}) / 400 > 0.975
+        codes.append(len(code.codes))
+    assert codes[0] == embeddings.CODES and codes == sorted(codes) and codes[-1] > codes[0]
