@@ -191,3 +191,12 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.translate("text", upper, lower))
     return Manifest(read_table(spark, sf_dir, "documents"), tampered).prove()
+
+
+@_query("op12_bpe_transducer")
+def op12_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the streaming transducer and decoded again."""
+    from kelpie.llm.bpe import round_trip
+    from kelpie.llm.tokenizing import public_path
+
+    return round_trip(read_table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"))
