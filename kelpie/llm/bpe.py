@@ -35,13 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kelpie.llm.common import columns, not_null_text
+from kelpie.llm.pieces import SPACE, Classes, PieceTable, bytes_before, code_points, piece_starts
 
 BLOCK = 1 << 20         # characters fed at a time
 WINDOW = 4096           # bytes of an open piece that are merged at a time, besides the lookahead
 SHORT = 40              # longest piece, in bytes, that is merged in a matrix
 KNOWN = 200_000         # merged pieces that the table holds
 _NONE = np.int32(2**31 - 1)
-_OTHER, _LETTER, _NUMBER, _SPACE = range(4)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -186,82 +186,12 @@ class MergeList:
         return out
 
 
-# --- cutting into pieces -------------------------------------------------------------------------
-
-class Classes:
-    """Letter, number, white space or other, by code point: asked of the library's
-    pre-tokenizer when a code point is first seen."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self._cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
-        self._of = np.full(0x110000, -1, np.int8)
-
-    def __call__(self, points: np.ndarray) -> np.ndarray:
-        found = self._of[points]
-        if len(found) and found.min() < 0:
-            new = np.unique(points[found < 0])
-            # behind a letter, a digit and a mark: the class that it does not part from
-            probe = "".join(f"a{chr(c)}\n1{chr(c)}\n!{chr(c)}\n" for c in new.tolist())
-            starts = np.zeros(len(probe) + 1, bool)
-            starts[[s for _, (s, _) in self._cut(probe)]] = True
-            letter, number, mark = (~starts[1 + 3 * k:len(probe):9] for k in range(3))
-            self._of[new] = np.select([letter, number, mark], [_LETTER, _NUMBER, _OTHER], _SPACE)
-            found = self._of[points]
-        return found
-
-
-def piece_starts(points: np.ndarray, kind: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Where pieces begin; ``first`` are the places at which texts begin (each is taken as ended
-    by the next).  Runs of a class are pieces, with one blank before them.  A run of
-    white space before something else leaves its last character apart.  After ``'`` that
-    begins a piece, an English ending is part of it."""
-    n = len(points)
-    start = np.zeros(n + 3, bool)
-    opens = np.zeros(n + 3, bool)
-    opens[first] = opens[n] = True
-    start[:n] = opens[:n]
-    start[1:n] |= kind[1:] != kind[:-1]
-    run = start.copy()
-    last = np.flatnonzero((kind == _SPACE) & start[1:n + 1] & ~opens[1:n + 1])    # of a space run that something follows
-    if n:
-        start[last] = True
-        start[last[points[last] == 32] + 1] = False
-    quote = np.flatnonzero((points == 39) & start[:n] & run[:n] & ~opens[1:n + 1])
-    if len(quote):
-        ahead = np.concatenate([points, np.zeros(3, points.dtype)])
-        a, b = ahead[quote + 1], np.where(opens[quote + 2], 0, ahead[quote + 2])
-        two = np.isin(a, [ord(c) for c in "stmd"])
-        three = ((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
-        for k, those in ((2, quote[two]), (3, quote[three])):
-            for d in range(1, k):
-                start[those + d] = False
-            start[those + k] = True
-        start[np.flatnonzero(opens)] = True
-    return np.flatnonzero(start[:n])
-
-
-def _points(data: bytes) -> np.ndarray:
-    if data.isascii():
-        return np.frombuffer(data, np.uint8)
-    return np.frombuffer(data.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
-def _bytes_before(points: np.ndarray) -> np.ndarray:
-    """UTF-8 bytes before each code point, and in all."""
-    if points.dtype == np.uint8:
-        return np.arange(len(points) + 1)
-    width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
-    return np.concatenate([[0], np.cumsum(width)])
-
-
 class Transducer:
     """Encodes texts; one per worker process and file."""
 
     def __init__(self, path: str):
         self.merges, self.kinds = MergeList(path), Classes(path)
-        self._slot: dict[bytes, int] = {}
-        self._flat, self._width = [], []
+        self._table = PieceTable(self._learn, KNOWN)
 
     def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of closed pieces: (flat, how many each)."""
@@ -304,43 +234,15 @@ class Transducer:
                     yield stable
         yield self.merges.merge(held) if held else []
 
-    def _pieces(self, data: bytes, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces that begin at the bytes ``start`` (one more entry: the end), and how many each has."""
-        if len(start) < 2:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        coded = pa.Array.from_buffers(pa.large_binary(), len(start) - 1, [None, pa.py_buffer(start.astype(np.int64).tobytes()),
-                                                                          pa.py_buffer(data)]).dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        slots = self._slot
-        if len(slots) > KNOWN:
-            slots.clear()
-            self._flat, self._width = [], []
-        found = list(map(slots.get, pieces))
-        new = [k for k, s in enumerate(found) if s is None]
-        if new:
-            flat, width = self._learn([pieces[k] for k in new])
-            self._flat.append(flat)
-            self._width.append(width)
-            base = len(slots)
-            for k, s in zip(new, range(base, base + len(new))):
-                slots[pieces[k]] = found[k] = s
-            if len(self._flat) > 1:
-                self._flat, self._width = [np.concatenate(self._flat)], [np.concatenate(self._width)]
-            self._place = np.concatenate([[0], np.cumsum(self._width[0])])
-        slot = np.array(found, np.int64)[coded.indices.to_numpy()]
-        each = self._width[0][slot]
-        before = np.concatenate([[0], np.cumsum(each)])
-        return self._flat[0][np.repeat(self._place[slot] - before[:-1], each) + np.arange(before[-1])], each
-
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole short texts without special tokens, cut and merged together."""
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         data = b"".join(raw)
-        points = _points(data)
-        size = _bytes_before(points)
+        points = code_points(data)
+        size = bytes_before(points)
         ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         starts = piece_starts(points, self.kinds(points), ends[:-1][np.diff(ends) > 0])
-        ids, each = self._pieces(data, np.concatenate([size[starts], size[-1:]]))
+        ids, each = self._table.ids(data, np.concatenate([size[starts], size[-1:]]))
         before = np.concatenate([[0], np.cumsum(each)])
         cut = before[np.searchsorted(starts, ends)]
         return [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
@@ -389,7 +291,7 @@ class Transducer:
             following = next(waiting, None)
             text, last = tail + block, following is None
             data = text.encode("utf-8", "surrogatepass")
-            points = _points(data)
+            points = code_points(data)
             kind = self.kinds(points)
             starts = piece_starts(points, kind, np.zeros(min(1, len(points)), np.int64))
             n, safe = len(starts), len(starts)
@@ -397,10 +299,10 @@ class Transducer:
                 while safe and ((starts[safe] if safe < n else len(points)) >= len(points)
                                 or points[starts[safe - 1]] == 39 and starts[safe - 1] + 3 > len(points)):
                     safe -= 1
-            size = _bytes_before(points)
+            size = bytes_before(points)
             edges = np.append(starts, len(points))
             if safe:
-                yield self._pieces(data, size[edges[:safe + 1]])[0]
+                yield self._table.ids(data, size[edges[:safe + 1]])[0]
             tail = text[edges[safe]:]
             if len(tail) > WINDOW and not last:
                 # an open run: its tokens leave as they become stable
@@ -413,12 +315,12 @@ class Transducer:
 
     def _run(self, tail: str, kind: int, block: str | None, waiting, rest: list) -> Iterator[bytes]:
         """The parts of an open run of one class; ``rest`` gets the text behind it and the next block."""
-        keep = kind == _SPACE                   # the last blank may belong to the next piece
+        keep = kind == SPACE                   # the last blank may belong to the next piece
         held = tail
         while block is not None:
             yield held[:len(held) - keep].encode("utf-8", "surrogatepass")
             held = held[len(held) - keep:]
-            other = np.flatnonzero(self.kinds(_points(block.encode("utf-8", "surrogatepass"))) != kind)
+            other = np.flatnonzero(self.kinds(code_points(block.encode("utf-8", "surrogatepass"))) != kind)
             if len(other):
                 run = held + block[:other[0]]
                 yield run[:len(run) - keep].encode("utf-8", "surrogatepass")

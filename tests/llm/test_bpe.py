@@ -159,7 +159,7 @@ def test_a_full_table_starts_anew(library, monkeypatch):
     for i in range(0, 400, 20):
         assert [ids(x) for x in t.encode(texts[i:i + 20])] == \
             [e.ids for e in library.encode_batch(texts[i:i + 20], add_special_tokens=False)]
-    assert len(t._slot) < 2000
+    assert len(t._table) < 2000
 
 
 def test_decoding_ids_one_by_one(library, machine):
