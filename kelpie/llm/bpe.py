@@ -190,7 +190,8 @@ class Transducer:
     """Encodes texts; one per worker process and file."""
 
     def __init__(self, path: str):
-        self.merges, self.kinds = MergeList(path), Classes(path)
+        from tokenizers import Tokenizer
+        self.merges, self.kinds = MergeList(path), Classes(Tokenizer.from_file(path))
         self._table = PieceTable(self._learn, KNOWN)
 
     def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -15,9 +15,8 @@ class Classes:
     """Letter, number, white space or other, by code point: asked of the library's
     pre-tokenizer when a code point is first seen."""
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self._cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+    def __init__(self, tokenizer):
+        self._cut = tokenizer.pre_tokenizer.pre_tokenize_str
         self._of = np.full(0x110000, -1, np.int8)
 
     def __call__(self, points: np.ndarray) -> np.ndarray:

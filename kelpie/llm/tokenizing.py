@@ -65,7 +65,7 @@ class Encoder:
         for token, i in self._tok.get_vocab(with_added_tokens=True).items():
             tokens[i] = token
         if self._blanks == "leading":
-            self._kinds = Classes(path)
+            self._kinds = Classes(self._tok)
             self._bytes = np.array([len(t) for t in tokens], np.int64)      # a letter stands for each byte
         elif self._blanks == "dropped":
             self._ends = np.array([t.endswith("</w>") for t in tokens])

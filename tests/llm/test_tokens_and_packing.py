@@ -23,12 +23,16 @@ _libs, _own = {}, {}
 
 
 def whole(path, texts):
-    tok = _libs.setdefault(path, Tokenizer.from_file(path))
+    if path not in _libs:
+        _libs[path] = Tokenizer.from_file(path)
+    tok = _libs[path]
     return [array("I", e.ids).tolist() for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
 def cached(path, texts):
-    enc = _own.setdefault(path, Encoder(path))
+    if path not in _own:
+        _own[path] = Encoder(path)
+    enc = _own[path]
     out = []
     for _, part in runs(pa.array(texts, pa.string()), 200):
         ids, start = enc.encode(part)
