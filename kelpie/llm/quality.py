@@ -77,7 +77,9 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, seed:
     """Fit on ``labels`` (doc_id, quality 0/1) joined to ``docs`` (doc_id, text).
 
     Ids whose labels contradict each other, and null labels or ids, are left
-    out.  None if the sample lacks one of the two classes: there is then nothing to learn."""
+    out.  Each id gives one row, the text with the smallest hash if it has several, so the sample is
+    ``max_train`` rows at most however often an id occurs.  None if the sample lacks one of
+    the two classes: there is then nothing to learn."""
     marked = columns(labels, doc_id="long", quality="int").where("doc_id IS NOT NULL AND quality IN (0, 1)") \
         .groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("hi")).where("label = hi") \
         .select("doc_id", "label", F.xxhash64(F.lit(seed), "doc_id").alias("h")) \
@@ -86,7 +88,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, seed:
                            (F.pmod(F.col("h"), F.lit(4)) == 0).alias("calibrate"))
     text = columns(docs, doc_id="long", text="string")
     # the sample's ids: max_train rows at most
-    sample = text.join(F.broadcast(marked), "doc_id").select("label", "calibrate", "text")
+    sample = text.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "label", "calibrate") \
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("label", "calibrate", "text")
     rows = sample.mapInArrow(_features, "label double, calibrate boolean, idx array<int>, val array<double>")
     # few partitions whatever the corpus: a gradient is as wide as the model, and one is sent for each
     rows = write_and_read(rows.repartition(TRAIN_PARTITIONS), "quality-sample")

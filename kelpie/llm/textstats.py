@@ -2,8 +2,9 @@
 
 A chunk is the UTF-8 bytes of some texts, each closed by a line feed.  Words are
 maximal runs of bytes other than 0x20 and 0x09-0x0D; no byte of a longer UTF-8
-sequence is one of these.  Word, line and window equality goes by 64-bit
-polynomial hashes over per-byte random values."""
+sequence is one of these.  Lines, words and windows of words are equal if their bytes are: each
+distinct one gets a number, windows by doubling from the numbers of their halves.  Only
+n-gram features go by 64-bit polynomial hashes over per-byte random values."""
 
 from __future__ import annotations
 
@@ -90,6 +91,16 @@ class Chunk:
     def n_symbols(self) -> np.ndarray:
         return self._count(_SYMBOL[self._data])
 
+    def _names(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """A number for each stretch [a, b) of bytes, equal for equal stretches only.  The
+        stretches ascend and don't overlap."""
+        if not len(a):
+            return np.zeros(0, np.int64)
+        edges = np.stack([a, b], 1).ravel().astype(np.int64)       # what lies between is numbered too
+        coded = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [
+            None, pa.py_buffer(edges), pa.py_buffer(self._data)]).dictionary_encode()
+        return coded.indices.to_numpy()[::2].astype(np.int64)
+
     def n_dup_lines(self) -> np.ndarray:
         """Lines with a word that equal an earlier line of their text."""
         feeds = np.flatnonzero(self._data == 10)
@@ -97,7 +108,7 @@ class Chunk:
         with_word = np.searchsorted(self.w0, a) != np.searchsorted(self.w0, b)
         a, b = a[with_word], b[with_word]
         doc = np.searchsorted(self.start, a, "right") - 1
-        first = np.unique(mix(mix(self._hash(a, b)) + doc.astype(np.uint64) * _P), return_index=True)[1]
+        first = np.unique(self._names(a, b) * self.n + doc, return_index=True)[1]
         return np.bincount(doc, minlength=self.n) - np.bincount(doc[first], minlength=self.n)
 
     def n_repeat_words(self, width: int = 8) -> np.ndarray:
@@ -105,12 +116,13 @@ class Chunk:
         m = len(self.w0) - width + 1
         if m <= 0:
             return np.zeros(self.n, np.int64)
+        name, have = self._names(self.w0, self.w1), 1
+        while have < width:                             # windows of the next power of two, then of the width itself
+            step = min(have, width - have)
+            pair = name[:len(name) - step] * (int(name.max()) + 1) + name[step:]
+            name, have = np.unique(pair, return_inverse=True)[1], have + step
         at = np.flatnonzero(self.wdoc[:m] == self.wdoc[width - 1:])
-        h = np.zeros(len(at), np.uint64)
-        for k in range(width):
-            h = h * _P + self.whash[at + k]
-        key = mix(mix(h) + self.wdoc[at].astype(np.uint64) * _P)
-        _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+        _, inverse, count = np.unique(name[at] * self.n + self.wdoc[at], return_inverse=True, return_counts=True)
         again = at[count[inverse] > 1]
         step = np.bincount(again, minlength=len(self.w0) + 1) \
             - np.bincount(again + width, minlength=len(self.w0) + 1)

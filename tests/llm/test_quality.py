@@ -47,6 +47,49 @@ def test_counts_on_random_texts():
     assert got == [plain(t) for t in texts]
 
 
+def thue_morse(n, flip=0):
+    return "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(n))
+
+
+def test_counts_of_texts_that_collide_in_polynomial_hashes():
+    """A Thue-Morse word and its complement have one hash modulo 2^64, whatever the base."""
+    a, b = thue_morse(2048), thue_morse(2048, 1)
+    texts = [f"{a}\n{b}", f"{a}\n{b}\n{a}", f"w0 w1 w2 w3 w4 w5 w6 {a} w0 w1 w2 w3 w4 w5 w6 {b}",
+             f"w0 w1 w2 w3 w4 w5 w6 {a} w0 w1 w2 w3 w4 w5 w6 {a}", " ".join(thue_morse(4096)), "\n".join(thue_morse(4096))]
+    c = Chunk(texts)
+    got = list(zip(*(x.tolist() for x in (c.n_words, c.word_chars(), c.n_symbols(), c.n_dup_lines(), c.n_repeat_words()))))
+    assert got == [plain(t) for t in texts]
+    assert [g[3] for g in got[:3]] == [0, 1, 0] and [g[4] for g in got[2:4]] == [0, 16]
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 5, 8, 11])
+def test_windows_of_any_width(width):
+    rng = np.random.default_rng(width)
+    texts = [" ".join(rng.choice(list("abc"), rng.integers(0, 60))) for _ in range(100)]
+    want = []
+    for t in texts:
+        w = t.split()
+        seen = Counter(tuple(w[i:i + width]) for i in range(len(w) - width + 1))
+        want.append(len({k for i in range(len(w) - width + 1) if seen[tuple(w[i:i + width])] > 1 for k in range(i, i + width)}))
+    assert Chunk(texts).n_repeat_words(width).tolist() == want
+
+
+def test_a_repeated_labelled_id_gives_one_row_of_the_sample(spark, monkeypatch):
+    rows = [(i, junk(i) if i % 2 else prose(i, 60), "en", "s") for i in range(60)] \
+        + [(7, prose(7000 + i % 50, 30), "en", "s") for i in range(3000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    sizes, written = [], quality.write_and_read
+
+    def seen(df, name, *more):
+        out = written(df, name, *more)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(quality, "write_and_read", seen)
+    assert quality.train(documents(spark, rows), labels) is not None
+    assert sizes == [60]
+
+
 def junk(seed):
     return " ".join(w.upper() + "!!" for w in prose(seed, 60).split()) if seed % 2 else \
         " | ".join(w + "###" for w in prose(seed, 60).split())
