@@ -299,16 +299,6 @@ def gradient(df: DataFrame, spec: ModelSpec, P: dict, **kw):
     return _unflatten(g, P), loss, correct, n, wsum
 
 
-def gradient_by_key(df: DataFrame, spec: ModelSpec, P: dict, key: str, **kw) -> dict:
-    """Per-key sums (federated devices) with map-side combine (reduceByKey)."""
-    rows, sent = _partials(df, spec, P, key=key, **kw)
-    parts = rows.rdd.map(lambda r: (r["key"], (np.asarray(r["grad"]), r["loss"], r["correct"], r["n"], r["wsum"])))
-    try:
-        return {k: (_unflatten(v[0], P), v[1], v[2], v[3], v[4]) for k, v in parts.reduceByKey(_combine).collect()}
-    finally:
-        sent.destroy()
-
-
 # ------------------------------------------------------------------- fits ----
 
 @dataclass
@@ -531,72 +521,3 @@ def corrupt(df: DataFrame, device: str, faulty, how: str = "flip", features: str
     if how == "zero":
         return df.withColumn(features, F.when(bad, F.transform(features, lambda x: x * 0)).otherwise(F.col(features)))
     raise ValueError(how)
-
-
-# ------------------------------------------------------------ federated ----
-
-def local_fit(df: DataFrame, spec: ModelSpec, global_params: dict, device: str, epochs: int = 1,
-              lr: float = 0.5, **kw) -> dict:
-    """Every device fits from the current global weights for ``epochs``
-    full-batch steps; per-device sums are combined map-side (reduceByKey), so a
-    large device is spread over all tasks holding its rows."""
-    params = {}
-    state = None
-    for _ in range(epochs):
-        if state is None:
-            sums = gradient_by_key(df, spec, global_params, device, **kw)
-            state = {k: {p: global_params[p] - lr * G[p] / max(ws, 1e-12) for p in global_params}
-                     for k, (G, _, _, n, ws) in sums.items()}
-            meta = {k: (loss / max(ws, 1e-12), correct / max(n, 1), n) for k, (G, loss, correct, n, ws) in sums.items()}
-        else:
-            new = {}
-            for k, P in state.items():
-                sub = df.where(F.col(device).cast("string") == k)
-                G, loss, correct, n, ws = gradient(sub, spec, P, **kw)
-                new[k] = {p: P[p] - lr * G[p] / max(ws, 1e-12) for p in P}
-                meta[k] = (loss / max(ws, 1e-12), correct / max(n, 1), n)
-            state = new
-    for k, P in (state or {}).items():
-        params[k] = {"params": P, "loss": meta[k][0], "accuracy": meta[k][1], "num_data": meta[k][2]}
-    return params
-
-
-def params_to_weights(spark, models: dict[str, dict], version: int) -> DataFrame:
-    """Parameters of several models -> weights table rows (one row per tensor)."""
-    rows = []
-    for mid, P in models.items():
-        for li, k in enumerate(sorted(P)):
-            rows.append((str(mid), version, li, list(P[k].shape), P[k].ravel().astype(float).tolist()))
-    return spark.createDataFrame(rows, "model_id string, version int, layer int, shape array<int>, values array<double>")
-
-
-def weights_to_params(weights: DataFrame, like: dict) -> dict:
-    rows = {r["layer"]: r["values"] for r in weights.collect()}   # one model's parameters
-    return {k: np.asarray(rows[i]).reshape(like[k].shape) for i, k in enumerate(sorted(like))}
-
-
-def run_federated(df: DataFrame, spec: ModelSpec, device: str, rounds: int = 3, epochs: int = 1,
-                  lr: float = 0.5, strategy: str = "FedAvg", chunks: int = 0, pos: str | None = None,
-                  total: int | None = None, seed: int = 0, **kw):
-    """R rounds of local fits -> aggregation -> round records.
-
-    With ``chunks`` > 0 round r trains on the L05 chunk r only.  Returns the
-    final global parameters (version -1) and the per-round device records.
-    """
-    from kelpie.operators.federated import aggregate
-    from kelpie.operators.splits import round_chunk
-    spark = df.sparkSession
-    P = spec.init(feature_dim(df, kw.get("features", "features")), seed)
-    records = []
-    for r in range(rounds):
-        data = df
-        if chunks and pos:
-            data = df.where(round_chunk(pos, total, chunks) == F.lit(min(r, chunks - 1)))
-        local = local_fit(data, spec, P, device, epochs=epochs, lr=lr, **kw)
-        models = {"global": P, **{k: v["params"] for k, v in local.items()}}
-        w = params_to_weights(spark, models, r)
-        agg = aggregate(w.drop("version"), strategy, "global")
-        P = weights_to_params(agg, P)
-        for k, v in local.items():
-            records.append((r, k, int(v["num_data"]), float(v["loss"]), float(v["accuracy"])))
-    return P, records

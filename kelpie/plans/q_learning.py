@@ -260,37 +260,106 @@ dev AS (SELECT device, 'W' AS param, k, j, -0.5 * g / n AS value FROM gw JOIN nd
         UNION ALL SELECT device, 'b', k, 0, -0.5 * g / n FROM gb JOIN nd USING (device))"""
 
 
+def _long_params(models, *keys):
+    """Chunked softmax parameters as one row per number: layer 0 is W (K rows), layer 1 is b."""
+    from kelpie.operators.rounds import CHUNK
+    at = F.col("chunk") * CHUNK + F.col("pos")
+    d = 64
+    return models.select(*keys, "layer", "chunk", F.posexplode("values").alias("pos", "v")).select(
+        *keys, F.when(F.col("layer") == 0, "W").otherwise("b").alias("param"),
+        F.when(F.col("layer") == 0, F.floor(at / d)).otherwise(at).cast("int").alias("k"),
+        F.when(F.col("layer") == 0, at % d).otherwise(0).cast("int").alias("j"), F.round("v", 6).alias("value"))
+
+
+def _by_device(spark, sf):
+    return _samples(spark, sf).withColumn("device", F.col("vec_id") % 3)
+
+
 @register("g01_local_fit", _DEV_SQL + """
 SELECT CAST(device AS VARCHAR) AS device, param, k, j, round(value, 6) AS value FROM dev""")
 def g01(spark, sf):
+    from kelpie.operators import rounds as R
     spec = TR.SoftmaxRegression(k=K)
-    d = _samples(spark, sf).withColumn("device", F.col("vec_id") % 3)
-    res = TR.local_fit(d, spec, spec.init(64), "device", epochs=1, lr=LR)
-    frames = [_params_frame(spark, v["params"], {"device": k}) for k, v in sorted(res.items())]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    blocks = R.Blocks.of(_by_device(spark, sf), "device")
+    models, _ = R.local_fit(blocks, R.init_model(spark, spec, blocks.d), spec, epochs=1, lr=LR)
+    return _long_params(models, "device")
 
 
 @register("g10_federated_round", _DEV_SQL + """
 SELECT param, k, j, round(sum(value) / ((SELECT count(*) FROM nd) + 1), 6) AS value FROM dev GROUP BY 1, 2, 3""")
 def g10(spark, sf):
-    spec = TR.SoftmaxRegression(k=K)
-    d = _samples(spark, sf).withColumn("device", F.col("vec_id") % 3)
-    P, _ = TR.run_federated(d, spec, "device", rounds=1, epochs=1, lr=LR, strategy="FedAvg")
-    return _params_frame(spark, P)
+    from kelpie.operators.rounds import run_federated
+    run = run_federated(_by_device(spark, sf), TR.SoftmaxRegression(k=K), "device", rounds=1, epochs=1, lr=LR)
+    return _long_params(run.model())
+
+
+def _run_sql(rounds: int, epochs: int, lr: float, result: str) -> str:
+    """Federated rounds of several local epochs unrolled in SQL: every device steps from the global
+    weights on all its rows, then the global becomes the mean of itself and the devices'."""
+    ctes = ["d AS (SELECT vec_id, label, CAST(vec_id % 3 AS VARCHAR) AS device FROM embeddings WHERE label IS NOT NULL)",
+            "nd AS (SELECT device, count(*) AS n FROM d GROUP BY device)",
+            "x AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j, "
+            "CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)",
+            f"ks AS (SELECT CAST(range AS INTEGER) AS k FROM range({K}))",
+            "w0 AS (SELECT ks.k, x.j, 0.0::DOUBLE AS w FROM ks, (SELECT DISTINCT j FROM x) x)",
+            "b0 AS (SELECT k, 0.0::DOUBLE AS b FROM ks)"]
+    records = []
+    for r in range(rounds):
+        ctes += [f"lw{r}_0 AS (SELECT device, k, j, w FROM w{r}, nd)", f"lb{r}_0 AS (SELECT device, k, b FROM b{r}, nd)"]
+        for e in range(epochs):
+            s, nxt = f"{r}_{e}", f"{r}_{e + 1}"
+            ctes += [
+                f"z{s} AS (SELECT d.vec_id, w.k, sum(x.x * w.w) + any_value(b.b) AS z FROM d JOIN x USING (vec_id) "
+                f"JOIN lw{s} w ON w.j = x.j AND w.device = d.device JOIN lb{s} b ON b.k = w.k AND b.device = d.device "
+                "GROUP BY d.vec_id, w.k)",
+                f"e{s} AS (SELECT vec_id, k, z, exp(z - max(z) OVER (PARTITION BY vec_id)) AS ez FROM z{s})",
+                f"p{s} AS (SELECT vec_id, k, ez / sum(ez) OVER (PARTITION BY vec_id) AS p FROM e{s})",
+                f"g{s} AS (SELECT d.device, d.vec_id, p.k, p.p - CASE WHEN d.label = p.k THEN 1 ELSE 0 END AS g FROM p{s} p JOIN d USING (vec_id))",
+                f"lw{nxt} AS (SELECT w.device, w.k, w.j, any_value(w.w) - {lr} * sum(g.g * x.x) / any_value(nd.n) AS w FROM g{s} g "
+                f"JOIN x USING (vec_id) JOIN lw{s} w ON w.device = g.device AND w.k = g.k AND w.j = x.j JOIN nd ON nd.device = w.device "
+                "GROUP BY w.device, w.k, w.j)",
+                f"lb{nxt} AS (SELECT b.device, b.k, any_value(b.b) - {lr} * sum(g.g) / any_value(nd.n) AS b FROM g{s} g "
+                f"JOIN lb{s} b ON b.device = g.device AND b.k = g.k JOIN nd ON nd.device = b.device GROUP BY b.device, b.k)"]
+        last = f"{r}_{epochs - 1}"
+        records.append(f"""SELECT CAST({r} AS INTEGER) AS round, d.device, CAST(count(*) AS INTEGER) AS num_samples,
+            round(avg(-ln(greatest(q.p, 1e-7))), 4) AS train_loss, round(avg(CASE WHEN q.top = d.label THEN 1.0 ELSE 0.0 END), 4) AS train_acc
+            FROM (SELECT p.vec_id, max(p.p) FILTER (WHERE p.k = d.label) AS p, arg_max(p.k, (p.p, -p.k)) AS top
+                  FROM p{last} p JOIN d USING (vec_id) GROUP BY p.vec_id) q JOIN d USING (vec_id) GROUP BY d.device""")
+        ctes += [f"w{r + 1} AS (SELECT l.k, l.j, (any_value(w.w) + sum(l.w)) / (count(*) + 1) AS w FROM lw{r}_{epochs} l "
+                 f"JOIN w{r} w ON w.k = l.k AND w.j = l.j GROUP BY l.k, l.j)",
+                 f"b{r + 1} AS (SELECT l.k, (any_value(b.b) + sum(l.b)) / (count(*) + 1) AS b FROM lb{r}_{epochs} l "
+                 f"JOIN b{r} b ON b.k = l.k GROUP BY l.k)"]
+    if result == "records":
+        return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(records)
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT 'W' AS param, k, j, round(w, 6) AS value FROM w{rounds} UNION ALL SELECT 'b', k, 0, round(b, 6) FROM b{rounds}"""
+
+
+@register("g10_federated_run", _run_sql(3, 2, LR, "model"))
+def g10_run(spark, sf):
+    """Three rounds of two local epochs behind the gate: the final model (version -1)."""
+    from kelpie.operators.rounds import run_federated
+    run = run_federated(_by_device(spark, sf), TR.SoftmaxRegression(k=K), "device", rounds=3, epochs=2, lr=LR, registered=3)
+    return _long_params(run.model())
+
+
+@register("g10_round_records", _run_sql(3, 2, LR, "records"))
+def g10_records(spark, sf):
+    """The G09 records of the same run: a row per update used."""
+    from kelpie.operators.rounds import run_federated
+    run = run_federated(_by_device(spark, sf), TR.SoftmaxRegression(k=K), "device", rounds=3, epochs=2, lr=LR, registered=3)
+    return run.records.select("round", "device", "num_samples", "train_loss", "train_acc")
 
 
 @register("g11_chunked_rounds", _fed_sql(3, 3, LR))
 def g11(spark, sf):
-    spec = TR.SoftmaxRegression(k=K)
+    from kelpie.operators.rounds import run_federated
     d = L._with_total(L.permutation_rank(_samples(spark, sf), "vec_id", 11), None).withColumn(
         "device", F.col("vec_id") % 3)
-    n = d.select("_n").first()["_n"]
-    _, rec = TR.run_federated(d, spec, "device", rounds=3, epochs=1, lr=LR, chunks=3, pos="rank", total=int(n))
-    out = spark.createDataFrame(rec, "round int, device string, num_data long, loss double, accuracy double")
-    return out.select("round", "device", "num_data", F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"))
+    n = int(d.select("_n").first()["_n"])
+    run = run_federated(d, TR.SoftmaxRegression(k=K), "device", rounds=3, epochs=1, lr=LR, part=L.round_chunk("rank", n, 3), parts=3)
+    return run.history.select(F.col("wave").alias("round"), "device", "num_data", F.round("loss", 6).alias("loss"),
+                              F.round("accuracy", 6).alias("accuracy"))
 
 
 _ONE_MINIBATCH_EPOCH = f"""
