@@ -131,13 +131,13 @@ def _epoch(blocks: Blocks, rows: DataFrame, params: DataFrame, spec: ModelSpec,
         y, w = (data[c].to_numpy() for c in ("label", "weight"))
         loss, grad, correct = spec.loss_grad(P, X, y, w)
         rows = list(_chunked(grad, size))
-        first = [k == 0 for k in range(len(rows))]          # the pass's sums go with the first chunk
+        m = len(rows)                                       # the pass's sums go with every chunk
         return pa.table({
-            "device": pa.array([data["device"][0].as_py()] * len(rows)), "salt": pa.array([data["salt"][0].as_py()] * len(rows), pa.int64()),
+            "device": pa.array([data["device"][0].as_py()] * m), "salt": pa.array([data["salt"][0].as_py()] * m, pa.int64()),
             "layer": pa.array([r[0] for r in rows], pa.int32()), "chunk": pa.array([r[1] for r in rows], pa.int32()),
             "values": pa.array([r[2] for r in rows], pa.list_(pa.float64())),
-            "loss": pa.array([float(loss) * f for f in first]), "wsum": pa.array([float(w.sum()) * f for f in first]),
-            "correct": pa.array([int(correct) * f for f in first], pa.int64()), "n": pa.array([len(y) * f for f in first], pa.int64())},
+            "loss": pa.array([float(loss)] * m), "wsum": pa.array([float(w.sum())] * m),
+            "correct": pa.array([int(correct)] * m, pa.int64()), "n": pa.array([len(y)] * m, pa.int64())},
             schema=out_schema)
 
     out_schema = pa.schema([("device", pa.string()), ("salt", pa.int64()), ("layer", pa.int32()), ("chunk", pa.int32()),
@@ -146,9 +146,7 @@ def _epoch(blocks: Blocks, rows: DataFrame, params: DataFrame, spec: ModelSpec,
     salts = blocks.devices.select("device", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("salt"))
     models = salts.join(params.select("device", "layer", "chunk", "values"), "device")
     partial = rows.groupBy("device", "salt").cogroup(models.groupBy("device", "salt")).applyInArrow(fit_block, _PARTIAL)
-    grads = _stored(_add_up(partial, blocks.most), "gradients")
-    per = grads.groupBy("device").agg(*[F.sum(c).alias(c) for c in ("loss", "wsum", "correct", "n")])
-    step = grads.select("device", "layer", "chunk", F.col("values").alias("g")).join(per, "device")
+    step = _add_up(partial, blocks.most).withColumnRenamed("values", "g")
     weight = F.greatest(F.col("wsum"), F.lit(1e-12))
     moved = params.select("device", "layer", "chunk", "values").join(step, ["device", "layer", "chunk"]).select(
         "device", "layer", "chunk", F.zip_with("values", "g", lambda v, g: v - F.lit(lr) * g / weight).alias("values"),
@@ -227,7 +225,7 @@ def run_federated(df: DataFrame, spec: ModelSpec, device: str, rounds: int = 3,
     spark = df.sparkSession
     blocks = Blocks.of(df, device, part=part, rows=block_rows, **names)
     current = _stored(init_model(spark, spec, blocks.d, seed), "global")
-    versions, records, waves, passes, updates, arrived = None, None, [], None, None, 0
+    versions, records, waves, passes, arrived = None, None, [], None, 0
     need = blocks.count if registered is None else registered
     each = 1 if need == -1 else need
     if not blocks.count or each < 1:
@@ -242,13 +240,11 @@ def run_federated(df: DataFrame, spec: ModelSpec, device: str, rounds: int = 3,
             waves.append(models.withColumn("wave", F.lit(w)))
             history = _stored(history.select(F.lit(w).alias("wave"), "*"), "history")
             passes = history if passes is None else passes.unionByName(history)
-            sent = _stored(_sent(history, w), "updates")
-            updates = sent if updates is None else updates.unionByName(sent)
-            came = sent.count()
+            came = history.where("epoch = 0").count() if parts else blocks.count
             if not came:
                 raise ValueError("no device holds rows of this round's part")
             arrived += came
-        queue = fifo_position(updates, "federation", "wave", tiebreak=["id_length", "device"])
+        queue = fifo_position(_sent(passes), "federation", "wave", tiebreak=["id_length", "device"])
         used = assign_round(queue, "federation", need).where(F.col("round") == r)
         models = waves[0]
         for more in waves[1:]:
@@ -257,7 +253,6 @@ def run_federated(df: DataFrame, spec: ModelSpec, device: str, rounds: int = 3,
         current = _stored(_combine(current, members, strategy), "global")
         record = round_record(used.select(F.col("round").cast("int").alias("round"), "device", "fifo", "num_data", "metrics")) \
             .select("round", "device", "fifo", "num_samples", "train_loss", "train_acc", "val_loss", "val_acc")
-        record = _stored(record, "records")
         records = record if records is None else records.unionByName(record)
     return FederatedRun(versions.unionByName(current.select(F.lit(FINAL).alias("version"), "*")), records, passes)
 
@@ -267,11 +262,11 @@ _RECORD = ("round int, device string, fifo long, num_samples int, train_loss dou
 _HISTORY = "wave int, device string, epoch int, loss double, accuracy double, num_data long"
 
 
-def _sent(history: DataFrame, wave: int) -> DataFrame:
-    """The message of each device: its metrics per epoch as JSON and its number of rows."""
-    series = history.groupBy("device").agg(F.sort_array(F.collect_list(F.struct("epoch", "loss", "accuracy"))).alias("h"),
+def _sent(history: DataFrame) -> DataFrame:
+    """The message of each device and wave: its metrics per epoch as JSON and its number of rows."""
+    series = history.groupBy("wave", "device").agg(F.sort_array(F.collect_list(F.struct("epoch", "loss", "accuracy"))).alias("h"),
                                            F.max("num_data").cast("string").alias("num_data"))
     metrics = F.to_json(F.struct(F.struct(F.transform("h", lambda x: x["loss"]).alias("loss"),
                                           F.transform("h", lambda x: x["accuracy"]).alias("accuracy")).alias("training")))
-    return series.select(F.lit("0").alias("federation"), F.lit(wave).cast("long").alias("wave"),
+    return series.select(F.lit("0").alias("federation"), F.col("wave").cast("long").alias("wave"),
                          F.length("device").alias("id_length"), "device", "num_data", metrics.alias("metrics"))
