@@ -7,13 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelpie.functions.features import round_js
-from kelpie.operators.sequence import DEFAULT_BLOCK, blocked_lag, dense_position
+from kelpie.operators.sequence import (DEFAULT_BLOCK, blocked_lag, dense_position, laid_by_range, range_position,
+                                       range_running_max)
 from kelpie.session import cut_lineage
 
 
@@ -116,47 +118,66 @@ def _moved(d: float):
     return lambda x, r: x != r and x - r >= d
 
 
-def _next_pointers(v: list, d: float) -> list:
-    """nxt[p] = first j > p with v[j] - v[p] >= d (or -1).  Right-to-left scan
-    keeping the prefix-maximum records of the suffix on a stack (values
-    strictly decreasing from bottom to top, positions increasing downwards);
-    the answer is the topmost record meeting the threshold (binary search:
-    ``x - v[p] >= d`` is monotone in x)."""
-    m = len(v)
-    nxt = [-1] * m
-    stack: list[int] = []
-    ok = _moved(d)
-    for p in range(m - 1, -1, -1):
-        lo, hi, vp = 0, len(stack), v[p]
-        while lo < hi:
-            mid = (lo + hi) // 2
-            if ok(v[stack[mid]], vp):
-                lo = mid + 1
+# steps of a block function: the reference r becomes ``out`` of the first step whose ``thr`` has moved from r
+_FAN = 16
+
+
+def _first_moved(v: np.ndarray, r: np.ndarray, d: float) -> np.ndarray:
+    """For each reference the first place in the rising values ``v`` that has moved (len(v): none)."""
+    moved, n = _moved(d), len(v)
+    at = np.searchsorted(v, r + d)
+    while True:     # r + d is rounded: the rule itself decides
+        back = (at > 0) & moved(v[np.maximum(at - 1, 0)], r) if n else np.zeros(len(r), bool)
+        on = (at < n) & ~moved(v[np.minimum(at, n - 1)], r) & ~back if n else np.zeros(len(r), bool)
+        if not (back.any() or on.any()):
+            return at
+        at = at - back + on
+
+
+def _apply(thr: np.ndarray, out: np.ndarray, r: np.ndarray, d: float) -> np.ndarray:
+    at = _first_moved(thr, r, d)
+    return np.where(at < len(thr), out[np.minimum(at, len(thr) - 1)], r) if len(thr) else r
+
+
+def _merged(thr: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbouring steps that lead to one reference become one."""
+    keep = np.ones(len(thr), bool)
+    keep[:-1] = out[1:] != out[:-1]
+    return thr[keep], out[keep]
+
+
+def _block_steps(v: np.ndarray, before: float | None, d: float) -> tuple[np.ndarray, np.ndarray]:
+    """The function of a block of rising values.  A reference that enters lies within ``d`` below
+    ``before``, the greatest value so far (None: the first value is the reference), so only
+    the records up to the first that has moved from ``before`` can be the first taken."""
+    nxt = _first_moved(v, v, d)
+    end = np.append(np.where(nxt < len(v), nxt, np.arange(len(v))), len(v))[:len(v)]
+    while True:     # follow the chain to its last record, twice as far each time
+        further = end[end]
+        if np.array_equal(further, end):
+            break
+        end = further
+    if before is None:
+        return v[:1], v[end[:1]]
+    n = min(len(v), int(_first_moved(v, np.array([before]), d)[0]) + 1)
+    return _merged(v[:n], v[end[:n]])
+
+
+def _compose(parts: list[tuple[np.ndarray, np.ndarray]], before: float | None, d: float) -> tuple[np.ndarray, np.ndarray]:
+    """One function for consecutive blocks."""
+    moved, thr, out, closed = _moved(d), [], [], False
+    for t, o in parts:
+        out = [_apply(t, o, x, d) for x in out]
+        if not closed:
+            n = len(t)
+            if before is not None and n:
+                n = min(n, int(_first_moved(t, np.array([before]), d)[0]) + 1)
+                closed = bool(moved(t[n - 1], before))
             else:
-                hi = mid
-        nxt[p] = stack[lo - 1] if lo > 0 else -1
-        while stack and v[stack[-1]] <= vp:
-            stack.pop()
-        stack.append(p)
-    return nxt
-
-
-def _chain_ends(nxt: list) -> list:
-    last = list(range(len(nxt)))
-    for p in range(len(nxt) - 1, -1, -1):
-        if nxt[p] != -1:
-            last[p] = last[nxt[p]]
-    return last
-
-
-def _records(v: list) -> list[int]:
-    """Positions of strict prefix maxima: the only possible first emissions."""
-    out, best = [], None
-    for i, x in enumerate(v):
-        if best is None or x > best:
-            out.append(i)
-            best = x
-    return out
+                closed = before is None
+            thr.append(t[:n])
+            out.append(o[:n])
+    return _merged(np.concatenate(thr), np.concatenate(out))
 
 
 def improvements(df: DataFrame, key: str, order: str, value: str, change: str = "up",
@@ -164,106 +185,108 @@ def improvements(df: DataFrame, key: str, order: str, value: str, change: str =
     """Improvement ratchet: the first value is the reference; a later value is
     emitted (and becomes the reference) when it differs and moved by at least
     ``d`` in the ``change`` direction.  Null and NaN values are no measurements:
-    they are passed over.
-
-    Exact and parallel even for a key holding a third of the rows:
-    after an emission at p the next one is nxt(p) = first j > p with
-    v_j - v_p >= d, independent of anything before p.  So
-
-    1. per (key, block) — bounded groups — the next pointers and chain ends
-       are computed, and the block is summarised by its prefix-maximum records
-       (the only positions a chain can enter the block at) with the reference
-       each record leaves the block with;
-    2. a streaming pass over those small summaries, sorted by (key, block),
-       carries the reference from block to block (no group is materialised);
-    3. per (key, block) again, the emissions are the chain from the entry
-       record.
-    ``down`` runs the same on negated values.  ``d < 0`` (where the accepted
-    moves are not monotone) uses the plain sorted fold.
+    they are passed over, as are rows without a key.
+
+    Exact and parallel even for a key holding a third of the rows, for d >= 0:
+
+    1. every reference is greater than all values before it, so only such records
+       matter.  They are found by a running maximum over range partitions; for most keys
+       few are left;
+    2. a key's records are cut into blocks of ``block``.  A block is a monotone step function
+       from the reference that enters to the one that leaves; functions are composed in a tree of
+       ``_FAN`` blocks at a time, and the references are handed down the same tree;
+    3. each block emits its chain from its reference, in one pass over sorted partitions.
+
+    A function has at most as many steps as records lie within ``d`` above what was the greatest value
+    before the block, and steps with one result are merged.  ``down`` runs the same on negated values.
+    ``d < 0`` (where the accepted moves are not monotone) uses the plain sorted fold.
     """
     if d < 0:
         return _improvements_fold(df, key, order, value, change, d)
-    moved = _moved(d)
     sign = 1.0 if change == "up" else -1.0
     src = df.select(F.col(key).cast("string").alias("key"), F.col(order).cast("long").alias("order"),
-                    (F.col(value).cast("double") * F.lit(sign)).alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
-    src = dense_position(src, "key", "order", block=block, name="pos") \
-        .withColumn("blk", F.floor(F.col("pos") / F.lit(block)).cast("long"))
-    src = cut_lineage(src)   # read by phase 1 and phase 3
-
-    summary_schema = "key string, blk long, rec long, rv double, out double"
-
-    def summarise(pdf):
-        pdf = pdf.sort_values("pos")
-        v = pdf["v"].tolist()
-        nxt = _next_pointers(v, d)
-        last = _chain_ends(nxt)
-        recs = _records(v)
-        k, b = pdf["key"].iloc[0], int(pdf["blk"].iloc[0])
-        return pd.DataFrame({"key": [k] * len(recs), "blk": [b] * len(recs), "rec": recs,
-                             "rv": [v[c] for c in recs], "out": [v[last[c]] for c in recs]})
-
-    summ = src.groupBy("key", "blk").applyInPandas(summarise, summary_schema)
-
-    entry_schema = "key string, blk long, r_in double, start long, first_is_ref boolean"
-
-    def carry(batches):
-        cur_key, ref, pend = None, None, None   # pend: records of the current (key, blk)
-
-        def resolve(k, b, recs):
-            nonlocal ref
-            if b == 0:   # the key's first value is the reference, not an emission
-                r_in, start, first = None, 0, True
-                ref = recs[0][2]
-            else:
-                r_in, start, first = ref, -1, False
-                for c, rv, out in recs:          # records ordered by position, values rising
-                    if moved(rv, r_in):
-                        start, ref = c, out
-                        break
-            return (k, b, r_in, start, first)
+                    (F.col(value).cast("double") * F.lit(sign)).alias("v")).where("key IS NOT NULL AND v IS NOT NULL AND NOT isnan(v)")
+    src = laid_by_range(src, "key", ["order", "v"])
+    records = range_running_max(src, "key", ["order", "v"], "v", "top").where("top IS NULL OR v > top")
+    records = cut_lineage(range_position(records, "key", ["order", "v"]).withColumn("blk", F.floor(F.col("pos") / block).cast("long"))
+                          .select("key", "blk", "order", "v", "top"))
+    last = records.agg(F.max("blk")).first()[0] or 0
+    if last:
+        entries = _entries(records, int(last), d)
+        records = records.join(entries, ["key", "blk"], "left")
+    else:
+        records = records.withColumn("r_in", F.lit(None).cast("double"))
+    moved = _moved(d)
 
+    def emit(batches):
+        here, ref = None, None
         for pdf in batches:
-            rows = []
-            for k, b, c, rv, out in zip(pdf["key"].tolist(), pdf["blk"].tolist(), pdf["rec"].tolist(),
-                                        pdf["rv"].tolist(), pdf["out"].tolist()):
-                if pend is not None and (k, b) != pend[0]:
-                    rows.append(resolve(pend[0][0], pend[0][1], pend[1]))
-                    pend = None
-                if k != cur_key:
-                    cur_key, ref = k, None
-                if pend is None:
-                    pend = ((k, b), [])
-                pend[1].append((c, rv, out))
-            if rows:
-                yield pd.DataFrame(rows, columns=["key", "blk", "r_in", "start", "first_is_ref"])
-        if pend is not None:
-            yield pd.DataFrame([resolve(pend[0][0], pend[0][1], pend[1])],
-                               columns=["key", "blk", "r_in", "start", "first_is_ref"])
-
-    entries = summ.repartition("key").sortWithinPartitions("key", "blk", "rec").mapInPandas(carry, entry_schema)
-
-    def emit(pdf):
-        pdf = pdf.sort_values("pos")
-        start = int(pdf["start"].iloc[0])
-        if start < 0:
-            return _ratchet_frame([], [], [], [])
-        v, o = pdf["v"].tolist(), pdf["order"].tolist()
-        nxt = _next_pointers(v, d)
-        ks, os_, vs, rs = [], [], [], []
-        p, ref = start, pdf["r_in"].iloc[0]
-        if bool(pdf["first_is_ref"].iloc[0]):
-            ref, p = v[p], nxt[p]
-        while p != -1:
-            ks.append(pdf["key"].iloc[0])
-            os_.append(o[p])
-            vs.append(v[p] * sign)
-            rs.append(ref * sign)
-            ref, p = v[p], nxt[p]
-        return _ratchet_frame(ks, os_, vs, rs)
-
-    joined = src.join(entries, ["key", "blk"])
-    return joined.groupBy("key", "blk").applyInPandas(emit, _RATCHET_OUT)
+            ks, os_, vs, rs = [], [], [], []
+            key_, blk, o, v, r_in = (pdf[c].to_numpy() for c in ("key", "blk", "order", "v", "r_in"))
+            change_at = np.flatnonzero((key_[1:] != key_[:-1]) | (blk[1:] != blk[:-1])) + 1
+            for a, b in zip([0, *change_at], [*change_at, len(v)]):
+                if a == b:
+                    continue
+                if here != (key_[a], blk[a]):
+                    here, ref = (key_[a], blk[a]), (None if np.isnan(r_in[a]) else r_in[a])
+                if ref is None:     # the key's first value is the reference, not an emission
+                    ref = v[a]
+                part = v[a:b]
+                i = int(_first_moved(part, np.array([ref]), d)[0])
+                while i < len(part):
+                    ks.append(key_[a]), os_.append(o[a + i]), vs.append(part[i] * sign), rs.append(ref * sign)
+                    ref = part[i]
+                    if i + 1 < len(part) and moved(part[i + 1], ref):
+                        i += 1
+                    else:
+                        i = int(_first_moved(part, np.array([ref]), d)[0])
+            yield _ratchet_frame(ks, os_, vs, rs)
+
+    return records.repartition("key", "blk").sortWithinPartitions("key", "blk", "v").mapInPandas(emit, _RATCHET_OUT)
+
+
+_STEPS = "key string, blk long, top double, thr array<double>, out array<double>"
+
+
+def _entries(records: DataFrame, last: int, d: float) -> DataFrame:
+    """(key, blk, r_in): the reference that enters each block but a key's first, for keys of several blocks."""
+
+    def before(x):
+        return None if x is None or np.isnan(x) else float(x)
+
+    def steps(pdf):
+        pdf = pdf.sort_values("v")
+        thr, out = _block_steps(pdf["v"].to_numpy(), before(pdf["top"].iloc[0]), d)
+        return pd.DataFrame({"key": pdf["key"].iloc[:1], "blk": pdf["blk"].iloc[:1], "top": pdf["top"].iloc[:1],
+                             "thr": [thr], "out": [out]}, index=pdf.index[:1])
+
+    def composed(pdf):
+        pdf = pdf.sort_values("blk")
+        thr, out = _compose(list(zip(pdf["thr"], pdf["out"])), before(pdf["top"].iloc[0]), d)
+        return pd.DataFrame({"key": pdf["key"].iloc[:1], "blk": pdf["blk"].iloc[:1] // _FAN, "top": pdf["top"].iloc[:1],
+                             "thr": [thr], "out": [out]}, index=pdf.index[:1])
+
+    def hand_down(pdf):
+        pdf = pdf.sort_values("blk")
+        r, r_in = before(pdf["r_in"].iloc[0]), []
+        for thr, out in zip(pdf["thr"], pdf["out"]):
+            r_in.append(r)
+            r = float(out[0]) if r is None else float(_apply(thr, out, np.array([r]), d)[0])
+        return pd.DataFrame({"key": pdf["key"], "blk": pdf["blk"], "r_in": pd.Series(r_in, dtype="float64", index=pdf.index)})
+
+    long = records.where("blk > 0").select("key").distinct()
+    level = cut_lineage(records.join(long, "key", "left_semi").groupBy("key", "blk").applyInPandas(steps, _STEPS))
+    levels = [level]
+    while last >= _FAN:
+        level = cut_lineage(level.groupBy("key", F.floor(F.col("blk") / _FAN)).applyInPandas(composed, _STEPS))
+        levels.append(level)
+        last //= _FAN
+    entered = level.select("key", F.lit(0).cast("long").alias("up"), F.lit(None).cast("double").alias("r_in")).distinct()
+    for level in reversed(levels):
+        below = level.withColumn("up", F.floor(F.col("blk") / _FAN)).join(entered, ["key", "up"])
+        down = below.groupBy("key", "up").applyInPandas(hand_down, "key string, blk long, r_in double")
+        entered = down.select("key", F.col("blk").alias("up"), "r_in")
+    return entered.withColumnRenamed("up", "blk")
 
 
 def _improvements_fold(df: DataFrame, key: str, order: str, value: str, change: str, d: float) -> DataFrame:

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kelpie.session import cut_lineage
+
 DEFAULT_BLOCK = 1 << 16
 
 
@@ -96,3 +98,46 @@ def blocked_lag(df: DataFrame, by, pos: str, cols: dict[str, tuple[str, int]],
     for out, (src, k) in cols.items():
         both = both.withColumn(out, F.lag(src, k).over(w))
     return both.where(~F.col("_kl_ghost")).drop("_kl_blk", "_kl_ghost")
+
+
+# ------------------------------------------------- any order key: by range ----
+
+PART = "_kp_part"
+
+
+def laid_by_range(df: DataFrame, by, order: Sequence[str]) -> DataFrame:
+    """``df`` range-partitioned by (group, order) and materialised, with the partition's number in
+    ``PART``.  Works for any sortable order, dense or not: hashes, epoch micros, texts.  A group
+    of any size spreads over as many partitions as it fills; only rows that tie in the whole
+    order stay together."""
+    keys = [*_cols(by), *order]
+    return cut_lineage(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(PART, F.spark_partition_id()))
+
+
+def _before_parts(by: list[str]) -> Window:
+    """Earlier partitions of a group: a row a partition, so no group is long."""
+    return (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(PART) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+
+
+def range_position(laid: DataFrame, by, order: Sequence[str], name: str = "pos", with_total: bool = False) -> DataFrame:
+    """0-based position in the group of rows that :func:`laid_by_range` has laid out: rows of the group in
+    earlier partitions plus the rank inside the partition.  Rows may have been filtered since."""
+    by = _cols(by)
+    counts = laid.groupBy(*by, PART).agg(F.count(F.lit(1)).alias("_kp_n"))
+    cols = [*by, PART, F.coalesce(F.sum("_kp_n").over(_before_parts(by)), F.lit(0)).alias("_kp_base")]
+    if with_total:
+        cols.append(F.sum("_kp_n").over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).alias(f"{name}_total"))
+    out = laid.join(counts.select(*cols), on=[*by, PART])
+    inside = Window.partitionBy(*by, PART).orderBy(*order)
+    return out.withColumn(name, (F.col("_kp_base") + F.row_number().over(inside) - 1).cast("long")).drop("_kp_base")
+
+
+def range_running_max(laid: DataFrame, by, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Greatest ``value`` of the group's rows before each row (null for the first), as :func:`range_position`."""
+    by = _cols(by)
+    tops = laid.groupBy(*by, PART).agg(F.max(value).alias("_kp_top"))
+    base = tops.select(*by, PART, F.max("_kp_top").over(_before_parts(by)).alias("_kp_base"))
+    out = laid.join(base, on=[*by, PART])
+    inside = Window.partitionBy(*by, PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return out.withColumn(name, F.greatest(F.col("_kp_base"), F.max(value).over(inside))).drop("_kp_base")

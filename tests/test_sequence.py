@@ -2,6 +2,7 @@
 every block boundary case is hit."""
 
 import numpy as np
+import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -84,3 +85,57 @@ def test_ratchet_parallel_matches_brute_force(spark):
             got = sorted(tuple(r) for r in improvements(df, "g", "o", "v", change, d, block=16)
                          .select("key", "order", "value", "reference").collect())
             assert got == _ratchet_brute(pdf, change, d), (change, d)
+
+
+@pytest.mark.parametrize("d", [0.0, 0.3, 2.5, 40.0])
+def test_ratchet_of_a_rising_hot_key_in_a_tree_of_blocks(spark, d):
+    """1,200 rising values of one key in blocks of two: three levels of composed functions."""
+    import pandas as pd
+    from kelpie.operators.monitor import improvements
+    rng = np.random.default_rng(9)
+    n = 1200
+    v = np.cumsum(rng.choice([0.1, 0.5, 1.0, 3.0], n)) + rng.choice([0, 0, -5.0], n)
+    pdf = pd.DataFrame({"g": ["hot"] * n + ["b", "b", "c"], "o": [*range(n), 0, 1, 0], "v": [*v, 1.0, 2.0, 5.0]})
+    got = sorted(tuple(r) for r in improvements(spark.createDataFrame(pdf), "g", "o", "v", "up", d, block=2)
+                 .select("key", "order", "value", "reference").collect())
+    assert got == _ratchet_brute(pdf, "up", d)
+
+
+def test_composed_functions_equal_their_parts():
+    from kelpie.operators import monitor as M
+    rng = np.random.default_rng(10)
+    for _ in range(200):
+        v = np.cumsum(rng.choice([0.25, 1.0, 2.0], rng.integers(2, 40)))
+        d = float(rng.choice([0.0, 0.5, 1.0, 3.0, 20.0]))
+        cuts = sorted({0, len(v), *rng.integers(1, len(v), 3).tolist()})
+        before = [None if a == 0 else v[a - 1] for a in cuts[:-1]]
+        parts = [M._block_steps(v[a:b], t, d) for a, b, t in zip(cuts, cuts[1:], before)]
+        for i in range(1, len(parts)):
+            whole = M._compose(parts[i:], before[i], d)
+            for r in v[:cuts[i]][v[:cuts[i]] > before[i] - max(d, 1e-9)]:
+                want = r
+                for x in v[cuts[i]:]:
+                    if M._moved(d)(x, want):
+                        want = x
+                assert M._apply(*whole, np.array([r]), d)[0] == want
+
+
+def test_positions_of_any_order_key(spark):
+    """Hashes as order: no dense blocks, and no window longer than a partition."""
+    from pyspark.sql import functions as F
+    from kelpie.operators.sequence import PART, laid_by_range, range_position, range_running_max
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("g"),
+                                  F.md5(F.col("id").cast("string")).alias("o"), F.rand(3).alias("v"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        laid = laid_by_range(df, "g", ["o"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert laid.where("g = 'hot'").select(PART).distinct().count() >= 4
+    got = range_running_max(range_position(laid, "g", ["o"], with_total=True), "g", ["o"], "v", "top").toPandas()
+    want = got.sort_values(["g", "o"]).reset_index(drop=True)
+    assert (want["pos"] == want.groupby("g").cumcount()).all()
+    assert (want["pos_total"] == want.groupby("g")["o"].transform("size")).all()
+    top = want.groupby("g")["v"].transform(lambda s: s.cummax().shift())
+    assert ((want["top"] == top) | (want["top"].isna() & top.isna())).all()
