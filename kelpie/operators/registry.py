@@ -9,6 +9,7 @@ lookup sides are left to AQE, which broadcasts them after measuring.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,21 +55,28 @@ def match(datasources: DataFrame, models: DataFrame) -> DataFrame:
     (no shape, restriction or size test); the others need equal shape and
     restriction, and cases 1, 3 and 5 also ``total_msg >= min_data``.
     """
+    return match_pairs(datasources, models)
+
+
+def match_pairs(datasources: DataFrame, models: DataFrame, near: Column | None = None, ds_more: Sequence[str] = (),
+                m_more: Sequence[str] = ()) -> DataFrame:
+    """:func:`match` for frames or streams; ``near`` is a further condition, over the columns ``ds_more`` and ``m_more``."""
+    near = F.lit(True) if near is None else near
     ds = datasources.select(
-        "ds_id", "data_reshape", "total_msg", "incremental",
+        *ds_more, "ds_id", "data_reshape", "total_msg", "incremental",
         F.col("federated_string_id").alias("ds_fed"),
         canonical_json("restrictions").alias("_restr"))
     ms = models.select(
-        "model_id", "min_data", "distributed", has_blockchain("blockchain").alias("_chain"),
+        *m_more, "model_id", "min_data", "distributed", has_blockchain("blockchain").alias("_chain"),
         F.col("federated_string_id").alias("m_fed"),
         effective_shape("input_shape", "distributed").alias("_shape"),
         canonical_json("data_restriction").alias("_restr"))
     has_fed = F.coalesce(F.col("ds_fed"), F.lit("")) != ""
     by_id = ds.drop("_restr").where(has_fed).join(
         ms.drop("_restr", "_shape").where(F.col("m_fed").isNotNull() & (F.col("m_fed") != "")),
-        F.col("ds_fed") == F.col("m_fed"))
-    ds2 = ds.where(~has_fed).withColumnRenamed("data_reshape", "_shape")
-    by_shape = ds2.join(ms, ["_shape", "_restr"]).withColumnRenamed("_shape", "data_reshape").drop("_restr")
+        (F.col("ds_fed") == F.col("m_fed")) & near)
+    ds2 = ds.where(~has_fed).withColumnRenamed("_restr", "_ds_restr")
+    by_shape = ds2.join(ms, (F.col("data_reshape") == F.col("_shape")) & (F.col("_ds_restr") == F.col("_restr")) & near)
     cols = ["ds_id", "model_id", "case", "by_federated_id"]
     a = by_id.withColumn("case", training_case(F.col("incremental"), F.col("distributed"), F.col("_chain"))) \
         .withColumn("by_federated_id", F.lit(True)).select(*cols, "total_msg", "min_data")
@@ -91,6 +99,20 @@ def first_launch(matches: DataFrame, fed: str, order: list[str]) -> DataFrame:
         .select(fed, *[F.col("_r")[c].alias(c) for c in rest])
 
 
+def federated_models(models: DataFrame) -> DataFrame:
+    """(fed, model_id): the first model of each federated id, its representative."""
+    return models.where(F.coalesce(F.col("federated_string_id"), F.lit("")) != "") \
+        .groupBy(F.col("federated_string_id").alias("fed")).agg(F.min("model_id").alias("model_id"))
+
+
+def first_launch_by_id(datasources: DataFrame, models: DataFrame) -> DataFrame:
+    """J05 without the pairs of an id: its first data source and its first model, each found by a partial
+    aggregate before the join, so an id that a third of both sides share costs two rows."""
+    first = datasources.where(F.coalesce(F.col("federated_string_id"), F.lit("")) != "") \
+        .groupBy(F.col("federated_string_id").alias("fed")).agg(F.min("ds_id").alias("ds_id"))
+    return first.join(federated_models(models), "fed").select("fed", "ds_id", "model_id")
+
+
 def expand_results(deployments: DataFrame, config_models: DataFrame, config: str) -> DataFrame:
     """One result row (status ``created``) per model of the deployment's configuration."""
     return deployments.join(config_models, config).withColumn("status", F.lit("created"))

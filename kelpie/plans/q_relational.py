@@ -98,10 +98,7 @@ f AS (SELECT ds.federated_string_id AS fed, x.ds_id, x.model_id,
       FROM matches x JOIN ds ON ds.ds_id = x.ds_id WHERE x.by_federated_id)
 SELECT fed, ds_id, model_id FROM f WHERE rn = 1""")
 def j05(spark, sf):
-    ds = datasources(spark, sf)
-    m = J.match(ds, models(spark, sf)).where("by_federated_id")
-    m = m.join(ds.select("ds_id", F.col("federated_string_id").alias("fed")), "ds_id")
-    return J.first_launch(m.select("fed", "ds_id", "model_id"), "fed", ["ds_id", "model_id"])
+    return J.first_launch_by_id(datasources(spark, sf), models(spark, sf))
 
 
 @register("j06_expand_results", """

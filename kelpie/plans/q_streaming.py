@@ -254,12 +254,12 @@ def w02s(spark, sf):
 
 
 @register("w04_regression_series_stream", """
-SELECT 'embeddings' AS key, vec_id AS "order", row_number() OVER (ORDER BY vec_id) - 1 AS point,
+SELECT 'embeddings-' || vec_id % 4 AS key, vec_id AS "order", row_number() OVER (PARTITION BY vec_id % 4 ORDER BY vec_id) - 1 AS point,
        CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS i, CAST(unnest(embedding) AS DOUBLE) AS value
 FROM embeddings""")
 def w04s(spark, sf):
     from kelpie.streaming.stateful import regression_series_stream
-    em = t(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("values"), F.lit("embeddings").alias("topic"))
+    em = t(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("values"), F.concat(F.lit("embeddings-"), F.col("vec_id") % 4).alias("topic"))
     path = _ordered_files(spark, em, "vec_id", "emb-ordered")
     out, ck = _scratch(spark, "w04s-out"), _scratch(spark, "w04s-ck")
     stream = spark.readStream.schema(em.schema).option("maxFilesPerTrigger", 1).parquet(path)
@@ -298,3 +298,57 @@ def t11_serve_stream(spark, sf):
     rest = rest.select(head, F.lit("upper").alias("tier"), F.lit(None).cast("int").alias("pred"),
                        F.lit(None).cast("double").alias("conf"), F.round(total, 4).alias("sum_x"))
     return done.unionByName(rest)
+
+
+# ------------------------------------------------- matching on streams ----
+
+def _append_files(spark, df, path: str, files: int) -> None:
+    df.repartition(files).write.mode("append").parquet(path)
+
+
+def _match_in_two_runs(spark, sf, job):
+    """Data sources and models as file streams.  The first run meets a part of both; then new models and
+    later data sources come, and a second run goes on from the checkpoint."""
+    from kelpie.plans.q_relational import datasources, models
+    ds, ms = datasources(spark, sf), models(spark, sf)
+    paths = {k: _scratch(spark, f"match-{k}") for k in ("ds", "models", "out", "ck")}
+    for stored, new in ((F.col("ds_id") % 3 > 0, F.col("model_id") % 2 == 0), (F.col("ds_id") % 3 == 0, F.col("model_id") % 2 == 1)):
+        _append_files(spark, ds.where(stored), paths["ds"], 2)
+        _append_files(spark, ms.where(new), paths["models"], 2)
+        job(spark.readStream.schema(ds.schema).option("maxFilesPerTrigger", 1).parquet(paths["ds"]),
+            spark.readStream.schema(ms.schema).option("maxFilesPerTrigger", 1).parquet(paths["models"]), paths["out"], paths["ck"])
+    return spark.read.parquet(paths["out"])
+
+
+def _sql_of(batch: str) -> str:
+    """The SQL of the batch query: a stream must end at the same rows."""
+    from kelpie.plans import q_relational  # noqa: F401
+    from kelpie.plans.registry import ORACLE
+    return ORACLE[batch]
+
+
+@register("j03_match_stream", _sql_of("j03_match_new_models"))
+def j03s(spark, sf):
+    """New models meet stored and later data sources: a stream-stream join, stopped and started again."""
+    from kelpie.streaming.processors import match_stream, run_to_table
+
+    def job(ds, ms, out, ck):
+        run_to_table(match_stream(ds.where(~F.col("incremental") & F.col("total_msg").isNotNull()), ms), out, ck)
+
+    return _match_in_two_runs(spark, sf, job).select("ds_id", "model_id", "case", "by_federated_id")
+
+
+@register("j05_first_launch_stream", _sql_of("j05_first_launch"))
+def j05s(spark, sf):
+    """One launch per federated id over four micro-batches and a restart."""
+    from kelpie.plans.q_relational import datasources, models
+    from kelpie.streaming.processors import first_launch_stream, run_to_table
+    ds = datasources(spark, sf)
+    path, out, ck = (_scratch(spark, f"j05s-{k}") for k in ("in", "out", "ck"))
+    b = ds.agg(F.min("ds_id").alias("lo"), F.max("ds_id").alias("hi")).first()
+    half = (int(b["lo"]) + int(b["hi"])) // 2
+    for part in (F.col("ds_id") <= half, F.col("ds_id") > half):
+        _append_files(spark, ds.where(part), path, 2)
+        stream = spark.readStream.schema(ds.schema).option("maxFilesPerTrigger", 2).parquet(path)
+        run_to_table(first_launch_stream(stream, models(spark, sf)), out, ck)
+    return spark.read.parquet(out).select("fed", "ds_id", "model_id")

@@ -1,6 +1,7 @@
-"""Stateful streaming versions of the order-dependent operators.
+"""Stateful streaming versions of the order-dependent operators.
 
-Each keeps a small per-key state in the state store (``applyInPandasWithState``):
+Each keeps a small per-key state in the state store (``applyInPandasWithState``, or
+the processors of :mod:`kelpie.streaming.processors`):
 rows of a key inside one micro-batch are ordered, folded against the state,
 and the state is updated — a micro-batch never needs older rows.  Results
 equal the batch operators when micro-batches arrive in order.
@@ -15,6 +16,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from kelpie.operators.monitor import _moved
+from kelpie.streaming.processors import numbered_series, round_gate, run_to_table
 from kelpie.streaming.streams import idempotent_append
 
 
@@ -96,29 +98,7 @@ def round_gate_stream(stream: DataFrame, federation: str, order: str, registered
     """G07 on a stream: updates wait in state until ``registered`` of them
     arrived; the complete round is then released with its round number (an
     incomplete last round stays held back)."""
-    out_schema = "federation string, update_id long, round long"
-
-    def fn(k, pdfs, state):
-        pdf = pd.concat(list(pdfs)).sort_values("o")
-        if state.exists:
-            done, pending = state.get[0], list(state.get[1])
-        else:
-            done, pending = 0, []
-        ids, rounds = [], []
-        for o in pdf["o"].tolist():
-            pending.append(o)
-            if len(pending) == registered:
-                ids += pending
-                rounds += [done] * registered
-                done, pending = done + 1, []
-        state.update((done, pending))
-        yield pd.DataFrame({"federation": pd.Series([k[0]] * len(ids), dtype=object),
-                            "update_id": pd.Series(ids, dtype="int64"), "round": pd.Series(rounds, dtype="int64")})
-
-    s = stream.select(F.col(federation).cast("string").alias("k"), F.col(order).cast("long").alias("o"))
-    out = s.groupBy("k").applyInPandasWithState(fn, out_schema, "done long, pending array<long>", "append",
-                                                GroupStateTimeout.NoTimeout)
-    _run(out, path, checkpoint)
+    run_to_table(round_gate(stream, federation, order, registered), path, checkpoint)
 
 
 def status_register_stream(stream: DataFrame, key: str, order: str, status: str, path: str, checkpoint: str,
@@ -149,21 +129,5 @@ def status_register_stream(stream: DataFrame, key: str, order: str, status: str,
 def regression_series_stream(stream: DataFrame, key: str, order: str, values: str, path: str,
                              checkpoint: str) -> None:
     """W04 on a stream (R04 regression view): each output dimension gets points
-    numbered 0, 1, 2 ... in arrival order; state = points so far per key."""
-    out_schema = "key string, order long, point long, i int, value double"
-
-    def fn(kk, pdfs, state):
-        pdf = pd.concat(list(pdfs)).sort_values("o")
-        start = state.get[0] if state.exists else 0
-        rows = []
-        for n, (o, vals) in enumerate(zip(pdf["o"].tolist(), pdf["v"].tolist())):
-            for i, x in enumerate(vals):
-                rows.append((kk[0], o, start + n, i, float(x)))
-        state.update((start + len(pdf),))
-        yield pd.DataFrame(rows, columns=["key", "order", "point", "i", "value"]) \
-            .astype({"order": "int64", "point": "int64", "i": "int32", "value": "float64"})
-
-    s = stream.select(F.col(key).cast("string").alias("k"), F.col(order).cast("long").alias("o"),
-                      F.col(values).alias("v"))
-    out = s.groupBy("k").applyInPandasWithState(fn, out_schema, "n long", "append", GroupStateTimeout.NoTimeout)
-    _run(out, path, checkpoint)
+    numbered 0, 1, 2 ... in arrival order; state = points so far per key and dimension."""
+    run_to_table(numbered_series(stream, key, order, values), path, checkpoint)

@@ -159,29 +159,9 @@ def latest_control(control_stream: DataFrame, key: str, order: str, path: str, c
     """Skip to the newest control record per key: per micro-batch only the
     newest row of a key is handled, and only when it is newer than the last
     handled version, which lives in the state store (restarts keep it)."""
-    import pandas as pd
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    cols = control_stream.columns
-    schema = control_stream.schema
-
-    def fn(k, pdfs, state):
-        pdf = pd.concat(list(pdfs))
-        top = pdf.loc[[pdf[order].idxmax()]]
-        done = state.get[0] if state.exists else None
-        newest = top[order].iloc[0]
-        if done is None or newest > done:
-            state.update((int(newest),))
-            yield top[cols]
-        else:
-            yield top[cols].iloc[0:0]
-
-    out = control_stream.groupBy(key).applyInPandasWithState(
-        fn, schema, f"done {schema[order].dataType.simpleString()}", "append", GroupStateTimeout.NoTimeout)
-    q = (out.writeStream.outputMode("append").foreachBatch(lambda b, i: idempotent_append(b, i, path))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+    from kelpie.streaming.processors import newest_rows, run_to_table
+
+    return run_to_table(newest_rows(control_stream, key, order), path, checkpoint)
 
 
 def handled_controls(spark: SparkSession, path: str, key: str, order: str) -> DataFrame:
