@@ -15,9 +15,11 @@ what a source gives in all is its target, to the block, at any table size.
 
 For the join a source's stream runs through *lanes*: documents are dealt to
 lanes of about ``LANE`` words by a hash of their content, and the lanes follow
-one another in the stream.  A lane's texts and the slots that name its blocks
-meet in one cogroup, so texts are shuffled once and a source that holds a third
-of all rows is many lanes.  Nothing depends on files or partitions: reruns agree.
+one another in the stream.  There are as many lanes as words, rows and bytes ask
+for.  Copies of one row that would fill an eighth of a lane are numbered and dealt in
+portions below that, so neither a hot source nor a hot row is one lane.  A lane's texts and
+the slots that name its blocks meet in one cogroup, so texts are shuffled once.
+Nothing depends on files or partitions: reruns agree.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +37,8 @@ from kelpie.llm.common import not_null_text, parallelism, unique_names, write_an
 
 BLOCK = 64              # words in a block
 LANE = 1 << 18          # words in a lane, about
+LANE_ROWS = 1 << 16     # rows in a lane at most, about: wordless ones count too
+LANE_BYTES = 1 << 24    # and bytes of text
 SHARD = 1 << 14         # blocks in an output shard, about
 DRAW = 4096             # shards that one draw covers at most
 WEIGHTS = (5, 2, 1)     # of the sources in code point order, null last, repeating
@@ -196,9 +201,26 @@ def _cutter(schema: pa.Schema, text_at: int, size_at: int, lane_at: int, block:
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        n = [len(word_starts((b.column(2)[i].as_py() or "").encode("utf-8", "surrogatepass")))
-             for i in range(b.num_rows)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], ["source", "h", "size"])
+        raw = [(b.column(2)[i].as_py() or "").encode("utf-8", "surrogatepass") for i in range(b.num_rows)]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), pa.array([len(word_starts(r)) for r in raw], pa.int64()),
+             pa.array([len(r) for r in raw], pa.int64())], ["source", "h", "size", "bytes"])
+
+
+def _portions(counted: DataFrame, lane: int, rows: int, width: int) -> DataFrame:
+    """(source, h, copies, size, bytes, per): rows of equal content that would fill an eighth of a lane, and how
+    many of them make a portion."""
+    def eighth(most: int, of: str):
+        return F.greatest(F.lit(1), F.floor(F.lit(most // 8) / F.greatest(F.lit(1), F.col(of))))
+
+    return counted.groupBy("source", "h").agg(F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"),
+                                              F.max("bytes").alias("bytes")) \
+        .withColumn("per", F.least(eighth(lane, "size"), eighth(width, "bytes"), F.lit(max(1, rows // 8))).cast("long")) \
+        .where("copies > per")
+
+
+def _portion_hash(h, portion):
+    return F.when(portion == 0, h).otherwise(F.xxhash64(h, portion))
 
 
 class Mix:
@@ -214,17 +236,48 @@ class Mix:
     appended.  An empty table gives no rows."""
 
     def __init__(self, docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK,
-                 lane: int = LANE, shard: int = SHARD, seed: int = SEED):
+                 lane: int = LANE, shard: int = SHARD, seed: int = SEED, rows: int = LANE_ROWS, width: int = LANE_BYTES):
         self.docs = unique_names(docs, OUT[1:], ("doc_id", "text", "source"))
         self.block, self.seed = block, seed
         content = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
         counted = write_and_read(
-            self.docs.select("source", content.alias("h"), "text").mapInArrow(_sizes, "source string, h long, size long"),
+            self.docs.select("source", content.alias("h"), "text").mapInArrow(_sizes, "source string, h long, size long, bytes long"),
             "mix-sizes")
         self.targets = write_and_read(targets(counted, weights, share, most), "mix-targets")
-        lanes_of = self.targets.select(
-            F.col("source").alias("_mx_source"), "s",
-            F.greatest(F.lit(1).cast("long"), F.ceil(F.col("source_size") / lane)).alias("_mx_lanes"))
+        hot = write_and_read(_portions(counted, lane, rows, width), "mix-copies")
+        self.hot_rows = hot.count()
+        placed = self.docs.withColumn("text", not_null_text()).withColumn("_mx_key", content)
+        if self.hot_rows:
+            same = hot.select(F.col("source").alias("_mx_source"), F.col("h").alias("_mx_h"), "per")
+            is_hot = F.col("source").eqNullSafe(F.col("_mx_source")) & (F.col("_mx_key") == F.col("_mx_h"))
+            copies = write_and_read(placed.join(same, is_hot).drop("_mx_source", "_mx_h")
+                                    .withColumn("_mx_part", F.spark_partition_id()), "mix-hot")
+            # a copy's number: the copies in earlier partitions and its place in its own
+            each = copies.groupBy("source", "_mx_key", "_mx_part").agg(F.count(F.lit(1)).alias("_mx_n"))
+            earlier = Window.partitionBy("source", "_mx_key").orderBy("_mx_part").rowsBetween(Window.unboundedPreceding, -1)
+            each = each.select(F.col("source").alias("_mx_source"), F.col("_mx_key").alias("_mx_h"), F.col("_mx_part").alias("_mx_p"),
+                               F.coalesce(F.sum("_mx_n").over(earlier), F.lit(0)).alias("_mx_base"))
+            place = F.row_number().over(Window.partitionBy("source", "_mx_key", "_mx_part").orderBy("doc_id")) - 1
+            numbered = copies.withColumn("_mx_i", place).join(
+                each, F.col("source").eqNullSafe(F.col("_mx_source")) & (F.col("_mx_key") == F.col("_mx_h"))
+                & (F.col("_mx_part") == F.col("_mx_p")))
+            portion = F.floor((F.col("_mx_base") + F.col("_mx_i")) / F.col("per"))
+            dealt = numbered.withColumn("_mx_key", _portion_hash(F.col("_mx_key"), portion)).select(*placed.columns)
+            placed = placed.join(same, is_hot, "left_anti").unionByName(dealt)
+            at = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / F.col("per")))).alias("portion")
+            n = F.least(F.col("per"), F.col("copies") - F.col("portion") * F.col("per"))
+            dealt = hot.select("*", at).select("source", _portion_hash(F.col("h"), F.col("portion")).alias("h"), (F.col("size") * n).alias("size"))
+            mine = hot.select(F.col("source").alias("_mx_source"), F.col("h").alias("_mx_h"))
+            keyed = counted.select("source", "h", "size").join(
+                mine, F.col("source").eqNullSafe(F.col("_mx_source")) & (F.col("h") == F.col("_mx_h")), "left_anti").unionByName(dealt)
+        else:
+            keyed = counted.select("source", "h", "size")
+        volume = counted.groupBy("source").agg(F.count(F.lit(1)).alias("_mx_rows"), F.sum("bytes").alias("_mx_bytes"))
+        lanes_of = self.targets.join(volume.withColumnRenamed("source", "_mx_source"),
+                                     F.col("source").eqNullSafe(F.col("_mx_source"))).select(
+            "_mx_source", "s",
+            F.greatest(F.lit(1).cast("long"), F.ceil(F.col("source_size") / lane), F.ceil(F.col("_mx_rows") / rows),
+                       F.ceil(F.col("_mx_bytes") / width)).alias("_mx_lanes"))
 
         def in_lanes(df: DataFrame, h) -> DataFrame:
             # a row a source: broadcast where it is small, else a join whose hot keys Spark splits
@@ -233,7 +286,7 @@ class Mix:
 
         in_source = Window.partitionBy("s").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
         self._lanes = write_and_read(
-            in_lanes(counted, F.col("h")).groupBy("s", "lane").agg(F.sum("size").alias("words"))
+            in_lanes(keyed, F.col("h")).groupBy("s", "lane").agg(F.sum("size").alias("words"))
             .withColumn("n", F.ceil(F.col("words") / block).cast("long"))
             .withColumn("base", F.coalesce(F.sum("n").over(in_source), F.lit(0).cast("long"))), "mix-lanes")
         blocks = self._lanes.groupBy("s").agg(F.sum("n").alias("blocks"))
@@ -262,8 +315,7 @@ class Mix:
             F.explode(F.expr(f"sequence(base div {step}, (base + n - 1) div {step})")).alias("range"))
         self._slots = slots.withColumn("range", F.expr(f"block div {step}")).join(ranges, ["s", "range"]) \
             .where("block >= base AND block < base + n").select("s", "lane", "base", "shard", "slot", "epoch", "block")
-        self._placed = in_lanes(self.docs.withColumn("text", not_null_text()), content) \
-            .withColumn("s", F.col("s").cast("long"))
+        self._placed = in_lanes(placed, F.col("_mx_key")).drop("_mx_key").withColumn("s", F.col("s").cast("long"))
 
     def _run(self, whole: bool) -> DataFrame:
         names = [c for c in self.docs.columns if c != "text"]
@@ -280,8 +332,8 @@ class Mix:
         def lane(texts: pa.Table, slots: pa.Table) -> pa.Table:
             """The documents of a lane in the stream's order: by id, null first, then text."""
             keys = pa.table([texts.column(id_at), texts.column(at + 4)], ["id", "h"])
-            order = keys.to_pandas(types_mapper=None).sort_values(["id", "h"], na_position="first", kind="stable").index
-            texts = texts.take(pa.array(order)).drop_columns(["_mx_h"])
+            order = pc.sort_indices(keys, sort_keys=[("id", "ascending"), ("h", "ascending")], null_placement="at_start")
+            texts = texts.take(order).drop_columns(["_mx_h"])
             n = [len(word_starts(t.as_py().encode("utf-8", "surrogatepass"))) for t in texts.column(at)]
             return cut(texts.set_column(at + 1, "size", pa.array(n, pa.int64())), slots)
 

@@ -26,7 +26,9 @@ are made one again, however full of parts a document is.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -45,7 +47,11 @@ HEX = re.compile(r"[0-9a-f]{16,}")      # a run of 16 or more is found whole, a
 LOGIN = re.compile(
     r"""(?ai:user_?name|user|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""")
 OPAQUE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+# what `endpoints` finds; it is not searched with, as each letter of an unbroken run would be tried as a start
 ENDPOINT = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s\"'<>]+|\b[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}\b")
+_REST, _PORT = re.compile(r"//[^\s\"'<>]+"), re.compile(r"[0-9]{2,5}\b")
+_HOST = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789.-")
+_EDGE = re.compile(r"\b")
 BLANK_LINE = re.compile(r"\n[\x20\t\r]*\n")
 
 
@@ -65,28 +71,57 @@ def _mixed(token: str) -> bool:
     return any(c.islower() for c in token) and any(c.isupper() for c in token) and any(c.isdigit() for c in token)
 
 
+def endpoints(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of ``ENDPOINT`` in linear time: from each colon to the left, never past the match before."""
+    done, colon = 0, text.find(":")
+    while colon >= 0:
+        end = None
+        if colon >= done and (rest := _REST.match(text, colon + 1)):
+            at = colon
+            while at > done and (text[at - 1] in _HOST or text[at - 1] == "+"):
+                at -= 1
+            while at < colon and not (text[at].isascii() and text[at].isalpha()):
+                at += 1
+            end = rest.end() if at < colon else None
+        elif colon >= done and (port := _PORT.match(text, colon + 1)):
+            at = dot = colon                        # dot: the last place of a dot that a label follows
+            while at > done and text[at - 1] in _HOST and not (text[at - 1] == "." and text[at:at + 1] in ".:"):
+                at -= 1
+                if text[at] == "." and dot == colon:
+                    dot = at
+            while at < dot and (text[at] == "." or not _EDGE.match(text, at)):
+                at += 1
+            end = port.end() if at < dot < colon else None
+        if end is not None:
+            yield at, end
+            done = end
+        colon = text.find(":", max(colon + 1, done))
+
+
 def weak_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Weak candidates of one text outside its strong parts.  A kind whose
     complement is missing from the whole text can't be reported: it is not searched."""
-    def free(m: re.Match) -> bool:
-        return not any(s < m.end() and m.start() < e for _, s, e in base)
+    strong = sorted((s, e) for _, s, e in base)
+    starts, reach = [s for s, _ in strong], list(accumulate((e for _, e in strong), max))
+
+    def free(span: tuple[int, int]) -> bool:
+        before = bisect_left(starts, span[1])       # the strong parts that begin before its end
+        return not before or reach[before - 1] <= span[0]
 
-    logins = [("login", m.start(), m.end()) for m in LOGIN.finditer(text) if free(m)] \
+    logins = [("login", *m.span()) for m in LOGIN.finditer(text) if free(m.span())] \
         if ":" in text or "=" in text else []
     if not logins and not any(k == "access" for k, _, _ in base):
         return []
-    opaque = [("opaque", m.start(), m.end()) for m in OPAQUE.finditer(text) if free(m) and _mixed(m[0])]
+    opaque = [("opaque", *m.span()) for m in OPAQUE.finditer(text) if free(m.span()) and _mixed(m[0])]
     if not opaque and not any(k in ("assign", "hex") for k, _, _ in base):
         return []
-    ends = [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text) if free(m)]
-    return logins + opaque + ends
+    return logins + opaque + [("endpoint", *m) for m in endpoints(text) if free(m)]
 
 
 def _scopes(text: str, spans: list[tuple[str, int, int]]) -> list[int]:
     """For each span the number of blank lines before it."""
-    import bisect
     marks = [m.start() for m in BLANK_LINE.finditer(text)]
-    return [bisect.bisect_left(marks, s) for _, s, _ in spans]
+    return [bisect_left(marks, s) for _, s, _ in spans]
 
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("scope", pa.int32())])

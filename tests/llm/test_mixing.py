@@ -121,3 +121,45 @@ def test_empty_tables(spark):
     mix = Mix(documents(spark, []))
     assert mix.pieces(untaken=True).count() == 0 and mix.targets.count() == 0
     assert Mix(documents(spark, [(1, None, "en", None), (2, " ", "en", "a")])).pieces(untaken=True).count() == 2
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """3,000 rows without words and 2,000 equal rows in one source, few others."""
+    rows = [(i, (None, "", " \n")[i % 3], "en", "empty") for i in range(3000)]
+    rows += [(7, "w1 w2 w3 w4 w5", "en", "hot")] * 2000 + [(8000 + i, prose(i, 20), "en", "hot") for i in range(40)]
+    return rows + [(9000 + i, prose(i, 30), "en", f"s{i % 2}") for i in range(20)]
+
+
+def test_hot_rows_spread_over_lanes(spark, hot):
+    mix = Mix(documents(spark, hot), block=8, lane=800, shard=64, rows=200)
+    assert mix.hot_rows == 1
+    out = mix.pieces(untaken=True).collect()
+    docs, taken, lanes = {}, defaultdict(int), defaultdict(set)
+    for r in out:
+        k = (r["s"], r["lane"], r["ord"])
+        docs[k] = (r["doc_id"], r["size"], r["source"])
+        taken[k] += r["words"]
+        lanes[r["source"], r["lane"]].add(r["ord"])
+    assert sorted(map(str, docs.values())) == sorted(str((d, len(words(t)), s)) for d, t, _, s in hot)
+    assert all(n <= 2 * docs[k][1] for k, n in taken.items())
+    assert max(len(x) for (s, _), x in lanes.items() if s == "empty") <= 300
+    assert max(len(x) for (s, _), x in lanes.items() if s == "hot") <= 500 and sum(s == "hot" for s, _ in lanes) >= 8
+    goal = {r["source"]: r["target"] for r in mix.targets.collect()}
+    for s in ("hot", "s0", "s1"):
+        got = sum(n for k, n in taken.items() if docs[k][2] == s)
+        assert abs(got - goal[s]) <= 8 * (1 + sum(x == s for x, _ in lanes))
+
+
+def test_hot_rows_give_the_same_mix_whatever_the_partitions(spark, hot):
+    a, b = (sorted(map(str, Mix(documents(spark, hot).repartition(n), block=8, lane=800, shard=64, rows=200)
+                       .pieces().select("doc_id", "text", "shard", "slot", "at").collect())) for n in (1, 6))
+    assert a == b
+
+
+def test_ids_beyond_double_precision_keep_their_order(spark):
+    big = 2 ** 53
+    rows = [(big + i, f"a{i} b{i} c{i}", "en", "s") for i in range(40)] + [(None, "x y z", "en", "s")]
+    out = Mix(documents(spark, rows), block=2, lane=1 << 18, weights=(1,), share=2.0).pieces().collect()
+    order = sorted({(r["ord"], r["doc_id"]) for r in out})
+    assert [d for _, d in order] == [None] + [big + i for i in range(40)]
