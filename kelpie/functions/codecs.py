@@ -82,34 +82,80 @@ def raw_bytes(arr: pa.Array, dtype: str) -> pa.Array:
         info = np.iinfo(npt)
         if len(vals) and (np.nanmin(vals) < info.min or np.nanmax(vals) > info.max):
             raise ValueError(f"value out of range for {dtype}")
-    data = np.ascontiguousarray(vals.astype(npt)).tobytes()
-    boffs = ((offs - o0) * npt.itemsize).astype(np.int32)
-    out = pa.Array.from_buffers(pa.binary(), len(arr), [None, pa.py_buffer(boffs.tobytes()), pa.py_buffer(data)])
-    if arr.null_count:
-        out = pc.if_else(arr.is_null(), pa.scalar(None, pa.binary()), out)
-    return out
+    data = np.ascontiguousarray(vals.astype(npt)).view(np.uint8)
+    return _binary((offs - o0) * npt.itemsize, data, arr.is_null() if arr.null_count else None)
+
+
+_INT32 = 2**31 - 1
+
+
+def _binary(offs: np.ndarray, data: np.ndarray, null: pa.Array | None = None) -> pa.Array:
+    """Binary array over ``data``; one with 64-bit offsets where 32 don't reach."""
+    wide = int(offs[-1]) > _INT32
+    kind, width = (pa.large_binary(), np.int64) if wide else (pa.binary(), np.int32)
+    out = pa.Array.from_buffers(kind, len(offs) - 1, [None, pa.py_buffer(offs.astype(width)), pa.py_buffer(data)])
+    return out if null is None else pc.if_else(null, pa.scalar(None, kind), out)
+
+
+def _payloads(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit offsets, bytes) of a binary array of either width."""
+    wide = pa.types.is_large_binary(arr.type) or pa.types.is_large_string(arr.type)
+    n, bufs = len(arr), arr.buffers()
+    kind = np.dtype(np.int64 if wide else np.int32)
+    offs = np.frombuffer(bufs[1], kind)[arr.offset:arr.offset + n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
+    data = np.frombuffer(bufs[2], np.uint8) if bufs[2] is not None else np.zeros(0, np.uint8)
+    return offs - offs[0], data[offs[0]:offs[-1]]
 
 
-def raw_values(arr: pa.Array, dtype: str) -> pa.Array:
-    """Binary Arrow array -> list array of ``dtype`` (``np.frombuffer`` per batch)."""
+def _lists(offs: np.ndarray, values: pa.Array, null: pa.Array | None = None) -> pa.Array:
+    if int(offs[-1]) > _INT32:
+        return pa.LargeListArray.from_arrays(pa.array(offs), values, mask=null)
+    return pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), values, mask=null)
+
+
+def raw_errors(arr: pa.Array, dtype: str) -> pa.Array:
+    """Why each payload can't be decoded as ``dtype``; null where it can."""
     npt = _np_type(dtype)
-    if pa.types.is_large_binary(arr.type):
-        arr = arr.cast(pa.binary())
-    n = len(arr)
-    bufs = arr.buffers()
-    offs = np.frombuffer(bufs[1], dtype=np.int32)[arr.offset: arr.offset + n + 1].astype(np.int64)
-    data = np.frombuffer(bufs[2], dtype=np.uint8) if bufs[2] is not None else np.zeros(0, np.uint8)
-    raw = np.ascontiguousarray(data[offs[0]:offs[-1]])
-    lengths = np.diff(offs)
-    bad = (lengths % npt.itemsize) != 0
-    if bad.any():
+    length = np.diff(_payloads(arr)[0])
+    null = arr.is_null().to_numpy(zero_copy_only=False)
+    why = [None] * len(arr)
+    for i in np.flatnonzero(null | (length % npt.itemsize != 0)).tolist():
+        why[i] = "no payload" if null[i] else f"{length[i]} bytes are no multiple of {npt.itemsize} ({dtype})"
+    return pa.array(why, pa.string())
+
+
+def raw_values(arr: pa.Array, dtype: str, bad: pa.Array | None = None) -> pa.Array:
+    """Binary Arrow array -> list array of ``dtype`` (``np.frombuffer`` per batch).  Rows marked
+    in ``bad`` give null; without it a payload that isn't whole raises."""
+    npt = _np_type(dtype)
+    offs, raw = _payloads(arr)
+    null = arr.is_null() if arr.null_count else None
+    if bad is not None and bad.true_count:
+        length, gone = np.diff(offs), bad.to_numpy(zero_copy_only=False)
+        raw = raw[np.repeat(~gone, length)]
+        offs = np.concatenate([[0], np.cumsum(np.where(gone, 0, length))])
+        null = bad if null is None else pc.or_(null, bad)
+    if (np.diff(offs) % npt.itemsize).any():
         raise ValueError(f"payload length is not a multiple of {npt.itemsize} bytes for {dtype}")
-    vals = raw.view(npt)
+    vals = np.ascontiguousarray(raw).view(npt)
     wide = _WIDE.get((npt.kind, npt.itemsize))
     vals = vals.astype(wide if wide is not None else npt.newbyteorder("="), copy=False)
-    loffs = pa.array(((offs - offs[0]) // npt.itemsize).astype(np.int32))
-    mask = arr.is_null() if arr.null_count else None
-    return pa.ListArray.from_arrays(loffs, pa.array(vals), mask=mask)
+    return _lists(offs // npt.itemsize, pa.array(vals), null)
+
+
+def _checked(values: pa.Array, errors: pa.Array) -> pa.Array:
+    return pa.StructArray.from_arrays([values, errors], ["values", "error"])
+
+
+def _udf_try(element: T.DataType, errors_of, values_of):
+    """One pass over a batch: struct<values, error>."""
+
+    @F.arrow_udf(T.StructType([T.StructField("values", T.ArrayType(element)), T.StructField("error", T.StringType())]))
+    def run(a: pa.Array) -> pa.Array:
+        errors = errors_of(a)
+        return _checked(values_of(a, errors.is_valid()), errors)
+
+    return run
 
 
 def _udf_encode(dtype: str):
@@ -128,8 +174,10 @@ def _udf_decode(dtype: str):
 
 def encode_raw_col(col: Column | str, dtype: str) -> Column:
     """S03 column form: numbers or (nested) arrays -> RAW bytes."""
-    _np_type(dtype)
     c = F.col(col) if isinstance(col, str) else col
+    if dtype == "string":
+        return F.encode(c, "UTF-8")
+    _np_type(dtype)
     return _udf_encode(dtype)(c)
 
 
@@ -137,9 +185,23 @@ def decode_raw_col(col: Column | str, dtype: str) -> Column:
     """P01 column form: RAW bytes -> flat array (reshape with :func:`reshape_col`
     on a separate projection: a Python UDF cannot sit inside a lambda)."""
     c = F.col(col) if isinstance(col, str) else col
+    if dtype == "string":       # the payload is one text
+        return F.when(c.isNotNull(), F.array(F.validate_utf8(c.cast("string"))))
+    _np_type(dtype)
     return _udf_decode(dtype)(c)
 
 
+def try_decode_raw_col(col: Column | str, dtype: str) -> Column:
+    """struct<values, error>: a payload that can't be decoded gives its reason and stops nothing."""
+    c = F.col(col) if isinstance(col, str) else col
+    if dtype == "string":
+        text = F.try_validate_utf8(c.cast("string"))
+        return F.struct(F.when(text.isNotNull(), F.array(text)).alias("values"),
+                        F.when(c.isNull(), "no payload").when(text.isNull(), "not UTF-8").alias("error"))
+    _np_type(dtype)
+    return _udf_try(RAW_SPARK[dtype], lambda a: raw_errors(a, dtype), lambda a, bad: raw_values(a, dtype, bad))(c)
+
+
 def reshape_col(flat: Column, reshape: str | None) -> Column:
     """Reshape a flat array by a blank-separated shape text (row-major)."""
     dims = [int(x) for x in (reshape or "").split() if x.strip()]
@@ -343,18 +405,25 @@ def _read_varint(buf: bytes, i: int) -> tuple[int, int]:
 
 
 def avro_bytes(batch: pa.StructArray, fields: list[tuple[str, str]]) -> pa.Array:
-    """Encode flat records (Avro binary encoding, no container header)."""
+    """Encode flat records (Avro binary encoding, no container header).  Without unions a record can't
+    hold a null: a row with one gives a null record."""
     n = len(batch)
+    missing = batch.is_null()
+    for name, _ in fields:
+        missing = pc.or_(missing, batch.field(name).is_null())
     if all(t in _AVRO_FIXED for _, t in fields):
         dt = np.dtype([(name, _AVRO_FIXED[t]) for name, t in fields])
         rec = np.zeros(n, dtype=dt)
         for name, t in fields:
-            rec[name] = batch.field(name).to_numpy(zero_copy_only=False)
-        offs = (np.arange(n + 1) * dt.itemsize).astype(np.int32)
-        return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offs.tobytes()), pa.py_buffer(rec.tobytes())])
-    cols = [batch.field(name).to_pylist() for name, _ in fields]
+            column = batch.field(name)
+            rec[name] = pc.fill_null(column, False if t == "boolean" else 0).to_numpy(zero_copy_only=False)
+        return _binary(np.arange(n + 1) * dt.itemsize, rec.view(np.uint8), missing if missing.true_count else None)
+    cols, none = [batch.field(name).to_pylist() for name, _ in fields], missing.to_pylist()
     out = []
     for r in range(n):  # varint fields: small per-record helper
+        if none[r]:
+            out.append(None)
+            continue
         b = bytearray()
         for (name, t), col in zip(fields, cols):
             v = col[r]
@@ -369,42 +438,68 @@ def avro_bytes(batch: pa.StructArray, fields: list[tuple[str, str]]) -> pa.Array
     return pa.array(out, pa.binary())
 
 
-def avro_values(arr: pa.Array, fields: list[tuple[str, str]]) -> pa.Array:
-    """Decode flat records to a list<double> of the fields in schema order."""
+def _avro_record(buf: bytes, fields: list[tuple[str, str]]) -> list[float | None]:
+    i, row = 0, []
+    for name, t in fields:
+        if t in _AVRO_FIXED:
+            w = np.dtype(_AVRO_FIXED[t]).itemsize
+            row.append(float(np.frombuffer(buf[i:i + w], dtype=_AVRO_FIXED[t])[0]) if i + w <= len(buf) else buf[len(buf)])
+            i += w
+        elif t in ("int", "long"):
+            v, i = _read_varint(buf, i)
+            row.append(float(v))
+        else:
+            ln, i = _read_varint(buf, i)
+            if ln < 0 or i + ln > len(buf):
+                raise IndexError(name)
+            s = buf[i:i + ln].decode("utf-8")
+            i += ln
+            try:
+                row.append(float(s))
+            except ValueError:
+                row.append(None)
+    if i != len(buf):
+        raise ValueError(f"{len(buf)} bytes, the record ends after {i}")
+    return row
+
+
+def avro_try(arr: pa.Array, fields: list[tuple[str, str]]) -> tuple[pa.Array, pa.Array]:
+    """(list<double> of the fields in schema order, reason): records that aren't whole give null and their reason."""
+    n = len(arr)
     if all(t in _AVRO_FIXED for _, t in fields):
         dt = np.dtype([(name, _AVRO_FIXED[t]) for name, t in fields])
-        n = len(arr)
-        bufs = arr.buffers()
-        offs = np.frombuffer(bufs[1], dtype=np.int32)[arr.offset: arr.offset + n + 1]
-        data = np.frombuffer(bufs[2], dtype=np.uint8)[offs[0]:offs[-1]]
-        rec = np.frombuffer(np.ascontiguousarray(data).tobytes(), dtype=dt)
+        offs, data = _payloads(arr)
+        length, null = np.diff(offs), arr.is_null().to_numpy(zero_copy_only=False)
+        good = ~null & (length == dt.itemsize)
+        why = [None] * n
+        for i in np.flatnonzero(~good).tolist():
+            why[i] = "no payload" if null[i] else f"{length[i]} bytes, a record has {dt.itemsize}"
+        rec = np.ascontiguousarray(data[np.repeat(good, length)]).view(dt)
         vals = np.stack([rec[name].astype(np.float64) for name, _ in fields], axis=1).reshape(-1)
-        loffs = pa.array((np.arange(n + 1) * len(fields)).astype(np.int32))
-        return pa.ListArray.from_arrays(loffs, pa.array(vals), mask=arr.is_null() if arr.null_count else None)
-    out = []
+        ends = np.concatenate([[0], np.cumsum(good)]) * len(fields)
+        return _lists(ends, pa.array(vals), pa.array(~good) if not good.all() else None), pa.array(why, pa.string())
+    out, why = [], []
     for buf in arr.to_pylist():
-        if buf is None:
+        try:
+            out.append(None if buf is None else _avro_record(buf, fields))
+            why.append("no payload" if buf is None else None)
+        except IndexError:
             out.append(None)
-            continue
-        i, row = 0, []
-        for _, t in fields:
-            if t in _AVRO_FIXED:
-                w = np.dtype(_AVRO_FIXED[t]).itemsize
-                row.append(float(np.frombuffer(buf[i:i + w], dtype=_AVRO_FIXED[t])[0]))
-                i += w
-            elif t in ("int", "long"):
-                v, i = _read_varint(buf, i)
-                row.append(float(v))
-            else:
-                ln, i = _read_varint(buf, i)
-                s = buf[i:i + ln].decode("utf-8")
-                i += ln
-                try:
-                    row.append(float(s))
-                except ValueError:
-                    row.append(None)
-        out.append(row)
-    return pa.array(out, pa.list_(pa.float64()))
+            why.append(f"{len(buf)} bytes, the record is longer")
+        except ValueError as e:
+            out.append(None)
+            why.append("not UTF-8" if isinstance(e, UnicodeDecodeError) else str(e))
+    return pa.array(out, pa.list_(pa.float64())), pa.array(why, pa.string())
+
+
+def avro_values(arr: pa.Array, fields: list[tuple[str, str]]) -> pa.Array:
+    """Decode flat records to a list<double> of the fields in schema order; null stays null, a record that
+    isn't whole raises."""
+    values, why = avro_try(arr, fields)
+    bad = [w for w in why.to_pylist() if w not in (None, "no payload")]
+    if bad:
+        raise ValueError(bad[0])
+    return values
 
 
 def encode_avro_col(cols: list[str], schema: str | dict) -> Column:
@@ -430,6 +525,42 @@ def decode_avro_col(col: Column | str, schema: str | dict) -> Column:
     return dec(c)
 
 
+def try_decode_avro_col(col: Column | str, schema: str | dict) -> Column:
+    """struct<values, error> as :func:`try_decode_raw_col`."""
+    fields = parse_avro_schema(schema)
+    c = F.col(col) if isinstance(col, str) else col
+
+    @F.arrow_udf(T.StructType([T.StructField("values", T.ArrayType(T.DoubleType())), T.StructField("error", T.StringType())]))
+    def run(a: pa.Array) -> pa.Array:
+        return _checked(*avro_try(a, fields))
+
+    return run(c)
+
+
+def try_decode(df: DataFrame, fmt: str, config: dict, value: str = "value", out: str = "decoded") -> DataFrame:
+    """F03 for every payload format: ``out`` and ``error`` from one pass over the payloads.
+
+    ``fmt`` and ``config`` are those of a control record: RAW (data_type, data_reshape), AVRO
+    (data_scheme) or JSON (schema: a struct type).  A bad or missing payload has a null ``out`` and its
+    reason in ``error``, all others decode.  Route with ``error IS NULL``."""
+    kind = fmt.upper()
+    if kind == "JSON":
+        d = decode_json(df, config["schema"], value, out)
+        return d.withColumn(out, F.when(F.col(value).isNotNull(), F.col(out))) \
+            .withColumn("error", F.when(F.col(value).isNull(), "no payload").otherwise(F.col("decode_error"))).drop("decode_error")
+    if kind == "RAW":
+        tried = try_decode_raw_col(value, config["data_type"])
+    elif kind == "AVRO":
+        tried = try_decode_avro_col(value, config["data_scheme"])
+    else:
+        raise ValueError(f"unknown payload format {fmt!r}")
+    d = df.withColumn("_tried", tried)
+    values = F.col("_tried.values")
+    if kind == "RAW" and len((config.get("data_reshape") or "").split()) > 1:
+        values = F.when(values.isNotNull(), reshape_col(values, config["data_reshape"]))
+    return d.withColumn(out, values).withColumn("error", F.col("_tried.error")).drop("_tried")
+
+
 def encode_avro(df: DataFrame, data_cols: list[str], data_schema, label_cols=None,
                 label_schema=None) -> DataFrame:
     """Data record -> value, label record -> key."""

@@ -268,6 +268,39 @@ def f03(spark, sf):
     return d.select("event_id", F.col("decoded.k").alias("k"), "error")
 
 
+_BAD_SCHEMA = '{"fields": [{"name": "a", "type": "float"}, {"name": "b", "type": "float"}, {"name": "n", "type": "double"}]}'
+
+
+@register("f03_bad_payloads", """
+WITH p AS (SELECT vec_id, f.format, vec_id % 10 AS r, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b,
+                  list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS s, len(embedding) AS d
+           FROM embeddings, (VALUES ('RAW'), ('AVRO'), ('JSON')) f(format))
+SELECT vec_id, format, CASE WHEN r IN (3, 7) THEN NULL WHEN format = 'RAW' THEN round(s, 5) WHEN format = 'AVRO' THEN round(a + b + vec_id, 5)
+                            ELSE CAST(vec_id AS DOUBLE) END AS total,
+       CASE WHEN r = 7 THEN 'no payload' WHEN r <> 3 THEN NULL
+            WHEN format = 'RAW' THEN (4 * d - 1) || ' bytes are no multiple of 4 (float32)'
+            WHEN format = 'AVRO' THEN '15 bytes, a record has 16' ELSE 'malformed json' END AS error FROM p""")
+def f03_bad(spark, sf):
+    """Payloads of every format, a tenth of them cut short and a tenth missing: each bad one alone fails."""
+    from kelpie.functions.codecs import encode_avro_col, encode_raw_col, try_decode
+    em = t(spark, sf, "embeddings").select("vec_id", "embedding", F.col("embedding")[0].alias("a"), F.col("embedding")[1].alias("b"),
+                                           F.col("vec_id").cast("double").alias("n"))
+    r = F.col("vec_id") % 10
+    payloads = {"RAW": encode_raw_col("embedding", "float32"), "AVRO": encode_avro_col(["a", "b", "n"], _BAD_SCHEMA),
+                "JSON": F.to_json(F.struct(F.col("vec_id").alias("k"))).cast("binary")}
+    configs = {"RAW": {"data_type": "float32"}, "AVRO": {"data_scheme": _BAD_SCHEMA},
+               "JSON": {"schema": T.StructType([T.StructField("k", T.LongType())])}}
+    totals = {"RAW": lambda: F.aggregate("decoded", F.lit(0.0), lambda x, y: x + y.cast("double")),
+              "AVRO": lambda: F.aggregate("decoded", F.lit(0.0), lambda x, y: x + y), "JSON": lambda: F.col("decoded.k").cast("double")}
+    out = None
+    for fmt, payload in payloads.items():
+        whole = em.withColumn("payload", payload).withColumn("value", F.when(r == 7, F.lit(None)).when(
+            r == 3, F.expr("substring(payload, 1, length(payload) - 1)")).otherwise(F.col("payload")))
+        d = try_decode(whole, fmt, configs[fmt]).select("vec_id", F.lit(fmt).alias("format"), F.round(totals[fmt](), 5).alias("total"), "error")
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 @register("f04_search", """
 SELECT * FROM supplier WHERE lower(CAST(s_suppkey AS VARCHAR)) LIKE '%12%' OR lower(s_name) LIKE '%12%'
   OR lower(CAST(s_nationkey AS VARCHAR)) LIKE '%12%' OR lower(CAST(s_acctbal AS VARCHAR)) LIKE '%12%'""")
