@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,8 +12,9 @@ from kelpie.operators import quality as Q
 from kelpie.operators import registry as J
 from kelpie.plans.fixtures import events_log, header_value, published_events, t
 from kelpie.plans.registry import register
+from kelpie.session import scratch_path
 from kelpie.sources.topics import (control_record, control_records, control_to_log, datasources_from_log,
-                                   topic_ranges)
+                                   read_topic, topic_ranges, write_topic)
 
 # Column rules that turn driver tables into registry tables.  The same SQL
 # text is evaluated by Spark (selectExpr) and by the DuckDB oracle.
@@ -215,6 +218,29 @@ def j14(spark, sf):
                                         F.max(eid).alias("last_event"))
 
 
+@register("j14_pruned_read", """
+WITH b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
+r(tag, s, e) AS (SELECT 'old', lo, lo + (hi - lo) // 10 FROM b UNION ALL SELECT 'new', hi - (hi - lo) // 20, hi + 1 FROM b
+                 UNION ALL SELECT 'none', lo, lo FROM b)
+SELECT r.tag, CAST(user_id % 4 AS INTEGER) AS partition, count(*) AS n, min(event_id) AS first_event, max(event_id) AS last_event
+FROM events JOIN r ON event_id >= r.s AND event_id < r.e GROUP BY 1, 2""")
+def j14_pruned(spark, sf):
+    """Ranges read from a topic table laid out by offset: only the folders they name are read."""
+    bucket = 1 << 14
+    path = scratch_path(spark, f"j14-topic-{uuid.uuid4().hex}")
+    write_topic(events_log(spark, sf, dense=False), path, bucket=bucket)
+    log = read_topic(spark, path, bucketed=True)
+    b = t(spark, sf, "events").agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    lo, hi = int(b["lo"]), int(b["hi"])
+    ranges = spark.createDataFrame(
+        [("events", p, s, e, tag) for p in range(4)
+         for tag, s, e in (("old", lo, lo + (hi - lo) // 10), ("new", hi - (hi - lo) // 20, hi + 1), ("none", lo, lo))],
+        "topic string, partition int, start long, end long, tag string")
+    rec = control_records(ranges, log, bucket)
+    return rec.groupBy("tag", "partition").agg(F.count(F.lit(1)).alias("n"), F.min("offset").alias("first_event"),
+                                               F.max("offset").alias("last_event"))
+
+
 def user_control_log(spark, sf):
     """One control record per user (deployment id = user id) over its events."""
     log = events_log(spark, sf, dense=False).withColumn("user_id", header_value("user_id").cast("long"))

@@ -27,6 +27,7 @@ TOPIC_SCHEMA = T.StructType([
         T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())]))),
 ])
 
+RANGES = 100_000        # exploded range rows that are broadcast at most
 RANGE_SCHEMA = "topic string, partition int, start long, end long"
 
 
@@ -69,13 +70,24 @@ def append_topic(df: DataFrame, topic: str, key: Column | str = "key", value: Co
     return out.select(*TOPIC_SCHEMA.fieldNames())
 
 
-def write_topic(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Persist a topic frame; ``topic/partition`` folders make range reads prune."""
-    df.write.mode(mode).partitionBy("topic", "partition").parquet(path)
+BUCKET = "offset_bucket"     # folder level of topic tables laid out by offset
+BUCKETED_SCHEMA = T.StructType([*TOPIC_SCHEMA.fields, T.StructField(BUCKET, T.LongType())])
 
 
-def read_topic(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TOPIC_SCHEMA).parquet(path)
+def write_topic(df: DataFrame, path: str, mode: str = "append", bucket: int | None = None) -> None:
+    """Persist a topic frame; ``topic/partition`` folders make range reads prune.  With ``bucket`` the records
+    of so many consecutive offsets share a folder of their own, so a read prunes to the
+    announced ranges (:func:`control_records` with the same ``bucket``)."""
+    if bucket is None:
+        df.write.mode(mode).partitionBy("topic", "partition").parquet(path)
+    else:
+        folders = ["topic", "partition", BUCKET]
+        df.withColumn(BUCKET, F.floor(F.col("offset") / bucket).cast("long")).repartition(*folders) \
+            .write.mode(mode).partitionBy(*folders).parquet(path)
+
+
+def read_topic(spark: SparkSession, path: str, bucketed: bool = False) -> DataFrame:
+    return spark.read.schema(BUCKETED_SCHEMA if bucketed else TOPIC_SCHEMA).parquet(path)
 
 
 def append_unlabelled(df: DataFrame, topic: str, value: Column | str = "value", **kw) -> DataFrame:
@@ -239,16 +251,25 @@ def control_records(ranges: DataFrame, log: DataFrame, bucket: int = DEFAULT_BLO
     Range join as a bucketed equi-join: each range is exploded into the
     offset buckets it covers (rows ~ range length / bucket), each log row
     has exactly one bucket, so no (topic, partition) lands in one task.
+
+    A log read from a table laid out by offset (:func:`write_topic` with the same ``bucket``) is joined on
+    its folders.  While the exploded ranges are few (at most ``RANGES`` rows, counted), they are
+    broadcast, and Spark prunes the log's folders by them at run time: bytes read follow the
+    announced ranges, not the topic.  Beyond that the join shuffles as for any log.
     """
-    r = ranges.withColumn("_b", F.explode(F.sequence(
+    laid_out = BUCKET in log.columns
+    out = [c for c in log.columns if c != BUCKET]
+    r = ranges.where(F.col("end") > F.col("start")).withColumn("_b", F.explode(F.sequence(
         F.floor(F.col("start") / bucket).cast("long"),
         F.floor((F.col("end") - 1) / bucket).cast("long"))))
-    l = log.withColumn("_b", F.floor(F.col("offset") / bucket).cast("long"))
+    l = log.withColumnRenamed(BUCKET, "_b") if laid_out else log.withColumn("_b", F.floor(F.col("offset") / bucket).cast("long"))
     rcols = [c for c in ranges.columns if c not in ("topic", "partition")]
     r = r.select("topic", "partition", "_b", *[F.col(c).alias(f"_rng_{c}") for c in rcols])
+    if laid_out and r.count() <= RANGES:
+        r = F.broadcast(r)
     j = l.join(r, ["topic", "partition", "_b"]).where(
         (F.col("offset") >= F.col("_rng_start")) & (F.col("offset") < F.col("_rng_end")))
-    return j.select(*log.columns, *[F.col(f"_rng_{c}").alias(c) for c in rcols if c not in ("start", "end")])
+    return j.select(*out, *[F.col(f"_rng_{c}").alias(c) for c in rcols if c not in ("start", "end")])
 
 
 # ------------------------------------------------------------------ S14 ----

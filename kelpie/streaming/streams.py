@@ -139,12 +139,13 @@ def monitor_snapshot(spark: SparkSession, path: str) -> DataFrame:
 # ------------------------------------------------------------------ R05 ----
 
 def on_control(control_stream: DataFrame, log: DataFrame, path: str, checkpoint: str,
-               fn: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+               fn: Callable[[DataFrame], DataFrame] | None = None, **layout) -> StreamingQuery:
     """Control-plane stream: every control row triggers the read of the records
-    it announces (J14 range join against the topic table)."""
+    it announces (J14 range join against the topic table).  A topic table laid out by offset is
+    read by the announced folders only; ``bucket`` must then be the one it was written with."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         ranges = string_to_ranges(batch.select("deployment_id", "topic"), "topic")
-        rec = control_records(ranges.select("topic", "partition", "start", "end", "deployment_id"), log)
+        rec = control_records(ranges.select("topic", "partition", "start", "end", "deployment_id"), log, **layout)
         out = fn(rec) if fn else rec
         idempotent_append(out, batch_id, path)
 
