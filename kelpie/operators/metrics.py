@@ -77,7 +77,7 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     is generated from it by two explodes, then the counts are left-joined.
     """
     counts = df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")).agg(F.count(F.lit(1)).alias("n"))
-    uni = df.select(F.explode(F.array(F.col(y), F.col(yhat))).alias("c")).where(F.col("c").isNotNull()) \
+    uni = counts.select(F.explode(F.array("y", "yhat")).alias("c")).where(F.col("c").isNotNull()) \
         .agg(F.sort_array(F.collect_set("c")).alias("u"))
     grid = uni.select(F.explode("u").alias("y"), "u").select("y", F.explode("u").alias("yhat"))
     return grid.join(counts, ["y", "yhat"], "left").select("y", "yhat", F.coalesce("n", F.lit(0)).cast("long").alias("n"))

@@ -299,6 +299,16 @@ def gradient(df: DataFrame, spec: ModelSpec, P: dict, **kw):
     return _unflatten(g, P), loss, correct, n, wsum
 
 
+def gradient_by_key(df: DataFrame, spec: ModelSpec, P: dict, key: str, **kw) -> dict:
+    """Sums per value of ``key`` (few: the splits of a fit) with map-side combine (reduceByKey)."""
+    rows, sent = _partials(df, spec, P, key=key, **kw)
+    parts = rows.rdd.map(lambda r: (r["key"], (np.asarray(r["grad"]), r["loss"], r["correct"], r["n"], r["wsum"])))
+    try:
+        return {k: (_unflatten(v[0], P), v[1], v[2], v[3], v[4]) for k, v in parts.reduceByKey(_combine).collect()}
+    finally:
+        sent.destroy()
+
+
 # ------------------------------------------------------------------- fits ----
 
 @dataclass
@@ -441,6 +451,35 @@ def history_frame(spark, result: FitResult, result_id: str = "r0") -> DataFrame:
     return spark.createDataFrame(rows, "result string, epoch int, split string, metric string, value double")
 
 
+def evaluate_model(df: DataFrame, spec: ModelSpec, P: dict, names: list[str], **kw) -> dict[str, float]:
+    """Test scores by metric name.  The scores come as a list, the loss first and then the metrics in
+    the order in which the model was compiled; name k takes the k-th score, names beyond them none."""
+    m = evaluate_params(df, spec, P, **kw)
+    return dict(zip(names, (m["loss"], m["accuracy"])))
+
+
+def result_row(spark, result: FitResult, result_id: str = "r0", test: dict[str, float] | None = None,
+               matrix: DataFrame | None = None, indefinite: bool = False) -> DataFrame:
+    """The row that a finished fit reports: every epoch's metrics, the test scores, the confusion matrix as
+    nested lists over the sorted classes (a row per true class), the training time in seconds, and
+    whether the fit goes on indefinitely.  ``matrix`` is :func:`kelpie.operators.metrics.confusion_matrix`'s frame."""
+    def series(split):
+        out: dict[str, list[float]] = {}
+        for _, s, metric, value in sorted((h for h in result.history if h[1] == split), key=lambda h: h[0]):
+            out.setdefault(metric, []).append(float(value))
+        return out
+
+    row = spark.createDataFrame(
+        [(result_id, series("training"), series("validation"), test or {}, round(result.training_time, 4), indefinite)],
+        "result string, train_metrics map<string,array<double>>, val_metrics map<string,array<double>>, "
+        "test_metrics map<string,double>, training_time double, indefinite boolean")
+    if matrix is None:
+        return row.withColumn("confusion_matrix", F.lit(None).cast("array<array<bigint>>"))
+    lines = matrix.groupBy("y").agg(F.transform(F.sort_array(F.collect_list(F.struct("yhat", "n"))), lambda s: s["n"]).alias("line"))
+    nested = lines.agg(F.transform(F.sort_array(F.collect_list(F.struct("y", "line"))), lambda s: s["line"]).alias("confusion_matrix"))
+    return row.crossJoin(nested)        # one row each
+
+
 def predict_frame(df: DataFrame, spec: ModelSpec, P: dict, features: str = "features",
                   out: str = "values") -> DataFrame:
     """T10 for NumPy specs: Arrow-batched prediction with broadcast parameters."""

@@ -165,9 +165,14 @@ def x03(spark, sf):
 WITH w AS (SELECT CAST(vec_id % 4 AS VARCHAR) AS model_id, CAST(vec_id // 4 AS INTEGER) AS layer,
                   CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v
            FROM embeddings)
-SELECT layer, pos, round(v, 6) AS value FROM w WHERE model_id = '0'""")
+SELECT layer, pos, round(median(v), 6) AS value FROM w GROUP BY layer, pos""")
 def x04(spark, sf):
-    """A strategy plugged in by name: keep the global model (server-side freeze)."""
+    """A strategy plugged in by name: the median over all models, number by number."""
     from kelpie.plans.q_federated import GLOBAL, _long, weights
-    FD.register_strategy("KeepGlobal", lambda w, g: w.where(F.col("model_id") == g).select("layer", "values"))
-    return _long(FD.aggregate(weights(spark, sf), "KeepGlobal", GLOBAL))
+
+    def median(w, _):
+        long = w.select("layer", F.posexplode("values").alias("pos", "v")).groupBy("layer", "pos").agg(F.median("v").alias("v"))
+        return long.groupBy("layer").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias("values"))
+
+    FD.register_strategy("Median", median)
+    return _long(FD.aggregate(weights(spark, sf), "Median", GLOBAL))

@@ -35,7 +35,7 @@ def _params_frame(spark, P: dict, extra: dict | None = None):
     return spark.createDataFrame(rows, cols + "param string, k int, j int, value double")
 
 
-def _gd_sql(epochs: int, lr: float, train_where: str, val_where: str | None, result: str) -> str:
+def _gd_sql(epochs: int, lr: float, train_where: str, val_where: str | None, result: str, tail: str | None = None) -> str:
     """Full-batch gradient descent of softmax regression from zero weights,
     unrolled epoch by epoch in SQL (the oracle of the distributed trainer)."""
     ctes = [f"""ranked AS (SELECT vec_id, label, embedding,
@@ -82,7 +82,8 @@ def _gd_sql(epochs: int, lr: float, train_where: str, val_where: str | None, res
             ctes += scored(f"v{t}", "xv", "va", f"w{t + 1}", f"b{t + 1}")
             hist += [f"SELECT {t}, 'validation', 'loss', loss FROM sv{t}",
                      f"SELECT {t}, 'validation', 'accuracy', acc FROM sv{t}"]
-    return ("WITH " + ",\n".join(ctes) + f",\nh AS ({' UNION ALL '.join(hist)})\n"
+    return ("WITH " + ",\n".join(ctes) + f",\nh AS ({' UNION ALL '.join(hist)})\n" + tail if tail else
+            "WITH " + ",\n".join(ctes) + f",\nh AS ({' UNION ALL '.join(hist)})\n"
             f"SELECT '{result}' AS result, CAST(epoch AS INTEGER) AS epoch, split, metric, round(value, 6) AS value FROM h")
 
 
@@ -199,6 +200,38 @@ def t04(spark, sf):
     return _rounded_history(spark, res, "t04")
 
 
+_RESULT_TAIL = """, u AS (SELECT label AS c FROM va UNION SELECT top FROM mv2),
+cm AS (SELECT a.c AS y, b.c AS yhat, (SELECT count(*) FROM mv2 m JOIN va r ON r.vec_id = m.vec_id WHERE r.label = a.c AND m.top = b.c) AS n
+       FROM u a JOIN u b ON true)
+SELECT CASE split WHEN 'training' THEN 'train_metrics' ELSE 'val_metrics' END AS section, metric AS name, CAST(epoch AS INTEGER) AS i,
+       round(value, 6) AS value FROM h
+UNION ALL SELECT 'test_metrics', metric, 0, round(value, 6) FROM h WHERE split = 'validation' AND epoch = 2
+UNION ALL SELECT 'confusion_matrix', CAST(dense_rank() OVER (ORDER BY y) - 1 AS VARCHAR), CAST(dense_rank() OVER (ORDER BY yhat) - 1 AS INTEGER),
+       CAST(n AS DOUBLE) FROM cm"""
+
+
+@register("t04_result_row", _gd_sql(3, LR, _TRAIN_SPLIT, _VAL_SPLIT, "t04", _RESULT_TAIL))
+def t04_result(spark, sf):
+    """The row that a fit of three epochs reports, taken apart: metrics of every epoch, test scores by name, matrix."""
+    from kelpie.functions.features import argmax
+    from kelpie.operators.metrics import confusion_matrix
+    d = L.split_random(_samples(spark, sf), "vec_id", 0.2, 0.0, seed=1)
+    train, test, spec = d.where("split = 'train'"), d.where("split = 'validation'"), TR.SoftmaxRegression(k=K)
+    res = TR.fit(train, spec, epochs=3, lr=LR, validation=test)
+    scored = TR.predict_frame(test, spec, res.params).select(F.col("label").cast("int").alias("label"), argmax("values").cast("int").alias("pred"))
+    row = TR.result_row(spark, res, "t04", TR.evaluate_model(test, spec, res.params, ["loss", "accuracy"]),
+                        confusion_matrix(scored, "label", "pred"))
+    out = None
+    for section in ("train_metrics", "val_metrics"):
+        part = row.select(F.explode(section).alias("name", "v")).select(F.lit(section).alias("section"), "name", F.posexplode("v").alias("i", "value"))
+        out = part if out is None else out.unionByName(part)
+    tests = row.select(F.explode("test_metrics").alias("name", "value")).select(F.lit("test_metrics").alias("section"), "name", F.lit(0).alias("i"), "value")
+    lines = row.select(F.posexplode("confusion_matrix").alias("y", "line")).select(
+        F.lit("confusion_matrix").alias("section"), F.col("y").cast("string").alias("name"), F.posexplode("line").alias("i", "n")) \
+        .select("section", "name", "i", F.col("n").cast("double").alias("value"))
+    return out.unionByName(tests).unionByName(lines).withColumn("value", F.round("value", 6))
+
+
 SELF_T, SELF_CONF, SELF_ROUNDS = 30.0, 0.6, 5
 _LABELLED = "md5('self:' || CAST(vec_id AS STRING)) < '3'"
 

@@ -170,18 +170,20 @@ def a11(spark, sf):
 
 
 @register("a11_append_history", """
-WITH v AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS e
-           FROM events WHERE event_type = 'view'),
-c AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS e
-      FROM events WHERE event_type = 'click'),
-n AS (SELECT user_id, count(*) AS na FROM v GROUP BY user_id)
-SELECT user_id, event_id, value, e AS epoch FROM v
-UNION ALL SELECT c.user_id, c.event_id, c.value, c.e + coalesce(n.na, 0) FROM c LEFT JOIN n USING (user_id)""")
+WITH m AS (SELECT CAST(user_id AS VARCHAR) || ':' || event_type AS series, event_id, value,
+                  event_id <= (SELECT (min(event_id) + max(event_id)) // 2 FROM events) AS early FROM events),
+v AS (SELECT series, event_id, value, row_number() OVER (PARTITION BY series ORDER BY event_id) - 1 AS e FROM m WHERE early),
+c AS (SELECT series, event_id, value, row_number() OVER (PARTITION BY series ORDER BY event_id) - 1 AS e FROM m WHERE NOT early),
+n AS (SELECT series, count(*) AS na FROM v GROUP BY series)
+SELECT series, event_id, value, e AS epoch FROM v
+UNION ALL SELECT c.series, c.event_id, c.value, c.e + coalesce(n.na, 0) FROM c LEFT JOIN n USING (series)""")
 def a11h(spark, sf):
-    ev = t(spark, sf, "events")
-    # two fits of each result: the 'view' epochs, then the 'click' epochs continue the lists
-    return M.append_history_long(ev.where(F.col("event_type") == "view"), ev.where(F.col("event_type") == "click"),
-                                 "user_id", "event_id").select("user_id", "event_id", "value", "epoch")
+    """Every event is an epoch of its user's metric; the later half of the ids is a second fit that goes on."""
+    ev = t(spark, sf, "events").withColumn("series", F.concat_ws(":", F.col("user_id").cast("string"), "event_type"))
+    half = ev.agg(F.expr("(min(event_id) + max(event_id)) div 2").alias("half"))
+    ev = ev.join(F.broadcast(half))      # one row
+    return M.append_history_long(ev.where("event_id <= half"), ev.where("event_id > half"), "series", "event_id") \
+        .select("series", "event_id", "value", "epoch")
 
 
 _HIST = "CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) < 50 THEN 'val_' || event_type ELSE event_type END"

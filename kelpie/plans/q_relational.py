@@ -115,7 +115,7 @@ def j06(spark, sf):
 
 @register("j07_model_chain", """
 WITH RECURSIVE m AS (SELECT p_partkey AS id, p_partkey // 2 AS parent FROM part),
-roots AS (SELECT p_partkey AS id FROM part WHERE p_type = 'SMALL' AND p_size <= 3),
+roots AS (SELECT p_partkey AS id FROM part),
 chain(root, id, depth) AS (SELECT id, id, 0 FROM roots
   UNION ALL SELECT c.root, m.id, c.depth + 1 FROM chain c JOIN m ON m.parent = c.id AND m.id <> m.parent)
 SELECT root, id AS model_id, depth FROM chain""")
@@ -123,7 +123,7 @@ def j07(spark, sf):
     part = t(spark, sf, "part")
     ms = part.select(F.col("p_partkey").alias("model_id"),
                      F.when(F.col("p_partkey") != F.expr("p_partkey div 2"), F.expr("p_partkey div 2")).alias("father_id"))
-    roots = part.where((F.col("p_type") == "SMALL") & (F.col("p_size") <= 3)).select(F.col("p_partkey").alias("model_id"))
+    roots = part.select(F.col("p_partkey").alias("model_id"))
     return J.model_chain(spark, ms, roots).select("root", "model_id", F.col("depth").cast("int").alias("depth"))
 
 

@@ -141,18 +141,61 @@ def _embedding_files(spark, sf, parts=2):
     return path, em.schema
 
 
-@register("t05_fit_stream")
+T05_BATCHES, T05_EPOCHS, T05_LR, T05_STEP = 4, 3, 0.5, 0.0001
+
+
+def _t05_sql() -> str:
+    """The incremental fit unrolled: every batch goes on from the weights of the one before."""
+    ctes = [f"b AS (SELECT min(vec_id) AS lo, (max(vec_id) - min(vec_id)) // {T05_BATCHES} + 1 AS step FROM embeddings)",
+            "r AS (SELECT vec_id, label, (vec_id - lo) // step AS batch FROM embeddings, b)",
+            "q AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY vec_id) - 1 AS pos, count(*) OVER (PARTITION BY batch) AS n FROM r)",
+            "s AS (SELECT *, CASE WHEN pos < floor(0.8::DOUBLE * n) THEN 't' WHEN floor(0.2::DOUBLE * n) > 0 THEN 'v' END AS split FROM q)",
+            "x AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)",
+            "ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(10))",
+            "w0 AS (SELECT ks.k, x.j, 0.0::DOUBLE AS w FROM ks, (SELECT DISTINCT j FROM x) x)", "c0 AS (SELECT k, 0.0::DOUBLE AS c FROM ks)"]
+
+    def scores(name, rows, v):
+        return [f"z{name} AS (SELECT d.vec_id, w.k, sum(x.x * w.w) + any_value(c.c) AS z FROM {rows} d JOIN x USING (vec_id) "
+                f"JOIN w{v} w ON w.j = x.j JOIN c{v} c ON c.k = w.k GROUP BY d.vec_id, w.k)",
+                f"e{name} AS (SELECT vec_id, k, exp(z - max(z) OVER (PARTITION BY vec_id)) AS ez FROM z{name})",
+                f"p{name} AS (SELECT vec_id, k, ez / sum(ez) OVER (PARTITION BY vec_id) AS p FROM e{name})"]
+
+    v = 0
+    for b in range(T05_BATCHES):
+        ctes += [f"t{b} AS (SELECT * FROM s WHERE batch = {b} AND split = 't')", f"v{b} AS (SELECT * FROM s WHERE batch = {b} AND split = 'v')"]
+        for _ in range(T05_EPOCHS):
+            ctes += scores(f"t{v}", f"t{b}", v)
+            ctes += [f"g{v} AS (SELECT d.vec_id, p.k, p.p - CASE WHEN d.label = p.k THEN 1 ELSE 0 END AS g FROM pt{v} p JOIN t{b} d USING (vec_id))",
+                     f"w{v + 1} AS (SELECT w.k, w.j, any_value(w.w) - {T05_LR} * sum(g.g * x.x) / (SELECT count(*) FROM t{b}) AS w FROM g{v} g "
+                     f"JOIN x USING (vec_id) JOIN w{v} w ON w.k = g.k AND w.j = x.j GROUP BY w.k, w.j)",
+                     f"c{v + 1} AS (SELECT c.k, any_value(c.c) - {T05_LR} * sum(g.g) / (SELECT count(*) FROM t{b}) AS c FROM g{v} g "
+                     f"JOIN c{v} c USING (k) GROUP BY c.k)"]
+            v += 1
+        ctes += scores(f"v{b}", f"v{b}", v)
+        ctes.append(f"a{b} AS (SELECT avg(CASE WHEN q.top = d.label THEN 1.0 ELSE 0.0 END) AS a FROM (SELECT vec_id, arg_max(k, (p, -k)) AS top "
+                    f"FROM pv{b} GROUP BY vec_id) q JOIN v{b} d USING (vec_id))")
+        ctes.append(f"f{b} AS (SELECT a AS ref, false AS up FROM a0)" if b == 0 else
+                    f"f{b} AS (SELECT CASE WHEN a <> ref AND a - ref >= {T05_STEP} THEN a ELSE ref END AS ref, a <> ref AND a - ref >= {T05_STEP} AS up "
+                    f"FROM a{b}, (SELECT ref FROM f{b - 1}))")
+    rows = " UNION ALL ".join(f"SELECT CAST({b} AS BIGINT) AS batch_id, CAST(650 AS INTEGER) AS n_params, a AS val_accuracy, up AS result_row FROM a{b}, f{b}"
+                              for b in range(T05_BATCHES))
+    return "WITH " + ",\n".join(ctes) + "\n" + rows
+
+
+@register("t05_fit_stream", _t05_sql())
 def t05(spark, sf):
+    """Four micro-batches of three epochs each; the ratchet says which versions become result rows."""
     from kelpie.operators.train import SoftmaxRegression
-    path, schema = _embedding_files(spark, sf, parts=4)
+    path, schema = _embedding_files(spark, sf, parts=T05_BATCHES)
     out, ck = _scratch(spark, "t05-params"), _scratch(spark, "t05-ck")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-    ST.fit_stream(stream, SoftmaxRegression(k=10), out, ck, d=64, lr=0.5, validation_rate=0.2)
+    ST.fit_stream(stream, SoftmaxRegression(k=10), out, ck, d=64, lr=T05_LR, validation_rate=0.2, epochs=T05_EPOCHS, order="id")
     versions = spark.read.parquet(out).select("batch_id", F.size("params").alias("n_params"), "val_accuracy")
-    results = ST.incremental_results(spark, out, "val_accuracy", "up", 0.0001).select(
+    results = ST.incremental_results(spark, out, "val_accuracy", "up", T05_STEP).select(
         "batch_id", F.lit(True).alias("result_row"))
-    return versions.join(results, "batch_id", "left").withColumn(
-        "result_row", F.coalesce(F.col("result_row"), F.lit(False)))
+    return versions.join(results, "batch_id", "left").select(
+        F.col("batch_id").cast("long").alias("batch_id"), "n_params", "val_accuracy",
+        F.coalesce(F.col("result_row"), F.lit(False)).alias("result_row"))
 
 
 @register("t07_self_train_stream")

@@ -174,10 +174,12 @@ def handled_controls(spark: SparkSession, path: str, key: str, order: str) -> Da
 # ------------------------------------------------------------------ T05 ----
 
 def fit_stream(stream: DataFrame, spec, params_path: str, checkpoint: str, d: int, lr: float = 0.5,
-               validation_rate: float = 0.0, features: str = "features", label: str = "label") -> StreamingQuery:
-    """Incremental fit: warm start on each micro-batch (one step on its train
+               validation_rate: float = 0.0, features: str = "features", label: str = "label", epochs: int = 1,
+               order: str | None = None) -> StreamingQuery:
+    """Incremental fit: warm start on each micro-batch (``epochs`` full-batch steps on its train
     split, L02); parameters are stored per batch id, so a replayed batch
-    recomputes the same version from the previous one."""
+    recomputes the same version from the previous one.  ``order`` (an integral, unique column) fixes
+    which rows of a batch come first in the split; without it they come as they were read."""
     from kelpie.operators.splits import split_batch
     from kelpie.operators.train import gradient_step
     spark = stream.sparkSession
@@ -198,10 +200,11 @@ def fit_stream(stream: DataFrame, spec, params_path: str, checkpoint: str, d: in
         from kelpie.operators.train import _flatten, evaluate_params
         P = load(batch_id)
         # the split counts positions, so they must be dense over all partitions of the batch
-        rows = dense_position(cut_lineage(batch.withColumn("_seq", F.monotonically_increasing_id())), None, "_seq",
-                              name="_pos").drop("_seq")
+        seq = F.monotonically_increasing_id() if order is None else F.col(order).cast("long")
+        rows = dense_position(cut_lineage(batch.withColumn("_seq", seq)), None, "_seq", name="_pos").drop("_seq")
         b = split_batch(rows, validation_rate, pos="_pos").persist()
-        P = gradient_step(b.where(F.col("split") == "train"), spec, P, lr, features=features, label=label)
+        for _ in range(epochs):
+            P = gradient_step(b.where(F.col("split") == "train"), spec, P, lr, features=features, label=label)
         val = b.where(F.col("split") == "validation")
         m = evaluate_params(val, spec, P, features=features, label=label) if validation_rate > 0 else \
             {"loss": None, "accuracy": None, "n": 0}
