@@ -46,6 +46,15 @@ def training_case(ds_incremental: Column, distributed: Column, has_chain: Column
              .otherwise(4))
 
 
+def server_case(distributed: Column, incremental: Column, federated: Column, blockchain: Column) -> Column:
+    """Server case 1-9 of a deployment's model.  1-4 are the plain ones, 5-8 their federated forms, 9 the
+    single federated one on a ledger; the ledger has no incremental or distributed form.  A flag
+    that is null counts as not set."""
+    d, i, f, b = (F.coalesce(c, F.lit(False)) for c in (distributed, incremental, federated, blockchain))
+    plain = F.when(~d & ~i, 1).when(~d, 2).when(~i, 3).otherwise(4)
+    return F.when(~f, plain).when(b & ~d & ~i, 9).otherwise(plain + 4)
+
+
 def match(datasources: DataFrame, models: DataFrame) -> DataFrame:
     """J01 + J02: compatible (datasource, model) pairs with their training case.
 

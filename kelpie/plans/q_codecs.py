@@ -297,6 +297,22 @@ def s08(spark, sf):
     return c.select("deployment_id", "topic", "total_msg", "incremental", "input_format", "validation_rate", "test_rate")
 
 
+@register("s08_control_body", _EMB_CTRL + """
+SELECT '0000000000000001' AS key_hex, string_agg('embeddings:' || CAST(partition AS VARCHAR) || ':0:' || CAST(n AS VARCHAR), ',' ORDER BY partition) AS topic,
+       CAST(sum(n) AS BIGINT) AS total_msg, 'float32' AS data_type, '64' AS data_reshape, 'embeddings' AS description FROM p""")
+def s08_body(spark, sf):
+    """The published record itself: key bytes of the deployment and the fields of its JSON body."""
+    c = TP.control_record(TP.topic_ranges(embeddings_log(spark, sf)), deployment_id=1, description="embeddings",
+                          input_config={"data_type": "float32", "label_type": "int32", "data_reshape": "64", "label_reshape": ""},
+                          validation_rate=0.1, test_rate=0.2)
+    body = F.col("value").cast("string")
+    config = F.get_json_object(body, "$.input_config")
+    return TP.control_to_log(c).select(
+        F.hex("key").alias("key_hex"), F.get_json_object(body, "$.topic").alias("topic"),
+        F.get_json_object(body, "$.total_msg").cast("long").alias("total_msg"), F.get_json_object(config, "$.data_type").alias("data_type"),
+        F.get_json_object(config, "$.data_reshape").alias("data_reshape"), F.get_json_object(body, "$.description").alias("description"))
+
+
 def _pool_log(spark, sf):
     pool = t(spark, sf, "documents").join(t(spark, sf, "labels"), "doc_id", "left_anti")
     return TP.append_unlabelled(pool, "pool", value=F.encode("text", "UTF-8"), partition=F.lit(0), order="doc_id",
@@ -336,17 +352,9 @@ SELECT CAST(device AS INTEGER) AS device, CAST(sum(cnt) AS BIGINT) AS total_msg,
        string_agg(CAST(label AS VARCHAR) || ':' || CAST(w AS VARCHAR), ',' ORDER BY label) AS label_weights
 FROM (SELECT c.device, c.label, c.cnt, w.w FROM c JOIN w USING (device, label)) GROUP BY device""")
 def s10(spark, sf):
-    from kelpie.operators.metrics import class_weights
-    em = t(spark, sf, "embeddings").withColumn("device", (F.col("label") % 3).cast("int"))
-    log = TP.append_topic(em, "fed", key=C.encode_raw_col("label", "int32"), value=C.encode_raw_col("embedding", "float32"),
-                          partition=F.col("device"), order="vec_id")
-    w = class_weights(em, "label", by="device").groupBy("device").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("label"), F.round("weight", 6)))).alias("label_weights"))
-    ranges = TP.topic_ranges(log).withColumnRenamed("partition", "device").withColumn("partition", F.col("device"))
-    c = TP.control_record(ranges, by=["device"], deployment_id=3,
-                          federated_string_id=None, dataset_restrictions='{"classes": 10}',
-                          streaming_data_chunks=2)
-    c = c.drop("label_weights").join(w, "device").withColumn("federated_string_id", F.concat(F.lit("fed"), F.col("device").cast("string")))
+    _, c = TP.publish_federated(t(spark, sf, "embeddings"), "fed", F.col("label") % 3, "embedding", "label", "vec_id", deployment_id=3,
+                                data_type="float32", label_type="int32", restrictions='{"classes": 10}', chunks=2)
+    c = c.withColumn("label_weights", F.transform_values("label_weights", lambda k, v: F.round(v, 6)))
     return c.select("device", "total_msg", "federated_string_id", F.array_join(F.transform(
         F.array_sort(F.map_entries(F.col("label_weights").alias("lw"))),
         lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"].cast("string"))), ",").alias("label_weights"))

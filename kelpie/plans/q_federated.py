@@ -47,6 +47,33 @@ def s23(spark, sf):
                     F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
+@register("s23_weights_control", """
+WITH w AS (SELECT CAST(vec_id % 4 AS VARCHAR) AS model_id, CASE WHEN vec_id % 4 = 0 THEN -1 ELSE 4 END AS version, count(*) AS layers
+           FROM embeddings GROUP BY 1, 2)
+SELECT model_id, 'weights-' || model_id || ':0:0:' || CAST(layers AS VARCHAR) AS topic, CAST(version AS INTEGER) AS version, layers,
+       '{"batch":32,"epochs":2}' AS training_settings, CAST(layers * 10 AS BIGINT) AS num_data FROM w""")
+def s23_control(spark, sf):
+    """Weights written to the table, published layer by layer, and announced by a control row a model."""
+    import uuid
+
+    from kelpie.functions.codecs import encode_raw_col
+    from kelpie.session import scratch_path
+    from kelpie.sources import topics as TP
+    path = scratch_path(spark, f"weights-{uuid.uuid4().hex}")
+    FD.write_weights(weights(spark, sf), path)
+    stored = spark.read.schema(FD.WEIGHTS_SCHEMA).parquet(path)
+    log = None
+    for m in ("0", "1", "2", "3"):
+        one = TP.append_topic(stored.where(F.col("model_id") == m), f"weights-{m}", key=F.col("layer").cast("string").cast("binary"),
+                              value=encode_raw_col("values", "float64"), partition=F.lit(0), order="layer",
+                              headers=F.array(F.struct(F.lit("version").alias("key"), F.col("version").cast("string").cast("binary").alias("value"))))
+        log = one if log is None else log.unionByName(one)
+    log = log.withColumn("model_id", F.substring_index("topic", "-", -1)).withColumn("version", F.filter(
+        "headers", lambda h: h["key"] == "version")[0]["value"].cast("string").cast("int"))
+    c = TP.weights_control(log, "model_id", version=F.col("version"), settings={"batch": 32, "epochs": 2}, num_data=F.col("layers") * 10)
+    return c.select("model_id", "topic", "version", "layers", "training_settings", "num_data")
+
+
 @register("s24_read_weights", """
 SELECT CAST(vec_id // 4 AS INTEGER) AS layer, CAST(len(embedding) AS INTEGER) AS n_values, round(CAST(embedding[1] AS DOUBLE), 6) AS first
 FROM embeddings WHERE vec_id % 4 = 2""")

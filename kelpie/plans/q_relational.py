@@ -95,6 +95,26 @@ def j04(spark, sf):
     return J.match(datasources(spark, sf), models(spark, sf)).groupBy("case").agg(F.count(F.lit(1)).alias("n"))
 
 
+_DEPLOYMENT_FLAGS = {"distributed": "(p_size % 5 = 4 OR p_type = 'SMALL')", "incremental": "o_orderstatus = 'P'",
+                     "federated": "o_orderpriority IN ('1-URGENT', '5-LOW')", "blockchain": "o_custkey % 2 = 0"}
+
+
+@register("j04_server_case", f"""
+WITH r AS (SELECT {", ".join(f"{e} AS {k}" for k, e in _DEPLOYMENT_FLAGS.items())} FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+           JOIN part ON p_partkey = l_partkey)
+SELECT CAST(CASE WHEN NOT distributed THEN
+         CASE WHEN NOT incremental THEN CASE WHEN NOT federated THEN 1 WHEN NOT blockchain THEN 5 ELSE 9 END
+              ELSE CASE WHEN NOT federated THEN 2 ELSE 6 END END
+       ELSE CASE WHEN NOT incremental THEN CASE WHEN NOT federated THEN 3 ELSE 7 END
+            ELSE CASE WHEN NOT federated THEN 4 ELSE 8 END END END AS INTEGER) AS "case", count(*) AS n FROM r GROUP BY 1""")
+def j04_server(spark, sf):
+    """Every model of every deployment (orders with their line items) by server case."""
+    rows = t(spark, sf, "orders").join(t(spark, sf, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey")) \
+        .join(t(spark, sf, "part"), F.col("p_partkey") == F.col("l_partkey")) \
+        .select(*[F.expr(e).alias(k) for k, e in _DEPLOYMENT_FLAGS.items()])
+    return rows.groupBy(J.server_case(*[F.col(k) for k in _DEPLOYMENT_FLAGS]).cast("int").alias("case")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("j05_first_launch", _MATCH_SQL + """,
 f AS (SELECT ds.federated_string_id AS fed, x.ds_id, x.model_id,
              row_number() OVER (PARTITION BY ds.federated_string_id ORDER BY x.ds_id, x.model_id) AS rn

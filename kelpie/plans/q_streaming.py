@@ -234,6 +234,25 @@ def _events_stream(spark, sf):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+@register("s09_first_sample_stream", """
+WITH b AS (SELECT min(event_id) AS lo, (max(event_id) - min(event_id)) // 4 + 1 AS step FROM events),
+f AS (SELECT CAST(user_id % 4 AS INTEGER) AS partition, count(*) AS n FROM events, b WHERE event_id < lo + step GROUP BY 1)
+SELECT CAST(9 AS BIGINT) AS deployment_id, string_agg('online:' || CAST(partition AS VARCHAR) || ':0:' || CAST(n AS VARCHAR), ',' ORDER BY partition) AS topic,
+       CAST(NULL AS BIGINT) AS total_msg, true AS incremental, 'float64' AS data_type, (SELECT count(*) FROM events) AS records FROM f""")
+def s09_stream(spark, sf):
+    """A stream of samples that announces itself once; stopped after its first files and started again."""
+    path, ck = _scratch(spark, "s09-topic"), _scratch(spark, "s09-ck")
+    src, schema = _ordered_event_files(spark, sf)
+    for _ in range(2):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src) \
+            .withColumn("sample", F.array("value"))
+        ST.publish_online(stream, "online", "sample", None, path, ck, deployment_id=9, partition=F.col("user_id") % 4, order="event_id")
+    n = spark.read.parquet(f"{path}/records").agg(F.countDistinct("partition", "offset").alias("records"))
+    c = spark.read.parquet(f"{path}/control").select(
+        "deployment_id", "topic", "total_msg", "incremental", F.get_json_object("input_config", "$.data_type").alias("data_type"))
+    return c.join(F.broadcast(n))       # one row each
+
+
 @register("w05_improvements_stream", """
 WITH RECURSIVE s AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
 r AS (SELECT user_id, rn, value AS ref, false AS emit, value, event_id, CAST(NULL AS DOUBLE) AS prevref FROM s WHERE rn = 1

@@ -200,6 +200,43 @@ def control_record(ranges: DataFrame, by: list[str] | None = None, *, deployment
     return out
 
 
+def publish_federated(df: DataFrame, topic: str, device: Column | str, data: str, label: str, order: str, *, deployment_id: int,
+                      data_type: str, label_type: str, federated_prefix: str = "fed", restrictions: str = "{}",
+                      chunks: int | None = None, weights: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(records, control rows) of a federated data set: a topic partition and a control row for each
+    device, with its restrictions, federated id (prefix and device), class weights and number of chunks."""
+    from kelpie.functions.codecs import encode_raw_col
+    from kelpie.operators.metrics import class_weights
+    src = df.withColumn("_device", _c(device).cast("int"))
+    log = append_topic(src, topic, key=encode_raw_col(label, label_type), value=encode_raw_col(data, data_type),
+                       partition=F.col("_device"), order=order)
+    ranges = topic_ranges(log).withColumn("device", F.col("partition"))
+    control = control_record(ranges, by=["device"], deployment_id=deployment_id, dataset_restrictions=restrictions,
+                             input_config={"data_type": data_type, "label_type": label_type, "data_reshape": "", "label_reshape": ""},
+                             streaming_data_chunks=chunks) \
+        .withColumn("federated_string_id", F.concat(F.lit(federated_prefix), F.col("device").cast("string")))
+    if weights:     # a map a device: as many entries as classes
+        w = class_weights(src, label, by="_device").groupBy(F.col("_device").alias("device")).agg(
+            F.map_from_entries(F.collect_list(F.struct(F.col(label).cast("int").alias("k"), F.col("weight")))).alias("label_weights"))
+        control = control.drop("label_weights").join(w, "device", "left")
+    return log, control
+
+
+def weights_control(log: DataFrame, by: str, *, version: Column, settings: dict | None = None, metrics: Column | None = None,
+                    num_data: Column | None = None) -> DataFrame:
+    """The control row of each published model (column ``by`` of ``log``): the range of its layers, its version,
+    the training settings and, from a device, its metrics and number of rows."""
+    per = log.groupBy(by, "topic", "partition").agg(F.min("offset").alias("start"), (F.max("offset") + 1).alias("end"),
+                                                    F.max(version).alias("version"))
+    out = per.groupBy(by).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(
+        "topic", "partition", range_text("topic", "partition", "start", "end").alias("t")))), lambda x: x["t"]), ",").alias("topic"),
+        F.max("version").cast("int").alias("version"), F.sum(F.col("end") - F.col("start")).cast("long").alias("layers"))
+    text = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in (settings or {}).items()])) if settings else F.lit("{}")
+    return out.select(by, "topic", "version", "layers", text.alias("training_settings"),
+                      (F.lit(None).cast("string") if metrics is None else metrics).alias("metrics"),
+                      (F.lit(None) if num_data is None else num_data).cast("long").alias("num_data"))
+
+
 KEY_WIDTH = 8   # bytes of a deployment id: every long that is not negative fits
 
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -136,6 +136,54 @@ def monitor_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return snap.groupBy("label").agg(F.max_by("n", "batch_id").alias("n"))
 
 
+# ------------------------------------------------------------------ S09 ----
+
+def publish_online(stream: DataFrame, topic: str, data: str, label: str | None, path: str, checkpoint: str, *, deployment_id: int,
+                   partition: Column | str, order: str, description: str = "", validation_rate: float = 0.0,
+                   data_type: str | None = None, label_type: str | None = None) -> StreamingQuery:
+    """Publish a stream of samples and announce it once, at its first sample.
+
+    Records go to ``path``/records, offsets go on from batch to batch.  The first batch that holds a
+    sample decides the format (S04, unless types are given) and writes the one control row, incremental
+    and without a size, to ``path``/control.  Everything a batch writes lies in folders of its own
+    batch id: a batch that is run again, after a crash between any two writes, replaces what it wrote
+    before, and whether an earlier batch has announced the stream is read from the control folder."""
+    from kelpie.functions.codecs import encode_raw_col, infer_format
+    from kelpie.sources.topics import append_topic, control_record, topic_ranges
+    spark = stream.sparkSession
+
+    def before(name: str, batch_id: int, schema: str) -> DataFrame | None:
+        if not path_exists(spark, f"{path}/{name}"):
+            return None
+        return spark.read.schema(f"{schema}, batch_id long").parquet(f"{path}/{name}").where(F.col("batch_id") < batch_id)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        fmt = infer_format(batch, data, label).first()          # types, and shapes over the whole batch
+        kinds = data_type or fmt["data_type"], label_type or fmt["label_type"]
+        ends = before("ends", batch_id, "partition int, end long")
+        start = None if ends is None else ends.groupBy("partition").agg(F.max("end").alias("end"))
+        log = append_topic(batch, topic, key=F.lit(None) if label is None else encode_raw_col(label, kinds[1]),
+                           value=encode_raw_col(data, kinds[0]), partition=partition, order=order, start=start)
+        idempotent_append(log, batch_id, f"{path}/records")
+        mine = spark.read.parquet(f"{path}/records").where(F.col("batch_id") == batch_id)
+        idempotent_append(mine.groupBy(F.col("partition").cast("int").alias("partition")).agg((F.max("offset") + 1).alias("end")),
+                          batch_id, f"{path}/ends")
+        told = before("control", batch_id, "deployment_id long")
+        if told is None or told.isEmpty():
+            config = {"data_type": kinds[0], "label_type": kinds[1] or "", "data_reshape": fmt["data_reshape"] or "",
+                      "label_reshape": fmt["label_reshape"] or ""}
+            control = control_record(topic_ranges(mine.select("topic", F.col("partition").cast("int").alias("partition"), "offset")),
+                                     deployment_id=deployment_id, input_config=config, description=description,
+                                     validation_rate=validation_rate, incremental=True)
+            idempotent_append(control, batch_id, f"{path}/control")
+
+    q = foreach_microbatch(stream, handle, checkpoint)
+    q.awaitTermination()
+    return q
+
+
 # ------------------------------------------------------------------ R05 ----
 
 def on_control(control_stream: DataFrame, log: DataFrame, path: str, checkpoint: str,
