@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kelpie.functions.features import round_np
 from kelpie.operators.models import EPS
-from kelpie.operators.sequence import running_sum
+from kelpie.operators.sequence import laid_by_range, range_running_sum
 from kelpie.session import cut_lineage
 
 
@@ -138,8 +138,7 @@ def class_report(cm: DataFrame, decimals: int = 6) -> DataFrame:
 
 # ------------------------------------------------------------------ A08 ----
 
-def evaluate(df: DataFrame, y: str, p: str, weight: str | None = None, threshold: float = 0.5,
-             auc_buckets: int = 1 << 20) -> DataFrame:
+def evaluate(df: DataFrame, y: str, p: str, weight: str | None = None, threshold: float = 0.5) -> DataFrame:
     """Binary metrics (0/1 truth, score p): accuracy/binary accuracy (also
     sample-weighted), precision, recall, MAE, MSE, binary cross-entropy with p
     clipped to [1e-7, 1-1e-7], and ROC AUC with ties counted half.
@@ -168,7 +167,7 @@ def evaluate(df: DataFrame, y: str, p: str, weight: str | None = None, threshold
         (F.sum(F.col("pos") * F.abs(1 - s) + F.col("neg") * F.abs(s)) / n).alias("mae"),
         (F.sum(F.col("pos") * (1 - s) * (1 - s) + F.col("neg") * s * s) / n).alias("mse"),
         (F.sum(-(F.col("pos") * F.log(pc)) - F.col("neg") * F.log(1 - pc)) / n).alias("binary_crossentropy"))
-    a = _auc_from_scores(by_score, auc_buckets).withColumn("_g", F.lit(0))
+    a = _auc_from_scores(by_score).withColumn("_g", F.lit(0))
     # both sides are global aggregates (exactly one row): a proven-size broadcast
     return base.withColumn("_g", F.lit(0)).join(F.broadcast(a), "_g").drop("_g")
 
@@ -187,26 +186,19 @@ def evaluate_multiclass(df: DataFrame, label: str, values: str, weight: str | No
                    (F.sum(-F.log(p) * w) / F.sum(w)).alias("sparse_categorical_crossentropy"))
 
 
-def auc(df: DataFrame, y: str, p: str, buckets: int = 1 << 20) -> DataFrame:
+def auc(df: DataFrame, y: str, p: str) -> DataFrame:
     """Exact ROC AUC without a global sort (see :func:`_auc_from_scores`)."""
     yy = F.col(y).cast("int")
     by_score = df.groupBy(F.col(p).cast("double").alias("s")).agg(
         F.sum((yy == 1).cast("long")).alias("pos"), F.sum((yy == 0).cast("long")).alias("neg"))
-    return _auc_from_scores(by_score, buckets)
-
-
-def _auc_from_scores(by_score: DataFrame, buckets: int) -> DataFrame:
-    """AUC from (score, pos, neg): min/max of the score (one row, broadcast) maps
-    scores to ordered buckets; negatives below each score come from blocked
-    prefix sums; ties count half."""
-    rng = by_score.agg(F.min("s").alias("lo"), F.max("s").alias("hi")).withColumn("_g", F.lit(0))
-    b = by_score.select("s", "pos", "neg").withColumn("_g", F.lit(0)).join(F.broadcast(rng), "_g").withColumn(
-        "bk", F.when(F.col("hi") > F.col("lo"),
-                     F.floor((F.col("s") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets)).otherwise(0)
-        .cast("long"))
-    b = running_sum(b, None, "bk", "neg", "neg_le", block=max(1, buckets // 1024), tiebreak=["s"])
-    return b.agg(F.try_divide(F.sum(F.col("pos") * (F.col("neg_le") - F.col("neg")))
-                              + 0.5 * F.sum(F.col("pos") * F.col("neg")),
+    return _auc_from_scores(by_score)
+
+
+def _auc_from_scores(by_score: DataFrame) -> DataFrame:
+    """AUC from (score, pos, neg): the negatives below each score are a running sum over range partitions of
+    the distinct scores, which follow the data however close the scores lie; ties count half."""
+    b = range_running_sum(laid_by_range(by_score.select("s", "pos", "neg"), None, ["s"]), None, ["s"], "neg", "below")
+    return b.agg(F.try_divide(F.sum(F.col("pos") * F.col("below")) + 0.5 * F.sum(F.col("pos") * F.col("neg")),
                               F.sum("pos") * F.sum("neg")).alias("auc"))
 
 

@@ -141,3 +141,13 @@ def range_running_max(laid: DataFrame, by, order: Sequence[str], value: str, nam
     out = laid.join(base, on=[*by, PART])
     inside = Window.partitionBy(*by, PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return out.withColumn(name, F.greatest(F.col("_kp_base"), F.max(value).over(inside))).drop("_kp_base")
+
+
+def range_running_sum(laid: DataFrame, by, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Sum of ``value`` over the group's rows before each row (0 for the first), as :func:`range_position`."""
+    by = _cols(by)
+    sums = laid.groupBy(*by, PART).agg(F.sum(value).alias("_kp_sum"))
+    base = sums.select(*by, PART, F.coalesce(F.sum("_kp_sum").over(_before_parts(by)), F.lit(0)).alias("_kp_base"))
+    out = laid.join(base, on=[*by, PART])
+    inside = Window.partitionBy(*by, PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return out.withColumn(name, F.col("_kp_base") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("_kp_base")

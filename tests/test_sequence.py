@@ -139,3 +139,24 @@ def test_positions_of_any_order_key(spark):
     assert (want["pos_total"] == want.groupby("g")["o"].transform("size")).all()
     top = want.groupby("g")["v"].transform(lambda s: s.cummax().shift())
     assert ((want["top"] == top) | (want["top"].isna() & top.isna())).all()
+
+
+def test_auc_of_scores_that_lie_close_together(spark):
+    """All scores within 1e-6 of 0, ties among them: the partitions follow the scores."""
+    from kelpie.operators.metrics import auc
+    from kelpie.operators.sequence import PART, laid_by_range
+    rng = np.random.default_rng(12)
+    score = np.round(rng.random(4000) * 1e-6, 10)
+    score[0] = 1.0
+    y = (rng.random(4000) < 0.3 + 3e5 * score).astype(int)
+    df = spark.createDataFrame([(float(s), int(t)) for s, t in zip(score, y)], "p double, y int")
+    below = sum((score[y == 0] < s).sum() + 0.5 * (score[y == 0] == s).sum() for s in score[y == 1])
+    assert auc(df, "y", "p").first()["auc"] == pytest.approx(below / ((y == 1).sum() * (y == 0).sum()), abs=1e-9)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in laid_by_range(df, None, ["p"]).groupBy(PART).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(sizes) >= 6 and max(sizes) < 4000 / 4
+    assert auc(df.where("y = 1"), "y", "p").first()["auc"] is None
