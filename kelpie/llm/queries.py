@@ -183,7 +183,48 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
-@_query("op13_merkle_manifest")
+# crc32 by its table, the trees and the folds by recursion, a level a step
+_MERKLE_SQL = """
+WITH RECURSIVE tab AS (SELECT list(c ORDER BY n) AS t FROM (SELECT n, list_reduce(list_prepend(n, range(8)),
+    lambda a, x: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) AS c FROM range(256) r(n))),
+ids AS (SELECT doc_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(tab.t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), tab),
+f AS (SELECT d.doc_id, source, text, crc, CASE WHEN d.doc_id IS NULL THEN '-' ELSE len(CAST(d.doc_id AS VARCHAR)) || ':' || d.doc_id END
+    || CASE WHEN source IS NULL THEN '-' ELSE octet_length(encode(source)) || ':' || source END
+    || CASE WHEN lang IS NULL THEN '-' ELSE octet_length(encode(lang)) || ':' || lang END
+    || CASE WHEN n_chars IS NULL THEN '-' ELSE len(CAST(n_chars AS VARCHAR)) || ':' || n_chars END AS head
+    FROM documents d LEFT JOIN ids ON ids.doc_id = d.doc_id),
+g AS (SELECT *, CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END AS low FROM f),
+h AS (SELECT doc_id, coalesce('1' || source, '0') AS tree,
+    sha256(head || CASE WHEN text IS NULL THEN '-' ELSE octet_length(encode(text)) || ':' || text END) AS leaf,
+    CASE WHEN low IS NOT NULL THEN sha256(head || octet_length(encode(low)) || ':' || low) END AS claimed FROM g),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM h),
+up AS (SELECT tree, 0 AS lvl, pos, n, leaf AS d FROM leaves
+    UNION ALL SELECT tree, lvl + 1, pos // 16, (any_value(n) + 15) // 16, sha256(string_agg(d, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY tree, lvl, pos // 16),
+subs AS (SELECT tree, d, lvl AS deep, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS lvl, pos, n, d FROM subs
+    UNION ALL SELECT lvl + 1, pos // 16, (any_value(n) + 15) // 16, sha256(string_agg(d, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY lvl, pos // 16),
+steps AS (SELECT l.tree, l.pos, k.lvl AS step, string_agg(u.d, '' ORDER BY u.pos) FILTER (WHERE u.pos < l.pos >> (4 * k.lvl)) AS a,
+        string_agg(u.d, '' ORDER BY u.pos) FILTER (WHERE u.pos > l.pos >> (4 * k.lvl)) AS z
+    FROM leaves l JOIN (SELECT DISTINCT tree, lvl FROM up WHERE n > 1) k ON k.tree = l.tree
+    JOIN up u ON u.tree = l.tree AND u.lvl = k.lvl AND u.pos >> 4 = l.pos >> (4 * k.lvl + 4) GROUP BY l.tree, l.pos, k.lvl
+    UNION ALL SELECT l.tree, l.pos, s.deep + k.lvl, string_agg(u.d, '' ORDER BY u.pos) FILTER (WHERE u.pos < s.pos >> (4 * k.lvl)),
+        string_agg(u.d, '' ORDER BY u.pos) FILTER (WHERE u.pos > s.pos >> (4 * k.lvl))
+    FROM leaves l JOIN subs s ON s.tree = l.tree JOIN (SELECT DISTINCT lvl FROM top WHERE n > 1) k ON true
+    JOIN top u ON u.lvl = k.lvl AND u.pos >> 4 = s.pos >> (4 * k.lvl + 4) GROUP BY l.tree, l.pos, s.deep, k.lvl),
+fold AS (SELECT tree, pos, 0 AS step, coalesce(claimed, leaf) AS d FROM leaves
+    UNION ALL SELECT o.tree, o.pos, o.step + 1, sha256(coalesce(s.a, '') || o.d || coalesce(s.z, ''))
+    FROM fold o JOIN steps s ON s.tree = o.tree AND s.pos = o.pos AND s.step = o.step),
+proof AS (SELECT l.tree, l.pos, sha256(coalesce(string_agg(coalesce(s.a, '') || coalesce(s.z, ''), '' ORDER BY s.step), '')) AS p
+    FROM leaves l LEFT JOIN steps s ON s.tree = l.tree AND s.pos = l.pos GROUP BY l.tree, l.pos),
+folded AS (SELECT tree, pos, arg_max(d, step) AS d FROM fold GROUP BY tree, pos)
+SELECT l.doc_id, l.leaf, s.d AS subroot, r.d AS root, p.p AS proof_sha256, o.d AS folded_root, o.d = r.d AS verified
+FROM leaves l JOIN subs s ON s.tree = l.tree JOIN (SELECT d FROM top WHERE n = 1) r ON true
+JOIN proof p ON p.tree = l.tree AND p.pos = l.pos JOIN folded o ON o.tree = l.tree AND o.pos = l.pos
+"""
+
+
+@_query("op13_merkle_manifest", _MERKLE_SQL)
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves, roots and folded proofs of every document; a fifth of the texts is tampered with."""
     from kelpie.llm.merkle import Manifest
