@@ -2,8 +2,11 @@
 
 An archive is a ZIP file whose members are *stored*, so that byte ranges of a
 member are byte ranges of the file: ``archive/data.warc.gz`` holds the records,
-each its own gzip member, and ``indexes/index.cdxj`` names the offset and length
-of each.  The reader parses the end record, the central directory and their
+each its own gzip member, and ``indexes/index.cdxj`` has a line for each: sort key
+(the host's labels from the top domain down, then the path), time stamp, and a JSON object
+with url, digest, offset, length and file name; lines ascend.  The reader also takes archives that
+others have written so: any index members (plain or gzipped), file names with or without their folder,
+several record files, records of any id, headers of any case.  It parses the end record, the central directory and their
 ZIP64 forms, locates the stored members, reads the index, and range-reads record
 by record.  Nothing is extracted.
 
@@ -69,24 +72,36 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
+def sort_key(url: str) -> str:
+    """The key of a URL in an index: ``http://a.b.com:80/p?q`` -> ``com,b,a:80)/p?q``, lower case."""
+    found = re.fullmatch(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)(:\d+)?([^#]*)(?:#.*)?", url, re.S)
+    if not found:
+        return quote(url.lower(), safe="%/:?[]@!$&'()*+,;=~-._")
+    host, port, rest = found.groups()
+    host = ",".join(reversed(host.removeprefix("www.").split("."))) + (port or "")
+    return quote(f"{host}){rest or '/'}".lower(), safe="%/:?[]@!$&'()*+,;=~-._")
+
+
 class _Archive:
     """One archive under construction: records go out as they come, the index is kept."""
 
-    def __init__(self, out):
+    def __init__(self, out, date: str):
+        self.stamp = re.sub(r"\D", "", date)[:14]
         self.zip = zipfile.ZipFile(out, "w", zipfile.ZIP_STORED, allowZip64=True)
         self.member = self.zip.open(RECORDS, "w", force_zip64=True)
         self.at, self.index = 0, []
 
-    def add(self, page_id, url, record: bytes) -> None:
+    def add(self, url: str | None, digest: str, record: bytes) -> None:
         packed = gzip.compress(record, 6, mtime=0)
         self.member.write(packed)
-        line = {"url": url, "id": _urn(page_id), "offset": str(self.at), "length": str(len(packed)), "filename": RECORDS}
-        self.index.append(f"{_urn(page_id)} {json.dumps(line)}")
+        line = {"url": url, "mime": "text/html", "status": "200", "digest": f"sha1:{digest}", "length": str(len(packed)),
+                "offset": str(self.at), "filename": RECORDS.rsplit("/", 1)[1]}
+        self.index.append(f"{sort_key(url or 'about:blank')} {self.stamp} {json.dumps(line)}")
         self.at += len(packed)
 
     def close(self) -> None:
         self.member.close()
-        self.zip.writestr(INDEX, "\n".join(self.index).encode())
+        self.zip.writestr(INDEX, "".join(f"{x}\n" for x in sorted(self.index)).encode())
         self.zip.close()
 
 
@@ -97,11 +112,11 @@ def _writer(folder: str, archive_bytes: int, date: str):
         while row is not None:
             path = f"{folder}/part-{part:06d}-{len(done):04d}.wacz"
             with created(path) as out:
-                archive = _Archive(out)
+                archive = _Archive(out, date)
                 while row is not None and archive.at < archive_bytes:
                     page_id, url, html, sha1, first, revisit = row
                     digest = base64.b32encode(bytes.fromhex(sha1)).decode()
-                    archive.add(page_id, url, record_bytes(page_id, url, html, digest, first, revisit, date))
+                    archive.add(url, digest, record_bytes(page_id, url, html, digest, first, revisit, date))
                     row = next(rows, None)
                 archive.close()
             done.append((path, len(archive.index)))
@@ -196,42 +211,96 @@ def members(f: RangeReader) -> dict[str, tuple[int, int, int]]:
     return out
 
 
-def parse_record(data: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
-    """WARC headers, HTTP headers and payload of one record."""
-    head, _, rest = data.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8").split("\r\n")
+class Headers(dict):
+    """Header fields by name without regard to case; of repeated ones the first."""
+
+    def __init__(self, lines: list[str]):
+        super().__init__()
+        last = None
+        for line in lines:
+            if line[:1] in (" ", "\t") and last:                    # a folded line goes on
+                dict.__setitem__(self, last, f"{dict.__getitem__(self, last)} {line.strip()}")
+                continue
+            name, mark, value = line.partition(":")
+            if mark:
+                last = name.strip().lower()
+                self.setdefault(last, value.strip())
+
+    def __getitem__(self, name):
+        return super().__getitem__(name.lower())
+
+    def __contains__(self, name):
+        return super().__contains__(name.lower())
+
+    def get(self, name, default=None):
+        return super().get(name.lower(), default)
+
+
+def _head(data: bytes) -> tuple[list[str], bytes]:
+    """Lines up to the first empty one (line ends of either kind), and what follows."""
+    found = re.search(rb"\r?\n\r?\n", data)
+    head, rest = (data, b"") if not found else (data[:found.start()], data[found.end():])
+    return re.split(r"\r?\n", head.decode("utf-8", "replace")), rest
+
+
+def parse_record(data: bytes) -> tuple[Headers, Headers, bytes]:
+    """WARC headers, HTTP headers (none unless the block is an HTTP message) and payload of one record."""
+    lines, rest = _head(data)
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
-    warc = dict(x.split(": ", 1) for x in lines[1:])
-    http_head, _, payload = rest[:int(warc["Content-Length"])].partition(b"\r\n\r\n")
-    http = dict(x.split(": ", 1) for x in http_head.decode("utf-8").split("\r\n")[1:])
-    return warc, http, payload
+    warc = Headers(lines[1:])
+    block = rest[:int(warc["Content-Length"])]
+    if not warc.get("Content-Type", "application/http").lower().startswith("application/http"):
+        return warc, Headers([]), block
+    lines, payload = _head(block)
+    return warc, Headers(lines[1:]), payload
+
+
+def _index_lines(f: RangeReader, found: dict[str, tuple[int, int, int]]) -> Iterator[dict]:
+    """The entries of all index members.  What stands before the JSON object (sort key and time stamp,
+    or another key) is not needed; lines without an object that names a range are headers."""
+    names = sorted(n for n in found if n.startswith("indexes/") and re.search(r"\.cdxj?(\.gz)?$", n))
+    if not names:
+        raise ValueError("the archive has no index")
+    for name in names:
+        method, size, at = found[name]
+        if method:
+            raise ValueError("the index is not stored")
+        data = f.read(at, size)
+        for line in (gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data).decode("utf-8").splitlines():
+            brace = line.find("{")
+            if brace >= 0 and not line.startswith("!"):
+                entry = json.loads(line[brace:])
+                if {"offset", "length", "filename"} <= entry.keys():
+                    yield entry
 
 
-def records(path: str) -> Iterator[tuple[dict[str, str], dict[str, str], bytes]]:
+def records(path: str) -> Iterator[tuple[Headers, Headers, bytes]]:
     """All records of an archive, each by one range read that the index names."""
     with RangeReader(path) as f:
         found = members(f)
-        method, size, at = found[INDEX]
-        if method:
-            raise ValueError("the index is not stored")
-        for line in f.read(at, size).decode().splitlines():
-            entry = json.loads(line.split(" ", 1)[1])
-            method, size, start = found[entry["filename"]]
+        by_base = {n.rsplit("/", 1)[-1]: n for n in sorted(found, reverse=True)}
+        for entry in _index_lines(f, found):
+            name = entry["filename"] if entry["filename"] in found else by_base.get(entry["filename"].rsplit("/", 1)[-1])
+            if name is None:
+                raise ValueError(f"the index names {entry['filename']}, which is not in the archive")
+            method, size, start = found[name]
             if method:
-                raise ValueError(f"{entry['filename']} is not stored")
+                raise ValueError(f"{name} is not stored")
             offset, length = int(entry["offset"]), int(entry["length"])
             if offset + length > size:
                 raise ValueError("an index entry is outside its member")
-            yield parse_record(gzip.decompress(f.read(start + offset, length)))
+            data = f.read(start + offset, length)
+            yield parse_record(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
 
 
 _SCHEMA = ("page_id long, target_uri string, date string, payload_bytes long, payload_digest string, "
-           "record_type string, refers_to long, payload binary")
+           "record_type string, refers_to long, payload binary, record_id string, refers_to_id string")
 
 
 def _reader(with_payload: bool, batch_bytes: int = 8 << 20):
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(),
+             pa.string(), pa.string()]
     names = [x.split()[0] for x in _SCHEMA.split(", ")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,12 +308,17 @@ def _reader(with_payload: bool, batch_bytes: int = 8 << 20):
         for b in batches:
             for path in b.column(0).to_pylist():
                 for warc, http, payload in records(path):
-                    kind, digest = warc["WARC-Type"], warc["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if kind == "response" and sha1_base32(payload) != digest:
-                        raise ValueError(f"{path}: a payload doesn't match its digest")
-                    rows.append((_page_of(warc["WARC-Record-ID"]), warc["WARC-Target-URI"], warc["WARC-Date"],
-                                 int(http["Content-Length"]) if kind == "revisit" else len(payload), digest, kind,
-                                 _page_of(warc.get("WARC-Refers-To")), payload if with_payload else None))
+                    kind, stated = warc["WARC-Type"], warc.get("WARC-Payload-Digest", "")
+                    digest = stated.removeprefix("sha1:")
+                    if kind != "revisit":
+                        own = sha1_base32(payload)
+                        if stated.startswith("sha1:") and len(digest) == 32 and digest.upper() != own:
+                            raise ValueError(f"{path}: a payload doesn't match its digest")
+                        digest = own
+                    whole = http.get("Content-Length") if kind == "revisit" else len(payload)
+                    rows.append((_page_of(warc.get("WARC-Record-ID")), warc.get("WARC-Target-URI"), warc.get("WARC-Date"),
+                                 None if whole is None else int(whole), digest or None, kind, _page_of(warc.get("WARC-Refers-To")),
+                                 payload if with_payload else None, warc.get("WARC-Record-ID"), warc.get("WARC-Refers-To")))
                     held += 200 + len(payload) * with_payload
                     if held >= batch_bytes:
                         yield _batch(rows, kinds, names)
@@ -261,7 +335,9 @@ def _batch(rows, kinds, names) -> pa.RecordBatch:
 
 def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
     """Rows of all records of the archives in ``manifest`` (path).  ``payload_bytes``
-    and ``payload_digest`` are those of the full payload, for revisits too; every
-    response's payload is checked against its digest."""
+    and ``payload_digest`` are those of the full payload, for revisits too (null where a foreign revisit
+    doesn't say); every other payload is checked against its SHA-1, if one is stated.
+    ``page_id`` and ``refers_to`` are null for records that :func:`write_archives` hasn't written;
+    ``record_id`` and ``refers_to_id`` are the ids as they stand."""
     paths = manifest.select("path").repartition(parallelism(manifest.sparkSession), "path")
     return paths.mapInArrow(_reader(with_payload), _SCHEMA)

@@ -131,7 +131,7 @@ def test_index_names_each_record(spark):
     with RangeReader(row["path"]) as f:
         found = warc.members(f)
         _, size, at = found[warc.INDEX]
-        lines = [json.loads(x.split(" ", 1)[1]) for x in f.read(at, size).decode().splitlines()]
+        lines = [json.loads(x[x.index("{"):]) for x in f.read(at, size).decode().splitlines()]
     assert len(lines) == row["records"]
     assert sum(int(x["length"]) for x in lines) == found[warc.RECORDS][1]
 
@@ -142,3 +142,70 @@ def test_query_against_sql(spark, sf):
     want = con.execute(ORACLE["op8_warc"]).fetchall()
     got = [tuple(r) for r in QUERIES["op8_warc"](spark, sf).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def foreign_archive(path, packed_index=False):
+    """An archive in the standard layout, written by hand: two record files, one of them not compressed, bare file
+    names in the index, other ids, header names in any case and without a blank behind the colon."""
+    import base64
+    import gzip
+    import hashlib
+    import zipfile
+
+    def digest(x):
+        return "sha1:" + base64.b32encode(hashlib.sha1(x).digest()).decode()
+
+    one, two = "<p>eins ä</p>".encode(), b"plain text"
+    http = b"HTTP/1.1 200 OK\r\ncontent-type:text/html\r\nX-Folded: a\r\n b\r\n\r\n" + one
+    a = ("WARC/1.0\r\nwarc-type:response\r\nWARC-record-id: <urn:uuid:0001>\r\nWARC-Target-URI:http://example.com/a?b=1\r\n"
+         f"WARC-Date: 2020-02-03T04:05:06Z\r\nWARC-Payload-Digest:{digest(one)}\r\nContent-Type: application/http;msgtype=response\r\n"
+         f"content-length:{len(http)}\r\n\r\n").encode() + http + b"\r\n\r\n"
+    b = ("WARC/1.1\nWARC-Type: resource\nWARC-Record-ID: <urn:uuid:0002>\nWARC-Target-URI: http://example.com/t\n"
+         f"WARC-Date: 2020-02-03T04:05:07Z\nContent-Type: text/plain\nContent-Length: {len(two)}\n\n").encode() + two + b"\r\n\r\n"
+    back = b"HTTP/1.1 200 OK\r\n\r\n"
+    c = ("WARC/1.1\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:uuid:0003>\r\nWARC-Target-URI: http://example.com/a\r\n"
+         f"WARC-Refers-To: <urn:uuid:0001>\r\nWARC-Payload-Digest: {digest(one)}\r\nWARC-Date: 2020-02-04T04:05:06Z\r\n"
+         f"Content-Type: application/http; msgtype=response\r\nContent-Length: {len(back)}\r\n\r\n").encode() + back + b"\r\n\r\n"
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    first = [gzip.compress(x) for x in (info, a)]
+    lines = ['!meta {"format": "cdxj"}',
+             'com,example)/a?b=1 20200203040506 {"url": "http://example.com/a?b=1", "mime": "text/html", "status": 200, '
+             f'"length": {len(first[1])}, "offset": {len(first[0])}, "filename": "first.warc.gz"}}',
+             f'com,example)/a 20200204040506 {{"url": "x", "length": "{len(c)}", "offset": "{len(b)}", "filename": "second.warc"}}',
+             f'com,example)/t 20200203040507 {{"url": "x", "length": "{len(b)}", "offset": "0", "filename": "archive/second.warc"}}']
+    index = "\n".join(lines).encode()
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("datapackage.json", "{}", zipfile.ZIP_DEFLATED)
+        z.writestr("archive/first.warc.gz", b"".join(first))
+        z.writestr("archive/second.warc", b + c)
+        z.writestr("indexes/index.cdx.gz" if packed_index else "indexes/index.cdxj", gzip.compress(index) if packed_index else index)
+    return one, two
+
+
+@pytest.mark.parametrize("packed_index", [False, True])
+def test_a_foreign_archive_in_the_standard_layout(spark, tmp_path, packed_index):
+    path = str(tmp_path / "foreign.wacz")
+    one, two = foreign_archive(path, packed_index)
+    got = {r["record_id"]: r for r in warc.read_archives(spark.createDataFrame([(path,)], "path string")).collect()}
+    assert set(got) == {"<urn:uuid:0001>", "<urn:uuid:0002>", "<urn:uuid:0003>"}
+    a, b, c = (got[f"<urn:uuid:000{i}>"] for i in (1, 2, 3))
+    assert (a["record_type"], bytes(a["payload"]), a["target_uri"], a["payload_bytes"]) == ("response", one, "http://example.com/a?b=1", len(one))
+    assert (b["record_type"], bytes(b["payload"]), b["payload_digest"]) == ("resource", two, warc.sha1_base32(two))
+    assert (c["record_type"], c["refers_to_id"], c["payload_digest"], c["payload_bytes"]) == ("revisit", "<urn:uuid:0001>", a["payload_digest"], None)
+    assert a["page_id"] is None and c["refers_to"] is None and a["date"] == "2020-02-03T04:05:06Z"
+
+
+def test_index_lines_are_standard_and_sorted(spark):
+    import re
+    import zipfile
+    pages = spark.createDataFrame([(1, "http://b.example.org/z", "x"), (2, "https://www.a.example.org:8080/Y?q=1#f", "y"), (3, None, "z")],
+                                  "page_id long, url string, html string").coalesce(1)
+    path = warc.write_archives(pages).first()["path"].removeprefix("file:")
+    lines = zipfile.ZipFile(path).read(warc.INDEX).decode().splitlines()
+    assert lines == sorted(lines) and all(re.match(r"\S+ 20240101000000 \{.*\}$", x) for x in lines)
+    assert {x.split(" ")[0] for x in lines} == {"org,example,b)/z", "org,example,a:8080)/y?q=1", "about:blank"}
+
+
+def test_headers():
+    h = warc.Headers(["A-b:1", "a-B: 2", "C:  x ", " y", "junk"])
+    assert h["a-B"] == "1" and h.get("c") == "x y" and "JUNK" not in h and h.get("zz", "none") == "none"
