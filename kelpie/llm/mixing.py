@@ -273,11 +273,12 @@ class Mix:
         else:
             keyed = counted.select("source", "h", "size")
         volume = counted.groupBy("source").agg(F.count(F.lit(1)).alias("_mx_rows"), F.sum("bytes").alias("_mx_bytes"))
-        lanes_of = self.targets.join(volume.withColumnRenamed("source", "_mx_source"),
-                                     F.col("source").eqNullSafe(F.col("_mx_source"))).select(
-            "_mx_source", "s",
-            F.greatest(F.lit(1).cast("long"), F.ceil(F.col("source_size") / lane), F.ceil(F.col("_mx_rows") / rows),
-                       F.ceil(F.col("_mx_bytes") / width)).alias("_mx_lanes"))
+        # written: its size is then known to be that of a row a source
+        lanes_of = write_and_read(
+            self.targets.join(volume.withColumnRenamed("source", "_mx_source"), F.col("source").eqNullSafe(F.col("_mx_source"))).select(
+                "_mx_source", "s",
+                F.greatest(F.lit(1).cast("long"), F.ceil(F.col("source_size") / lane), F.ceil(F.col("_mx_rows") / rows),
+                           F.ceil(F.col("_mx_bytes") / width)).alias("_mx_lanes")), "mix-lane-counts")
 
         def in_lanes(df: DataFrame, h) -> DataFrame:
             # a row a source: broadcast where it is small, else a join whose hot keys Spark splits
