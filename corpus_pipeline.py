@@ -16,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpie.llm.common import prepare, read_table, write_and_read
-
 #: Models, hashes and tokenizers have no SQL form; tests compare with a plain version.
 ORACLE_SQL = None
 
@@ -28,6 +26,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    from kelpie.llm.common import prepare, read_table
     from kelpie.llm.quality import filter_documents, train
 
     prepare(spark)
@@ -35,6 +34,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    from kelpie.llm.common import prepare
     from kelpie.llm.simhash import keep_one
 
     prepare(spark)
@@ -42,6 +42,7 @@ def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    from kelpie.llm.common import prepare
     from kelpie.llm.secret_scan import redact
 
     prepare(spark)
@@ -49,6 +50,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    from kelpie.llm.common import prepare
     from kelpie.llm.mixing import Mix
 
     prepare(spark)
@@ -56,6 +58,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    from kelpie.llm.common import prepare
     from kelpie.llm.packing import pack
     from kelpie.llm.tokenizing import public_path
 
@@ -69,6 +72,8 @@ STAGES = [("quality_rules", quality_rules), ("simhash", simhash), ("secret_scan"
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
+    from kelpie.llm.common import prepare, read_table, write_and_read
+
     prepare(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
