@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kelpie.operators.sequence import laid_by_range, range_running_sum
 from kelpie.session import scratch_path
 
 
@@ -67,32 +68,73 @@ def match(datasources: DataFrame, models: DataFrame) -> DataFrame:
     return match_pairs(datasources, models)
 
 
-def match_pairs(datasources: DataFrame, models: DataFrame, near: Column | None = None, ds_more: Sequence[str] = (),
-                m_more: Sequence[str] = ()) -> DataFrame:
-    """:func:`match` for frames or streams; ``near`` is a further condition, over the columns ``ds_more`` and ``m_more``."""
-    near = F.lit(True) if near is None else near
+def _sides(datasources: DataFrame, models: DataFrame, ds_more: Sequence[str] = (), m_more: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the match with the columns it compares."""
     ds = datasources.select(
         *ds_more, "ds_id", "data_reshape", "total_msg", "incremental",
         F.col("federated_string_id").alias("ds_fed"),
-        canonical_json("restrictions").alias("_restr"))
+        canonical_json("restrictions").alias("_ds_restr"))
     ms = models.select(
         *m_more, "model_id", "min_data", "distributed", has_blockchain("blockchain").alias("_chain"),
         F.col("federated_string_id").alias("m_fed"),
         effective_shape("input_shape", "distributed").alias("_shape"),
         canonical_json("data_restriction").alias("_restr"))
-    has_fed = F.coalesce(F.col("ds_fed"), F.lit("")) != ""
-    by_id = ds.drop("_restr").where(has_fed).join(
-        ms.drop("_restr", "_shape").where(F.col("m_fed").isNotNull() & (F.col("m_fed") != "")),
-        (F.col("ds_fed") == F.col("m_fed")) & near)
-    ds2 = ds.where(~has_fed).withColumnRenamed("_restr", "_ds_restr")
-    by_shape = ds2.join(ms, (F.col("data_reshape") == F.col("_shape")) & (F.col("_ds_restr") == F.col("_restr")) & near)
+    return ds, ms
+
+
+def _has_id(column: str) -> Column:
+    return F.coalesce(F.col(column), F.lit("")) != ""
+
+
+def match_pairs(datasources: DataFrame, models: DataFrame, near: Column | None = None, ds_more: Sequence[str] = (),
+                m_more: Sequence[str] = ()) -> DataFrame:
+    """:func:`match` for frames or streams; ``near`` is a further condition, over the columns ``ds_more`` and ``m_more``."""
+    near = F.lit(True) if near is None else near
+    ds, ms = _sides(datasources, models, ds_more, m_more)
+    by_id = ds.drop("_ds_restr").where(_has_id("ds_fed")).join(
+        ms.drop("_restr", "_shape").where(_has_id("m_fed")), (F.col("ds_fed") == F.col("m_fed")) & near)
+    by_shape = ds.where(~_has_id("ds_fed")).join(
+        ms, (F.col("data_reshape") == F.col("_shape")) & (F.col("_ds_restr") == F.col("_restr")) & near)
+    case = training_case(F.col("incremental"), F.col("distributed"), F.col("_chain"))
     cols = ["ds_id", "model_id", "case", "by_federated_id"]
-    a = by_id.withColumn("case", training_case(F.col("incremental"), F.col("distributed"), F.col("_chain"))) \
-        .withColumn("by_federated_id", F.lit(True)).select(*cols, "total_msg", "min_data")
-    b = by_shape.withColumn("case", training_case(F.col("incremental"), F.col("distributed"), F.col("_chain"))) \
-        .withColumn("by_federated_id", F.lit(False)).select(*cols, "total_msg", "min_data") \
-        .where(F.col("case").isin(2, 4) | (F.col("total_msg") >= F.col("min_data")))
-    return a.unionByName(b).drop("total_msg", "min_data")
+    a = by_id.withColumn("case", case).withColumn("by_federated_id", F.lit(True)).select(*cols)
+    b = by_shape.withColumn("case", case).withColumn("by_federated_id", F.lit(False)) \
+        .where(F.col("case").isin(2, 4) | (F.col("total_msg") >= F.col("min_data"))).select(*cols)
+    return a.unionByName(b)
+
+
+_TOP = (1 << 63) - 1
+
+
+def match_counts(datasources: DataFrame, models: DataFrame) -> DataFrame:
+    """J01 + J02 without the pairs: (ds_id, case, n), how many models each data source matches.
+
+    Models and data sources fall into classes of equal shape, restriction and flags.  In a class a data
+    source matches the models whose ``min_data`` is at most its ``total_msg``: their number is a running
+    sum over the distinct sizes of both sides, in range partitions.  So a class that holds a third
+    of both sides costs its members, not their product."""
+    ds, ms = _sides(datasources, models)
+    flags = ["distributed", "_chain"]
+    case = training_case(F.col("incremental"), F.col("distributed"), F.col("_chain"))
+    ids = ms.where(_has_id("m_fed")).groupBy("m_fed", *flags).agg(F.count(F.lit(1)).alias("n"))
+    by_id = ds.where(_has_id("ds_fed")).join(ids, F.col("ds_fed") == F.col("m_fed")).select("ds_id", case.alias("case"), "n")
+
+    # an incremental data source has no size test: it stands above all sizes, as does a model without a size
+    cls = ["shape", "restr", *flags]
+    sizes = ms.select(F.col("_shape").alias("shape"), F.col("_restr").alias("restr"), *flags,
+                      F.coalesce(F.col("min_data"), F.lit(_TOP)).cast("long").alias("size")) \
+        .groupBy(*cls, "size").agg(F.count(F.lit(1)).alias("models")).withColumn("asks", F.lit(0))
+    both = F.explode(F.array(*[F.struct(F.lit(d).alias("distributed"), F.lit(c).alias("_chain")) for d in (False, True) for c in (False, True)]))
+    members = ds.where(~_has_id("ds_fed")).select(
+        "ds_id", "incremental", F.col("data_reshape").alias("shape"), F.col("_ds_restr").alias("restr"),
+        F.when(F.col("incremental"), F.lit(_TOP)).when(F.col("total_msg").isNotNull(), F.least("total_msg", F.lit(_TOP - 1)))
+        .cast("long").alias("size"),
+        both.alias("f")).select("ds_id", "incremental", "shape", "restr", "f.*", "size").where("size IS NOT NULL")
+    asked = members.select(*cls, "size").distinct().select(*cls, "size", F.lit(0).cast("long").alias("models"), F.lit(1).alias("asks"))
+    laid = laid_by_range(sizes.select(*cls, "size", "models", "asks").unionByName(asked), cls, ["size", "asks"])
+    answers = range_running_sum(laid, cls, ["size", "asks"], "models", "n").where("asks = 1 AND n > 0").select(*cls, "size", "n")
+    by_shape = members.join(answers, [*cls, "size"]).select("ds_id", case.alias("case"), "n")
+    return by_id.unionByName(by_shape).groupBy("ds_id", "case").agg(F.sum("n").cast("long").alias("n"))
 
 
 def match_new_models(datasources: DataFrame, models: DataFrame) -> DataFrame:

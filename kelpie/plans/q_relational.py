@@ -79,6 +79,12 @@ def j01(spark, sf):
     return J.match(datasources(spark, sf), models(spark, sf))
 
 
+@register("j01_match_counts", _MATCH_SQL + """ SELECT ds_id, CAST("case" AS INTEGER) AS "case", count(*) AS n FROM matches GROUP BY 1, 2""")
+def j01_counts(spark, sf):
+    """How many models each data source matches, without forming the pairs."""
+    return J.match_counts(datasources(spark, sf), models(spark, sf)).withColumn("case", F.col("case").cast("int"))
+
+
 @register("j02_match_by_id", _MATCH_SQL + " SELECT * FROM matches WHERE by_federated_id")
 def j02(spark, sf):
     return J.match(datasources(spark, sf), models(spark, sf)).where("by_federated_id")

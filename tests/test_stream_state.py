@@ -134,3 +134,14 @@ def test_one_launch_per_id(spark):
     pairs = match(spark.read.parquet(d.path), models).where("by_federated_id")
     pairs = pairs.join(spark.read.parquet(d.path).select("ds_id", F.col("federated_string_id").alias("fed")), "ds_id")
     assert got == sorted(tuple(r) for r in pairs.groupBy("fed").agg(F.min("ds_id"), F.min("model_id")).collect())
+
+
+def test_match_counts_without_the_pairs(spark):
+    from kelpie.operators.registry import match_counts
+    ds = spark.createDataFrame(ds_rows(200) + [(5000 + i, "64", '{"a": 0, "b": 1}', 250 + i % 3, False, None, None) for i in range(300)]
+                               + [(6000, "64", '{"a": 0, "b": 1}', None, False, "", None), (6001, "64", '{"a": 0, "b": 1}', None, True, None, None)], DS)
+    models = spark.createDataFrame(model_rows(100) + [(7000 + i, "64", '{"b": 1, "a": 0}', (250, 251, None)[i % 3], False, "{}", None, None)
+                                                      for i in range(300)] + [(8000, "5 6 7", '{"a": 0, "b": 1}', 1, True, '{"x": 1}', None, None)], MODEL)
+    want = match(ds, models).groupBy("ds_id", "case").count()
+    assert sorted(map(tuple, match_counts(ds, models).collect())) == sorted(map(tuple, want.collect()))
+    assert match_counts(ds.limit(0), models).count() == 0 and match_counts(ds, models.limit(0)).count() == 0
