@@ -76,16 +76,16 @@ def select_metrics(series: DataFrame, names: Sequence[str], name: str = "metric"
 def validate_deployments(df: DataFrame, model_code: Column | None = None) -> DataFrame:
     """rule columns -> ``errors`` array (empty = valid), defaults filled."""
     checks = [
-        F.when(F.col("batch") <= 0, F.lit("Batch has to be greater than 0")),
+        F.when(F.col("batch") <= 0, F.lit("batch size is not positive")),
         F.when((F.coalesce(F.col("kwargs_fit"), F.lit("")) != "") & ~F.col("kwargs_fit").rlike(KWARGS_PATTERN),
-               F.lit("Arguments for training do not have the expected format")),
+               F.lit("fit arguments are not name=value pairs")),
         F.when((F.coalesce(F.col("kwargs_val"), F.lit("")) != "") & ~F.col("kwargs_val").rlike(KWARGS_PATTERN),
-               F.lit("Arguments for validation do not have the expected format")),
+               F.lit("validation arguments are not name=value pairs")),
     ]
     if model_code is not None:
         checks.append(F.when(F.col("incremental") & F.col("indefinite") & ~F.col("distributed")
                              & ~model_code.contains(F.col("monitoring_metric")),
-                             F.lit("Monitoring metric does not match.")))
+                             F.lit("the model has no such metric to monitor")))
     out = df.withColumn("errors", F.filter(F.array(*checks), lambda e: e.isNotNull()))
     for k, v in DEPLOYMENT_DEFAULTS.items():
         if k in df.columns:

@@ -385,9 +385,9 @@ _KW = Q.KWARGS_PATTERN
 
 @register("f06_validate_deployments", f"""
 WITH d AS (SELECT {_sel(DEPLOY_COLS)} FROM orders),
-e AS (SELECT *, list_filter([CASE WHEN batch <= 0 THEN 'Batch has to be greater than 0' END,
-   CASE WHEN coalesce(kwargs_fit, '') <> '' AND NOT regexp_matches(kwargs_fit, '{_KW}') THEN 'Arguments for training do not have the expected format' END,
-   CASE WHEN coalesce(kwargs_val, '') <> '' AND NOT regexp_matches(kwargs_val, '{_KW}') THEN 'Arguments for validation do not have the expected format' END],
+e AS (SELECT *, list_filter([CASE WHEN batch <= 0 THEN 'batch size is not positive' END,
+   CASE WHEN coalesce(kwargs_fit, '') <> '' AND NOT regexp_matches(kwargs_fit, '{_KW}') THEN 'fit arguments are not name=value pairs' END,
+   CASE WHEN coalesce(kwargs_val, '') <> '' AND NOT regexp_matches(kwargs_val, '{_KW}') THEN 'validation arguments are not name=value pairs' END],
    lambda x: x IS NOT NULL) AS errs FROM d)
 SELECT deployment_id, batch, coalesce(optimizer, 'adam') AS optimizer, len(errs) = 0 AS valid,
        array_to_string(errs, '|') AS errors FROM e""")

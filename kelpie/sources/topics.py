@@ -263,6 +263,7 @@ def control_to_log(control: DataFrame, key_width: int = KEY_WIDTH) -> DataFrame:
         F.encode(F.to_json(F.struct(*body)), "UTF-8").alias("value"), ts.alias("timestamp"))
 
 
+# Field names and types on the wire.
 CONTROL_JSON_SCHEMA = (
     "topic string, unsupervised_topic string, input_format string, description string, "
     "dataset_restrictions string, input_config string, validation_rate double, test_rate double, "
@@ -355,11 +356,13 @@ def inspect(log: DataFrame, n: int, from_beginning: bool = True) -> DataFrame:
 
 # ------------------------------------------------------------------ S15 ----
 
+# Field names and types on the wire.
 FED_DATASOURCE_SCHEMA = (
     "topic string, unsupervised_topic string, input_format string, input_config string, incremental boolean, "
     "federated_string_id string, total_msg long, validation_rate double, test_rate double, description string, "
     "dataset_restrictions string, label_weights string, streaming_data_chunks int, timestamp timestamp")
 
+# Field names and types on the wire.
 MODEL_SOURCE_SCHEMA = (
     "model_format struct<input_shape: string, output_shape: string>, "
     "federated_params struct<federated_string_id: string, data_restriction: string, min_data: long>, "
