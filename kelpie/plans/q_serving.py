@@ -12,7 +12,7 @@ from kelpie.operators.models import fit_centroids
 from kelpie.operators.serve import score, with_tier
 from kelpie.plans.fixtures import embeddings_log, header_value
 from kelpie.plans.registry import register
-from kelpie.session import scratch_path
+from kelpie.session import cut_lineage, scratch_path
 from kelpie.sources.topics import (control_record, control_records, read_topic, string_to_ranges, topic_ranges,
                                    write_topic)
 
@@ -53,7 +53,8 @@ def published_scores(spark, sf_dir):
     slice_ = control_records(announced, log)
     dec = decode_raw(slice_, INPUT_CONFIG["data_type"], INPUT_CONFIG["data_reshape"],
                      INPUT_CONFIG["label_type"], INPUT_CONFIG["label_reshape"])
-    dec = dec.select(header_value("sample_id").cast("long").alias("vec_id"), "features", "label").persist()
+    dec = dec.select(header_value("sample_id").cast("long").alias("vec_id"), "features", "label")
+    dec = cut_lineage(dec)      # read by the fit and by the scores; nothing stays in executor memory
     model = fit_centroids(dec, temperature=TEMPERATURE)
     return score(dec, model)
 

@@ -92,6 +92,26 @@ def r04(spark, sf):
     return ST.monitor_snapshot(spark, out)
 
 
+@register("r04_prediction_monitor", _CENTROID_SCORES + """,
+t AS (SELECT vec_id % 3 AS part, pred FROM scored WHERE vec_id >= (SELECT (min(vec_id) + max(vec_id)) // 4 FROM embeddings)),
+n AS (SELECT part, pred, count(*) AS n FROM t GROUP BY 1, 2)
+SELECT CAST(part AS INTEGER) AS "by", CAST(pred AS INTEGER) AS cls, n, round(n / sum(n) OVER (PARTITION BY part), 4) AS share FROM n""")
+def r04_predictions(spark, sf):
+    """Classes of the newest prediction records per topic partition, with their running share."""
+    from kelpie.operators.serve import prediction_records
+    from kelpie.plans.q_serving import published_scores
+    scored = published_scores(spark, sf).withColumn("key", F.col("vec_id").cast("string").cast("binary"))
+    records = prediction_records(scored)
+    vec = F.col("key").cast("string").cast("long")
+    path, out, ck = (_scratch(spark, f"r04p-{k}") for k in ("topic", "out", "ck"))
+    records.select((vec % 3).cast("int").alias("partition"), F.timestamp_seconds(vec).alias("timestamp"), "key", "value") \
+        .repartition(3).write.parquet(path)
+    b = t(spark, sf, "embeddings").agg(F.min("vec_id").alias("lo"), F.max("vec_id").alias("hi")).first()
+    stream = spark.readStream.schema("partition int, timestamp timestamp, key binary, value binary").option("maxFilesPerTrigger", 1).parquet(path)
+    ST.monitor_predictions(stream, "partition", out, ck, since=F.timestamp_seconds(F.lit((int(b["lo"]) + int(b["hi"])) // 4)))
+    return ST.prediction_shares(spark, out)
+
+
 def _control_files(spark, sf):
     from kelpie.plans.q_relational import user_control_log
     from kelpie.sources.topics import datasources_from_log

@@ -136,6 +136,31 @@ def monitor_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return snap.groupBy("label").agg(F.max_by("n", "batch_id").alias("n"))
 
 
+def monitor_predictions(stream: DataFrame, by: str, path: str, checkpoint: str, since: Column | None = None) -> StreamingQuery:
+    """Live monitor of prediction records (S21) for classification: the class is the argmax of the record's
+    values (the first of equal ones); per ``by`` (a topic or partition) and class the running count.
+
+    ``since`` bounds the record time from below: a monitor that is opened starts with the newest
+    records, not with the topic's history.  Records without values are passed over."""
+    from kelpie.functions.features import argmax
+    values = F.from_json(F.col("value").cast("string"), "values array<double>")["values"]
+    s = stream if since is None else stream.where(F.col("timestamp") >= since)
+    s = s.select(F.col(by).alias("by"), values.alias("values")).where(F.size("values") > 0)
+    counts = s.select("by", argmax(F.col("values")).cast("int").alias("cls")).groupBy("by", "cls").agg(F.count(F.lit(1)).alias("n"))
+    q = (counts.writeStream.outputMode("update")
+         .foreachBatch(lambda b, i: idempotent_append(b, i, path))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def prediction_shares(spark: SparkSession, path: str, decimals: int = 4) -> DataFrame:
+    """by, cls, n and the class's share of all its ``by``'s predictions so far."""
+    now = spark.read.parquet(path).groupBy("by", "cls").agg(F.max_by("n", "batch_id").alias("n"))
+    total = now.groupBy("by").agg(F.sum("n").alias("total"))
+    return now.join(total, "by").select("by", "cls", "n", F.round(F.col("n") / F.col("total"), decimals).alias("share"))
+
+
 # ------------------------------------------------------------------ S09 ----
 
 def publish_online(stream: DataFrame, topic: str, data: str, label: str | None, path: str, checkpoint: str, *, deployment_id: int,
