@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kelpie.operators.sequence import laid_by_range, range_running_sum
+from kelpie.operators.sequence import PART, laid_by_range, range_position, range_running_sum
 from kelpie.session import scratch_path
 
 
@@ -262,3 +262,14 @@ def attach_truth(pred: DataFrame, truth: DataFrame, key: str = "sample_id") -> D
     """The prediction of sample i meets the truth of sample i through the
     carried sample id (an equi-join, not a global row number)."""
     return pred.join(truth, key)
+
+
+def attach_truth_by_position(pred: DataFrame, truth: DataFrame, pred_order: Sequence[str], truth_order: Sequence[str],
+                             by: str | None = None) -> DataFrame:
+    """J13 where records carry no sample id: the i-th prediction (of a topic ``by``) meets the i-th truth, in
+    the order in which they were sent.  Positions come from range partitions, so any order will do and no
+    side is ever one task; what has no partner on the other side is left out.  Adds ``index``, from 1."""
+    keys = [] if by is None else [by]
+    p = range_position(laid_by_range(pred, by, pred_order), by, pred_order, name="_pos").drop(PART)
+    t = range_position(laid_by_range(truth, by, truth_order), by, truth_order, name="_pos").drop(PART)
+    return p.join(t, [*keys, "_pos"]).withColumn("index", F.col("_pos") + 1).drop("_pos")

@@ -221,6 +221,22 @@ def j13(spark, sf):
                     (F.col("predicted") == F.col("truth")).alias("correct"))
 
 
+@register("j13_truth_by_position", """
+WITH p AS (SELECT event_id, event_type AS predicted, user_id % 3 AS topic,
+                  row_number() OVER (PARTITION BY user_id % 3 ORDER BY md5(CAST(event_id AS VARCHAR))) AS i FROM events),
+v AS (SELECT o_orderkey, o_orderstatus AS truth, o_custkey % 3 AS topic,
+             row_number() OVER (PARTITION BY o_custkey % 3 ORDER BY o_totalprice DESC, o_orderkey) AS i FROM orders)
+SELECT p.topic, p.i AS "index", event_id, o_orderkey, predicted, truth FROM p JOIN v ON p.topic = v.topic AND p.i = v.i""")
+def j13_position(spark, sf):
+    """The i-th prediction of a topic meets its i-th truth; both in an order of their own."""
+    pred = t(spark, sf, "events").select((F.col("user_id") % 3).alias("topic"), "event_id", F.col("event_type").alias("predicted"),
+                                         F.md5(F.col("event_id").cast("string")).alias("sent"))
+    truth = t(spark, sf, "orders").select((F.col("o_custkey") % 3).alias("topic"), "o_orderkey", F.col("o_orderstatus").alias("truth"),
+                                          (-F.col("o_totalprice")).alias("rank"))
+    j = J.attach_truth_by_position(pred, truth, ["sent"], ["rank", "o_orderkey"], by="topic")
+    return j.select("topic", "index", "event_id", "o_orderkey", "predicted", "truth")
+
+
 def _midpoint_snapshot(spark, sf, log):
     """Ends per partition of what was published before the mid time of the stream."""
     ev = t(spark, sf, "events")
