@@ -9,12 +9,13 @@ classpath the same frames can be written with ``format("kafka")``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelpie.functions.codecs import key_bytes, key_bytes_error, key_to_int
-from kelpie.operators.sequence import DEFAULT_BLOCK, dense_position
+from kelpie.operators.sequence import DEFAULT_BLOCK, dense_position, running_sum
+from kelpie.session import cut_lineage
 
 TOPIC_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType()),
@@ -310,6 +311,46 @@ def control_records(ranges: DataFrame, log: DataFrame, bucket: int = DEFAULT_BLO
     return j.select(*out, *[F.col(f"_rng_{c}").alias(c) for c in rcols if c not in ("start", "end")])
 
 
+def _announced(ranges: DataFrame, bucket: int) -> DataFrame:
+    """(topic, partition, _b): the offset buckets that ranges cover, each once.  Overlapping ranges are merged
+    before they are spread over buckets, so their number does not multiply the buckets."""
+    r = ranges.select("topic", "partition", F.floor(F.col("start") / bucket).cast("long").alias("_lo"),
+                      F.floor((F.col("end") - 1) / bucket).cast("long").alias("_hi")) \
+        .groupBy("topic", "partition", "_lo").agg(F.max("_hi").alias("_hi"))
+    before = Window.partitionBy("topic", "partition").orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1)
+    return r.withColumn("_lo", F.greatest(F.col("_lo"), F.max("_hi").over(before) + 1)).where("_lo <= _hi") \
+        .select("topic", "partition", F.explode(F.sequence("_lo", "_hi")).alias("_b"))
+
+
+def control_counts(ranges: DataFrame, log: DataFrame, bucket: int = DEFAULT_BLOCK) -> DataFrame:
+    """J14 where a range's number of records is asked: one row a range that has records, with ``n``, without
+    the pairs of :func:`control_records`.
+
+    Every announced record is read once, however many ranges hold it: a range's number is the
+    difference of two running counts, of the records before its end and before its start.  The
+    folders of a log laid out by offset are pruned as there."""
+    r = ranges.where(F.col("end") > F.col("start"))
+    l = log.withColumnRenamed(BUCKET, "_b") if BUCKET in log.columns else \
+        log.withColumn("_b", F.floor(F.col("offset") / bucket).cast("long"))
+    folders = _announced(r, bucket)
+    if BUCKET in log.columns:
+        folders = cut_lineage(folders)
+        if folders.count() <= RANGES:
+            folders = F.broadcast(folders)
+    key = ["topic", "partition", "offset"]
+    held = l.join(folders, ["topic", "partition", "_b"]).select(*key, F.lit(1).alias("_n"), F.lit(False).alias("_asked"))
+    asked = r.select("topic", "partition", F.explode(F.array("start", "end")).alias("offset"), F.lit(0).alias("_n"),
+                     F.lit(True).alias("_asked"))
+    cells = held.unionByName(asked).groupBy(*key).agg(F.sum("_n").alias("_n"), F.max("_asked").alias("_asked"))
+    upto = running_sum(cells, ["topic", "partition"], "offset", "_n", "_upto", block=bucket).where("_asked") \
+        .select(*key, (F.col("_upto") - F.col("_n")).alias("_before"))
+    out = r
+    for at in ("start", "end"):
+        out = out.join(upto.select("topic", "partition", F.col("offset").alias(at), F.col("_before").alias(f"_{at}")),
+                       ["topic", "partition", at])
+    return out.select(*ranges.columns, (F.col("_end") - F.col("_start")).alias("n")).where("n > 0")
+
+
 # ------------------------------------------------------------------ S14 ----
 
 def datasources_from_log(control_log: DataFrame) -> DataFrame:

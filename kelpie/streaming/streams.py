@@ -212,13 +212,17 @@ def publish_online(stream: DataFrame, topic: str, data: str, label: str | None,
 # ------------------------------------------------------------------ R05 ----
 
 def on_control(control_stream: DataFrame, log: DataFrame, path: str, checkpoint: str,
-               fn: Callable[[DataFrame], DataFrame] | None = None, **layout) -> StreamingQuery:
+               fn: Callable[[DataFrame], DataFrame] | None = None,
+               read: Callable[..., DataFrame] = control_records, **layout) -> StreamingQuery:
     """Control-plane stream: every control row triggers the read of the records
     it announces (J14 range join against the topic table).  A topic table laid out by offset is
-    read by the announced folders only; ``bucket`` must then be the one it was written with."""
+    read by the announced folders only; ``bucket`` must then be the one it was written with.
+    ``read`` says what ``fn`` gets: the records of each control row, or with
+    :func:`kelpie.sources.topics.control_counts` their number, for which overlapping ranges
+    are not multiplied out."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         ranges = string_to_ranges(batch.select("deployment_id", "topic"), "topic")
-        rec = control_records(ranges.select("topic", "partition", "start", "end", "deployment_id"), log, **layout)
+        rec = read(ranges.select("topic", "partition", "start", "end", "deployment_id"), log, **layout)
         out = fn(rec) if fn else rec
         idempotent_append(out, batch_id, path)
 
