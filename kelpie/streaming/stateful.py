@@ -1,7 +1,7 @@
 """Stateful streaming versions of the order-dependent operators.
 
 Each keeps a small per-key state in the state store (``applyInPandasWithState``, or
-the processors of :mod:`kelpie.streaming.processors`):
+the processors of :mod:`kelpie.streaming.processors`; W03 in a table of its own):
 rows of a key inside one micro-batch are ordered, folded against the state,
 and the state is updated — a micro-batch never needs older rows.  Results
 equal the batch operators when micro-batches arrive in order.
@@ -10,14 +10,16 @@ equal the batch operators when micro-batches arrive in order.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from kelpie.functions.features import round_js
 from kelpie.operators.monitor import _moved
+from kelpie.session import path_exists
 from kelpie.streaming.processors import numbered_series, round_gate, run_to_table
-from kelpie.streaming.streams import idempotent_append
+from kelpie.streaming.streams import foreach_microbatch, idempotent_append
 
 
 def _run(out: DataFrame, path: str, checkpoint: str) -> None:
@@ -55,42 +57,50 @@ def ratchet_stream(stream: DataFrame, key: str, order: str, value: str, path: st
 
 def leader_stream(stream: DataFrame, key: str, label: str, order: str, classes: list[str], path: str,
                   checkpoint: str, window: int = 0, decimals: int = 4) -> None:
-    """W03 on a stream: state = class counts, total and the last leader."""
-    n = len(classes)
-    idx = {c: i for i, c in enumerate(classes)}
-    state_schema = StructType.fromDDL(", ".join(f"c{i} long" for i in range(n)) + ", total long, leader string")
-    out_schema = "user string, order long, leader string, emit boolean"
-
-    def js_round(x: float) -> float:  # half-up on the binary value, like toFixed
-        m = 10.0 ** decimals
-        return float(int(x * m + 0.5)) / m
-
-    def fn(k, pdfs, state):
-        pdf = pd.concat(list(pdfs)).sort_values("o")
-        if state.exists:
-            st = state.get
-            counts, total, last = list(st[:n]), st[n], st[n + 1]
-        else:
-            counts, total, last = [0] * n, 0, None
-        os_, ls, es = [], [], []
-        for o, lab in zip(pdf["o"].tolist(), pdf["l"].tolist()):
-            if lab in idx:
-                counts[idx[lab]] += 1
-            total += 1
-            shares = [js_round(c / total) for c in counts]
-            best = max(shares)
-            lead = classes[shares.index(best)]
-            emit = last is None or lead != last or (window and total % window == 0)
-            os_.append(o), ls.append(lead), es.append(bool(emit))
-            last = lead
-        state.update((*counts, total, last))
-        yield pd.DataFrame({"user": pd.Series([k[0]] * len(os_), dtype=object), "order": pd.Series(os_, dtype="int64"),
-                            "leader": pd.Series(ls, dtype=object), "emit": pd.Series(es, dtype=bool)})
-
-    s = stream.select(F.col(key).cast("string").alias("k"), F.col(order).cast("long").alias("o"),
-                      F.col(label).cast("string").alias("l"))
-    out = s.groupBy("k").applyInPandasWithState(fn, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
-    _run(out, path, checkpoint)
+    """W03 on a stream: state = class counts, total and the last leader of each key, a table at
+    ``path``-state with one version per micro-batch.  The rows of a micro-batch go on from the
+    version before it, all keys in one window pass: with many keys of few rows, a Python call for
+    each key and micro-batch would cost more than the rows.  A replayed micro-batch reads the same
+    version and writes the same rows and the same state again."""
+    spark, kept = stream.sparkSession, f"{path}-state"
+    counts = [f"c{i}" for i in range(len(classes))]
+    state_schema = StructType.fromDDL(", ".join(["k string", *[f"{c} long" for c in counts], "total long, leader string, batch_id long"]))
+    out = stream.select(F.col(key).cast("string").alias("k"), F.col(order).cast("long").alias("o"),
+                        F.col(label).cast("string").alias("l"))
+
+    def state_before(batch_id: int) -> DataFrame:
+        if not path_exists(spark, kept):
+            return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in state_schema if f.name != "batch_id"])
+        versions = spark.read.schema(state_schema).parquet(kept).where(F.col("batch_id") < batch_id)
+        last = versions.agg(F.max("batch_id")).first()[0]
+        return versions.where(F.col("batch_id") == F.lit(last).cast("long")).drop("batch_id")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        old = state_before(batch_id).select(F.col("k").alias("_k"), *[F.col(c).alias(f"_{c}") for c in [*counts, "total", "leader"]])
+        so_far = Window.partitionBy("k").orderBy("o", "l")
+        rows = batch.join(old, F.col("k").eqNullSafe(F.col("_k")), "left")
+        rows = rows.select("k", "o", "l", F.col("_leader"), *[
+            (F.coalesce(F.col(f"_{c}"), F.lit(0)) + F.coalesce(F.sum((F.col("l") == F.lit(name)).cast("long")).over(
+                so_far.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))).alias(c) for c, name in zip(counts, classes)],
+            (F.coalesce(F.col("_total"), F.lit(0)) + F.row_number().over(so_far)).cast("long").alias("total"))
+        shares = F.array(*[round_js(F.col(c) / F.col("total"), decimals) for c in counts])
+        rows = rows.withColumn("_shares", shares).withColumn("leader", F.element_at(
+            F.array(*[F.lit(str(c)) for c in classes]), F.array_position("_shares", F.array_max("_shares")).cast("int")))
+        rows = rows.withColumn("_last", F.coalesce(F.lag("leader").over(so_far), F.col("_leader")))
+        emit = F.col("_last").isNull() | (F.col("_last") != F.col("leader"))
+        if window:
+            emit = emit | (F.pmod(F.col("total"), F.lit(window)) == 0)
+        rows = rows.withColumn("emit", emit).persist()      # the rows handed out, and the state after them
+        try:
+            idempotent_append(rows.select(F.col("k").alias("user"), F.col("o").alias("order"), "leader", "emit"), batch_id, path)
+            new = rows.groupBy("k").agg(F.max_by(F.struct(*counts, "total", "leader"), "total").alias("s")).select("k", "s.*")
+            rest = old.join(new.select("k"), F.col("_k").eqNullSafe(F.col("k")), "left_anti") \
+                .select(*[F.col(f"_{c}").alias(c) for c in ["k", *counts, "total", "leader"]])
+            idempotent_append(new.unionByName(rest), batch_id, kept)
+        finally:
+            rows.unpersist()
+
+    foreach_microbatch(out, handle, checkpoint).awaitTermination()
 
 
 def round_gate_stream(stream: DataFrame, federation: str, order: str, registered: int, path: str,
