@@ -30,6 +30,20 @@ def dot(x: Column, w) -> Column:
                        F.lit(0.0), lambda acc, y: acc + y)
 
 
+def _let(x: Column, use) -> Column:
+    """``use(x)`` with ``x`` computed once.  A projection of its own does not ensure that: when a filter on
+    the result is pushed below it, every place that names the column gets a copy of its expression."""
+    return F.transform(F.array(x), use)[0]
+
+
+def _softmax(z: Column) -> Column:
+    """Softmax of an array column that is itself an expression."""
+    exps = lambda z: _let(F.array_max(z), lambda top: F.transform(z, lambda v: F.exp(v - top)))
+    shares = lambda e: _let(F.aggregate(e, F.lit(0.0), lambda acc, y: acc + y),
+                            lambda total: F.transform(e, lambda v: v / total))
+    return _let(z, lambda z: _let(exps(z), shares))
+
+
 @dataclass
 class LinearModel:
     """values = activation(temperature · (W x + b)); W has one row per output."""
@@ -55,20 +69,13 @@ class LinearModel:
                                                          F.lit(0.0), lambda acc, y: acc + y) + b[k]) * t)
 
     def apply(self, df: DataFrame, x: str, out: str = "values") -> DataFrame:
-        """Score a frame: logits, then the activation on that array column
-        (separate projections keep the logits from being recomputed).  A model made
+        """Score a frame: logits, then the activation on that array, in one expression that
+        computes each once, also where a filter on ``out`` is pushed below it.  A model made
         with ``arrow=True`` scores through an Arrow UDF with broadcast parameters
         instead of a constant expression; its size alone changes nothing."""
         if self.arrow:
             return self._apply_arrow(df, x, out)
-        d = df.withColumn("_z", self.logits(F.col(x)))
-        if self.activation == "linear":
-            return d.withColumnRenamed("_z", out)
-        if self.activation == "sigmoid":
-            return d.withColumn(out, F.transform("_z", lambda z: 1.0 / (1.0 + F.exp(-z)))).drop("_z")
-        d = d.withColumn("_e", F.transform("_z", lambda z: F.exp(z - F.array_max(F.col("_z")))))
-        return d.withColumn(out, F.transform("_e", lambda e: e / F.aggregate(F.col("_e"), F.lit(0.0),
-                                                                             lambda acc, y: acc + y))).drop("_z", "_e")
+        return df.withColumn(out, self.values(F.col(x)))
 
     def values(self, x: Column) -> Column:
         """Single-expression form (for use inside select lists)."""
@@ -77,8 +84,7 @@ class LinearModel:
             return z
         if self.activation == "sigmoid":
             return F.transform(z, lambda v: 1.0 / (1.0 + F.exp(-v)))
-        e = F.transform(z, lambda v: F.exp(v - F.array_max(z)))
-        return F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda acc, y: acc + y))
+        return _softmax(z)
 
     def _apply_arrow(self, df: DataFrame, x: str, out: str) -> DataFrame:
         from pyspark.sql import types as T

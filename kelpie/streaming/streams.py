@@ -336,11 +336,14 @@ def self_train_stream(stream: DataFrame, labelled: DataFrame, out_path: str, che
             train = train.unionByName(pseudo.select(key, features, "label"))
         model = fit_centroids(train, features, "label", n_classes=n_classes, temperature=temperature)
         sel = confident(score(batch, model, features), confidence) \
-            .select(key, features, argmax("values").alias("label"))
-        if sel.isEmpty():
-            stopped_at.append(batch_id)
-            raise RuntimeError(f"batch {batch_id} has no confident row")
-        idempotent_append(sel, batch_id, out_path)
+            .select(key, features, argmax("values").alias("label")).persist()     # asked for a row, then written
+        try:
+            if sel.isEmpty():
+                stopped_at.append(batch_id)
+                raise RuntimeError(f"batch {batch_id} has no confident row")
+            idempotent_append(sel, batch_id, out_path)
+        finally:
+            sel.unpersist()
 
     q = foreach_microbatch(stream, handle, checkpoint)
     try:
