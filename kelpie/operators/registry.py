@@ -219,18 +219,23 @@ def suggest_input(results: DataFrame, inferences: DataFrame, datasources: DataFr
                     F.coalesce("_ic", "_dc", F.lit("")).alias("input_config"))
 
 
+def _named(rows: DataFrame, key: str) -> DataFrame:
+    """The keys that ``rows`` name, each once: many rows name one key, and a join would sort them all."""
+    return rows.select(key).distinct()
+
+
 def deletable(models: DataFrame, config_models: DataFrame, key: str) -> DataFrame:
     """Models in no configuration (anti join); :func:`in_use` is the semi join."""
-    return models.join(config_models.select(key), key, "left_anti")
+    return models.join(_named(config_models, key), key, "left_anti")
 
 
 def in_use(models: DataFrame, config_models: DataFrame, key: str) -> DataFrame:
-    return models.join(config_models.select(key), key, "left_semi")
+    return models.join(_named(config_models, key), key, "left_semi")
 
 
 def remaining(unlabelled: DataFrame, taken: DataFrame, key: str) -> DataFrame:
     """Pseudo-labelled rows leave the pool."""
-    return unlabelled.join(taken.select(key), key, "left_anti")
+    return unlabelled.join(_named(taken, key), key, "left_anti")
 
 
 def weight_map(weights: dict) -> dict[int, float] | None:
