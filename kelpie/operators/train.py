@@ -3,8 +3,7 @@ G10, G11, X01).
 
 Samples never leave the executors: every epoch broadcasts the parameters,
 each task folds its Arrow batches into a partial (loss, gradient, count)
-and the partials are combined with ``treeAggregate`` (``reduceByKey`` per
-device for federated local fits).  The driver holds parameters, metrics and
+and the partials are added up by a grouped sum.  The driver holds parameters, metrics and
 counts only.  Model specs (X01) are small NumPy classes shipped in the
 task closure; no user code text is executed.
 """
@@ -283,28 +282,37 @@ def _partials(df: DataFrame, spec: ModelSpec, P: dict, features: str = "features
     return src.mapInArrow(fold, _PARTIAL_SCHEMA), bP
 
 
-def _combine(a, b):
-    return (a[0] + b[0], a[1] + b[1], a[2] + b[2], a[3] + b[3], a[4] + b[4])
+def _summed(rows: DataFrame, P: dict) -> dict:
+    """Partial sums added up number by number, per key: ``P``'s shapes, loss, correct, n, wsum.  Spark adds them
+    without a second Python worker beside the one that folds; the driver gets one number a parameter."""
+    numbers = F.concat("grad", F.array(F.col("loss"), F.col("correct").cast("double"), F.col("n").cast("double"), F.col("wsum")))
+    few = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)   # a row a task and key: else every task would deal out its numbers
+    sums = few.select("key", F.posexplode(numbers).alias("i", "x")).groupBy("key", "i").agg(F.sum("x").alias("x")).toArrow()
+    keys, at, x = (sums.column(c).to_numpy() for c in ("key", "i", "x"))
+    size, out = sum(v.size for v in P.values()), {}
+    for k in set(keys):
+        mine = keys == k
+        v = np.zeros(size + 4)
+        v[at[mine]] = x[mine]
+        out[k] = (_unflatten(v[:size], P), float(v[size]), int(v[size + 1]), int(v[size + 2]), float(v[size + 3]))
+    return out
 
 
 def gradient(df: DataFrame, spec: ModelSpec, P: dict, **kw):
-    """Summed (grad dict, loss, correct, n, wsum) over the whole frame (treeAggregate)."""
+    """Summed (grad dict, loss, correct, n, wsum) over the whole frame."""
     rows, sent = _partials(df, spec, P, **kw)
-    parts = rows.rdd.map(lambda r: (np.asarray(r["grad"]), r["loss"], r["correct"], r["n"], r["wsum"]))
-    zero = (np.zeros(sum(v.size for v in P.values())), 0.0, 0, 0, 0.0)
     try:
-        g, loss, correct, n, wsum = parts.treeAggregate(zero, _combine, _combine, depth=2)
+        sums = _summed(rows, P)
     finally:
         sent.destroy()      # parameters of one step only
-    return _unflatten(g, P), loss, correct, n, wsum
+    return sums.get("", (_unflatten(np.zeros(sum(v.size for v in P.values())), P), 0.0, 0, 0, 0.0))
 
 
 def gradient_by_key(df: DataFrame, spec: ModelSpec, P: dict, key: str, **kw) -> dict:
-    """Sums per value of ``key`` (few: the splits of a fit) with map-side combine (reduceByKey)."""
+    """Sums per value of ``key`` (few: the splits of a fit)."""
     rows, sent = _partials(df, spec, P, key=key, **kw)
-    parts = rows.rdd.map(lambda r: (r["key"], (np.asarray(r["grad"]), r["loss"], r["correct"], r["n"], r["wsum"])))
     try:
-        return {k: (_unflatten(v[0], P), v[1], v[2], v[3], v[4]) for k, v in parts.reduceByKey(_combine).collect()}
+        return _summed(rows, P)
     finally:
         sent.destroy()
 
