@@ -50,3 +50,22 @@ def test_pairs_of_one_shape_are_dealt_in_tiles(spark, monkeypatch, tmp_path):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert where > 4
+
+
+def unpacking(spark, pairs):
+    """The explodes of the compiled plan, outermost first, and whether each is compiled into a loop."""
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        lines = pairs()._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    return ["*(" in x.split("Generate")[0] for x in lines if "Generate explode" in x]
+
+
+def test_pairs_of_one_id_are_handed_out_row_by_row(spark):
+    """Two explodes compiled into one loop hold all pairs of a tile (a million) before the first is handed out."""
+    ds, ms = sources(spark, 30, "'hot'"), takers(spark, 20, "'hot'")
+    got = J.match(ds, ms).where("by_federated_id")
+    assert collected(got) == sorted((d, m, case_of(d, m), True) for d in range(30) for m in range(20))
+    assert unpacking(spark, lambda: J.match(ds, ms).where("by_federated_id")) == [True, False]
