@@ -69,3 +69,20 @@ def test_pairs_of_one_id_are_handed_out_row_by_row(spark):
     got = J.match(ds, ms).where("by_federated_id")
     assert collected(got) == sorted((d, m, case_of(d, m), True) for d in range(30) for m in range(20))
     assert unpacking(spark, lambda: J.match(ds, ms).where("by_federated_id")) == [True, False]
+
+
+def test_texts_are_parsed_once_a_list(spark, tmp_path):
+    """New models: the JSON of the data sources was parsed for each row."""
+    ds, ms = sources(spark, 60), takers(spark, 20).where("NOT distributed")
+    bad = ds.where("ds_id < 4").withColumn("ds_id", F.col("ds_id") + 100).withColumn(
+        "restrictions", F.expr("CASE ds_id WHEN 100 THEN NULL WHEN 101 THEN 'null' WHEN 102 THEN '{' ELSE '{\"a\": 1}' END"))
+    more = ms.where("model_id < 4").withColumn("data_restriction", F.expr("IF(model_id = 1, NULL, '{')"))
+    got = J.match_new_models(ds.unionByName(bad), ms.unionByName(more))
+    want = sorted((d, m, case_of(d, m), False) for d in range(60) if d % 5 and d % 11 != 10 for m in range(20) if m % 3 and sized(d, m))
+    assert collected(got) == want
+    ds.write.parquet(f"{tmp_path}/ds")      # read back, no column is a constant
+    ms.write.parquet(f"{tmp_path}/ms")
+    read = J.match_new_models(spark.read.parquet(f"{tmp_path}/ds"), spark.read.parquet(f"{tmp_path}/ms"))
+    plan = read._jdf.queryExecution().optimizedPlan().toString().lower().splitlines()
+    parsed = [x for x in plan if "json(restrictions" in x or "json(data_restriction" in x]
+    assert parsed and all("collect_list" in x for x in parsed)
