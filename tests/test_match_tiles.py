@@ -86,3 +86,17 @@ def test_texts_are_parsed_once_a_list(spark, tmp_path):
     plan = read._jdf.queryExecution().optimizedPlan().toString().lower().splitlines()
     parsed = [x for x in plan if "json(restrictions" in x or "json(data_restriction" in x]
     assert parsed and all("collect_list" in x for x in parsed)
+
+
+def test_cases_are_counted_where_tiles_are_unpacked(spark):
+    """Pairs by id and by shape are one unpacking, compiled with the first part of the count."""
+    fed = "IF(id % 7 = 0, 'x', NULL)"
+    ds, ms = sources(spark, 60, fed), takers(spark, 20, fed)
+    got = J.match(ds, ms).groupBy("case").count()
+    want: dict[int, int] = {}
+    for d in range(60):
+        for m in range(20):
+            if (m % 7 == 0) if d % 7 == 0 else m % 3 and sized(d, m):
+                want[case_of(d, m)] = want.get(case_of(d, m), 0) + 1
+    assert {r["case"]: r["count"] for r in got.collect()} == want
+    assert unpacking(spark, lambda: J.match(ds, ms).groupBy("case").count()) == [True, False]
