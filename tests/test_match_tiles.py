@@ -100,3 +100,28 @@ def test_cases_are_counted_where_tiles_are_unpacked(spark):
                 want[case_of(d, m)] = want.get(case_of(d, m), 0) + 1
     assert {r["case"]: r["count"] for r in got.collect()} == want
     assert unpacking(spark, lambda: J.match(ds, ms).groupBy("case").count()) == [True, False]
+
+
+def test_a_stream_keeps_lists_not_rows(spark, tmp_path):
+    """The state held a row for each data source and model, and each pair was one look into it."""
+    from kelpie.streaming import processors as P
+    ds, ms = sources(spark, 300, "IF(id % 7 = 0, 'x', NULL)"), takers(spark, 60, "IF(id % 7 = 0, 'x', NULL)")
+    ds = ds.unionByName(ds.where("ds_id = 8")).withColumn("ds_id", F.expr("NULLIF(ds_id, 3)"))
+    for k in range(2):
+        ds.where(f"coalesce(ds_id, 0) % 2 = {k}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/ds")
+        ms.where(f"model_id % 2 = {k}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/ms")
+        q = P.run_to_table(P.match_stream(spark.readStream.schema(ds.schema).parquet(f"{tmp_path}/ds"),
+                                          spark.readStream.schema(ms.schema).parquet(f"{tmp_path}/ms")), f"{tmp_path}/out", f"{tmp_path}/ck")
+    rows = lambda df: sorted((tuple(r) for r in df.select(*COLUMNS).collect()), key=str)
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(J.match(ds, ms))
+    assert sum(s["numRowsTotal"] for s in q.lastProgress["stateOperators"]) < 100
+
+
+def test_lists_of_a_stream_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(J, "TILE", 7)
+    monkeypatch.setattr(J, "_HELD", 40)
+    side = spark.range(0, 100, 1, 2).selectExpr("IF(id % 3 = 0, NULL, id % 2 = 0) AS a", "IF(id = 5, NULL, id) AS v", "CAST(id AS STRING) AS w")
+    got = J._in_lists(side, ["a"], ["v", "w"], "x")
+    assert got.agg(F.max(F.size("_x"))).first()[0] == 7
+    flat = got.select("a", F.explode("_x").alias("x")).select("a", "x.v", "x.w")
+    assert sorted(map(str, flat.collect())) == sorted(map(str, side.collect()))
